@@ -1,0 +1,93 @@
+"""Query catalogue: one callable ``(spark, sf_dir) -> DataFrame`` per operator
+of the survey's inventory, registered in ``__spark_entry__.queries()``.
+
+Every query reads the driver tables (through the fixtures) in full.  Doubles
+in published results are rounded to 6 places, because the DuckDB oracle adds
+in a different order; counts are BIGINT on both sides.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
+
+from quarry.functions.scale import fit_minmax
+from quarry.operators import clean, evaluate, logistic
+from quarry.operators.split import hash_split
+from quarry.session import materialize
+from quarry.sources import fixtures as fx
+
+DIGITS = 6
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Round every floating column (published values only)."""
+    return df.select(
+        *[
+            F.round(F.col(f.name), digits).alias(f.name)
+            if isinstance(f.dataType, (DoubleType, FloatType))
+            else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
+# ------------------------------------------------------------ flagship query
+FRAUD_GD = {"learning_rate": 0.5, "reg_param": 0.01, "max_iter": 10, "tol": 1e-4}
+
+
+def fraud_clean_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """fraud → drop NULL rows → exact de-duplication → 80/20 key-hash split."""
+    df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
+    train, test = hash_split(df, fx.fraud_row_key(), (0.8, 0.2), seed=42)
+    return train, test
+
+
+def fit_fraud_model(spark: SparkSession, sf_dir: str, configs=None, max_iter=None, tol=None):
+    """Fit the class-weighted logistic model on the training part.
+
+    Returns ``(runs, minmax, test, n_train)``.
+    """
+    train, test = fraud_clean_split(spark, sf_dir)
+    feats = fx.FRAUD_FEATURES
+    mm = fit_minmax(train, feats)
+    n0, n1 = logistic.class_counts(train)
+    cw = logistic.inverse_frequency(n0, n1)
+    prepared = mm.transform(train).select(
+        *feats, "label", logistic.class_weight_col(cw).alias("cw")
+    )
+    prepared = materialize(prepared)
+    runs = logistic.gradient_descent(
+        prepared,
+        feats,
+        configs or [(FRAUD_GD["learning_rate"], FRAUD_GD["reg_param"])],
+        max_iter=max_iter or FRAUD_GD["max_iter"],
+        tol=FRAUD_GD["tol"] if tol is None else tol,
+        weight_col="cw",
+    )
+    return runs, mm, test, n0 + n1
+
+
+@query
+def fraud_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean, split, scale, weight, fit by gradient descent, report at 0.5."""
+    runs, mm, test, n_train = fit_fraud_model(spark, sf_dir)
+    run = runs[0]
+    w = run.weights
+    scored = logistic.score(mm.transform(test), w, fx.FRAUD_FEATURES)
+    report = evaluate.confusion(scored, "p", "label", 0.5)
+    extra = [
+        F.lit(n_train).cast("bigint").alias("n_train"),
+        F.lit(len(run.history)).cast("bigint").alias("iterations"),
+        F.lit(float(run.history[-1][1])).alias("final_loss"),
+    ] + [F.lit(float(v)).alias(f"w{i}") for i, v in enumerate(w)]
+    return rounded(report.select("*", *extra))
