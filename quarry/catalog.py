@@ -91,3 +91,219 @@ def fraud_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(float(run.history[-1][1])).alias("final_loss"),
     ] + [F.lit(float(v)).alias(f"w{i}") for i, v in enumerate(w)]
     return rounded(report.select("*", *extra))
+
+
+# ------------------------------------------------------------------ parsing
+from quarry.operators import profile, tree as tree_ops  # noqa: E402
+from quarry.operators.split import split_index  # noqa: E402
+from quarry.sources import text  # noqa: E402
+
+FRAUD_NAMES = fx.FRAUD_HEADER.split(",")
+
+
+def _fraud_parsed(spark: SparkSession, sf_dir: str, with_time: bool = True) -> DataFrame:
+    lines = text.drop_header(fx.fraud_lines(spark, sf_dir), fx.FRAUD_HEADER)
+    return text.parse_labelled(lines, FRAUD_NAMES, skip=() if with_time else ("time",))
+
+
+@query
+def parse_fraud_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A2: header lines dropped, strict parse of all fields."""
+    return text.accepted(_fraud_parsed(spark, sf_dir))
+
+
+@query
+def parse_fraud_lines_no_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: as A2 but ``time`` is neither validated nor returned."""
+    return text.accepted(_fraud_parsed(spark, sf_dir, with_time=False))
+
+
+@query
+def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines with the first failed check."""
+    return text.rejected(_fraud_parsed(spark, sf_dir))
+
+
+@query
+def cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 + D2: raw, valid, rejected, distinct, duplicate counts (no time)."""
+    parsed = _fraud_parsed(spark, sf_dir, with_time=False)
+    cols = ["f1", "f2", "f3", "label"]
+    return rounded(profile.cleaning_report(parsed, F.col("reason").isNull(), cols, len(cols) - 1))
+
+
+def _trip_lines_parsed(spark: SparkSession, sf_dir: str, test: bool, filters: bool) -> DataFrame:
+    lines = fx.trip_lines(spark, sf_dir, test=test)
+    if test:
+        lines = text.drop_header(lines, fx.TRIP_TEST_HEADER, strip_both=True)
+        return text.parse_trip_test(lines, filters=filters)
+    lines = text.drop_header(lines, fx.TRIP_HEADER)
+    return text.parse_trip_train(lines, filters=filters)
+
+
+@query
+def parse_trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: positional parse of train lines with the outlier filters."""
+    return text.accepted(_trip_lines_parsed(spark, sf_dir, test=False, filters=True))
+
+
+@query
+def parse_trip_test_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: test lines (stripped header match), coordinate/passenger/vendor filters."""
+    return text.accepted(_trip_lines_parsed(spark, sf_dir, test=True, filters=True))
+
+
+@query
+def parse_labeled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional parse to (features, label), no range filters."""
+    return text.accepted(_trip_lines_parsed(spark, sf_dir, test=False, filters=False))
+
+
+@query
+def parse_feature_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional parse of test lines to features (id kept)."""
+    return text.accepted(_trip_lines_parsed(spark, sf_dir, test=True, filters=False))
+
+
+@query
+def trip_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reject reasons of the train-line parser, counted."""
+    rej = text.rejected(_trip_lines_parsed(spark, sf_dir, test=False, filters=True))
+    return rej.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
+# ------------------------------------------------------------ row filtering
+@query
+def dropna_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips without any NULL."""
+    return clean.drop_nulls(fx.trips(spark, sf_dir))
+
+
+@query
+def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct fraud rows (NULLs compare equal)."""
+    return clean.dedup(fx.fraud(spark, sf_dir))
+
+
+@query
+def range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 + B10: structured rule — duration 60..14400 s, NYC box."""
+    return clean.structured_filter(fx.trips(spark, sf_dir))
+
+
+@query
+def outlier_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B6 + B7: low-level rule — tighter box, passengers 1..9, vendor {1,2}."""
+    return clean.outlier_filter(fx.trips(spark, sf_dir))
+
+
+@query
+def hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per part of the 80/20 key-hash split of clean fraud rows."""
+    df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
+    part = split_index(fx.fraud_row_key(), (0.8, 0.2), seed=42)
+    return df.groupBy(part.cast("bigint").alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------- profiling
+@query
+def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1."""
+    return profile.row_count(fx.fraud(spark, sf_dir))
+
+
+@query
+def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 (and D2's extra-row count) over all fraud columns."""
+    return profile.duplicate_summary(fx.fraud(spark, sf_dir))
+
+
+@query
+def frequency_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 + F1."""
+    return profile.frequency(fx.trips(spark, sf_dir), "passenger_count")
+
+
+@query
+def frequency_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 (NULL is its own group)."""
+    return profile.frequency(fx.trips(spark, sf_dir), "store_and_fwd_flag")
+
+
+@query
+def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 on clean, de-duplicated fraud rows."""
+    df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
+    return rounded(profile.class_distribution(df))
+
+
+@query
+def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 on the training part of the fraud split."""
+    train, _ = fraud_clean_split(spark, sf_dir)
+    return rounded(logistic.class_weights_frame(train))
+
+
+@query
+def missing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL or NaN per fraud column."""
+    return profile.missing_counts(fx.fraud(spark, sf_dir))
+
+
+@query
+def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL only, per trips column."""
+    return profile.missing_counts(fx.trips(spark, sf_dir), nan=False)
+
+
+TRIP_NUMERIC = [
+    "passenger_count", "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude",
+    "trip_duration",
+]
+
+
+@query
+def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count, mean, sample stddev, min, max."""
+    return rounded(profile.describe(fx.trips(spark, sf_dir), TRIP_NUMERIC))
+
+
+@query
+def feature_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean, population stddev, min, max of clean fraud features."""
+    df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
+    return rounded(profile.feature_summary(df, fx.FRAUD_FEATURES))
+
+
+@query
+def feature_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Min and max of the six trip features after the outlier rule."""
+    df = clean.outlier_filter(fx.trips(spark, sf_dir))
+    return profile.min_max(df, fx.TRIP_FEATURES)
+
+
+@query
+def quantile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Min, 25/50/75 % and max of trip duration (exact at this accuracy)."""
+    return profile.quantile_summary(fx.trips(spark, sf_dir), ["trip_duration"], accuracy=1_000_000)
+
+
+@query
+def label_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pearson correlation of each fraud feature with the label."""
+    df = clean.drop_nulls(fx.fraud(spark, sf_dir))
+    return rounded(profile.label_correlation(df, fx.FRAUD_FEATURES))
+
+
+@query
+def target_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D15 + D17: count, mean and population variance of trip duration."""
+    df = clean.outlier_filter(fx.trips(spark, sf_dir))
+    return rounded(profile.target_stats(df, "trip_duration"), 4)
+
+
+@query
+def histogram_50(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """50 equal-width bins of every fraud column, one grouped pass."""
+    df = clean.drop_nulls(fx.fraud(spark, sf_dir))
+    return rounded(profile.histogram(df, fx.FRAUD_FEATURES + ["label"]))

@@ -33,11 +33,15 @@ def clean_field(c: Column) -> Column:
 
 
 def py_float(c: Column) -> Column:
-    """Python ``float(c)`` as a Column; NULL where Python would raise."""
+    """Python ``float(c)`` as a Column; NULL where Python would raise.
+
+    The grammar check is anchored and allows surrounding whitespace, so the
+    text is stripped only once, inside the cast branch.
+    """
+    ok = c.rlike(r"^\s*" + PY_FLOAT_PATTERN[1:-1] + r"\s*$")
     s = strip(c)
-    ok = s.rlike(PY_FLOAT_PATTERN)
     return (
-        F.when(~ok | s.isNull(), F.lit(None).cast("double"))
+        F.when(~ok | c.isNull(), F.lit(None).cast("double"))
         .when(F.lower(s).isin(*NAN_SPELLINGS), F.lit(float("nan")))
         .otherwise(F.regexp_replace(s, "_", "").try_cast("double"))
     )

@@ -20,6 +20,24 @@ from pyspark.sql import functions as F
 from quarry.functions.columns import linear, sigmoid
 from quarry.sources.tables import read_table
 
+_TEXT_FILES: dict[tuple, str] = {}
+
+
+def as_text_file(spark: SparkSession, lines: DataFrame, key: tuple) -> DataFrame:
+    """Write generated lines once per session under the shared checkpoint
+    folder and scan them back with ``spark.read.text`` (the A1 source)."""
+    import os
+    import uuid
+
+    from quarry.session import checkpoint_dir
+
+    path = _TEXT_FILES.get(key)
+    if path is None:
+        path = os.path.join(checkpoint_dir(spark), "fixtures", f"{key[0]}-{uuid.uuid4().hex}")
+        lines.write.mode("overwrite").text(path)
+        _TEXT_FILES[key] = path
+    return spark.read.text(path)
+
 FRAUD_FEATURES = ["f1", "f2", "f3"]
 FRAUD_FEATURES_WIDE = ["f1", "f2", "f3", "f4"]
 FRAUD_HEADER = "time,f1,f2,f3,label"
@@ -107,39 +125,43 @@ def fraud_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Damage by key ``m``: 0 empty f2, 1 ``NaN`` f1, 2 ``abc`` f3, 3 label 2,
     4 label missing, 5 quoted f1 (valid), 6 header line, 7 blanks around f2
     (valid), 8 bad ``time`` (valid only without time), 9 quoted label (valid).
+    Built in stages (fields, damaged fields, line) to keep expressions small.
     """
     li = read_table(spark, sf_dir, "lineitem")
-    m = _damage_key(F.col("l_orderkey"), F.col("l_linenumber"))
-    t = F.col("l_orderkey").cast("string")
-    f1 = F.col("l_quantity").cast("bigint").cast("string")
-    f2 = F.round(F.col("l_discount") * 100.0).cast("bigint").cast("string")
-    f3 = F.round(F.col("l_tax") * 100.0).cast("bigint").cast("string")
-    lab = F.when(F.col("l_quantity") * F.col("l_discount") > 4.0, F.lit("1")).otherwise(
-        F.lit("0")
+    base = li.select(
+        _damage_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("m"),
+        F.col("l_orderkey").cast("string").alias("t"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("f1"),
+        F.round(F.col("l_discount") * 100.0).cast("bigint").cast("string").alias("f2"),
+        F.round(F.col("l_tax") * 100.0).cast("bigint").cast("string").alias("f3"),
+        F.when(F.col("l_quantity") * F.col("l_discount") > 4.0, F.lit("1"))
+        .otherwise(F.lit("0"))
+        .alias("lab"),
     )
-    t = F.when(m == 8, F.lit("x")).otherwise(t)
-    f1 = (
+    m = F.col("m")
+    damaged = base.select(
+        "m",
+        F.when(m == 8, F.lit("x")).otherwise(F.col("t")).alias("t"),
         F.when(m == 1, F.lit("NaN"))
-        .when(m == 5, F.concat(F.lit('"'), f1, F.lit('"')))
-        .otherwise(f1)
-    )
-    f2 = (
+        .when(m == 5, F.concat(F.lit('"'), F.col("f1"), F.lit('"')))
+        .otherwise(F.col("f1"))
+        .alias("f1"),
         F.when(m == 0, F.lit(""))
-        .when(m == 7, F.concat(F.lit(" "), f2, F.lit(" ")))
-        .otherwise(f2)
-    )
-    f3 = F.when(m == 2, F.lit("abc")).otherwise(f3)
-    lab = (
+        .when(m == 7, F.concat(F.lit(" "), F.col("f2"), F.lit(" ")))
+        .otherwise(F.col("f2"))
+        .alias("f2"),
+        F.when(m == 2, F.lit("abc")).otherwise(F.col("f3")).alias("f3"),
         F.when(m == 3, F.lit("2"))
-        .when(m == 9, F.concat(F.lit('"'), lab, F.lit('"')))
-        .otherwise(lab)
+        .when(m == 9, F.concat(F.lit('"'), F.col("lab"), F.lit('"')))
+        .otherwise(F.col("lab"))
+        .alias("lab"),
     )
     line = (
         F.when(m == 6, F.lit(FRAUD_HEADER))
-        .when(m == 4, F.concat_ws(",", t, f1, f2, f3))
-        .otherwise(F.concat_ws(",", t, f1, f2, f3, lab))
+        .when(m == 4, F.concat_ws(",", "t", "f1", "f2", "f3"))
+        .otherwise(F.concat_ws(",", "t", "f1", "f2", "f3", "lab"))
     )
-    return li.select(line.alias("value"))
+    return as_text_file(spark, damaged.select(line.alias("value")), ("fraud_lines", sf_dir))
 
 
 def _fmt3(c: Column) -> Column:
@@ -156,30 +178,35 @@ def trip_lines(spark: SparkSession, sf_dir: str, test: bool = False) -> DataFram
     """
     cols = _trip_columns()
     ev = read_table(spark, sf_dir, "events")
-    m = _damage_key(F.col("event_id"), F.col("user_id"))
-    ts = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")
-    pc = F.when(m == 0, F.lit("")).otherwise(cols["passenger_count"].cast("string"))
-    plon = F.when(m == 1, F.lit("abc")).otherwise(_fmt3(cols["pickup_longitude"]))
-    flag = F.coalesce(cols["store_and_fwd_flag"], F.lit(""))
-    dur = F.format_string("%.1f", cols["trip_duration"])
-    head = [cols["id"], cols["vendor_id"].cast("string"), ts]
-    if not test:
-        head.append(ts)
-    body = [
-        pc,
-        plon,
-        _fmt3(cols["pickup_latitude"]),
-        _fmt3(cols["dropoff_longitude"]),
-        _fmt3(cols["dropoff_latitude"]),
-        flag,
-    ]
-    if not test:
-        body.append(dur)
-    full = F.concat_ws(",", *head, *body)
-    short = F.concat_ws(",", *head, *body[:-1])
+    texts = ev.select(
+        _damage_key(F.col("event_id"), F.col("user_id")).alias("m"),
+        cols["id"].alias("id"),
+        cols["vendor_id"].cast("string").alias("vendor"),
+        F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("ts"),
+        cols["passenger_count"].cast("string").alias("pc"),
+        _fmt3(cols["pickup_longitude"]).alias("plon"),
+        _fmt3(cols["pickup_latitude"]).alias("plat"),
+        _fmt3(cols["dropoff_longitude"]).alias("dlon"),
+        _fmt3(cols["dropoff_latitude"]).alias("dlat"),
+        F.coalesce(cols["store_and_fwd_flag"], F.lit("")).alias("flag"),
+        F.format_string("%.1f", cols["trip_duration"]).alias("dur"),
+    )
+    m = F.col("m")
+    texts = texts.withColumns(
+        {
+            "pc": F.when(m == 0, F.lit("")).otherwise(F.col("pc")),
+            "plon": F.when(m == 1, F.lit("abc")).otherwise(F.col("plon")),
+        }
+    )
+    head = ["id", "vendor", "ts"] + ([] if test else ["ts"])
+    body = ["pc", "plon", "plat", "dlon", "dlat", "flag"] + ([] if test else ["dur"])
     header = TRIP_TEST_HEADER if test else TRIP_HEADER
-    line = F.when(m == 3, F.lit(header)).when(m == 2, short).otherwise(full)
-    return ev.select(line.alias("value"))
+    line = (
+        F.when(m == 3, F.lit(header))
+        .when(m == 2, F.concat_ws(",", *head, *body[:-1]))
+        .otherwise(F.concat_ws(",", *head, *body))
+    )
+    return as_text_file(spark, texts.select(line.alias("value")), ("trip_lines", sf_dir, test))
 
 
 def scored_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
