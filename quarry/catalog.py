@@ -307,3 +307,152 @@ def histogram_50(spark: SparkSession, sf_dir: str) -> DataFrame:
     """50 equal-width bins of every fraud column, one grouped pass."""
     df = clean.drop_nulls(fx.fraud(spark, sf_dir))
     return rounded(profile.histogram(df, fx.FRAUD_FEATURES + ["label"]))
+
+
+# ----------------------------------------------------------------- features
+from quarry.functions.columns import haversine_km, threshold as hard_threshold, time_parts  # noqa: E402
+from quarry.functions.scale import fit_std, fit_string_index, string_index_table  # noqa: E402
+
+
+@query
+def trip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 + B4 + H4–H7 + K1: hour, day of week (1 = Sunday), haversine km."""
+    t = fx.trips(spark, sf_dir)
+    # The fixture's pickup time is already a timestamp (without zone), so
+    # hour/day are wall-clock values independent of the session time zone.
+    parts = time_parts(F.col("pickup_datetime"))
+    dist = haversine_km(
+        F.col("pickup_longitude"), F.col("pickup_latitude"), F.col("dropoff_longitude"), F.col("dropoff_latitude")
+    )
+    return rounded(
+        t.select("id", parts["pickup_hour"].alias("pickup_hour"), parts["pickup_dayofweek"].alias("pickup_dayofweek"),
+                 dist.alias("distance_km"))
+    )
+
+
+@query
+def flag_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H9: string index of the flag by descending frequency, ties by value."""
+    return string_index_table(fx.trips(spark, sf_dir), "store_and_fwd_flag").select(
+        F.col("store_and_fwd_flag").alias("value"), "count", "index"
+    )
+
+
+@query
+def index_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H9 fitted on the train part of trips, applied to the test part
+    (unseen/NULL → index = number of labels, ``handleInvalid='keep'``)."""
+    t = fx.trips(spark, sf_dir)
+    train, test = hash_split(t, F.col("id"), (0.8, 0.2), seed=7)
+    idx = fit_string_index(train, "store_and_fwd_flag")
+    return idx.transform(test, "flag_index", "keep").select("id", "store_and_fwd_flag", "flag_index")
+
+
+def _clean_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
+
+
+@query
+def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H10 + H11: divide by the sample stddev, no centring."""
+    df = _clean_fraud(spark, sf_dir)
+    return rounded(fit_std(df, fx.FRAUD_FEATURES).transform(df))
+
+
+@query
+def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 + H12: ``(x − min) / max(max − min, 1e-8)`` fitted on the same rows."""
+    df = _clean_fraud(spark, sf_dir)
+    return rounded(fit_minmax(df, fx.FRAUD_FEATURES).transform(df))
+
+
+# -------------------------------------------------------- gradient descent
+GRID_LR = (0.01, 0.1, 0.5)
+GRID_REG = (0.001, 0.01, 0.1)
+GRID_ITER = 5
+
+
+@query
+def gd_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 + I23: loss and loss change per iteration of the flagship fit."""
+    runs, _, _, _ = fit_fraud_model(spark, sf_dir)
+    hist = logistic.history_frame(spark, runs)
+    return rounded(hist.select("config_index", "learning_rate", "reg_param",
+                               F.col("iteration").cast("bigint").alias("iteration"), "loss", "loss_change"))
+
+
+@query
+def gd_grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I2 + F4: 3×3 (learning rate, reg) grid fitted in one loop (one job per
+    iteration for all nine), AUC (reference rule) on the test part, first
+    best wins."""
+    configs = [(lr, reg) for lr in GRID_LR for reg in GRID_REG]
+    runs, mm, test, _ = fit_fraud_model(spark, sf_dir, configs=configs, max_iter=GRID_ITER, tol=0.0)
+    stest = mm.transform(test)
+    # All nine configurations scored in one frame: (config, p, label, key).
+    scored = stest.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("config_index"), logistic.probability(r.weights, fx.FRAUD_FEATURES).alias("p"))
+                    for i, r in enumerate(runs)
+                ]
+            )
+        ),
+        "label",
+        fx.fraud_row_key().alias("key"),
+    )
+    aucs = evaluate.auc_stepwise_grouped(scored, "config_index", F.col("key"), n_groups=len(runs))
+    best = aucs.orderBy(F.desc("auc"), F.asc("config_index")).limit(1)
+    lr_col = F.element_at(F.array(*[F.lit(float(c[0])) for c in configs]), F.col("config_index") + 1)
+    reg_col = F.element_at(F.array(*[F.lit(float(c[1])) for c in configs]), F.col("config_index") + 1)
+    return rounded(best.select(F.col("config_index").cast("bigint").alias("config_index"),
+                               lr_col.alias("learning_rate"), reg_col.alias("reg_param"), "auc"))
+
+
+# --------------------------------------------------------------- evaluation
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.scored_fraud(spark, sf_dir)
+
+
+@query
+def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D19 + I3 + I4 + H15: report at threshold 0.5."""
+    return rounded(evaluate.confusion(_scored(spark, sf_dir)))
+
+
+@query
+def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4 sweep over 0.1, 0.3, 0.5, 0.7, 0.9 in one pass."""
+    return rounded(evaluate.threshold_sweep(_scored(spark, sf_dir)))
+
+
+@query
+def auc_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + I5: the reference's AUC, ties ordered by the row key."""
+    return rounded(evaluate.auc_stepwise(_scored(spark, sf_dir), fx.fraud_row_key()))
+
+
+@query
+def auc_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tie-aware AUC (equals the area under the exact ROC curve)."""
+    return rounded(evaluate.auc_ties(_scored(spark, sf_dir)))
+
+
+@query
+def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(threshold, fpr, tpr) per distinct score."""
+    return rounded(evaluate.roc_table(_scored(spark, sf_dir)).select("threshold", "fpr", "tpr"))
+
+
+@query
+def metrics_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall, F1 and counts per distinct score."""
+    return rounded(evaluate.roc_table(_scored(spark, sf_dir)).select("threshold", "tp", "fp", "precision", "recall", "f1"))
+
+
+@query
+def weighted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I15 + C1: accuracy and support-weighted precision / recall / F1."""
+    pred = _scored(spark, sf_dir).withColumn("prediction", hard_threshold(F.col("p"), 0.5))
+    return rounded(evaluate.weighted_metrics(pred))

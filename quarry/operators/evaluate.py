@@ -84,28 +84,49 @@ def auc_stepwise(scored: DataFrame, key: Column, p: str = "p", label: str = "lab
     """The reference's AUC: scores descending (ties by ``key``), and at each
     negative add ``(tp + tp_at_previous_negative) / (2·P·N)``.
 
-    Closed form used here: ``(Σ_neg tp − tp_last_neg / 2) / (P·N)``;
-    0.0 when one class is missing.  One row: ``auc, positives, negatives``.
+    Closed form: ``(Σ_neg tp − tp_last_neg / 2) / (P·N)``; 0.0 when a class
+    is missing.  One row: ``auc, positives, negatives``.
     """
-    pos = F.when(_as_col(label) == 1.0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    g = scored.select(F.lit(0).alias("_g"), _as_col(p).alias("p"), _as_col(label).alias("label"), key.alias("_k"))
+    out = auc_stepwise_grouped(g, "_g", F.col("_k"), n_groups=1, **kw)
+    return out.drop("_g")
+
+
+def auc_stepwise_grouped(
+    scored: DataFrame, group: str, key: Column, p: str = "p", label: str = "label", n_groups: int | None = None, **kw
+) -> DataFrame:
+    """``auc_stepwise`` for every value of ``group`` in one ranged pass.
+
+    Identical ``(group, score, key, class)`` rows are first counted (a
+    partial aggregate, so a hot duplicate never lands whole in one task);
+    running positive counts then follow ``score desc, key asc, positives
+    first`` — a unique order, so the range partitioner can balance it.
+    """
+    pos = F.when(_as_col(label) == 1.0, F.lit(1)).otherwise(F.lit(0))
+    g = scored.groupBy(F.col(group), _as_col(p).alias("_p"), key.alias("_k"), pos.alias("_pos")).agg(
+        F.count(F.lit(1)).alias("_m")
+    )
     ranked = running_totals(
-        scored.select(_as_col(p).alias("_p"), key.alias("_k"), pos.alias("_pos")),
-        order=[F.desc("_p"), F.asc("_k")],
-        values={"pos": F.col("_pos")},
+        g,
+        order=[F.desc("_p"), F.asc("_k"), F.desc("_pos")],
+        values={"pos": F.col("_pos") * F.col("_m")},
+        group=[group],
+        max_groups=n_groups,
         **kw,
     )
     neg = F.col("_pos") == 0
-    agg = ranked.agg(
-        F.sum("_pos").alias("positives"),
-        F.count_if(neg).alias("negatives"),
-        F.sum(F.when(neg, F.col("cum_pos"))).alias("_sum_tp"),
+    agg = ranked.groupBy(group).agg(
+        F.sum(F.col("_pos") * F.col("_m")).alias("positives"),
+        F.sum(F.when(neg, F.col("_m")).otherwise(0)).alias("negatives"),
+        F.sum(F.when(neg, F.col("cum_pos") * F.col("_m"))).alias("_sum_tp"),
         F.max(F.when(neg, F.col("cum_pos"))).alias("_last_tp"),
     )
     pn = F.col("positives") * F.col("negatives")
     auc = F.when((F.col("positives") == 0) | (F.col("negatives") == 0), F.lit(0.0)).otherwise(
         (F.col("_sum_tp") - F.col("_last_tp") / 2.0) / pn.cast("double")
     )
-    return agg.select(auc.alias("auc"), "positives", "negatives")
+    return agg.select(group, auc.alias("auc"), F.col("positives").cast("bigint").alias("positives"),
+                      F.col("negatives").cast("bigint").alias("negatives"))
 
 
 def score_groups(scored: DataFrame, p: str = "p", label: str = "label") -> DataFrame:

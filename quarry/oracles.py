@@ -417,3 +417,166 @@ GROUP BY bin, lo, w"""
 
 
 ORACLES["histogram_50"] = "\nUNION ALL\n".join(_hist(c) for c in ["f1", "f2", "f3", "label"])
+
+
+# ----------------------------------------------------------------- features
+def _hav(lon1, lat1, lon2, lat2) -> str:
+    a = (f"pow(sin(radians({lat2} - {lat1}) / 2.0), 2) + cos(radians({lat1})) * cos(radians({lat2})) "
+         f"* pow(sin(radians({lon2} - {lon1}) / 2.0), 2)")
+    a = f"least(greatest({a}, 0.0), 1.0)"
+    return f"12742.0 * atan2(sqrt({a}), sqrt(1.0 - {a}))"
+
+
+ORACLES["trip_features"] = f"""
+SELECT id, hour(pickup_datetime)::INTEGER AS pickup_hour, (dayofweek(pickup_datetime) + 1)::INTEGER AS pickup_dayofweek,
+       round({_hav('pickup_longitude', 'pickup_latitude', 'dropoff_longitude', 'dropoff_latitude')}, 6) AS distance_km
+FROM ({TRIPS}) t"""
+
+_FLAG_RANKS = """
+SELECT store_and_fwd_flag AS value, count(*)::BIGINT AS count,
+       (row_number() OVER (ORDER BY count(*) DESC, store_and_fwd_flag) - 1)::DOUBLE AS index
+FROM ({src}) t WHERE store_and_fwd_flag IS NOT NULL GROUP BY store_and_fwd_flag"""
+ORACLES["flag_index"] = _FLAG_RANKS.format(src=TRIPS)
+_TRIP_SPLIT = f"SELECT *, {hash_bucket('id', 7)} AS bucket FROM ({TRIPS}) t"
+ORACLES["index_reuse"] = f"""
+WITH ranks AS ({_FLAG_RANKS.format(src=f"SELECT * FROM ({_TRIP_SPLIT}) s WHERE bucket < 80")}),
+     nl AS (SELECT count(*)::DOUBLE AS n FROM ranks)
+SELECT t.id, t.store_and_fwd_flag, coalesce(r.index, nl.n) AS flag_index
+FROM (SELECT * FROM ({_TRIP_SPLIT}) s WHERE bucket >= 80) t LEFT JOIN ranks r ON t.store_and_fwd_flag = r.value, nl"""
+ORACLES["standard_scale"] = f"""
+WITH c AS ({FRAUD_CLEAN}), s AS (SELECT stddev_samp(f1) AS s1, stddev_samp(f2) AS s2, stddev_samp(f3) AS s3 FROM c)
+SELECT round(CASE WHEN s1 > 0 THEN f1 / s1 ELSE 0.0 END, 6) AS f1, round(CASE WHEN s2 > 0 THEN f2 / s2 ELSE 0.0 END, 6) AS f2,
+       round(CASE WHEN s3 > 0 THEN f3 / s3 ELSE 0.0 END, 6) AS f3, round(label, 6) AS label FROM c, s"""
+ORACLES["minmax_scale"] = f"""
+WITH c AS ({FRAUD_CLEAN}),
+     s AS (SELECT min(f1) AS lo1, greatest(max(f1) - min(f1), 1e-8) AS r1, min(f2) AS lo2,
+                  greatest(max(f2) - min(f2), 1e-8) AS r2, min(f3) AS lo3, greatest(max(f3) - min(f3), 1e-8) AS r3 FROM c)
+SELECT round((f1 - lo1) / r1, 6) AS f1, round((f2 - lo2) / r2, 6) AS f2, round((f3 - lo3) / r3, 6) AS f3,
+       round(label, 6) AS label FROM c, s"""
+
+# --------------------------------------------------------- gradient descent
+ORACLES["gd_history"] = f"""
+WITH RECURSIVE split AS ({FRAUD_SPLIT}),
+{FRAUD_PREP},
+{gd_cte(0.5, 0.01, 10, 1e-4)}
+SELECT 0 AS config_index, 0.5::DOUBLE AS learning_rate, 0.01::DOUBLE AS reg_param, it::BIGINT AS iteration,
+       round(loss, 6) AS loss, round(change, 6) AS loss_change
+FROM gd WHERE it >= 1"""
+
+
+def gd_cte_multi(configs: list[tuple[float, float]], max_iter: int, tol: float, train: str = "strain") -> str:
+    """``gd_cte`` for several (lr, reg) configurations at once (column ``cfg``)."""
+    values = ", ".join(f"({i}, {lr!r}::DOUBLE, {reg!r}::DOUBLE)" for i, (lr, reg) in enumerate(configs))
+    z = "g.b0 + g.b1 * s.x1 + g.b2 * s.x2 + g.b3 * s.x3"
+    loss = "sl / n + (0.5 * reg * b1 * b1 + 0.5 * reg * b2 * b2 + 0.5 * reg * b3 * b3)"
+    return f"""
+cfgs(cfg, lr, reg) AS (VALUES {values}),
+gd(cfg, it, b0, b1, b2, b3, loss, change) AS (
+  SELECT cfg, 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE, 'inf'::DOUBLE FROM cfgs
+  UNION ALL
+  SELECT c.cfg, it + 1,
+         b0 - lr * (se / n), b1 - lr * (se1 / n + reg * b1), b2 - lr * (se2 / n + reg * b2), b3 - lr * (se3 / n + reg * b3),
+         {loss},
+         CASE WHEN loss IS NULL THEN 'inf'::DOUBLE ELSE abs({loss} - loss) END
+  FROM (
+    SELECT cfg, it, b0, b1, b2, b3, loss, count(*) AS n,
+           sum(e) AS se, sum(e * x1) AS se1, sum(e * x2) AS se2, sum(e * x3) AS se3, sum(l) AS sl
+    FROM (
+      SELECT cfg, it, b0, b1, b2, b3, loss, x1, x2, x3, cw * (p - y) AS e,
+             CASE WHEN y = 1.0 THEN -cw * ln(p + 1e-9) ELSE -cw * ln(1.0 - p + 1e-9) END AS l
+      FROM (
+        SELECT g.cfg, g.it, g.b0, g.b1, g.b2, g.b3, g.loss, s.x1, s.x2, s.x3, s.y, s.cw, {sigmoid(z)} AS p
+        FROM gd g, {train} s
+        WHERE g.it < {max_iter} AND g.change >= {tol}
+      ) a
+    ) b
+    GROUP BY cfg, it, b0, b1, b2, b3, loss
+  ) c JOIN cfgs USING (cfg)
+)"""
+
+
+def auc_stepwise_sql(scored: str, group: str = "0") -> str:
+    """Per ``group``: the reference's AUC over ``scored(p, label, key)``."""
+    return f"""
+SELECT grp, CASE WHEN P = 0 OR N = 0 THEN 0.0 ELSE (sum_tp - last_tp / 2.0) / (P * N)::DOUBLE END AS auc,
+       P::BIGINT AS positives, N::BIGINT AS negatives
+FROM (
+  SELECT grp, sum(pos * m) AS P, sum(CASE WHEN pos = 0 THEN m ELSE 0 END) AS N,
+         sum(CASE WHEN pos = 0 THEN cum_pos * m END) AS sum_tp, max(CASE WHEN pos = 0 THEN cum_pos END) AS last_tp
+  FROM (
+    SELECT *, sum(pos * m) OVER (PARTITION BY grp ORDER BY p DESC, key ASC, pos DESC
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos
+    FROM (SELECT {group} AS grp, p, key, CASE WHEN label = 1.0 THEN 1 ELSE 0 END AS pos, count(*) AS m
+          FROM ({scored}) s0 GROUP BY ALL) g
+  ) r
+  GROUP BY grp
+) a"""
+
+
+_GRID = [(lr, reg) for lr in (0.01, 0.1, 0.5) for reg in (0.001, 0.01, 0.1)]
+_GRID_SCORED = f"""
+SELECT fin.cfg, {sigmoid("fin.b0 + fin.b1 * t.x1 + fin.b2 * t.x2 + fin.b3 * t.x3")} AS p, t.y AS label, t.key
+FROM (SELECT (f1 - lo1) / r1 AS x1, (f2 - lo2) / r2 AS x2, (f3 - lo3) / r3 AS x3, label AS y, {FRAUD_KEY} AS key
+      FROM test, mm) t,
+     (SELECT * FROM gd WHERE it = 5) fin"""
+ORACLES["gd_grid_best"] = f"""
+WITH RECURSIVE split AS ({FRAUD_SPLIT}),
+{FRAUD_PREP},
+{gd_cte_multi(_GRID, 5, 0.0)},
+aucs AS ({auc_stepwise_sql(_GRID_SCORED, "cfg")})
+SELECT grp::BIGINT AS config_index, lr AS learning_rate, reg AS reg_param, round(auc, 6) AS auc
+FROM aucs JOIN cfgs ON grp = cfgs.cfg ORDER BY auc DESC, grp ASC LIMIT 1"""
+
+# --------------------------------------------------------------- evaluation
+SCORED_FRAUD = f"""
+SELECT f1, f2, f3, label, {sigmoid("-6.0 + 0.08 * f1 + 30.0 * f2")} AS p, {FRAUD_KEY} AS key FROM ({_FRAUD_NN}) f"""
+
+
+def _sweep_row(t: float) -> str:
+    return f"""
+SELECT {t!r}::DOUBLE AS threshold, tp, fp, tn, fn, {report_cols()}
+FROM (SELECT count_if(p >= {t!r} AND label = 1.0)::BIGINT AS tp, count_if(p >= {t!r} AND label = 0.0)::BIGINT AS fp,
+             count_if(p < {t!r} AND label = 0.0)::BIGINT AS tn, count_if(p < {t!r} AND label = 1.0)::BIGINT AS fn
+      FROM ({SCORED_FRAUD}) s) c"""
+
+
+ORACLES["confusion"] = _sweep_row(0.5)
+ORACLES["threshold_sweep"] = "\nUNION ALL\n".join(_sweep_row(t) for t in (0.1, 0.3, 0.5, 0.7, 0.9))
+ORACLES["auc_stepwise"] = (
+    f"SELECT round(auc, 6) AS auc, positives, negatives FROM ({auc_stepwise_sql(SCORED_FRAUD)}) a"
+)
+_ROC = f"""
+SELECT p AS threshold, pos, neg,
+       sum(pos) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+       sum(neg) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+       sum(pos) OVER () AS P, sum(neg) OVER () AS N
+FROM (SELECT p, count_if(label = 1.0) AS pos, count_if(label <> 1.0) AS neg FROM ({SCORED_FRAUD}) s GROUP BY p) g"""
+ORACLES["auc_ties"] = f"""
+SELECT round(CASE WHEN P * N = 0 THEN 0.0 ELSE sum(neg * (tp - pos / 2.0)) / (P * N)::DOUBLE END, 6) AS auc,
+       P::BIGINT AS positives, N::BIGINT AS negatives
+FROM ({_ROC}) r GROUP BY P, N"""
+_PREC = "(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp::DOUBLE / (tp + fp) END)"
+_REC = "(CASE WHEN P = 0 THEN 0.0 ELSE tp::DOUBLE / P END)"
+ORACLES["roc_points"] = f"""
+SELECT round(threshold, 6) AS threshold, round(CASE WHEN N = 0 THEN 0.0 ELSE fp::DOUBLE / N END, 6) AS fpr,
+       round({_REC}, 6) AS tpr FROM ({_ROC}) r"""
+ORACLES["metrics_by_threshold"] = f"""
+SELECT round(threshold, 6) AS threshold, tp::BIGINT AS tp, fp::BIGINT AS fp, round({_PREC}, 6) AS precision,
+       round({_REC}, 6) AS recall,
+       round(CASE WHEN {_PREC} + {_REC} = 0 THEN 0.0 ELSE 2.0 * {_PREC} * {_REC} / ({_PREC} + {_REC}) END, 6) AS f1
+FROM ({_ROC}) r"""
+ORACLES["weighted_metrics"] = f"""
+WITH pred AS (SELECT label AS y, CASE WHEN p >= 0.5 THEN 1.0 ELSE 0.0 END AS yhat FROM ({SCORED_FRAUD}) s),
+     cells AS (SELECT y, yhat, count(*) AS n FROM pred GROUP BY ALL),
+     a AS (SELECT y AS c, sum(n) AS actual, sum(CASE WHEN y = yhat THEN n ELSE 0 END) AS tp FROM cells GROUP BY y),
+     pr AS (SELECT yhat AS c, sum(n) AS predicted FROM cells GROUP BY yhat),
+     pc AS (SELECT actual, tp,
+                   CASE WHEN coalesce(predicted, 0) = 0 THEN 0.0 ELSE tp::DOUBLE / predicted END AS prc,
+                   CASE WHEN actual = 0 THEN 0.0 ELSE tp::DOUBLE / actual END AS rc
+            FROM a LEFT JOIN pr USING (c))
+SELECT round(sum(tp) / sum(actual), 6) AS accuracy,
+       round(sum(prc * actual) / sum(actual), 6) AS weighted_precision,
+       round(sum(rc * actual) / sum(actual), 6) AS weighted_recall,
+       round(sum(CASE WHEN prc + rc = 0 THEN 0.0 ELSE 2.0 * prc * rc / (prc + rc) END * actual) / sum(actual), 6) AS weighted_f1,
+       sum(actual)::BIGINT AS n
+FROM pc"""
