@@ -219,6 +219,22 @@ def scored_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed rule of the ``scored_trips`` fixture: a two-level tree on
+# pickup longitude and rush hour.
+def scored_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outlier-filtered trips with a fixed two-level prediction."""
+    from quarry.operators.clean import outlier_filter
+
+    t = outlier_filter(trips(spark, sf_dir))
+    rush = F.hour("pickup_datetime").between(7, 9)
+    west = F.col("pickup_longitude") <= -74.0
+    pred = (
+        F.when(west, F.when(rush, F.lit(4500.0)).otherwise(F.lit(3000.0)))
+        .otherwise(F.when(rush, F.lit(2500.0)).otherwise(F.lit(1000.0)))
+    )
+    return t.select("id", "trip_duration", pred.alias("prediction"))
+
+
 def fraud_row_key(prefix: str = "") -> Column:
     """Canonical text of a fraud row (all columns), for hashing and ties."""
     return F.concat_ws(
