@@ -548,3 +548,175 @@ def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     test_lines = text.drop_header(fx.trip_lines(spark, sf_dir, test=True), fx.TRIP_TEST_HEADER, strip_both=True)
     test = text.accepted(text.parse_trip_test(test_lines))
     return rounded(tree.predict(test, "trip_duration").select("id", "trip_duration"))
+
+
+# ----------------------------------------------------------- library models
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from quarry.operators import library  # noqa: E402
+from quarry.session import checkpoint_dir  # noqa: E402
+from quarry.sources import io as qio  # noqa: E402
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory."""
+    return os.path.join(checkpoint_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+@query
+def lr_lbfgs_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I13 + I16: Spark ML L-BFGS logistic regression on standard-scaled
+    clean fraud rows; coefficients and intercept as a table."""
+    df = _clean_fraud(spark, sf_dir)
+    _, lr = library.fit_lr_lbfgs(df, fx.FRAUD_FEATURES)
+    return library.coefficients_table(spark, lr, fx.FRAUD_FEATURES)
+
+
+@query
+def lr_lbfgs_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I6 + I7 + I13: training accuracy, AUC and top-bin precision/recall/F."""
+    df = _clean_fraud(spark, sf_dir)
+    _, lr = library.fit_lr_lbfgs(df, fx.FRAUD_FEATURES)
+    return rounded(library.lr_summary_table(spark, lr))
+
+
+SGD_ITERATIONS = (50, 100, 200)
+SGD_STEPS = (0.01, 0.1, 0.5)
+
+
+@query
+def lr_sgd_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I14 + I15 + F4: 3×3 (iterations × step) SGD-rule grid in one loop on
+    standard-scaled fraud rows; test-part accuracy, support-weighted
+    precision/recall/F1, AUC of the hard predictions; best by weighted F1."""
+    from quarry.functions.scale import fit_std
+
+    train, test = fraud_clean_split(spark, sf_dir)
+    scaler = fit_std(train, fx.FRAUD_FEATURES)
+    strain = materialize(scaler.transform(train).select(*fx.FRAUD_FEATURES, "label"))
+    configs = [(it, st) for it in SGD_ITERATIONS for st in SGD_STEPS]
+    runs = logistic.sgd_fit(strain, fx.FRAUD_FEATURES, configs)
+    stest = scaler.transform(test)
+    preds = stest.select(
+        "label",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("config_index"),
+                        hard_threshold(logistic.probability(r.weights, fx.FRAUD_FEATURES), 0.5).alias("prediction"),
+                    )
+                    for i, r in enumerate(runs)
+                ]
+            )
+        ),
+    )
+    # One grouped pass for all nine reports.
+    cells = preds.groupBy("config_index", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    rep = evaluate.weighted_metrics_grouped(cells, "config_index")
+    its = F.element_at(F.array(*[F.lit(c[0]) for c in configs]), F.col("config_index") + 1)
+    steps = F.element_at(F.array(*[F.lit(float(c[1])) for c in configs]), F.col("config_index") + 1)
+    iters_run = F.element_at(F.array(*[F.lit(len(r.history)) for r in runs]), F.col("config_index") + 1)
+    return rounded(
+        rep.select(
+            F.col("config_index").cast("bigint").alias("config_index"), its.alias("iterations"),
+            iters_run.alias("iterations_run"), steps.alias("step"), "accuracy", "weighted_precision",
+            "weighted_recall", "weighted_f1", "auc",
+        )
+    )
+
+
+def _p2s_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """The structured regression preparation (I22): time parts, haversine,
+    flag index, NULL drop, structured filter."""
+    t = fx.trips(spark, sf_dir)
+    parts = time_parts(F.col("pickup_datetime"))
+    t = t.withColumns(
+        {
+            "pickup_hour": parts["pickup_hour"],
+            "pickup_dayofweek": parts["pickup_dayofweek"],
+            "distance_km": haversine_km(
+                F.col("pickup_longitude"), F.col("pickup_latitude"), F.col("dropoff_longitude"),
+                F.col("dropoff_latitude"),
+            ),
+        }
+    )
+    idx = fit_string_index(t, "store_and_fwd_flag")
+    t = idx.transform(clean.structured_filter(clean.drop_nulls(t)), "store_and_fwd_flag_indexed")
+    feats = fx.TRIP_FEATURES + ["pickup_hour", "pickup_dayofweek", "distance_km", "store_and_fwd_flag_indexed"]
+    return t, feats
+
+
+@query
+def dt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I17 + I19: Spark ML tree (depth 5, seed 42) importances by feature."""
+    t, feats = _p2s_features(spark, sf_dir)
+    train, _ = hash_split(t, F.col("id"), (0.8, 0.2), seed=42)
+    model = library.fit_tree_regressor(train, feats, "trip_duration")
+    return rounded(library.importances_table(spark, model, feats))
+
+
+@query
+def dt_cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """maxDepth {5,7,10} × minInstancesPerNode {1,10,50}, 3 folds, RMSE."""
+    t, feats = _p2s_features(spark, sf_dir)
+    train, _ = hash_split(t, F.col("id"), (0.8, 0.2), seed=42)
+    _, table = library.cross_validate_tree(train, feats, "trip_duration")
+    return rounded(table, 4)
+
+
+@query
+def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Our tree saved as a node table, loaded back, scoring validation."""
+    tree, _, valid = fit_trip_tree(spark, sf_dir)
+    path = scratch_path(spark, "tree")
+    tree.save(spark, path)
+    loaded = tree_ops.Tree.from_table(spark.read.parquet(path), fx.TRIP_FEATURES)
+    return rounded(loaded.predict(valid).select("id", "prediction"))
+
+
+@query
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + A11: trips written as CSV (parallel parts) and read with a schema."""
+    t = fx.trips(spark, sf_dir)
+    path = scratch_path(spark, "csv")
+    qio.write_csv(t, path)
+    return qio.read_csv(spark, path, schema=t.schema)
+
+
+@query
+def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 + A10 + A14: assembled and scaled vectors stored as arrays in
+    parquet, read back and turned into vectors again."""
+    from pyspark.ml.functions import vector_to_array
+
+    df = _clean_fraud(spark, sf_dir)
+    model, _ = library.fit_lr_lbfgs(df, fx.FRAUD_FEATURES)
+    pre = model.stages[1].transform(model.stages[0].transform(df)).select("features", "label", "scaledFeatures")
+    path = scratch_path(spark, "parquet")
+    qio.write_parquet(qio.vectors_to_arrays(pre, ["features", "scaledFeatures"]), path)
+    back = qio.arrays_to_vectors(qio.read_parquet(spark, path), ["features", "scaledFeatures"])
+    arr = vector_to_array("features")
+    sarr = vector_to_array("scaledFeatures")
+    return rounded(
+        back.select(
+            *[arr[i].alias(c) for i, c in enumerate(fx.FRAUD_FEATURES)],
+            *[sarr[i].alias(f"scaled_{c}") for i, c in enumerate(fx.FRAUD_FEATURES)],
+            "label",
+        )
+    )
+
+
+@query
+def text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``('id', prediction)`` lines written as text and read back."""
+    path = scratch_path(spark, "text")
+    qio.write_tuple_text(fx.scored_trips(spark, sf_dir), path, "id", "prediction")
+    return spark.read.text(path)
+
+
+@query
+def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips schema as a table."""
+    return qio.schema_table(fx.trips(spark, sf_dir))

@@ -185,28 +185,44 @@ def weighted_metrics(pred: DataFrame, prediction: str = "prediction", label: str
     ``groupBy(label, prediction)`` is the only pass over rows; the per-class
     arithmetic runs on that small table.
     """
-    cells = pred.groupBy(F.col(label).alias("y"), F.col(prediction).alias("yhat")).agg(
+    cells = pred.groupBy(F.lit(0).alias("_g"), F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    per_class_actual = cells.groupBy(F.col("y").alias("c")).agg(
-        F.sum("n").alias("actual"), F.sum(F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0)).alias("tp")
+    return weighted_metrics_grouped(cells, "_g").drop("_g", "auc")
+
+
+def weighted_metrics_grouped(cells: DataFrame, group: str) -> DataFrame:
+    """Per ``group`` from confusion cells ``(group, label, prediction, n)``:
+    accuracy, weighted precision / recall / F1 (Spark's MulticlassMetrics
+    definitions, classes = observed labels) and, for 0/1 predictions, the
+    area under the ROC of the hard predictions, ``(1 + TPR − FPR) / 2``."""
+    y, yhat, n = F.col("label"), F.col("prediction"), F.col("n")
+    actual = cells.groupBy(group, y.alias("c")).agg(
+        F.sum(n).alias("actual"), F.sum(F.when(y == yhat, n).otherwise(0)).alias("tp")
     )
-    per_class_pred = cells.groupBy(F.col("yhat").alias("c")).agg(F.sum("n").alias("predicted"))
-    per_class = per_class_actual.join(per_class_pred, "c", "left").fillna(0, ["predicted"])
+    predicted = cells.groupBy(group, yhat.alias("c")).agg(F.sum(n).alias("predicted"))
+    per_class = actual.join(predicted, [group, "c"], "left").fillna(0, ["predicted"])
     precision = safe_div(F.col("tp"), F.col("predicted"))
     recall = safe_div(F.col("tp"), F.col("actual"))
-    f = F.when(precision + recall == 0, F.lit(0.0)).otherwise(
-        2.0 * precision * recall / (precision + recall)
-    )
-    scored = per_class.select("actual", "tp", precision.alias("pr"), recall.alias("rc"), f.alias("f"))
+    f = F.when(precision + recall == 0, F.lit(0.0)).otherwise(2.0 * precision * recall / (precision + recall))
+    scored = per_class.select(group, "actual", "tp", precision.alias("pr"), recall.alias("rc"), f.alias("f"))
     total = F.sum("actual")
-    return scored.agg(
+    rep = scored.groupBy(group).agg(
         (F.sum("tp") / total).alias("accuracy"),
         (F.sum(F.col("pr") * F.col("actual")) / total).alias("weighted_precision"),
         (F.sum(F.col("rc") * F.col("actual")) / total).alias("weighted_recall"),
         (F.sum(F.col("f") * F.col("actual")) / total).alias("weighted_f1"),
         total.alias("n"),
     )
+    pos = y == 1.0
+    roc = cells.groupBy(group).agg(
+        F.sum(F.when(pos & (yhat == 1.0), n).otherwise(0)).alias("_tp"),
+        F.sum(F.when(pos, n).otherwise(0)).alias("_P"),
+        F.sum(F.when(~pos & (yhat == 1.0), n).otherwise(0)).alias("_fp"),
+        F.sum(F.when(~pos, n).otherwise(0)).alias("_N"),
+    )
+    auc = (F.lit(1.0) + safe_div(F.col("_tp"), F.col("_P")) - safe_div(F.col("_fp"), F.col("_N"))) / 2.0
+    return rep.join(roc.select(group, auc.alias("auc")), group)
 
 
 def regression_metrics(pred: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:

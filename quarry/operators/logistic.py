@@ -99,6 +99,46 @@ def _loss_term(p: Column, y: Column, cw: Column) -> Column:
     )
 
 
+def batch_sums(
+    base: DataFrame, features: Sequence[str], weight_vectors: Sequence[Sequence[float]]
+) -> tuple[int, list[list[float]], list[float]]:
+    """One pass over ``base(features…, _y, _cw)`` for many weight vectors.
+
+    Returns ``n``, per vector ``[Σe, Σe·x_1, …]`` with ``e = cw·(p − y)``, and
+    per vector ``Σ loss``.  Probabilities are projected once per vector, then
+    a single global aggregate (partial per task, one-row final merge) sums
+    everything — one Spark job regardless of the number of vectors.
+    """
+    proj = [F.col(c) for c in features] + [F.col("_y"), F.col("_cw")]
+    for k, w in enumerate(weight_vectors):
+        proj.append(probability(w, features).alias(f"_p{k}"))
+    scored = base.select(*proj)
+    errs = []
+    for k in range(len(weight_vectors)):
+        p = F.col(f"_p{k}")
+        errs.append((F.col("_cw") * (p - F.col("_y"))).alias(f"_e{k}"))
+        errs.append(_loss_term(p, F.col("_y"), F.col("_cw")).alias(f"_l{k}"))
+    scored = scored.select(*[F.col(c) for c in features], *errs)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for k in range(len(weight_vectors)):
+        e = F.col(f"_e{k}")
+        aggs.append(F.sum(e).alias(f"g{k}_0"))
+        aggs += [F.sum(e * F.col(c)).alias(f"g{k}_{i + 1}") for i, c in enumerate(features)]
+        aggs.append(F.sum(f"_l{k}").alias(f"loss{k}"))
+    row = scored.agg(*aggs).first()
+    d = len(features)
+    grads = [[row[f"g{k}_{i}"] or 0.0 for i in range(d + 1)] for k in range(len(weight_vectors))]
+    losses = [row[f"loss{k}"] or 0.0 for k in range(len(weight_vectors))]
+    return int(row["n"]), grads, losses
+
+
+def _training_base(train: DataFrame, features: Sequence[str], label: str, weight_col) -> DataFrame:
+    cw = F.lit(1.0) if weight_col is None else (
+        F.col(weight_col) if isinstance(weight_col, str) else weight_col
+    )
+    return train.select(*[F.col(c) for c in features], F.col(label).alias("_y"), cw.alias("_cw"))
+
+
 def gradient_descent(
     train: DataFrame,
     features: Sequence[str],
@@ -117,35 +157,13 @@ def gradient_descent(
     d = len(features)
     init = list(initial) if initial is not None else [0.0] * (d + 1)
     runs = [GDRun(GDConfig(lr, reg), list(init)) for lr, reg in configs]
-    y = F.col(label)
-    cw = F.lit(1.0) if weight_col is None else (
-        F.col(weight_col) if isinstance(weight_col, str) else weight_col
-    )
-    base = train.select(*[F.col(c) for c in features], y.alias("_y"), cw.alias("_cw"))
+    base = _training_base(train, features, label, weight_col)
     for it in range(max_iter):
         active = [r for r in runs if not r.done]
         if not active:
             break
         start = time.time()
-        proj = [F.col(c) for c in features] + [F.col("_y"), F.col("_cw")]
-        for k, r in enumerate(active):
-            p = probability(r.weights, features)
-            proj.append(p.alias(f"_p{k}"))
-        scored = base.select(*proj)
-        errs = []
-        for k in range(len(active)):
-            p = F.col(f"_p{k}")
-            errs.append((F.col("_cw") * (p - F.col("_y"))).alias(f"_e{k}"))
-            errs.append(_loss_term(p, F.col("_y"), F.col("_cw")).alias(f"_l{k}"))
-        scored = scored.select(*[F.col(c) for c in features], *errs)
-        aggs = [F.count(F.lit(1)).alias("n")]
-        for k in range(len(active)):
-            e = F.col(f"_e{k}")
-            aggs.append(F.sum(e).alias(f"g{k}_0"))
-            aggs += [F.sum(e * F.col(c)).alias(f"g{k}_{i + 1}") for i, c in enumerate(features)]
-            aggs.append(F.sum(f"_l{k}").alias(f"loss{k}"))
-        row = scored.agg(*aggs).first()
-        n = int(row["n"])
+        n, grads, losses = batch_sums(base, features, [r.weights for r in active])
         elapsed = time.time() - start
         if n == 0:
             for r in active:
@@ -154,10 +172,8 @@ def gradient_descent(
         for k, r in enumerate(active):
             w = r.weights
             reg = r.config.reg_param
-            grad = [row[f"g{k}_0"] / n] + [
-                row[f"g{k}_{i}"] / n + reg * w[i] for i in range(1, d + 1)
-            ]
-            loss = row[f"loss{k}"] / n + sum(0.5 * reg * w[i] ** 2 for i in range(1, d + 1))
+            grad = [grads[k][0] / n] + [grads[k][i] / n + reg * w[i] for i in range(1, d + 1)]
+            loss = losses[k] / n + sum(0.5 * reg * w[i] ** 2 for i in range(1, d + 1))
             r.weights = [w[i] - r.config.learning_rate * grad[i] for i in range(d + 1)]
             change = abs(loss - r.previous_loss)
             r.history.append((it + 1, loss, change, elapsed))
@@ -168,6 +184,53 @@ def gradient_descent(
     return runs
 
 
+def sgd_fit(
+    train: DataFrame,
+    features: Sequence[str],
+    configs: Sequence[tuple[int, float]],
+    reg_param: float = 0.01,
+    tol: float = 1e-3,
+    label: str = "label",
+) -> list[GDRun]:
+    """Logistic regression with the rules of Spark's RDD-based SGD trainer
+    (I14), as DataFrame aggregations: no intercept, full batch, step
+    ``step/√t`` at iteration ``t``, L2 updater ``w ← w·(1 − η·reg) − η·ĝ``,
+    stop after ``iterations`` or when ``‖Δw‖ < tol·max(‖w‖, 1)``.
+
+    ``configs`` are ``(iterations, step)`` pairs, all fitted in one loop.
+    Returned weights carry a leading 0.0 bias so scoring is shared.
+    """
+    d = len(features)
+    runs = [GDRun(GDConfig(step, reg_param), [0.0] * (d + 1)) for _, step in configs]
+    limits = [int(it) for it, _ in configs]
+    base = _training_base(train, features, label, None)
+    for t in range(1, max(limits) + 1):
+        active = [(k, r) for k, r in enumerate(runs) if not r.done and t <= limits[k]]
+        if not active:
+            break
+        start = time.time()
+        n, grads, losses = batch_sums(base, features, [r.weights for _, r in active])
+        elapsed = time.time() - start
+        if n == 0:
+            break
+        for j, (k, r) in enumerate(active):
+            eta = r.config.learning_rate / math.sqrt(t)
+            old = r.weights
+            new = [0.0] + [
+                old[i] * (1.0 - eta * reg_param) - eta * grads[j][i] / n for i in range(1, d + 1)
+            ]
+            r.weights = new
+            diff = math.sqrt(sum((a - b) ** 2 for a, b in zip(new[1:], old[1:])))
+            norm = math.sqrt(sum(a * a for a in new[1:]))
+            r.history.append((t, losses[j] / n, diff, elapsed))
+            if t > 1 and diff < tol * max(norm, 1.0):
+                r.converged = True
+                r.done = True
+            if t >= limits[k]:
+                r.done = True
+    return runs
+
+
 def history_frame(spark: SparkSession, runs: Sequence[GDRun]) -> DataFrame:
     """Iteration history (I23), one row per configuration and iteration."""
     rows = [

@@ -14,11 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# Timestamps keep microseconds in CSV (Spark's default text keeps millis).
+CSV_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = False
 ) -> DataFrame:
     """CSV with header.  Pass a schema: inference costs an extra full pass."""
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).options(**CSV_TIME_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
@@ -39,7 +46,7 @@ def write_parquet(df: DataFrame, path: str, partitions: int | None = None) -> No
 
 
 def write_csv(df: DataFrame, path: str, partitions: int | None = None) -> None:
-    _sized(df, partitions).write.mode("overwrite").option("header", True).csv(path)
+    _sized(df, partitions).write.mode("overwrite").option("header", True).options(**CSV_TIME_OPTIONS).csv(path)
 
 
 def tuple_lines(df: DataFrame, id_col: str, value_col: str) -> DataFrame:
