@@ -31,6 +31,9 @@ def get_spark(cpus: str | int = "*", app: str = "quarry", **conf) -> SparkSessio
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Fused stages above HotSpot's 8000-byte JIT limit would run
+        # interpreted; let Spark fall back to per-operator code instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -61,17 +64,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, how: str = "checkpoint", balance: bool = True) -> DataFrame:
     """Materialise ``df`` once for repeated reads by an iterative operator.
 
     ``checkpoint`` (default) writes to the reliable checkpoint folder: the
     frame survives executor loss without recomputing upstream shuffles and
     its plan is a leaf, so loops never stack plans.  ``persist`` keeps it in
     executor memory/disk (recomputed from lineage if an executor dies).
+
+    With ``balance``, a result that landed in fewer partitions than half the
+    cluster's parallelism (one large file, a coalesced shuffle) is spread
+    round-robin and stored again, so every later pass uses all executors.
+    The count is read from the stored result, so nothing runs twice.
     """
+    target = df.sparkSession.sparkContext.defaultParallelism
     if how == "persist":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
         out.count()
+        if balance and out.rdd.getNumPartitions() < max(1, target // 2):
+            spread = out.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+            spread.count()
+            out.unpersist()
+            out = spread
         return out
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if balance and out.rdd.getNumPartitions() < max(1, target // 2):
+        out = out.repartition(target).checkpoint(eager=True)
+    return out

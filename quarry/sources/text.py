@@ -37,18 +37,31 @@ def drop_header(lines: DataFrame, header: str, strip_both: bool = False) -> Data
     return lines.filter(F.col("value") != F.lit(header))
 
 
+def _keep_if(parsed: DataFrame, cond: Column, cols: Sequence[str]) -> DataFrame:
+    """Rows where ``cond`` holds, as a 0-or-1-row ``inline`` per input row.
+
+    A plain ``filter(reason IS NULL)`` is pushed below the parsing
+    projections and Catalyst inlines the whole parse into the predicate, so
+    every line would be parsed twice; a generator is not pushed through.
+    """
+    row = F.array(F.struct(*[F.col(c) for c in cols]))
+    return parsed.select(F.inline(F.when(cond, row)))
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col(REASON).isNull()).drop(REASON, "value")
+    cols = [c for c in parsed.columns if c not in (REASON, "value")]
+    return _keep_if(parsed, F.col(REASON).isNull(), cols)
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col(REASON).isNotNull()).select("value", REASON)
+    return _keep_if(parsed, F.col(REASON).isNotNull(), ["value", REASON])
 
 
 def _first_failure(checks: Sequence[tuple[Column, str]]) -> Column:
-    expr = F.lit(None).cast("string")
-    for cond, reason in reversed(checks):
-        expr = F.when(cond, F.lit(reason)).otherwise(expr)
+    """One flat CASE: the first failed check names the reason, else NULL."""
+    expr = None
+    for cond, reason in checks:
+        expr = F.when(cond, F.lit(reason)) if expr is None else expr.when(cond, F.lit(reason))
     return expr
 
 
