@@ -743,3 +743,66 @@ SELECT round(f1, 6) AS f1, round(f2, 6) AS f2, round(f3, 6) AS f3,
        round(CASE WHEN s2 > 0 THEN f2 / s2 ELSE 0.0 END, 6) AS scaled_f2,
        round(CASE WHEN s3 > 0 THEN f3 / s3 ELSE 0.0 END, 6) AS scaled_f3, round(label, 6) AS label
 FROM c, s"""
+
+
+# ------------------------------------------------------------- SGD-rule grid
+def sgd_cte(configs: list[tuple[int, float]], reg: float = 0.01, tol: float = 1e-3, train: str = "sgtrain") -> str:
+    """Recursive CTE of ``logistic.sgd_fit``: no intercept, step/√t, L2
+    updater, stop at the iteration limit or when ‖Δw‖ < tol·max(‖w‖, 1)."""
+    values = ", ".join(f"({i}, {it}, {st!r}::DOUBLE)" for i, (it, st) in enumerate(configs))
+    z = "0.0 + g.w1 * s.x1 + g.w2 * s.x2 + g.w3 * s.x3"
+    eta = "(step / sqrt((t + 1)::DOUBLE))"
+    nw = [f"(w{i} * (1.0 - {eta} * {reg!r}) - ({eta} * sg{i}) / n)" for i in (1, 2, 3)]
+    diff = f"sqrt(({nw[0]} - w1) * ({nw[0]} - w1) + ({nw[1]} - w2) * ({nw[1]} - w2) + ({nw[2]} - w3) * ({nw[2]} - w3))"
+    norm = f"sqrt({nw[0]} * {nw[0]} + {nw[1]} * {nw[1]} + {nw[2]} * {nw[2]})"
+    return f"""
+scfg(cfg, lim, step) AS (VALUES {values}),
+sgd(cfg, t, w1, w2, w3, done) AS (
+  SELECT cfg, 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, false FROM scfg
+  UNION ALL
+  SELECT c.cfg, t + 1, {nw[0]}, {nw[1]}, {nw[2]},
+         (t + 1 > 1 AND {diff} < {tol!r} * greatest({norm}, 1.0)) OR t + 1 >= lim
+  FROM (
+    SELECT cfg, t, w1, w2, w3, count(*) AS n, sum(e * x1) AS sg1, sum(e * x2) AS sg2, sum(e * x3) AS sg3
+    FROM (SELECT g.cfg, g.t, g.w1, g.w2, g.w3, s.x1, s.x2, s.x3, 1.0 * ({sigmoid(z)} - s.y) AS e
+          FROM sgd g, {train} s WHERE NOT g.done) a
+    GROUP BY cfg, t, w1, w2, w3
+  ) c JOIN scfg USING (cfg)
+)"""
+
+
+_SGD_CFGS = [(it, st) for it in (50, 100, 200) for st in (0.01, 0.1, 0.5)]
+ORACLES["lr_sgd_metrics"] = f"""
+WITH RECURSIVE split AS ({FRAUD_SPLIT}),
+train AS (SELECT f1, f2, f3, label FROM split WHERE bucket < 80),
+test AS (SELECT f1, f2, f3, label FROM split WHERE bucket >= 80),
+sd AS (SELECT stddev_samp(f1) AS s1, stddev_samp(f2) AS s2, stddev_samp(f3) AS s3 FROM train),
+sgtrain AS (SELECT CASE WHEN s1 > 0 THEN f1 / s1 ELSE 0.0 END AS x1, CASE WHEN s2 > 0 THEN f2 / s2 ELSE 0.0 END AS x2,
+                   CASE WHEN s3 > 0 THEN f3 / s3 ELSE 0.0 END AS x3, label AS y FROM train, sd),
+sgtest AS (SELECT CASE WHEN s1 > 0 THEN f1 / s1 ELSE 0.0 END AS x1, CASE WHEN s2 > 0 THEN f2 / s2 ELSE 0.0 END AS x2,
+                  CASE WHEN s3 > 0 THEN f3 / s3 ELSE 0.0 END AS x3, label AS y FROM test, sd),
+{sgd_cte(_SGD_CFGS)},
+fin AS (SELECT * FROM sgd WHERE (cfg, t) IN (SELECT cfg, max(t) FROM sgd GROUP BY cfg)),
+pred AS (SELECT fin.cfg, t.y AS label,
+                CASE WHEN {sigmoid("0.0 + fin.w1 * t.x1 + fin.w2 * t.x2 + fin.w3 * t.x3")} >= 0.5 THEN 1.0 ELSE 0.0 END AS prediction
+         FROM sgtest t, fin),
+cells AS (SELECT cfg, label, prediction, count(*) AS n FROM pred GROUP BY ALL),
+a AS (SELECT cfg, label AS c, sum(n) AS actual, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp
+      FROM cells GROUP BY cfg, label),
+pr AS (SELECT cfg, prediction AS c, sum(n) AS predicted FROM cells GROUP BY cfg, prediction),
+pc AS (SELECT cfg, actual, tp, CASE WHEN coalesce(predicted, 0) = 0 THEN 0.0 ELSE tp::DOUBLE / predicted END AS prc,
+              CASE WHEN actual = 0 THEN 0.0 ELSE tp::DOUBLE / actual END AS rc
+       FROM a LEFT JOIN pr USING (cfg, c)),
+rep AS (SELECT cfg, sum(tp) / sum(actual) AS accuracy, sum(prc * actual) / sum(actual) AS weighted_precision,
+               sum(rc * actual) / sum(actual) AS weighted_recall,
+               sum(CASE WHEN prc + rc = 0 THEN 0.0 ELSE 2.0 * prc * rc / (prc + rc) END * actual) / sum(actual) AS weighted_f1
+        FROM pc GROUP BY cfg),
+roc AS (SELECT cfg, sum(CASE WHEN label = 1.0 AND prediction = 1.0 THEN n ELSE 0 END) AS tp,
+               sum(CASE WHEN label = 1.0 THEN n ELSE 0 END) AS P,
+               sum(CASE WHEN label <> 1.0 AND prediction = 1.0 THEN n ELSE 0 END) AS fp,
+               sum(CASE WHEN label <> 1.0 THEN n ELSE 0 END) AS N FROM cells GROUP BY cfg)
+SELECT rep.cfg::BIGINT AS config_index, scfg.lim AS iterations, fin.t AS iterations_run, scfg.step AS step,
+       round(accuracy, 6) AS accuracy, round(weighted_precision, 6) AS weighted_precision,
+       round(weighted_recall, 6) AS weighted_recall, round(weighted_f1, 6) AS weighted_f1,
+       round((1.0 + CASE WHEN P = 0 THEN 0.0 ELSE tp::DOUBLE / P END - CASE WHEN N = 0 THEN 0.0 ELSE fp::DOUBLE / N END) / 2.0, 6) AS auc
+FROM rep JOIN roc USING (cfg) JOIN scfg USING (cfg) JOIN fin USING (cfg)"""
