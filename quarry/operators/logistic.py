@@ -99,7 +99,75 @@ def _loss_term(p: Column, y: Column, cw: Column) -> Column:
     )
 
 
+# Above this many (features + 1) × configurations, the literal-expression
+# aggregate outgrows generated-code limits; switch to Arrow batches + numpy.
+ARROW_THRESHOLD = 96
+
+
 def batch_sums(
+    base: DataFrame, features: Sequence[str], weight_vectors: Sequence[Sequence[float]], method: str = "auto"
+) -> tuple[int, list[list[float]], list[float]]:
+    """Dispatch to the Column-expression or the Arrow/numpy pass."""
+    wide = (len(features) + 1) * len(weight_vectors) > ARROW_THRESHOLD
+    if method == "arrow" or (method == "auto" and wide):
+        return batch_sums_arrow(base, features, weight_vectors)
+    return batch_sums_columns(base, features, weight_vectors)
+
+
+def batch_sums_arrow(
+    base: DataFrame, features: Sequence[str], weight_vectors: Sequence[Sequence[float]]
+) -> tuple[int, list[list[float]], list[float]]:
+    """Same sums as ``batch_sums_columns`` for wide models: each Arrow batch
+    does ``E = cw·(σ(X·Wᵀ) − y)`` and ``Eᵀ·X`` in numpy, each task emits one
+    small partial table, and a grouped sum over ``(vector, slot)`` merges
+    them.  The weight matrix (configurations × features) is the only thing
+    shipped to the tasks."""
+    import numpy as np
+    import pandas as pd
+
+    W = np.asarray(weight_vectors, dtype=float)
+    k, d1 = W.shape
+    feats = list(features)
+
+    def partial(batches):
+        g = np.zeros((k, d1))
+        loss = np.zeros(k)
+        n = 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.hstack([np.ones((len(pdf), 1)), pdf[feats].to_numpy(dtype=float)])
+            y = pdf["_y"].to_numpy(dtype=float)[:, None]
+            cw = pdf["_cw"].to_numpy(dtype=float)[:, None]
+            z = x @ W.T
+            p = np.where(z < -500.0, 0.0, np.where(z > 500.0, 1.0, 1.0 / (1.0 + np.exp(-np.clip(z, -500.0, 500.0)))))
+            e = cw * (p - y)
+            g += e.T @ x
+            loss += np.where(y == 1.0, -cw * np.log(p + LOSS_EPSILON), -cw * np.log(1.0 - p + LOSS_EPSILON)).sum(0)
+            n += len(pdf)
+        ks = np.repeat(np.arange(k), d1 + 1)
+        slots = np.tile(np.arange(d1 + 1), k)
+        vals = np.hstack([g, loss[:, None]]).ravel()
+        yield pd.DataFrame(
+            {"k": np.append(ks, -1).astype("int32"), "i": np.append(slots, -1).astype("int32"),
+             "v": np.append(vals, float(n))}
+        )
+
+    rows = (
+        base.select(*feats, "_y", "_cw")
+        .mapInPandas(partial, "k int, i int, v double")
+        .groupBy("k", "i")
+        .agg(F.sum("v").alias("v"))
+        .collect()
+    )
+    got = {(r["k"], r["i"]): r["v"] for r in rows}
+    n = int(got.get((-1, -1), 0.0))
+    grads = [[got.get((j, i), 0.0) for i in range(d1)] for j in range(k)]
+    losses = [got.get((j, d1), 0.0) for j in range(k)]
+    return n, grads, losses
+
+
+def batch_sums_columns(
     base: DataFrame, features: Sequence[str], weight_vectors: Sequence[Sequence[float]]
 ) -> tuple[int, list[list[float]], list[float]]:
     """One pass over ``base(features…, _y, _cw)`` for many weight vectors.
@@ -148,11 +216,14 @@ def gradient_descent(
     label: str = "label",
     weight_col: str | Column | None = None,
     initial: Sequence[float] | None = None,
+    method: str = "auto",
 ) -> list[GDRun]:
     """Fit one weight vector per ``(learning_rate, reg_param)`` in one loop.
 
     ``train`` should already be materialised (``quarry.materialize``).
-    ``weight_col`` is the per-row class weight (default 1.0).
+    ``weight_col`` is the per-row class weight (default 1.0).  ``method``
+    picks the per-iteration pass: ``columns``, ``arrow`` or ``auto`` (by
+    width, see ``ARROW_THRESHOLD``).
     """
     d = len(features)
     init = list(initial) if initial is not None else [0.0] * (d + 1)
@@ -163,7 +234,7 @@ def gradient_descent(
         if not active:
             break
         start = time.time()
-        n, grads, losses = batch_sums(base, features, [r.weights for r in active])
+        n, grads, losses = batch_sums(base, features, [r.weights for r in active], method)
         elapsed = time.time() - start
         if n == 0:
             for r in active:
@@ -191,6 +262,7 @@ def sgd_fit(
     reg_param: float = 0.01,
     tol: float = 1e-3,
     label: str = "label",
+    method: str = "auto",
 ) -> list[GDRun]:
     """Logistic regression with the rules of Spark's RDD-based SGD trainer
     (I14), as DataFrame aggregations: no intercept, full batch, step
@@ -209,7 +281,7 @@ def sgd_fit(
         if not active:
             break
         start = time.time()
-        n, grads, losses = batch_sums(base, features, [r.weights for _, r in active])
+        n, grads, losses = batch_sums(base, features, [r.weights for _, r in active], method)
         elapsed = time.time() - start
         if n == 0:
             break

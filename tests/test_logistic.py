@@ -90,3 +90,29 @@ def test_sgd_rules_match_numpy(spark):
             break
     assert np.allclose(runs[0].weights[1:], w, atol=1e-10)
     assert runs[0].weights[0] == 0.0
+
+
+def test_arrow_path_equals_column_path(spark):
+    _, _, df = _data(spark)
+    cfgs = [(0.1, 0.001), (0.5, 0.1)]
+    a = logistic.gradient_descent(df, ["x1", "x2", "x3"], cfgs, max_iter=6, tol=0.0, method="columns")
+    b = logistic.gradient_descent(df, ["x1", "x2", "x3"], cfgs, max_iter=6, tol=0.0, method="arrow")
+    for ra, rb in zip(a, b):
+        assert np.allclose(ra.weights, rb.weights, atol=1e-12)
+        assert np.allclose([h[1] for h in ra.history], [h[1] for h in rb.history], atol=1e-12)
+
+
+def test_wide_model_switches_to_arrow(spark):
+    rng = np.random.default_rng(0)
+    d = 30
+    X = rng.normal(size=(200, d))
+    y = (X[:, 0] > 0).astype(float)
+    cols = [f"v{i}" for i in range(d)]
+    df = spark.createDataFrame([tuple(map(float, r)) + (float(t),) for r, t in zip(X, y)],
+                               ", ".join(f"{c} double" for c in cols) + ", label double")
+    cfgs = [(lr, reg) for lr in (0.01, 0.1, 0.5) for reg in (0.001, 0.01, 0.1)]
+    runs = logistic.gradient_descent(df, cols, cfgs, max_iter=3, tol=0.0)
+    ones = np.ones(len(X))
+    for (lr, reg), r in zip(cfgs, runs):
+        w, _ = numpy_gd(X, y, ones, lr, reg, 3, 0.0)
+        assert np.allclose(r.weights, w, atol=1e-10)
