@@ -539,15 +539,35 @@ def regression_metrics_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I21 + I22 + F3: fit on parsed train lines (80 % by id), score the
-    parsed test lines, emit ``(id, trip_duration)``."""
-    lines = text.drop_header(fx.trip_lines(spark, sf_dir), fx.TRIP_HEADER)
-    parsed = text.accepted(text.parse_trip_train(lines))
-    train, _ = hash_split(parsed, F.col("id"), (0.8, 0.2), seed=42)
-    tree = tree_ops.fit_tree(train, fx.TRIP_FEATURES, "trip_duration", **TREE)
-    test_lines = text.drop_header(fx.trip_lines(spark, sf_dir, test=True), fx.TRIP_TEST_HEADER, strip_both=True)
-    test = text.accepted(text.parse_trip_test(test_lines))
-    return rounded(tree.predict(test, "trip_duration").select("id", "trip_duration"))
+    """I21 + I22: fit on parsed train lines (80 % by id), score the parsed
+    test lines, emit ``(id, trip_duration)`` (the regression job)."""
+    from quarry.plans.jobs import regression_job
+
+    scored = regression_job(
+        spark, fx.trip_lines(spark, sf_dir), fx.trip_lines(spark, sf_dir, test=True),
+        fx.TRIP_HEADER, fx.TRIP_TEST_HEADER, tree_params=TREE,
+    )
+    return rounded(scored)
+
+
+@query
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the first five trips by id — a deterministic ``take(5)`` (top-k
+    per task, then a merge of k rows per task; no global sort)."""
+    return fx.trips(spark, sf_dir).orderBy("id").limit(5)
+
+
+@query
+def pickup_time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4–H6: pickup time parsed from its text form, then hour and day of
+    week (1 = Sunday); unparsable text gives NULL instead of failing."""
+    t = fx.trips(spark, sf_dir).select(
+        "id", F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss").alias("pickup_text")
+    )
+    ts = F.try_to_timestamp(F.col("pickup_text"), F.lit("yyyy-MM-dd HH:mm:ss"))
+    parts = time_parts(ts)
+    return t.select("id", "pickup_text", parts["pickup_hour"].alias("pickup_hour"),
+                    parts["pickup_dayofweek"].alias("pickup_dayofweek"))
 
 
 # ----------------------------------------------------------- library models
@@ -628,24 +648,11 @@ def lr_sgd_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _p2s_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    """The structured regression preparation (I22): time parts, haversine,
-    flag index, NULL drop, structured filter."""
-    t = fx.trips(spark, sf_dir)
-    parts = time_parts(F.col("pickup_datetime"))
-    t = t.withColumns(
-        {
-            "pickup_hour": parts["pickup_hour"],
-            "pickup_dayofweek": parts["pickup_dayofweek"],
-            "distance_km": haversine_km(
-                F.col("pickup_longitude"), F.col("pickup_latitude"), F.col("dropoff_longitude"),
-                F.col("dropoff_latitude"),
-            ),
-        }
-    )
-    idx = fit_string_index(t, "store_and_fwd_flag")
-    t = idx.transform(clean.structured_filter(clean.drop_nulls(t)), "store_and_fwd_flag_indexed")
-    feats = fx.TRIP_FEATURES + ["pickup_hour", "pickup_dayofweek", "distance_km", "store_and_fwd_flag_indexed"]
-    return t, feats
+    """The structured regression preparation (I22), fitted on all rows here."""
+    from quarry.plans.jobs import TRIP_MODEL_FEATURES, prepare_trips
+
+    t, _ = prepare_trips(fx.trips(spark, sf_dir))
+    return t, list(TRIP_MODEL_FEATURES)
 
 
 @query

@@ -806,3 +806,9 @@ SELECT rep.cfg::BIGINT AS config_index, scfg.lim AS iterations, fin.t AS iterati
        round(weighted_recall, 6) AS weighted_recall, round(weighted_f1, 6) AS weighted_f1,
        round((1.0 + CASE WHEN P = 0 THEN 0.0 ELSE tp::DOUBLE / P END - CASE WHEN N = 0 THEN 0.0 ELSE fp::DOUBLE / N END) / 2.0, 6) AS auc
 FROM rep JOIN roc USING (cfg) JOIN scfg USING (cfg) JOIN fin USING (cfg)"""
+ORACLES["first_rows"] = f"SELECT * FROM ({TRIPS}) t ORDER BY id LIMIT 5"
+ORACLES["pickup_time_parts"] = f"""
+SELECT id, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS pickup_text,
+       hour(strptime(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S'))::INTEGER AS pickup_hour,
+       (dayofweek(strptime(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S')) + 1)::INTEGER AS pickup_dayofweek
+FROM ({TRIPS}) t"""
