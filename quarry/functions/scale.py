@@ -71,7 +71,14 @@ class StringIndex:
     column: tuple[str, ...]
     labels: tuple[str, ...]
 
+    # Up to this many labels the index is a literal CASE; beyond it, a
+    # broadcast join with the (value, index) table, whose size is bounded by
+    # ``fit_string_index``'s ``max_labels`` check.
+    CASE_LIMIT = 64
+
     def transform(self, df: DataFrame, output: str, handle_invalid: str = "keep") -> DataFrame:
+        if len(self.labels) > self.CASE_LIMIT:
+            return self._transform_join(df, output, handle_invalid)
         col = F.col(self.column[0])
         expr = None
         for i, lab in enumerate(self.labels):
@@ -84,6 +91,19 @@ class StringIndex:
             out = out.filter(F.col(output).isNotNull())
         return out
 
+    def _transform_join(self, df: DataFrame, output: str, handle_invalid: str) -> DataFrame:
+        spark = df.sparkSession
+        table = spark.createDataFrame(
+            [(lab, float(i)) for i, lab in enumerate(self.labels)], f"_label string, {output} double"
+        )
+        col = F.col(self.column[0]).cast("string")
+        out = df.join(F.broadcast(table), col == F.col("_label"), "left").drop("_label")
+        if handle_invalid == "keep":
+            out = out.fillna(float(len(self.labels)), [output])
+        elif handle_invalid == "skip":
+            out = out.filter(F.col(output).isNotNull())
+        return out
+
 
 def fit_string_index(df: DataFrame, column: str, max_labels: int = 10_000) -> StringIndex:
     """Fit on the distinct values; refuses more than ``max_labels`` categories.
@@ -105,14 +125,14 @@ def fit_string_index(df: DataFrame, column: str, max_labels: int = 10_000) -> St
 
 
 def string_index_table(df: DataFrame, column: str) -> DataFrame:
-    """The fitted index as a table ``(value, count, index)`` — one aggregation
-    plus a window over the (small) distinct-value table."""
-    from pyspark.sql import Window
+    """The fitted index as a table ``(value, count, index)``.
 
-    w = Window.orderBy(F.desc("count"), F.asc(column))
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("count"))
-        .withColumn("index", (F.row_number().over(w) - 1).cast("double"))
-    )
+    Distinct values are counted with a partial aggregate, then ranked by
+    (count desc, value asc) with the distributed running count of
+    ``quarry.plans.prefix`` — no single-task window even for a
+    high-cardinality column."""
+    from quarry.plans.prefix import running_totals
+
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    ranked = running_totals(counts, [F.desc("count"), F.asc(column)], {"rank": F.lit(1)})
+    return ranked.select(column, "count", (F.col("cum_rank") - 1).cast("double").alias("index"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
@@ -166,11 +166,12 @@ def frequency(df: DataFrame, column: str) -> DataFrame:
 
 
 def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
-    """``(label, count, percent)``; the total comes from a window over the
-    per-class table, which has one row per class."""
+    """``(label, count, percent)``: one grouped pass; the total row count is
+    a one-row aggregate entering the percentage as a literal."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.select(label, "count", (F.col("count") / total * 100.0).alias("percent"))
+    total = counts.agg(F.sum("count").alias("t")).first()["t"] or 0
+    pct = F.lit(0.0) if total == 0 else F.col("count") / F.lit(float(total)) * 100.0
+    return counts.select(label, "count", pct.alias("percent"))
 
 
 def duplicate_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

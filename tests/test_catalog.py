@@ -53,3 +53,18 @@ def test_stream_scoring(spark, tmp_path):
     assert out.count() == valid.count()
     assert out.exceptAll(batch).count() == 0
     assert os.path.isdir(str(tmp_path / "ckpt"))
+
+
+def test_regression_job_sinks(spark, tmp_path):
+    from quarry.catalog import TREE
+    from quarry.plans.jobs import regression_job
+    from quarry.sources import fixtures as fx
+
+    for fmt in ("csv", "parquet", "text"):
+        out = str(tmp_path / fmt)
+        scored = regression_job(spark, fx.trip_lines(spark, SF001), fx.trip_lines(spark, SF001, test=True),
+                                fx.TRIP_HEADER, fx.TRIP_TEST_HEADER, output=out, fmt=fmt, tree_params=TREE)
+        n = scored.count()
+        back = {"csv": lambda: spark.read.option("header", True).csv(out),
+                "parquet": lambda: spark.read.parquet(out), "text": lambda: spark.read.text(out)}[fmt]()
+        assert back.count() == n > 0

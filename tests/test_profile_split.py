@@ -69,3 +69,19 @@ def test_quantiles_exact_at_high_accuracy(spark):
     r = profile.quantile_summary(df, ["x"], accuracy=1_000_000).first()
     assert (r["min"], r["q25"], r["q50"], r["q75"], r["max"]) == (1.0, 25.0, 50.0, 75.0, 100.0)
     assert math.isclose(profile.feature_summary(df, ["x"]).first()["mean"], 50.5)
+
+
+def test_string_index_case_and_join_paths_agree(spark):
+    from quarry.functions.scale import StringIndex, fit_string_index, string_index_table
+
+    rows = [(f"v{i % 90}",) for i in range(900)] + [("v1",)] * 5 + [(None,)]
+    df = spark.createDataFrame(rows, "s string")
+    idx = fit_string_index(df, "s")
+    assert idx.labels[0] == "v1"
+    table = {r["s"]: r["index"] for r in string_index_table(df, "s").collect()}
+    joined = {r["s"]: r["ix"] for r in idx.transform(df, "ix").collect()}
+    assert joined[None] == 90.0
+    assert all(joined[k] == v for k, v in table.items())
+    small = StringIndex(("s",), ("v1", "v2"))
+    got = {r["s"]: r["ix"] for r in small.transform(df, "ix").collect()}
+    assert got["v1"] == 0.0 and got["v2"] == 1.0 and got["v3"] == 2.0
