@@ -174,31 +174,40 @@ def bin_col(x: Column, thresholds: Sequence[float]) -> Column:
 
 
 # --------------------------------------------------------------- split tables
-def split_candidates(
+def grouped_bins(
     df: DataFrame,
     node: Column,
     features: Sequence[str],
     thresholds: Mapping[str, Sequence[float]],
     y: Column,
 ) -> DataFrame:
-    """Every candidate split of every node in one pass.
+    """``(node, f, b, cnt, sy, syy)`` — one pass over the rows.
 
-    Output ``(node, feature_index, threshold, n, left_n, left_sum, left_sumsq,
-    right_n, right_sum, right_sumsq, total_sum, total_sumsq)``.  Sums are of
-    ``y`` as given (callers pass a mean-shifted target).
+    Slot ``f = -1`` carries each node's totals, so node statistics and split
+    candidates come out of the same aggregation.
     """
     sorted_t = {c: sorted(thresholds.get(c, [])) for c in features}
-    structs = [
+    structs = [F.struct(F.lit(-1).alias("f"), F.lit(0).alias("b"))] + [
         F.struct(F.lit(i).alias("f"), bin_col(F.col(c), sorted_t[c]).alias("b"))
         for i, c in enumerate(features)
         if sorted_t[c]
     ]
-    if not structs:
-        return None
     rows = df.select(node.alias("node"), y.alias("y"), F.inline(F.array(*structs)))
-    g = rows.groupBy("node", "f", "b").agg(
+    return rows.groupBy("node", "f", "b").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy")
     )
+
+
+def candidates_from_bins(
+    g: DataFrame, features: Sequence[str], thresholds: Mapping[str, Sequence[float]]
+) -> DataFrame | None:
+    """Every candidate split from the binned sums (window over the small
+    grouped table): ``(node, feature_index, threshold, n, left_*, right_*,
+    total_*)``; bin ``b`` is the left side of the ``b``-th sorted threshold."""
+    sorted_t = {c: sorted(thresholds.get(c, [])) for c in features}
+    if not any(sorted_t.values()):
+        return None
+    g = g.filter(F.col("f") >= 0)
     upto = Window.partitionBy("node", "f").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("node", "f")
     g = g.select(
@@ -212,7 +221,6 @@ def split_candidates(
         F.sum("sy").over(whole).alias("total_sum"),
         F.sum("syy").over(whole).alias("total_sumsq"),
     )
-    # bin b < k is the left set of threshold index b (its smallest threshold)
     t_expr = None
     k_expr = None
     for i, c in enumerate(features):
@@ -241,6 +249,59 @@ def split_candidates(
     )
 
 
+def level_summary(
+    g: DataFrame, features: Sequence[str], thresholds: Mapping[str, Sequence[float]], min_side: int, min_node: int
+) -> DataFrame:
+    """One row per node from the binned sums: ``n, s, ss`` (slot −1) and the
+    best valid split (``min_by`` over candidates whose ordering is NULL when
+    invalid, so they are skipped).  No filter sits between the row pass and
+    this aggregate, so one job makes one pass over the rows."""
+    sorted_t = {c: sorted(thresholds.get(c, [])) for c in features}
+    upto = Window.partitionBy("node", "f").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("node", "f")
+    w = g.select(
+        "node", "f", "b", "cnt", "sy", "syy",
+        F.sum("cnt").over(upto).alias("ln"), F.sum("sy").over(upto).alias("ls"), F.sum("syy").over(upto).alias("lss"),
+        F.sum("cnt").over(whole).alias("n"), F.sum("sy").over(whole).alias("ts"), F.sum("syy").over(whole).alias("tss"),
+    )
+    t_expr = F.lit(None).cast("array<double>")
+    k_expr = F.lit(0)
+    for i, c in enumerate(features):
+        ts = sorted_t[c]
+        if ts:
+            t_expr = F.when(F.col("f") == i, F.array(*[F.lit(float(t)) for t in ts])).otherwise(t_expr)
+            k_expr = F.when(F.col("f") == i, F.lit(len(ts))).otherwise(k_expr)
+    n = F.col("n").cast("double")
+    rn = F.col("n") - F.col("ln")
+    lv = _var(F.col("ls"), F.col("lss"), F.col("ln").cast("double"))
+    rv = _var(F.col("ts") - F.col("ls"), F.col("tss") - F.col("lss"), rn.cast("double"))
+    mse = (lv * F.col("ln") + rv * rn) / n
+    valid = (
+        (F.col("f") >= 0) & (F.col("b") < k_expr) & (F.col("ln") >= min_side) & (rn >= min_side)
+        & (F.col("n") >= min_node)
+    )
+    thr = F.when(F.col("f") >= 0, F.element_at(t_expr, F.col("b") + 1))
+    cand = F.struct(mse.alias("mse"), F.col("f").alias("feature_index"), thr.alias("threshold"))
+    total = F.col("f") == -1
+    return w.groupBy("node").agg(
+        F.max(F.when(total, F.col("cnt"))).alias("n"),
+        F.max(F.when(total, F.col("sy"))).alias("s"),
+        F.max(F.when(total, F.col("syy"))).alias("ss"),
+        F.min_by(cand, F.when(valid, cand)).alias("best"),
+    )
+
+
+def split_candidates(
+    df: DataFrame,
+    node: Column,
+    features: Sequence[str],
+    thresholds: Mapping[str, Sequence[float]],
+    y: Column,
+) -> DataFrame | None:
+    """Every candidate split of every node in one pass."""
+    return candidates_from_bins(grouped_bins(df, node, features, thresholds, y), features, thresholds)
+
+
 def _var(s: Column, ss: Column, n: Column) -> Column:
     return F.when(n > 0, ss / n - F.pow(s / n, 2)).otherwise(F.lit(0.0))
 
@@ -297,8 +358,9 @@ def fit_tree(
     yc = F.col("_y") - F.lit(shift)
 
     tree = Tree(features)
-    open_nodes = {1: 0}  # node id -> depth
+    open_nodes = {1: 0}  # node id -> depth (all open nodes share the level)
     decided: dict[int, Node] = {}
+    level = 0
     while open_nodes:
         # node id of each row: decided splits route rows; open nodes are leaves
         partial = Tree(features, dict(decided))
@@ -306,41 +368,31 @@ def fit_tree(
             partial.nodes[nid] = Node(nid, d, 0, 0.0, 0.0)
         node = partial.node_col() if decided else F.lit(1)
         open_ids = list(open_nodes)
-        rows = data.select(*features, yc.alias("y"), node.alias("_node")).filter(
-            F.col("_node").isin(*open_ids)
-        )
-        stats = {
-            r["_node"]: r
-            for r in rows.groupBy("_node")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.sum("y").alias("s"),
-                F.sum(F.col("y") * F.col("y")).alias("ss"),
-            )
-            .collect()
-        }
-        splittable = [
-            nid for nid in open_ids
-            if nid in stats and stats[nid]["n"] >= min_node and open_nodes[nid] < max_depth
-        ]
+        rows = data.select(*features, yc.alias("y"), node.alias("_node")).filter(F.col("_node").isin(*open_ids))
+        g = grouped_bins(rows, F.col("_node"), features, thresholds, F.col("y"))
+        summary = level_summary(
+            g, features, thresholds, min_side, min_node if level < max_depth else 1 << 62
+        ).collect()
+        stats = {r["node"]: r for r in summary}
         chosen = {}
-        if splittable:
-            cands = split_candidates(
-                rows.filter(F.col("_node").isin(*splittable)), F.col("_node"), features, thresholds, F.col("y")
-            )
-            if cands is not None:
-                chosen = {r["node"]: r for r in best_splits(score_candidates(cands, min_side), gain_factor).collect()}
+        for r in summary:
+            b = r["best"]
+            if b is None or not r["n"]:
+                continue
+            n_, s_, ss_ = float(r["n"]), float(r["s"]), float(r["ss"])
+            if b["mse"] < gain_factor * (ss_ / n_ - (s_ / n_) ** 2):
+                chosen[r["node"]] = {"feature_index": b["feature_index"], "threshold": b["threshold"]}
         next_open = {}
         for nid in open_ids:
             d = open_nodes[nid]
             st = stats.get(nid)
             n = int(st["n"]) if st else 0
-            s = float(st["s"]) if st else 0.0
+            s_ = float(st["s"]) if st else 0.0
             ss = float(st["ss"]) if st else 0.0
-            mean = s / n + shift if n else 0.0
-            var = ss / n - (s / n) ** 2 if n else 0.0
+            mean = s_ / n + shift if n else 0.0
+            var = ss / n - (s_ / n) ** 2 if n else 0.0
             node_obj = Node(nid, d, n, mean, var)
-            if nid in chosen:
+            if nid in chosen and n >= min_node and d < max_depth:
                 c = chosen[nid]
                 node_obj.feature = int(c["feature_index"])
                 node_obj.threshold = float(c["threshold"])
@@ -348,6 +400,7 @@ def fit_tree(
                 next_open[2 * nid + 1] = d + 1
             decided[nid] = node_obj
         open_nodes = next_open
+        level += 1
     tree.nodes = decided
     return tree
 
