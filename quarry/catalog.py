@@ -55,17 +55,26 @@ def fraud_clean_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 def fit_fraud_model(spark: SparkSession, sf_dir: str, configs=None, max_iter=None, tol=None):
     """Fit the class-weighted logistic model on the training part.
 
+    The cleaned, de-duplicated rows are checkpointed once with their split
+    part; min-max ranges and class counts come from one aggregate over the
+    training part; every iteration reads the checkpoint.
     Returns ``(runs, minmax, test, n_train)``.
     """
-    train, test = fraud_clean_split(spark, sf_dir)
+    from quarry.functions.scale import minmax_aggs
+    from quarry.operators.split import materialized_split
+
+    df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
+    train, test = materialized_split(df, fx.fraud_row_key(), (0.8, 0.2), seed=42)
     feats = fx.FRAUD_FEATURES
-    mm = fit_minmax(train, feats)
-    n0, n1 = logistic.class_counts(train)
+    row = train.agg(
+        *minmax_aggs(feats),
+        F.count_if(F.col("label") == 0.0).alias("n0"),
+        F.count_if(F.col("label") == 1.0).alias("n1"),
+    ).first()
+    mm = fit_minmax(train, feats, row=row)
+    n0, n1 = int(row["n0"]), int(row["n1"])
     cw = logistic.inverse_frequency(n0, n1)
-    prepared = mm.transform(train).select(
-        *feats, "label", logistic.class_weight_col(cw).alias("cw")
-    )
-    prepared = materialize(prepared)
+    prepared = mm.transform(train).select(*feats, "label", logistic.class_weight_col(cw).alias("cw"))
     runs = logistic.gradient_descent(
         prepared,
         feats,
@@ -612,9 +621,12 @@ def lr_sgd_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     precision/recall/F1, AUC of the hard predictions; best by weighted F1."""
     from quarry.functions.scale import fit_std
 
-    train, test = fraud_clean_split(spark, sf_dir)
+    from quarry.operators.split import materialized_split
+
+    df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
+    train, test = materialized_split(df, fx.fraud_row_key(), (0.8, 0.2), seed=42)
     scaler = fit_std(train, fx.FRAUD_FEATURES)
-    strain = materialize(scaler.transform(train).select(*fx.FRAUD_FEATURES, "label"))
+    strain = scaler.transform(train).select(*fx.FRAUD_FEATURES, "label")
     configs = [(it, st) for it in SGD_ITERATIONS for st in SGD_STEPS]
     runs = logistic.sgd_fit(strain, fx.FRAUD_FEATURES, configs)
     stest = scaler.transform(test)

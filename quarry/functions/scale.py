@@ -35,16 +35,23 @@ class MinMax:
         return df.withColumns(cols)
 
 
-def fit_minmax(df: DataFrame, columns: Sequence[str]) -> MinMax:
-    aggs = []
-    for c in columns:
-        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
-    row = df.agg(*aggs).first()
+def fit_minmax(df: DataFrame, columns: Sequence[str], row=None) -> MinMax:
+    """Fit from one aggregate (or from ``row`` holding ``lo_c``/``hi_c``,
+    when the caller folded the min/max into a larger aggregate)."""
+    if row is None:
+        row = df.agg(*minmax_aggs(columns)).first()
     mins = tuple(float(row[f"lo_{c}"]) if row[f"lo_{c}"] is not None else 0.0 for c in columns)
     maxs = tuple(float(row[f"hi_{c}"]) if row[f"hi_{c}"] is not None else 0.0 for c in columns)
     return MinMax(tuple(columns), mins, maxs)
 
 
+def minmax_aggs(columns: Sequence[str]) -> list:
+    aggs = []
+    for c in columns:
+        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
+    return aggs
+
+
 @dataclass(frozen=True)
 class StdScale:
     columns: tuple[str, ...]

@@ -56,3 +56,18 @@ def hash_split(
 def random_split(df: DataFrame, fractions: Sequence[float] = (0.8, 0.2), seed: int | None = 42) -> list[DataFrame]:
     """Spark's ``randomSplit`` (depends on partitioning; kept for parity)."""
     return df.randomSplit(list(fractions), seed=seed)
+
+
+def materialized_split(
+    df: DataFrame, key: Column, fractions: Sequence[float] = (0.8, 0.2), seed: int = 42
+) -> list[DataFrame]:
+    """Parts of ``df`` from one reliable checkpoint holding a part column.
+
+    Upstream work (e.g. a de-duplication shuffle) runs once; every later
+    read of any part — fitting statistics, iterations, scoring — filters the
+    checkpoint on a small integer instead of recomputing lineage or hashes.
+    """
+    from quarry.session import materialize
+
+    stored = materialize(df.withColumn("_part", split_index(key, fractions, seed)))
+    return [stored.filter(F.col("_part") == i).drop("_part") for i in range(len(fractions))]

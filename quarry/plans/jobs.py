@@ -69,13 +69,21 @@ def fit_classifier(
 ) -> tuple[list[logistic.GDRun], MinMax, DataFrame]:
     """Clean → de-duplicate → 80/20 key split → min-max (train) → class
     weights (train) → batched gradient descent.  Returns runs, scaler, test."""
+    from quarry.functions.scale import minmax_aggs
+    from quarry.operators.split import materialized_split
+
     df = clean.drop_nulls(df.select(*features, label))
     if dedup:
         df = clean.dedup(df)
-    train, test = hash_split(df, key, (0.8, 0.2))
-    mm = fit_minmax(train, features)
-    cw = logistic.inverse_frequency(*logistic.class_counts(train, label))
-    prepared = materialize(mm.transform(train).select(*features, label, logistic.class_weight_col(cw, label).alias("_w")))
+    train, test = materialized_split(df, key, (0.8, 0.2))
+    row = train.agg(
+        *minmax_aggs(features),
+        F.count_if(F.col(label) == 0.0).alias("n0"),
+        F.count_if(F.col(label) == 1.0).alias("n1"),
+    ).first()
+    mm = fit_minmax(train, features, row=row)
+    cw = logistic.inverse_frequency(int(row["n0"]), int(row["n1"]))
+    prepared = mm.transform(train).select(*features, label, logistic.class_weight_col(cw, label).alias("_w"))
     runs = logistic.gradient_descent(prepared, features, configs, max_iter, tol, label, weight_col="_w")
     return runs, mm, test
 
