@@ -177,6 +177,15 @@ def batch_sums_columns(
     a single global aggregate (partial per task, one-row final merge) sums
     everything — one Spark job regardless of the number of vectors.
     """
+    row = sums_frame(base, features, weight_vectors).first()
+    d = len(features)
+    grads = [[row[f"g{k}_{i}"] or 0.0 for i in range(d + 1)] for k in range(len(weight_vectors))]
+    losses = [row[f"loss{k}"] or 0.0 for k in range(len(weight_vectors))]
+    return int(row["n"]), grads, losses
+
+
+def sums_frame(base: DataFrame, features: Sequence[str], weight_vectors: Sequence[Sequence[float]]) -> DataFrame:
+    """The one-row aggregate behind ``batch_sums_columns``."""
     proj = [F.col(c) for c in features] + [F.col("_y"), F.col("_cw")]
     for k, w in enumerate(weight_vectors):
         proj.append(probability(w, features).alias(f"_p{k}"))
@@ -193,11 +202,7 @@ def batch_sums_columns(
         aggs.append(F.sum(e).alias(f"g{k}_0"))
         aggs += [F.sum(e * F.col(c)).alias(f"g{k}_{i + 1}") for i, c in enumerate(features)]
         aggs.append(F.sum(f"_l{k}").alias(f"loss{k}"))
-    row = scored.agg(*aggs).first()
-    d = len(features)
-    grads = [[row[f"g{k}_{i}"] or 0.0 for i in range(d + 1)] for k in range(len(weight_vectors))]
-    losses = [row[f"loss{k}"] or 0.0 for k in range(len(weight_vectors))]
-    return int(row["n"]), grads, losses
+    return scored.agg(*aggs)
 
 
 def _training_base(train: DataFrame, features: Sequence[str], label: str, weight_col) -> DataFrame:
