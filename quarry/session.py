@@ -42,15 +42,26 @@ def get_spark(cpus: str | int = "*", app: str = "quarry", **conf) -> SparkSessio
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a scratch one only for local masters."""
-    sc = spark.sparkContext
+    sc = _context(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on this session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
@@ -77,7 +88,10 @@ def materialize(df: DataFrame, how: str = "checkpoint", balance: bool = True) ->
     round-robin and stored again, so every later pass uses all executors.
     The count is read from the stored result, so nothing runs twice.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
+    sc = _context(df.sparkSession)
+    if sc is None:  # Connect: the server owns partitioning and the folder
+        return df.checkpoint(eager=True) if how == "checkpoint" else df.persist(StorageLevel.MEMORY_AND_DISK)
+    target = sc.defaultParallelism
     if how == "persist":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
         out.count()
