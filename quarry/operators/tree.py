@@ -348,13 +348,19 @@ def fit_tree(
 ) -> Tree:
     """Grow the tree level by level (I9); ``≤ max_depth + 1`` passes."""
     features = list(features)
-    if thresholds is None:
-        thresholds = feature_thresholds(train, features, n_thresholds)
     data = train.select(*[F.col(c).cast("double") for c in features], F.col(label).cast("double").alias("_y"))
     if not prepared:
         data = materialize(data)
-    shift_row = data.agg(F.avg("_y").alias("m")).first()
-    shift = float(shift_row["m"] or 0.0)
+    # One aggregate over the stored rows: candidate ranges and the target
+    # mean used to centre the squares.
+    row = data.agg(
+        *[F.min(c).alias(f"lo_{c}") for c in features],
+        *[F.max(c).alias(f"hi_{c}") for c in features],
+        F.avg("_y").alias("m"),
+    ).first()
+    if thresholds is None:
+        thresholds = {c: equal_width_thresholds(row[f"lo_{c}"], row[f"hi_{c}"], n_thresholds) for c in features}
+    shift = float(row["m"] or 0.0)
     yc = F.col("_y") - F.lit(shift)
 
     tree = Tree(features)

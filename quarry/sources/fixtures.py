@@ -34,7 +34,9 @@ def as_text_file(spark: SparkSession, lines: DataFrame, key: tuple) -> DataFrame
     path = _TEXT_FILES.get(key)
     if path is None:
         path = os.path.join(checkpoint_dir(spark), "fixtures", f"{key[0]}-{uuid.uuid4().hex}")
-        lines.write.mode("overwrite").text(path)
+        # several files, like a real input, so scans are not one task
+        parts = max(8, spark.sparkContext.defaultParallelism)
+        lines.repartition(parts).write.mode("overwrite").text(path)
         _TEXT_FILES[key] = path
     return spark.read.text(path)
 
