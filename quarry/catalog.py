@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from quarry.functions.scale import fit_minmax
 from quarry.operators import clean, evaluate, logistic
 from quarry.operators.split import hash_split
-from quarry.session import materialize
+from quarry.session import materialize, release
 from quarry.sources import fixtures as fx
 
 DIGITS = 6
@@ -64,7 +64,7 @@ def fit_fraud_model(spark: SparkSession, sf_dir: str, configs=None, max_iter=Non
     from quarry.operators.split import materialized_split
 
     df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
-    train, test = materialized_split(df, fx.fraud_row_key(), (0.8, 0.2), seed=42)
+    (train, test), stored = materialized_split(df, fx.fraud_row_key(), (0.8, 0.2), seed=42, with_stored=True)
     feats = fx.FRAUD_FEATURES
     row = train.agg(
         *minmax_aggs(feats),
@@ -83,6 +83,7 @@ def fit_fraud_model(spark: SparkSession, sf_dir: str, configs=None, max_iter=Non
         tol=FRAUD_GD["tol"] if tol is None else tol,
         weight_col="cw",
     )
+    release(stored)  # the stored rows stay readable from the checkpoint
     return runs, mm, test, n0 + n1
 
 

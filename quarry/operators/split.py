@@ -59,8 +59,8 @@ def random_split(df: DataFrame, fractions: Sequence[float] = (0.8, 0.2), seed: i
 
 
 def materialized_split(
-    df: DataFrame, key: Column, fractions: Sequence[float] = (0.8, 0.2), seed: int = 42
-) -> list[DataFrame]:
+    df: DataFrame, key: Column, fractions: Sequence[float] = (0.8, 0.2), seed: int = 42, with_stored: bool = False
+):
     """Parts of ``df`` from one reliable checkpoint holding a part column.
 
     Upstream work (e.g. a de-duplication shuffle) runs once; every later
@@ -70,4 +70,5 @@ def materialized_split(
     from quarry.session import materialize
 
     stored = materialize(df.withColumn("_part", split_index(key, fractions, seed)))
-    return [stored.filter(F.col("_part") == i).drop("_part") for i in range(len(fractions))]
+    parts = [stored.filter(F.col("_part") == i).drop("_part") for i in range(len(fractions))]
+    return (parts, stored) if with_stored else parts

@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.session import materialize
+from quarry.session import materialize, release
 
 # The reference's tree rules.
 MIN_NODE = 2000
@@ -408,6 +408,8 @@ def fit_tree(
         open_nodes = next_open
         level += 1
     tree.nodes = decided
+    if not prepared:
+        release(data)
     return tree
 
 

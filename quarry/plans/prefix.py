@@ -54,7 +54,7 @@ def running_totals(
     ranged = base.repartitionByRange(n, *[F.col(g) for g in group], *order).withColumn(
         PID, F.spark_partition_id()
     )
-    ranged = materialize(ranged, balance=False)
+    ranged = materialize(ranged, balance=False, cache=False)
 
     totals = ranged.groupBy(PID, *group).agg(*[F.sum(v).alias(f"_tot_{v}") for v in names])
     before = Window.partitionBy(*group).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)

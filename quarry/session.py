@@ -75,13 +75,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, how: str = "checkpoint", balance: bool = True) -> DataFrame:
+def materialize(df: DataFrame, how: str = "checkpoint", balance: bool = True, cache: bool = True) -> DataFrame:
     """Materialise ``df`` once for repeated reads by an iterative operator.
 
     ``checkpoint`` (default) writes to the reliable checkpoint folder: the
     frame survives executor loss without recomputing upstream shuffles and
-    its plan is a leaf, so loops never stack plans.  ``persist`` keeps it in
-    executor memory/disk (recomputed from lineage if an executor dies).
+    its plan is a leaf, so loops never stack plans.  With ``cache`` the
+    checkpointed frame is also kept in executor memory/disk, so iterations
+    read memory instead of the shared store; a lost block is rebuilt from
+    the checkpoint files, not from the original lineage.  ``persist`` skips
+    the checkpoint (lost blocks are recomputed from lineage).
 
     With ``balance``, a result that landed in fewer partitions than half the
     cluster's parallelism (one large file, a coalesced shuffle) is spread
@@ -105,4 +108,12 @@ def materialize(df: DataFrame, how: str = "checkpoint", balance: bool = True) ->
     out = df.checkpoint(eager=True)
     if balance and out.rdd.getNumPartitions() < max(1, target // 2):
         out = out.repartition(target).checkpoint(eager=True)
+    if cache:
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
     return out
+
+
+def release(df: DataFrame) -> None:
+    """Drop the executor-side copy of a materialised frame (the checkpoint
+    files stay valid, so later reads still work)."""
+    df.unpersist(blocking=False)
