@@ -8,17 +8,24 @@ in a different order; counts are BIGINT on both sides.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from quarry.functions.scale import fit_minmax
-from quarry.operators import clean, evaluate, logistic
-from quarry.operators.split import hash_split
-from quarry.session import materialize, release
+from quarry.functions.columns import haversine_km, time_parts
+from quarry.functions.columns import threshold as hard_threshold
+from quarry.functions.scale import fit_minmax, fit_std, fit_string_index, minmax_aggs, string_index_table
+from quarry.operators import clean, evaluate, library, logistic, profile
+from quarry.operators import tree as tree_ops
+from quarry.operators.split import hash_split, materialized_split, split_index
+from quarry.session import checkpoint_dir, release
 from quarry.sources import fixtures as fx
+from quarry.sources import io as qio
+from quarry.sources import text
 
 DIGITS = 6
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,8 +67,6 @@ def fit_fraud_model(spark: SparkSession, sf_dir: str, configs=None, max_iter=Non
     training part; every iteration reads the checkpoint.
     Returns ``(runs, minmax, test, n_train)``.
     """
-    from quarry.functions.scale import minmax_aggs
-    from quarry.operators.split import materialized_split
 
     df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
     (train, test), stored = materialized_split(df, fx.fraud_row_key(), (0.8, 0.2), seed=42, with_stored=True)
@@ -104,9 +109,6 @@ def fraud_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ parsing
-from quarry.operators import profile, tree as tree_ops  # noqa: E402
-from quarry.operators.split import split_index  # noqa: E402
-from quarry.sources import text  # noqa: E402
 
 FRAUD_NAMES = fx.FRAUD_HEADER.split(",")
 
@@ -320,8 +322,6 @@ def histogram_50(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- features
-from quarry.functions.columns import haversine_km, threshold as hard_threshold, time_parts  # noqa: E402
-from quarry.functions.scale import fit_std, fit_string_index, string_index_table  # noqa: E402
 
 
 @query
@@ -581,12 +581,6 @@ def pickup_time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------- library models
-import os  # noqa: E402
-import uuid  # noqa: E402
-
-from quarry.operators import library  # noqa: E402
-from quarry.session import checkpoint_dir  # noqa: E402
-from quarry.sources import io as qio  # noqa: E402
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -620,9 +614,7 @@ def lr_sgd_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I14 + I15 + F4: 3×3 (iterations × step) SGD-rule grid in one loop on
     standard-scaled fraud rows; test-part accuracy, support-weighted
     precision/recall/F1, AUC of the hard predictions; best by weighted F1."""
-    from quarry.functions.scale import fit_std
 
-    from quarry.operators.split import materialized_split
 
     df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
     train, test = materialized_split(df, fx.fraud_row_key(), (0.8, 0.2), seed=42)

@@ -18,7 +18,6 @@ from quarry.functions.scale import MinMax, StringIndex, fit_minmax, fit_string_i
 from quarry.operators import clean, evaluate, logistic
 from quarry.operators import tree as tree_ops
 from quarry.operators.split import hash_split
-from quarry.session import materialize
 from quarry.sources import io as qio
 from quarry.sources import text
 

@@ -33,8 +33,6 @@ def test_query_runs(spark, name):
 
 
 def test_stream_scoring(spark, tmp_path):
-    from pyspark.sql import functions as F
-
     from quarry.catalog import fit_trip_tree
     from quarry.sources import fixtures as fx
     from quarry.streaming import scoring

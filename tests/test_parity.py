@@ -11,7 +11,6 @@ from pyspark.ml.evaluation import (
     RegressionEvaluator,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import functions as F
 
 from quarry.operators import evaluate, logistic
 
