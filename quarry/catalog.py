@@ -526,6 +526,16 @@ def tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(nodes.withColumn("impurity", F.round("impurity", 2)).withColumn("depth", F.col("depth").cast("bigint")))
 
 
+@query
+def tree_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I19 for the level-wise tree: variance reduction per feature, summing
+    to 1 (computed from the node table, no pass over rows)."""
+    tree, _, _ = fit_trip_tree(spark, sf_dir)
+    imp = tree_ops.feature_importance(tree)
+    rows = [(f, float(imp[f])) for f in fx.TRIP_FEATURES]
+    return rounded(spark.createDataFrame(rows, "feature string, importance double"))
+
+
 @query
 def tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation rows scored by the fitted tree (nested CASE)."""

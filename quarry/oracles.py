@@ -812,3 +812,13 @@ SELECT id, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS pickup_text,
        hour(strptime(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S'))::INTEGER AS pickup_hour,
        (dayofweek(strptime(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S')) + 1)::INTEGER AS pickup_dayofweek
 FROM ({TRIPS}) t"""
+ORACLES["tree_importances"] = f"""
+WITH {tree_sql(_TRIP_TRAIN, 't_')},
+gains AS (
+  SELECT p.f, p.n * p.impurity - l.n * l.impurity - r.n * r.impurity AS gain
+  FROM t_nodes p JOIN t_nodes l ON l.node = 2 * p.node JOIN t_nodes r ON r.node = 2 * p.node + 1
+  WHERE p.f IS NOT NULL),
+feats(f, feature) AS (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(TRIP_FEATS))})
+SELECT feature, round(CASE WHEN (SELECT sum(gain) FROM gains) > 0
+                           THEN coalesce(sum(g.gain), 0.0) / (SELECT sum(gain) FROM gains) ELSE 0.0 END, 6) AS importance
+FROM feats LEFT JOIN gains g USING (f) GROUP BY feature"""
