@@ -89,7 +89,13 @@ def auc_stepwise(scored: DataFrame, key: Column, p: str = "p", label: str = "lab
     """
     g = scored.select(F.lit(0).alias("_g"), _as_col(p).alias("p"), _as_col(label).alias("label"), key.alias("_k"))
     out = auc_stepwise_grouped(g, "_g", F.col("_k"), n_groups=1, **kw)
-    return out.drop("_g")
+    # a global aggregate over the (at most one) group row: one row even
+    # for empty input, with the reference's 0.0
+    return out.agg(
+        F.coalesce(F.max("auc"), F.lit(0.0)).alias("auc"),
+        F.coalesce(F.max("positives"), F.lit(0)).cast("bigint").alias("positives"),
+        F.coalesce(F.max("negatives"), F.lit(0)).cast("bigint").alias("negatives"),
+    )
 
 
 def auc_stepwise_grouped(
@@ -170,8 +176,8 @@ def auc_ties(scored: DataFrame, p: str = "p", label: str = "label", **kw) -> Dat
     groups = score_groups(scored, p, label)
     ranked = running_totals(groups, order=[F.desc("score")], values={"tp": F.col("pos")}, **kw)
     agg = ranked.agg(
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
+        F.coalesce(F.sum("neg"), F.lit(0)).alias("negatives"),
         F.sum(F.col("neg") * (F.col("cum_tp") - F.col("pos") / 2.0)).alias("_pairs"),
     )
     pn = F.col("positives") * F.col("negatives")
