@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from quarry.functions.columns import haversine_km, time_parts
+from quarry.functions.columns import haversine_km, time_parts, wall_clock
 from quarry.functions.columns import threshold as hard_threshold
 from quarry.functions.scale import fit_minmax, fit_std, fit_string_index, minmax_aggs, string_index_table
 from quarry.operators import clean, evaluate, library, logistic, profile
@@ -584,8 +584,7 @@ def pickup_time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fx.trips(spark, sf_dir).select(
         "id", F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss").alias("pickup_text")
     )
-    ts = F.try_to_timestamp(F.col("pickup_text"), F.lit("yyyy-MM-dd HH:mm:ss"))
-    parts = time_parts(ts)
+    parts = time_parts(wall_clock(F.col("pickup_text")))
     return t.select("id", "pickup_text", parts["pickup_hour"].alias("pickup_hour"),
                     parts["pickup_dayofweek"].alias("pickup_dayofweek"))
 

@@ -28,6 +28,23 @@ def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colu
     return F.lit(2.0 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a))
 
 
+# Fixed value: the wall-clock text layout of the reference's trip files.
+WALL_CLOCK_PATTERN = r"^(\d{4})-(\d{2})-(\d{2})[ T](\d{2}):(\d{2}):(\d{2}(?:\.\d{1,6})?)$"
+
+
+def wall_clock(text: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss[.ffffff]`` text → timestamp without zone.
+
+    Built from the extracted parts with ``try_make_timestamp_ntz``, so the
+    value is the written wall-clock time whatever the session time zone (no
+    DST shift) and malformed or impossible dates give NULL, not an error.
+    """
+    part = lambda i, t: F.regexp_extract(text, WALL_CLOCK_PATTERN, i).try_cast(t)
+    return F.try_make_timestamp_ntz(
+        part(1, "int"), part(2, "int"), part(3, "int"), part(4, "int"), part(5, "int"), part(6, "decimal(16,6)")
+    )
+
+
 def time_parts(ts: Column) -> dict[str, Column]:
     """``pickup_hour`` (0-23) and ``pickup_dayofweek`` (1 = Sunday)."""
     return {"pickup_hour": F.hour(ts), "pickup_dayofweek": F.dayofweek(ts)}

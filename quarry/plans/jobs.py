@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import haversine_km, time_parts
+from quarry.functions.columns import haversine_km, time_parts, wall_clock
 from quarry.functions.scale import MinMax, StringIndex, fit_minmax, fit_string_index
 from quarry.operators import clean, evaluate, logistic
 from quarry.operators import tree as tree_ops
@@ -37,7 +37,7 @@ def prepare_trips(df: DataFrame, fitted: TripPrep | None = None, with_label: boo
     distance, flag index (fitted once), NULL drop, structured filter."""
     ts = F.col("pickup_datetime")
     if dict(df.dtypes).get("pickup_datetime") == "string":
-        ts = F.try_to_timestamp(ts)
+        ts = wall_clock(ts)
     parts = time_parts(ts)
     out = df.withColumns(
         {

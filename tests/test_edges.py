@@ -66,3 +66,16 @@ def test_perfect_separation_and_all_equal_scores(spark):
     assert evaluate.auc_ties(df).first()["auc"] == 1.0
     same = spark.createDataFrame([(0.5, float(i % 2), str(i)) for i in range(10)], "p double, label double, key string")
     assert evaluate.auc_ties(same).first()["auc"] == 0.5
+
+
+def test_wall_clock_parse_is_zone_free_and_null_safe(spark):
+    from quarry.functions.columns import wall_clock
+
+    rows = [("2024-03-10 02:30:00",), ("2024-02-30 10:00:00",), ("junk",), ("2024-01-07 23:59:59.5",)]
+    df = spark.createDataFrame(rows, "t string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r[0] for r in df.select(F.hour(wall_clock(F.col("t")))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [2, None, None, 23]
