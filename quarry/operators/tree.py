@@ -77,9 +77,53 @@ class Tree:
         """Id of the leaf each row falls in."""
         return self._expr(1, lambda n: F.lit(n.node_id))
 
-    def predict(self, df: DataFrame, output: str = "prediction") -> DataFrame:
+    # Up to this many nodes the tree is one nested CASE (whole-stage
+    # codegen); larger trees are walked with numpy per Arrow batch.
+    CASE_NODE_LIMIT = 255
+
+    def predict(self, df: DataFrame, output: str = "prediction", method: str = "auto") -> DataFrame:
+        """Add ``output``; ``method`` is ``case``, ``arrow`` or ``auto``."""
+        if method == "arrow" or (method == "auto" and len(self.nodes) > self.CASE_NODE_LIMIT):
+            return self._predict_arrow(df, output)
         return df.withColumn(output, self.predict_col())
 
+    def _predict_arrow(self, df: DataFrame, output: str) -> DataFrame:
+        """Vectorised traversal: node arrays (feature, threshold, prediction,
+        leaf flag) indexed by heap id travel to the tasks; every row of a
+        batch descends one level per step, at most ``depth`` steps."""
+        import numpy as np
+
+        size = max(self.nodes) + 1
+        feat = np.full(size, -1, dtype=np.int64)
+        thr = np.zeros(size)
+        pred = np.zeros(size)
+        for nid, n in self.nodes.items():
+            pred[nid] = n.prediction
+            if not n.is_leaf:
+                feat[nid], thr[nid] = n.feature, n.threshold
+        cols = list(self.features)
+        depth = self.depth()
+        from pyspark.sql.types import DoubleType, StructField, StructType
+
+        schema = StructType([f for f in df.schema.fields if f.name != output] + [StructField(output, DoubleType())])
+
+        def walk(batches):
+            for pdf in batches:
+                x = pdf[cols].to_numpy(dtype=float)
+                node = np.ones(len(pdf), dtype=np.int64)
+                for _ in range(depth):
+                    f = feat[node]
+                    inner = f >= 0
+                    if not inner.any():
+                        break
+                    v = x[np.arange(len(pdf)), np.where(inner, f, 0)]
+                    # x <= t goes left (2i); NaN compares False and goes right
+                    child = 2 * node + np.where(v <= thr[node], 0, 1)
+                    node = np.where(inner, child, node)
+                yield pdf.drop(columns=[output], errors="ignore").assign(**{output: pred[node]})
+
+        return df.mapInPandas(walk, schema)
+
     # ------------------------------------------------------------ tables
     def node_rows(self) -> list[tuple]:
         rows = []

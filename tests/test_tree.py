@@ -110,3 +110,11 @@ def test_save_load_round_trip(spark, tmp_path):
     b = loaded.predict(df).select(F.sum("prediction")).first()[0]
     assert math.isclose(a, b)
     assert "If (" in tree.debug_string()
+
+
+def test_arrow_traversal_equals_case_expression(spark):
+    rows, df = _data(spark, n=800, seed=9)
+    tree = T.fit_tree(df, ["a", "b"], "y", max_depth=6, min_node=10, min_side=5)
+    a = {r["a"]: r["prediction"] for r in tree.predict(df, method="case").collect()}
+    b = {r["a"]: r["prediction"] for r in tree.predict(df, method="arrow").collect()}
+    assert len(tree.nodes) > 3 and a == b
