@@ -102,6 +102,19 @@ def _loss_term(p: Column, y: Column, cw: Column) -> Column:
 # Above this many (features + 1) × configurations, the literal-expression
 # aggregate outgrows generated-code limits; switch to Arrow batches + numpy.
 ARROW_THRESHOLD = 96
+# Each column-path iteration compiles new code for its literal weights (a
+# fixed cost of a few hundred ms with many configurations).  When the first
+# iteration shows a training set below this many rows, that fixed cost
+# dominates and later iterations of multi-configuration fits use the Arrow
+# path; large sets stay on the JVM path.
+SMALL_ROWS = 1_000_000
+MULTI_CONFIG = 4
+
+
+def _next_method(method: str, n: int, configs: int) -> str:
+    if method != "auto":
+        return method
+    return "arrow" if (n <= SMALL_ROWS and configs >= MULTI_CONFIG) else "auto"
 
 
 def batch_sums(
@@ -240,6 +253,7 @@ def gradient_descent(
             break
         start = time.time()
         n, grads, losses = batch_sums(base, features, [r.weights for r in active], method)
+        method = _next_method(method, n, len(runs))
         elapsed = time.time() - start
         if n == 0:
             for r in active:
@@ -287,6 +301,7 @@ def sgd_fit(
             break
         start = time.time()
         n, grads, losses = batch_sums(base, features, [r.weights for _, r in active], method)
+        method = _next_method(method, n, len(runs))
         elapsed = time.time() - start
         if n == 0:
             break
