@@ -47,13 +47,15 @@ def running_totals(
     offsets when grouping).
     """
     spark = df.sparkSession
+    # Without an explicit count, AQE may coalesce adjacent ranges to the data
+    # size (order is kept); the count never exceeds the shuffle partitions.
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = list(group)
     names = list(values)
     base = df.withColumns(dict(values))
-    ranged = base.repartitionByRange(n, *[F.col(g) for g in group], *order).withColumn(
-        PID, F.spark_partition_id()
-    )
+    keys = [*[F.col(g) for g in group], *order]
+    ranged = base.repartitionByRange(num_partitions, *keys) if num_partitions else base.repartitionByRange(*keys)
+    ranged = ranged.withColumn(PID, F.spark_partition_id())
     ranged = materialize(ranged, balance=False, cache=False)
 
     totals = ranged.groupBy(PID, *group).agg(*[F.sum(v).alias(f"_tot_{v}") for v in names])
