@@ -678,6 +678,26 @@ def dt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(library.importances_table(spark, model, feats))
 
 
+@query
+def dt_deep_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I17 + A13 + I11: the RDD-era library tree (depth 20, 32 bins, variance)
+    on the six positional features of the parsed train lines, 70/30 key
+    split; the model is saved, loaded back and scored on the 30 %."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    lines = text.drop_header(fx.trip_lines(spark, sf_dir), fx.TRIP_HEADER)
+    parsed = text.accepted(text.parse_trip_train(lines, filters=False))
+    train, valid = hash_split(parsed, F.col("id"), (0.7, 0.3), seed=42)
+    dt = DecisionTreeRegressor(featuresCol="features", labelCol="trip_duration", maxDepth=20, maxBins=32,
+                               impurity="variance", seed=42)
+    model = dt.fit(library.assemble(train, fx.TRIP_FEATURES))
+    path = scratch_path(spark, "dt-deep")
+    library.save_tree_model(model, path)
+    loaded = library.load_tree_model(path)
+    pred = loaded.transform(library.assemble(valid, fx.TRIP_FEATURES))
+    return rounded(evaluate.regression_metrics(pred, "prediction", "trip_duration"), 4)
+
+
 @query
 def dt_cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """maxDepth {5,7,10} × minInstancesPerNode {1,10,50}, 3 folds, RMSE."""
