@@ -126,25 +126,24 @@ def quantile_summary(
 
 
 def label_correlation(df: DataFrame, columns: Sequence[str], label: str = "label") -> DataFrame:
-    """Pearson correlation of each column with the label from raw moments;
-    the denominator is ``sqrt(max(var_x·var_y, 1e-10))`` so a constant
-    column gives 0 instead of a division error."""
+    """Pearson correlation of each column with the label, denominator
+    ``sqrt(max(var_x·var_y, 1e-10))`` so a constant column gives 0 instead
+    of a division error.
+
+    The reference sums raw moments (Σx², Σxy), which cancel catastrophically
+    for large-mean columns over billions of rows; Spark's ``covar_pop`` /
+    ``var_pop`` merge centred moments per task, so the same formula stays
+    accurate at scale."""
     y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
+    aggs = [F.count(F.lit(1)).alias("n"), F.var_pop(y).alias("vy")]
     for c in columns:
         x = F.col(c).cast("double")
-        aggs += [F.sum(x).alias(f"sx_{c}"), F.sum(x * x).alias(f"sxx_{c}"), F.sum(x * y).alias(f"sxy_{c}")]
+        aggs += [F.covar_pop(x, y).alias(f"cov_{c}"), F.var_pop(x).alias(f"vx_{c}")]
     moments = df.agg(*aggs)
-    n = F.col("n").cast("double")
-    my = F.col("sy") / n
-    vy = F.col("syy") / n - my * my
     cols = []
     for c in columns:
-        mx = F.col(f"sx_{c}") / n
-        cov = F.col(f"sxy_{c}") / n - mx * my
-        vx = F.col(f"sxx_{c}") / n - mx * mx
         corr = F.when(F.col("n") == 0, F.lit(0.0)).otherwise(
-            cov / F.sqrt(F.greatest(vx * vy, F.lit(CORR_FLOOR)))
+            F.col(f"cov_{c}") / F.sqrt(F.greatest(F.col(f"vx_{c}") * F.col("vy"), F.lit(CORR_FLOOR)))
         )
         cols.append(corr.alias(f"r_{c}"))
     return _per_column(moments.select(*cols), columns, {"correlation": "r_{c}"})

@@ -85,3 +85,25 @@ def test_string_index_case_and_join_paths_agree(spark):
     small = StringIndex(("s",), ("v1", "v2"))
     got = {r["s"]: r["ix"] for r in small.transform(df, "ix").collect()}
     assert got["v1"] == 0.0 and got["v2"] == 1.0 and got["v3"] == 2.0
+
+
+def test_correlation_stable_for_large_means(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=2000)
+    y = (x + rng.normal(size=2000) > 0).astype(float)
+    shifted = x + 1e9  # raw moments would cancel; centred ones do not
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(shifted, y)], "x double, label double")
+    got = profile.label_correlation(df, ["x"]).first()["correlation"]
+    assert math.isclose(got, float(np.corrcoef(x, y)[0, 1]), rel_tol=1e-6)
+
+
+def test_range_partitions_balanced_with_hot_score(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(0.5 if i % 3 == 0 else (i % 997) / 997.0, f"k{i:06d}") for i in range(30000)]
+    df = spark.createDataFrame(rows, "p double, key string")
+    sizes = [r[1] for r in df.repartitionByRange(10, F.desc("p"), F.asc("key"))
+             .groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * (30000 / 10)  # the hot third is spread over several ranges
