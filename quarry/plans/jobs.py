@@ -99,15 +99,19 @@ def regression_job(
     spark: SparkSession,
     train_lines: DataFrame,
     test_lines: DataFrame,
-    train_header: str,
-    test_header: str,
+    train_header: str | None = None,
+    test_header: str | None = None,
     output: str | None = None,
     fmt: str = "csv",
     tree_params: dict | None = None,
 ) -> DataFrame:
     """The low-level regression job: parse train/test text, fit the
     level-wise tree on 80 % of the train rows, score the test rows, and
-    optionally write ``(id, trip_duration)`` as CSV, parquet or text."""
+    optionally write ``(id, trip_duration)`` as CSV, parquet or text.
+    Without explicit headers, the first line of each input is the header
+    and every copy of it is dropped (the reference's rule)."""
+    train_header = train_header if train_header is not None else text.first_line(train_lines)
+    test_header = test_header if test_header is not None else text.first_line(test_lines)
     train = text.accepted(text.parse_trip_train(text.drop_header(train_lines, train_header)))
     fit_part, _ = hash_split(train, F.col("id"), (0.8, 0.2))
     tree = tree_ops.fit_tree(fit_part, tree_ops_features(), "trip_duration", **(tree_params or {}))

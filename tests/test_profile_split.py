@@ -107,3 +107,11 @@ def test_range_partitions_balanced_with_hot_score(spark):
     sizes = [r[1] for r in df.repartitionByRange(10, F.desc("p"), F.asc("key"))
              .groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 2 * (30000 / 10)  # the hot third is spread over several ranges
+
+
+def test_xxhash_split_disjoint_complete(spark):
+    df = spark.range(3000).withColumn("k", F.col("id").cast("string"))
+    a, b = hash_split(df, F.col("k"), (0.7, 0.3), method="xxhash64")
+    na, nb = a.count(), b.count()
+    assert na + nb == 3000 and 0.65 < na / 3000 < 0.75
+    assert a.join(b, "id").count() == 0
