@@ -18,6 +18,7 @@ from quarry.functions.scale import MinMax, StringIndex, fit_minmax, fit_string_i
 from quarry.operators import clean, evaluate, logistic
 from quarry.operators import tree as tree_ops
 from quarry.operators.split import hash_split
+from quarry.session import release
 from quarry.sources import io as qio
 from quarry.sources import text
 
@@ -130,3 +131,122 @@ def regression_job(
 def tree_ops_features() -> list[str]:
     return ["vendor_id", "passenger_count", "pickup_longitude", "pickup_latitude", "dropoff_longitude",
             "dropoff_latitude"]
+
+
+def classification_job(
+    spark: SparkSession,
+    lines: DataFrame,
+    header: str | None = None,
+    drop: Sequence[str] = ("time",),
+    learning_rates: Sequence[float] = (0.01, 0.1, 0.5),
+    reg_params: Sequence[float] = (0.001, 0.01, 0.1),
+    max_iter: int = 30,
+    tol: float = 1e-4,
+    thresholds: Sequence[float] = evaluate.SWEEP_THRESHOLDS,
+    features_output: str | None = None,
+) -> dict[str, DataFrame]:
+    """The hand-written classification notebook as one job.
+
+    Parse (first line = header, every copy dropped; rejects kept), profile,
+    de-duplicate, key-hash split, fit min-max and class weights on the
+    training part, fit the whole (learning rate × reg) grid in one loop, pick
+    the highest stepwise AUC on the test part (first wins), then report the
+    threshold sweep.  Returns named report DataFrames; optionally writes the
+    scaled features as parquet.
+    """
+    from quarry.operators import profile
+    from quarry.operators.split import materialized_split
+
+    header = header if header is not None else text.first_line(lines)
+    names = header.split(",")
+    label = names[-1]
+    parsed = text.parse_labelled(text.drop_header(lines, header), names, skip=tuple(drop))
+    feats = [c for c in names[:-1] if c not in drop]
+    report = profile.cleaning_report(parsed, F.col(text.REASON).isNull(), feats + [label], len(feats))
+    clean_rows = clean.dedup(text.accepted(parsed))
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in feats + [label]])
+    (train, test), stored = materialized_split(clean_rows, key, (0.8, 0.2), with_stored=True)
+    from quarry.functions.scale import minmax_aggs
+
+    row = train.agg(
+        *minmax_aggs(feats),
+        F.count_if(F.col(label) == 0.0).alias("n0"),
+        F.count_if(F.col(label) == 1.0).alias("n1"),
+    ).first()
+    mm = fit_minmax(train, feats, row=row)
+    cw = logistic.inverse_frequency(int(row["n0"]), int(row["n1"]))
+    prepared = mm.transform(train).select(*feats, label, logistic.class_weight_col(cw, label).alias("_w"))
+    configs = [(lr, reg) for lr in learning_rates for reg in reg_params]
+    runs = logistic.gradient_descent(prepared, feats, configs, max_iter, tol, label, weight_col="_w")
+    stest = mm.transform(test)
+    scored = stest.select(
+        F.inline(F.array(*[
+            F.struct(F.lit(i).alias("config_index"), logistic.probability(r.weights, feats).alias("p"))
+            for i, r in enumerate(runs)
+        ])),
+        F.col(label).alias("label"),
+        key.alias("_key"),
+    )
+    aucs = evaluate.auc_stepwise_grouped(scored, "config_index", F.col("_key"), n_groups=len(runs)).collect()
+    best_i, best_auc = None, 0.0
+    for r in sorted(aucs, key=lambda r: r["config_index"]):
+        if r["auc"] > best_auc:  # strict, from 0.0: first best wins
+            best_i, best_auc = r["config_index"], r["auc"]
+    best_i = 0 if best_i is None else best_i
+    weights = runs[best_i].weights
+    final = logistic.score(stest, weights, feats)
+    out = {
+        "cleaning": report,
+        "class_distribution": profile.class_distribution(clean_rows, label),
+        "feature_summary": profile.feature_summary(clean_rows, feats),
+        "correlation": profile.label_correlation(clean_rows, feats, label),
+        "history": logistic.history_frame(spark, runs),
+        "coefficients": logistic.coefficient_frame(spark, weights, feats),
+        "sweep": evaluate.threshold_sweep(final, thresholds, "p", label),
+        "auc": evaluate.auc_stepwise(final, key, "p", label),
+        "rejects": text.rejected(parsed),
+    }
+    if features_output:
+        qio.write_parquet(mm.transform(clean_rows), features_output)
+    release(stored)
+    return out
+
+
+def structured_regression_job(
+    df: DataFrame,
+    test: DataFrame | None = None,
+    output: str | None = None,
+    max_depths: Sequence[int] = (5, 7, 10),
+    min_instances: Sequence[int] = (1, 10, 50),
+    folds: int = 3,
+) -> dict[str, DataFrame]:
+    """The structured regression notebook as one job: prepare (time parts,
+    haversine, flag index fitted on the training rows and re-used), 80/20
+    key split, Spark ML tree (depth 5) and a cross-validated grid, RMSE/R²
+    on the validation part, and optional scoring of ``test`` to CSV."""
+    from quarry.operators import library
+
+    prepared, fitted = prepare_trips(df)
+    train, valid = hash_split(prepared, F.col("id"), (0.8, 0.2))
+    base = library.fit_tree_regressor(train, TRIP_MODEL_FEATURES, "trip_duration")
+    cv_model, grid = library.cross_validate_tree(
+        train, TRIP_MODEL_FEATURES, "trip_duration", max_depths, min_instances, folds
+    )
+    best = cv_model.bestModel
+    pred = best.transform(library.assemble(valid, TRIP_MODEL_FEATURES))
+    spark = df.sparkSession
+    out = {
+        "base_importances": library.importances_table(spark, base, TRIP_MODEL_FEATURES),
+        "cv_grid": grid,
+        "best_importances": library.importances_table(spark, best, TRIP_MODEL_FEATURES),
+        "validation": evaluate.regression_metrics(pred, "prediction", "trip_duration"),
+    }
+    if test is not None:
+        prepared_test, _ = prepare_trips(test, fitted, with_label=False)
+        scored = best.transform(library.assemble(prepared_test, TRIP_MODEL_FEATURES)).select(
+            "id", F.col("prediction").alias("trip_duration")
+        )
+        out["scored"] = scored
+        if output:
+            qio.write_csv(scored, output)
+    return out

@@ -66,3 +66,29 @@ def test_regression_job_sinks(spark, tmp_path):
         back = {"csv": lambda: spark.read.option("header", True).csv(out),
                 "parquet": lambda: spark.read.parquet(out), "text": lambda: spark.read.text(out)}[fmt]()
         assert back.count() == n > 0
+
+
+def test_classification_job(spark, tmp_path):
+    from quarry.plans.jobs import classification_job
+    from quarry.sources import fixtures as fx
+
+    out = classification_job(spark, fx.fraud_lines(spark, SF001), header=fx.FRAUD_HEADER,
+                             learning_rates=(0.1, 0.5), reg_params=(0.01,),
+                             max_iter=5, features_output=str(tmp_path / "features"))
+    rep = out["cleaning"].first()
+    assert rep["valid"] + rep["rejected"] == rep["raw_lines"]
+    assert out["sweep"].count() == 5 and 0.0 <= out["auc"].first()["auc"] <= 1.0
+    assert out["history"].count() >= 2 and out["coefficients"].count() == 4
+    assert spark.read.parquet(str(tmp_path / "features")).count() == rep["distinct_valid"]
+
+
+def test_structured_regression_job(spark, tmp_path):
+    from quarry.plans.jobs import structured_regression_job
+    from quarry.sources import fixtures as fx
+
+    trips = fx.trips(spark, SF001)
+    test = trips.drop("trip_duration")
+    out = structured_regression_job(trips, test, str(tmp_path / "sub"), max_depths=(2, 3), min_instances=(1,), folds=2)
+    assert out["cv_grid"].count() == 2
+    assert out["validation"].first()["n"] > 0
+    assert spark.read.option("header", True).csv(str(tmp_path / "sub")).count() == out["scored"].count()
