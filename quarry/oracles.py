@@ -51,40 +51,40 @@ def report_cols(tp="tp", fp="fp", tn="tn", fn="fn") -> str:
     return f"{r(acc)} AS accuracy, {r(prec)} AS precision, {r(rec)} AS recall, {r(f1)} AS f1"
 
 
-def gd_cte(lr: float, reg: float, max_iter: int, tol: float, train: str = "strain") -> str:
-    """Recursive CTE of full-batch gradient descent over ``train(x1,x2,x3,y,cw)``.
+def gd_cte(lr: float, reg: float, max_iter: int, tol: float, train: str = "strain", k: int = 3) -> str:
+    """Recursive CTE of full-batch gradient descent over ``train(x1..xk, y, cw)``.
 
     Row ``it`` holds the weights after ``it`` updates and the loss measured
     before the last update; recursion stops after ``max_iter`` rows or when
     the loss change falls below ``tol`` (that update is still applied).
     """
-    z = "g.b0 + g.b1 * s.x1 + g.b2 * s.x2 + g.b3 * s.x3"
+    idx = range(1, k + 1)
+    bs = ", ".join(f"b{i}" for i in idx)
+    z = "g.b0 + " + " + ".join(f"g.b{i} * s.x{i}" for i in idx)
+    regl = " + ".join(f"0.5 * {reg} * b{i} * b{i}" for i in idx)
     return f"""
-gd(it, b0, b1, b2, b3, loss, change) AS (
-  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE, 'inf'::DOUBLE
+gd(it, b0, {bs}, loss, change) AS (
+  SELECT 0, 0.0::DOUBLE, {", ".join("0.0::DOUBLE" for _ in idx)}, NULL::DOUBLE, 'inf'::DOUBLE
   UNION ALL
   SELECT it + 1,
          b0 - {lr} * (se / n),
-         b1 - {lr} * (se1 / n + {reg} * b1),
-         b2 - {lr} * (se2 / n + {reg} * b2),
-         b3 - {lr} * (se3 / n + {reg} * b3),
-         sl / n + (0.5 * {reg} * b1 * b1 + 0.5 * {reg} * b2 * b2 + 0.5 * {reg} * b3 * b3),
-         CASE WHEN loss IS NULL THEN 'inf'::DOUBLE
-              ELSE abs(sl / n + (0.5 * {reg} * b1 * b1 + 0.5 * {reg} * b2 * b2 + 0.5 * {reg} * b3 * b3) - loss) END
+         {", ".join(f"b{i} - {lr} * (se{i} / n + {reg} * b{i})" for i in idx)},
+         sl / n + ({regl}),
+         CASE WHEN loss IS NULL THEN 'inf'::DOUBLE ELSE abs(sl / n + ({regl}) - loss) END
   FROM (
-    SELECT it, b0, b1, b2, b3, loss, count(*) AS n,
-           sum(e) AS se, sum(e * x1) AS se1, sum(e * x2) AS se2, sum(e * x3) AS se3, sum(l) AS sl
+    SELECT it, b0, {bs}, loss, count(*) AS n,
+           sum(e) AS se, {", ".join(f"sum(e * x{i}) AS se{i}" for i in idx)}, sum(l) AS sl
     FROM (
-      SELECT it, b0, b1, b2, b3, loss, x1, x2, x3, cw * (p - y) AS e,
+      SELECT it, b0, {bs}, loss, {", ".join(f"x{i}" for i in idx)}, cw * (p - y) AS e,
              CASE WHEN y = 1.0 THEN -cw * ln(p + 1e-9) ELSE -cw * ln(1.0 - p + 1e-9) END AS l
       FROM (
-        SELECT g.it, g.b0, g.b1, g.b2, g.b3, g.loss, s.x1, s.x2, s.x3, s.y, s.cw,
-               {sigmoid(z)} AS p
+        SELECT g.it, g.b0, {", ".join(f"g.b{i}" for i in idx)}, g.loss, {", ".join(f"s.x{i}" for i in idx)},
+               s.y, s.cw, {sigmoid(z)} AS p
         FROM gd g, {train} s
         WHERE g.it < {max_iter} AND g.change >= {tol}
       ) a
     ) b
-    GROUP BY it, b0, b1, b2, b3, loss
+    GROUP BY it, b0, {bs}, loss
   ) c
 )"""
 
@@ -822,3 +822,42 @@ feats(f, feature) AS (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(TR
 SELECT feature, round(CASE WHEN (SELECT sum(gain) FROM gains) > 0
                            THEN coalesce(sum(g.gain), 0.0) / (SELECT sum(gain) FROM gains) ELSE 0.0 END, 6) AS importance
 FROM feats LEFT JOIN gains g USING (f) GROUP BY feature"""
+
+
+# ------------------------------------------------------- flagship, 4 features
+FRAUD_WIDE = """
+SELECT l_quantity AS f1, l_discount AS f2,
+       CASE WHEN l_tax = 0.0 THEN NULL ELSE l_tax END AS f3, l_extendedprice AS f4,
+       CASE WHEN l_quantity * l_discount > 4.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label
+FROM lineitem"""
+_W_CLEAN = f"""
+SELECT DISTINCT * FROM ({FRAUD_WIDE}) t
+WHERE f1 IS NOT NULL AND NOT isnan(f1) AND f2 IS NOT NULL AND NOT isnan(f2) AND f3 IS NOT NULL AND NOT isnan(f3)
+  AND f4 IS NOT NULL AND NOT isnan(f4) AND label IS NOT NULL AND NOT isnan(label)"""
+_W_KEY = "concat_ws('|', " + ", ".join(f"CAST({c} AS DECIMAL(20,6))::VARCHAR" for c in ("f1", "f2", "f3", "f4", "label")) + ")"
+_W_SPLIT = f"SELECT f1, f2, f3, f4, label, {hash_bucket(_W_KEY)} AS bucket FROM ({_W_CLEAN}) c"
+_W_MM = ", ".join(f"min(f{i}) AS lo{i}, greatest(max(f{i}) - min(f{i}), 1e-8) AS r{i}" for i in range(1, 5))
+_W_X = ", ".join(f"(f{i} - lo{i}) / r{i} AS x{i}" for i in range(1, 5))
+ORACLES["fraud_report_wide"] = f"""
+WITH RECURSIVE split AS ({_W_SPLIT}),
+train AS (SELECT * FROM split WHERE bucket < 80),
+test AS (SELECT * FROM split WHERE bucket >= 80),
+mm AS (SELECT {_W_MM} FROM train),
+cwt AS (SELECT n0, n1,
+               CASE WHEN n0 = 0 OR n1 = 0 THEN 1.0 ELSE (n0 + n1)::DOUBLE / (n0 * 2.0) END AS w0,
+               CASE WHEN n0 = 0 OR n1 = 0 THEN 1.0 ELSE (n0 + n1)::DOUBLE / (n1 * 2.0) END AS w1
+        FROM (SELECT count_if(label = 0.0) AS n0, count_if(label = 1.0) AS n1 FROM train) c),
+strain AS (SELECT {_W_X}, label AS y, CASE WHEN label = 1.0 THEN w1 WHEN label = 0.0 THEN w0 ELSE 1.0 END AS cw
+           FROM train, mm, cwt),
+stest AS (SELECT {_W_X}, label AS y FROM test, mm),
+{gd_cte(0.5, 0.01, 10, 1e-4, k=4)},
+fin AS (SELECT * FROM gd WHERE it = (SELECT max(it) FROM gd)),
+scored AS (SELECT y, {sigmoid("fin.b0 + fin.b1 * x1 + fin.b2 * x2 + fin.b3 * x3 + fin.b4 * x4")} AS p FROM stest, fin),
+conf AS (SELECT count_if(p >= 0.5 AND y = 1.0)::BIGINT AS tp, count_if(p >= 0.5 AND y = 0.0)::BIGINT AS fp,
+                count_if(p < 0.5 AND y = 0.0)::BIGINT AS tn, count_if(p < 0.5 AND y = 1.0)::BIGINT AS fn
+         FROM scored)
+SELECT 0.5::DOUBLE AS threshold, tp, fp, tn, fn, {report_cols()},
+       (SELECT (n0 + n1)::BIGINT FROM cwt) AS n_train,
+       fin.it::BIGINT AS iterations, {r("fin.loss")} AS final_loss,
+       {r("fin.b0")} AS w0, {r("fin.b1")} AS w1, {r("fin.b2")} AS w2, {r("fin.b3")} AS w3, {r("fin.b4")} AS w4
+FROM conf, fin"""

@@ -237,10 +237,11 @@ def scored_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("id", "trip_duration", pred.alias("prediction"))
 
 
-def fraud_row_key(prefix: str = "") -> Column:
+def fraud_row_key(wide: bool = False) -> Column:
     """Canonical text of a fraud row (all columns), for hashing and ties."""
+    feats = FRAUD_FEATURES_WIDE if wide else FRAUD_FEATURES
     return F.concat_ws(
         "|",
-        *[F.col(c).cast("decimal(20,6)").cast("string") for c in FRAUD_FEATURES],
+        *[F.col(c).cast("decimal(20,6)").cast("string") for c in feats],
         F.col("label").cast("decimal(20,6)").cast("string"),
     )
