@@ -3,10 +3,12 @@
 ``Window.orderBy(...)`` with no ``partitionBy`` moves every row into a single
 task.  Instead:
 
-1. ``repartitionByRange(n, group..., order...)`` — Spark samples the sort key
-   and cuts it into ``n`` balanced ranges, so even a score shared by a third
-   of all rows is spread over many partitions when the order key is unique
-   (callers add a row key as the last order column, or aggregate first).
+1. ``repartitionByRange(group..., order...)`` — Spark samples the sort key
+   and cuts it into balanced ranges (``spark.sql.shuffle.partitions`` of
+   them, or ``num_partitions``; AQE may merge adjacent small ranges), so even
+   a score shared by a third of all rows is spread over many partitions when
+   the order key is unique (callers add a row key as the last order column,
+   or aggregate identical rows first).
 2. The range-partitioned frame is checkpointed, which freezes the
    partition number (``spark_partition_id``) of every row.
 3. Per-partition totals form a table of at most ``n + groups`` rows; a window
