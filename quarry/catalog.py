@@ -312,6 +312,13 @@ def quantile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.quantile_summary(fx.trips(spark, sf_dir), ["trip_duration"], accuracy=1_000_000)
 
 
+@query
+def quantile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 without a sketch: exact quartiles of every numeric trip column
+    from grouped counts and distributed running totals."""
+    return profile.exact_quantiles(fx.trips(spark, sf_dir), TRIP_NUMERIC)
+
+
 @query
 def label_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pearson correlation of each fraud feature with the label."""

@@ -125,6 +125,39 @@ def quantile_summary(
     return _per_column(df.agg(*aggs), columns, fields)
 
 
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], quantiles: Sequence[float] = QUANTILES
+) -> DataFrame:
+    """``min, q.., max`` per column, exactly: the q-quantile is the smallest
+    value whose cumulative count reaches ``q·n`` (rank ``⌈q·n⌉``).
+
+    No sketch memory: values are counted per (column, value) — a partial
+    aggregate, so a value held by a third of all rows is one row — then
+    ranked by the distributed running totals of ``quarry.plans.prefix``; the
+    per-column row counts (one row per column) set the target ranks.
+    """
+    import math
+
+    from quarry.plans.prefix import running_totals
+
+    cols = list(columns)
+    values = df.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]))
+    ).filter(F.col("value").isNotNull())
+    counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+    n_by_col = {r["column"]: int(r["n"]) for r in counts.groupBy("column").agg(F.sum("c").alias("n")).collect()}
+    ranked = running_totals(counts, [F.asc("value")], {"c": F.col("c")}, group=["column"], max_groups=len(cols))
+    aggs = [F.min("value").alias("min")]
+    for q in quantiles:
+        target = F.lit(None).cast("bigint")
+        for c in cols:
+            r = max(1, math.ceil(q * n_by_col.get(c, 0)))
+            target = F.when(F.col("column") == c, F.lit(r)).otherwise(target)
+        aggs.append(F.min(F.when(F.col("cum_c") >= target, F.col("value"))).alias(f"q{int(round(q * 100))}"))
+    aggs.append(F.max("value").alias("max"))
+    return ranked.groupBy("column").agg(*aggs)
+
+
 def label_correlation(df: DataFrame, columns: Sequence[str], label: str = "label") -> DataFrame:
     """Pearson correlation of each column with the label, denominator
     ``sqrt(max(var_x·var_y, 1e-10))`` so a constant column gives 0 instead

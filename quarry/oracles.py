@@ -861,3 +861,8 @@ SELECT 0.5::DOUBLE AS threshold, tp, fp, tn, fn, {report_cols()},
        fin.it::BIGINT AS iterations, {r("fin.loss")} AS final_loss,
        {r("fin.b0")} AS w0, {r("fin.b1")} AS w1, {r("fin.b2")} AS w2, {r("fin.b3")} AS w3, {r("fin.b4")} AS w4
 FROM conf, fin"""
+ORACLES["quantile_exact"] = unpivot_rows(
+    {c: f"min({c})::DOUBLE AS min, quantile_disc({c}, 0.25)::DOUBLE AS q25, quantile_disc({c}, 0.5)::DOUBLE AS q50, "
+        f"quantile_disc({c}, 0.75)::DOUBLE AS q75, max({c})::DOUBLE AS max" for c in _TRIP_NUMERIC},
+    TRIPS,
+)

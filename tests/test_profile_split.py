@@ -115,3 +115,17 @@ def test_xxhash_split_disjoint_complete(spark):
     na, nb = a.count(), b.count()
     assert na + nb == 3000 and 0.65 < na / 3000 < 0.75
     assert a.join(b, "id").count() == 0
+
+
+def test_exact_quantiles_match_sorted_ranks(spark):
+    import random
+
+    rnd = random.Random(5)
+    xs = [float(rnd.randint(0, 50)) for _ in range(997)] + [7.0] * 500  # a hot value
+    df = spark.createDataFrame([(x, -x) for x in xs], "a double, b double")
+    got = {r["column"]: r for r in profile.exact_quantiles(df, ["a", "b"]).collect()}
+    for col, vals in (("a", sorted(xs)), ("b", sorted(-x for x in xs))):
+        n = len(vals)
+        for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
+            assert got[col][name] == vals[max(1, math.ceil(q * n)) - 1]
+        assert got[col]["min"] == vals[0] and got[col]["max"] == vals[-1]
