@@ -64,3 +64,20 @@ def test_gradient_descent_reaches_spark_lr_optimum(spark):
     ref = [model.intercept] + list(model.coefficients.toArray())
     # Σ class weights = n, so both minimise the same weighted mean log-loss + ½·reg·‖β‖²
     assert np.allclose(runs[0].weights, ref, atol=2e-4), (runs[0].weights, ref)
+
+
+def test_sgd_rules_match_rdd_based_trainer(spark):
+    from pyspark.mllib.classification import LogisticRegressionWithSGD
+    from pyspark.mllib.regression import LabeledPoint
+
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(300, 3))
+    y = (X[:, 0] - X[:, 2] + rng.normal(scale=0.5, size=300) > 0).astype(float)
+    rows = [(float(a), float(b), float(c), float(t)) for (a, b, c), t in zip(X, y)]
+    df = spark.createDataFrame(rows, "x1 double, x2 double, x3 double, label double")
+    rdd = spark.sparkContext.parallelize([LabeledPoint(t, [a, b, c]) for a, b, c, t in rows], 4)
+    for iterations, step in ((20, 0.5), (60, 0.1)):
+        model = LogisticRegressionWithSGD.train(rdd, iterations=iterations, step=step)
+        ours = logistic.sgd_fit(df, ["x1", "x2", "x3"], [(iterations, step)])[0]
+        assert np.allclose(ours.weights[1:], model.weights.toArray(), atol=1e-9)
+        assert model.intercept == 0.0 and ours.weights[0] == 0.0
