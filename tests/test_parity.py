@@ -81,3 +81,26 @@ def test_sgd_rules_match_rdd_based_trainer(spark):
         ours = logistic.sgd_fit(df, ["x1", "x2", "x3"], [(iterations, step)])[0]
         assert np.allclose(ours.weights[1:], model.weights.toArray(), atol=1e-9)
         assert model.intercept == 0.0 and ours.weights[0] == 0.0
+
+
+def test_tree_matches_spark_decision_tree_with_equal_candidates(spark):
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from quarry.operators import tree as T
+
+    rng = np.random.default_rng(8)
+    a = rng.integers(0, 10, size=600).astype(float)
+    b = rng.integers(0, 6, size=600).astype(float)
+    y = 10 * (a > 4) + 5 * (b > 2) + 3 * (a > 7) * (b < 2) + rng.normal(scale=1.0, size=600)
+    rows = [(float(i), float(j), float(t)) for i, j, t in zip(a, b, y)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    mids = {c: [(v + w) / 2 for v, w in zip(range(n - 1), range(1, n))] for c, n in (("a", 10), ("b", 6))}
+    ours = T.fit_tree(df, ["a", "b"], "y", thresholds=mids, max_depth=3, min_node=1, min_side=5, gain_factor=1.0)
+    dt = DecisionTreeRegressor(featuresCol="f", labelCol="y", maxDepth=3, minInstancesPerNode=5, maxBins=32)
+    model = dt.fit(VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(df))
+    theirs = model.transform(VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(df))
+    mine = ours.predict(df)
+    a_rows = sorted((r["a"], r["b"], round(r["prediction"], 9)) for r in mine.collect())
+    b_rows = sorted((r["a"], r["b"], round(r["prediction"], 9)) for r in theirs.collect())
+    assert a_rows == b_rows
+    assert len([n for n in ours.nodes.values() if n.is_leaf]) == model.numNodes - (model.numNodes - 1) // 2
