@@ -34,6 +34,8 @@ def get_spark(cpus: str | int = "*", app: str = "quarry", **conf) -> SparkSessio
         # Fused stages above HotSpot's 8000-byte JIT limit would run
         # interpreted; let Spark fall back to per-operator code instead.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # remove checkpoint files once their frames are unreachable
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in conf.items():
         builder = builder.config(k, v)
