@@ -282,11 +282,17 @@ def sgd_fit(
     tol: float = 1e-3,
     label: str = "label",
     method: str = "auto",
+    mini_batch_fraction: float = 1.0,
+    seed: int = 42,
 ) -> list[GDRun]:
     """Logistic regression with the rules of Spark's RDD-based SGD trainer
-    (I14), as DataFrame aggregations: no intercept, full batch, step
-    ``step/√t`` at iteration ``t``, L2 updater ``w ← w·(1 − η·reg) − η·ĝ``,
-    stop after ``iterations`` or when ``‖Δw‖ < tol·max(‖w‖, 1)``.
+    (I14), as DataFrame aggregations: no intercept, step ``step/√t`` at
+    iteration ``t``, L2 updater ``w ← w·(1 − η·reg) − η·ĝ``, stop after
+    ``iterations`` or when ``‖Δw‖ < tol·max(‖w‖, 1)``.
+
+    ``mini_batch_fraction < 1`` averages each step's gradient over a
+    Bernoulli sample (seed ``seed + t``) of the materialised frame; a step
+    whose sample is empty is skipped, as in the RDD trainer.
 
     ``configs`` are ``(iterations, step)`` pairs, all fitted in one loop.
     Returned weights carry a leading 0.0 bias so scoring is shared.
@@ -300,10 +306,13 @@ def sgd_fit(
         if not active:
             break
         start = time.time()
-        n, grads, losses = batch_sums(base, features, [r.weights for _, r in active], method)
+        batch = base if mini_batch_fraction >= 1.0 else base.sample(False, mini_batch_fraction, seed + t)
+        n, grads, losses = batch_sums(batch, features, [r.weights for _, r in active], method)
         method = _next_method(method, n, len(runs))
         elapsed = time.time() - start
         if n == 0:
+            if mini_batch_fraction < 1.0:
+                continue
             break
         for j, (k, r) in enumerate(active):
             eta = r.config.learning_rate / math.sqrt(t)

@@ -116,3 +116,12 @@ def test_wide_model_switches_to_arrow(spark):
     for (lr, reg), r in zip(cfgs, runs):
         w, _ = numpy_gd(X, y, ones, lr, reg, 3, 0.0)
         assert np.allclose(r.weights, w, atol=1e-10)
+
+
+def test_sgd_mini_batches_are_deterministic(spark):
+    _, _, df = _data(spark, n=400, seed=8)
+    a = logistic.sgd_fit(df, ["x1", "x2", "x3"], [(10, 0.5)], mini_batch_fraction=0.5, tol=0.0)[0]
+    b = logistic.sgd_fit(df, ["x1", "x2", "x3"], [(10, 0.5)], mini_batch_fraction=0.5, tol=0.0)[0]
+    full = logistic.sgd_fit(df, ["x1", "x2", "x3"], [(10, 0.5)], tol=0.0)[0]
+    assert a.weights == b.weights and a.weights != full.weights
+    assert len(a.history) == 10
