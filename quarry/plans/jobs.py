@@ -160,8 +160,10 @@ def classification_job(
     header = header if header is not None else text.first_line(lines)
     names = header.split(",")
     label = names[-1]
-    parsed = text.parse_labelled(text.drop_header(lines, header), names, skip=tuple(drop))
-    feats = [c for c in names[:-1] if c not in drop]
+    dropped = {d.lower() for d in drop}
+    skip = tuple(c for c in names[:-1] if c.lower() in dropped)  # e.g. "Time"
+    parsed = text.parse_labelled(text.drop_header(lines, header), names, skip=skip)
+    feats = [c for c in names[:-1] if c not in skip]
     report = profile.cleaning_report(parsed, F.col(text.REASON).isNull(), feats + [label], len(feats))
     clean_rows = clean.dedup(text.accepted(parsed))
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in feats + [label]])
