@@ -49,6 +49,8 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 # ------------------------------------------------------------ flagship query
+# Parameters of the flagship fit (tolerance is the reference's; 10 iterations
+# keep the recursive-CTE oracle small).
 FRAUD_GD = {"learning_rate": 0.5, "reg_param": 0.01, "max_iter": 10, "tol": 1e-4}
 
 
@@ -396,6 +398,7 @@ def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -------------------------------------------------------- gradient descent
+# The reference's (learning rate × regularisation) grid.
 GRID_LR = (0.01, 0.1, 0.5)
 GRID_REG = (0.001, 0.01, 0.1)
 GRID_ITER = 5
@@ -633,6 +636,7 @@ def lr_lbfgs_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(library.lr_summary_table(spark, lr))
 
 
+# The reference's (iterations × step) grid of the SGD trainer.
 SGD_ITERATIONS = (50, 100, 200)
 SGD_STEPS = (0.01, 0.1, 0.5)
 

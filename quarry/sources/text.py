@@ -156,6 +156,7 @@ def parse_positional(
 
 
 # --------------------------------------------------------------- the taxi files
+# Field positions of the reference's taxi train and test files.
 TRAIN_POSITIONS = {
     "vendor_id": 1,
     "passenger_count": 4,
