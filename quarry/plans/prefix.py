@@ -13,8 +13,12 @@ task.  Instead:
    partition number (``spark_partition_id``) of every row.
 3. Per-partition totals form a table of at most ``n + groups`` rows; a window
    over it gives each partition its starting offset.
-4. A window partitioned by the partition number gives the local running sum;
-   adding the offset (joined by partition number) gives the global one.
+4. The local running sum inside each range partition is computed where the
+   rows already are: ``sortWithinPartitions`` then a numpy cumulative sum per
+   Arrow batch, carried across the batches of a partition (``local="arrow"``,
+   no shuffle).  ``local="window"`` uses a window partitioned by the
+   partition number instead, which costs one more hash shuffle of all rows.
+   Adding the offset (joined by partition number) gives the global sum.
 
 The offsets table is broadcast only when its bound (``n`` partitions, plus
 the number of groups when totals restart per group) is below
@@ -41,6 +45,7 @@ def running_totals(
     num_partitions: int | None = None,
     max_groups: int | None = None,
     max_broadcast_rows: int = 100_000,
+    local: str = "arrow",
 ) -> DataFrame:
     """Add ``cum_<name>`` = inclusive running sum of each value in ``order``.
 
@@ -71,10 +76,51 @@ def running_totals(
     if (not group or max_groups is not None) and bound <= max_broadcast_rows:
         offsets = F.broadcast(offsets)
 
-    upto = Window.partitionBy(PID, *group).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    local = ranged.withColumns({f"_loc_{v}": F.sum(v).over(upto) for v in names})
-    out = local.join(offsets, [PID, *group], "inner")
+    if local == "window":
+        upto = Window.partitionBy(PID, *group).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        summed = ranged.withColumns({f"_loc_{v}": F.sum(v).over(upto) for v in names})
+    else:
+        summed = _local_cumsum(ranged.sortWithinPartitions(*[F.col(g) for g in group], *order), group, names)
+    out = summed.join(offsets, [PID, *group], "inner")
     out = out.withColumns({f"cum_{v}": F.col(f"_loc_{v}") + F.col(f"_off_{v}") for v in names})
     return out.drop(PID, *[f"_loc_{v}" for v in names], *[f"_off_{v}" for v in names])
+
+
+def _local_cumsum(sorted_df: DataFrame, group: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Running sums within each (partition, group) of a frame already sorted
+    within its partitions; batches of one partition arrive in order, so a
+    carry per group continues the sum across batch boundaries."""
+    from pyspark.sql.types import StructField, StructType
+
+    fields = {f.name: f for f in sorted_df.schema.fields}
+    schema = StructType(
+        list(sorted_df.schema.fields) + [StructField(f"_loc_{v}", fields[v].dataType) for v in names]
+    )
+    keys = [PID, *group]
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        carry: dict = {}
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.assign(**{f"_loc_{v}": pdf[v] for v in names})
+                continue
+            # group ids in order of first appearance; keys of those groups
+            gid = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+            ukeys = list(pdf[keys].drop_duplicates().itertuples(index=False, name=None))
+            last_row = pd.Series(np.arange(len(gid))).groupby(gid).max().to_numpy()
+            out = {}
+            for v in names:
+                cs = pdf[v].groupby(gid, sort=False).cumsum().to_numpy()
+                start = np.array([carry.get((k, v), 0) for k in ukeys])
+                loc = cs + start[gid]
+                for j, k in enumerate(ukeys):
+                    carry[(k, v)] = loc[last_row[j]]
+                out[f"_loc_{v}"] = loc.astype(pdf[v].dtype, copy=False)
+            yield pdf.assign(**out)
+
+    return sorted_df.mapInPandas(run, schema)

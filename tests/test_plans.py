@@ -37,11 +37,15 @@ def test_running_totals_have_no_single_partition_window(spark):
             inside_broadcast = any("BroadcastExchange" in x for x in lines[:i]
                                    if len(x) - len(x.lstrip(" :+-")) < len(ln) - len(ln.lstrip(" :+-")))
             windows.append(("SinglePartition" in below, inside_broadcast))
-    # the row-level window is hash-partitioned by range partition id; the only
-    # single-partition window is the per-partition offsets table (≤ n rows),
-    # which is broadcast
-    assert (False, False) in windows
-    assert all(inside for single, inside in windows if single)
+    # local sums run where the range partitions are (no row-level window or
+    # hash shuffle by partition id); the only window is over the per-partition
+    # offsets table (≤ n rows), which is broadcast
+    assert windows and all(inside for _, inside in windows)
+    assert any("MapInPandas" in ln for ln in lines)
+    # a shuffle keyed by partition id appears only inside the broadcast
+    # subtree (the tiny totals aggregate), never on the row path
+    b = next(i for i, ln in enumerate(lines) if "BroadcastExchange" in ln)
+    assert all(i > b for i, ln in enumerate(lines) if "hashpartitioning(_range_part" in ln)
 
 
 def test_parse_once_no_pushed_parse_predicate(spark):

@@ -129,3 +129,16 @@ def test_exact_quantiles_match_sorted_ranks(spark):
         for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
             assert got[col][name] == vals[max(1, math.ceil(q * n)) - 1]
         assert got[col]["min"] == vals[0] and got[col]["max"] == vals[-1]
+
+
+def test_running_totals_local_modes_agree(spark):
+    rows = [(g, i, (i * 13) % 7) for g in range(4) for i in range(2500)]
+    df = spark.createDataFrame(rows, "g int, i int, v long").repartition(5)
+    a = running_totals(df, [F.desc("i")], {"v": F.col("v")}, group=["g"], max_groups=4, local="arrow")
+    b = running_totals(df, [F.desc("i")], {"v": F.col("v")}, group=["g"], max_groups=4, local="window")
+    ra = sorted((r["g"], r["i"], r["cum_v"]) for r in a.collect())
+    rb = sorted((r["g"], r["i"], r["cum_v"]) for r in b.collect())
+    assert ra == rb
+    pdf = pd.DataFrame(rows, columns=["g", "i", "v"]).sort_values(["g", "i"], ascending=[True, False])
+    pdf["cum"] = pdf.groupby("g")["v"].cumsum()
+    assert sorted(zip(pdf["g"], pdf["i"], pdf["cum"])) == ra
