@@ -69,7 +69,6 @@ def fit_fraud_model(spark: SparkSession, sf_dir: str, configs=None, max_iter=Non
     training part; every iteration reads the checkpoint.
     Returns ``(runs, minmax, test, n_train)``.
     """
-
     df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir, wide=wide)))
     (train, test), stored = materialized_split(df, fx.fraud_row_key(wide), (0.8, 0.2), seed=42, with_stored=True)
     feats = fx.FRAUD_FEATURES_WIDE if wide else fx.FRAUD_FEATURES
@@ -103,7 +102,7 @@ def _fraud_report(spark: SparkSession, sf_dir: str, wide: bool) -> DataFrame:
     extra = [
         F.lit(n_train).cast("bigint").alias("n_train"),
         F.lit(len(run.history)).cast("bigint").alias("iterations"),
-        F.lit(float(run.history[-1][1])).alias("final_loss"),
+        (F.lit(float(run.history[-1][1])) if run.history else F.lit(None).cast("double")).alias("final_loss"),
     ] + [F.lit(float(v)).alias(f"w{i}") for i, v in enumerate(w)]
     return rounded(report.select("*", *extra))
 
