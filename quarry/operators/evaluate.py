@@ -121,15 +121,17 @@ def auc_stepwise_grouped(
         **kw,
     )
     neg = F.col("_pos") == 0
+    # Σ tp over negatives reaches P·N (beyond BIGINT at scale): exact DECIMAL
+    exact = "decimal(38,0)"
     agg = ranked.groupBy(group).agg(
         F.sum(F.col("_pos") * F.col("_m")).alias("positives"),
         F.sum(F.when(neg, F.col("_m")).otherwise(0)).alias("negatives"),
-        F.sum(F.when(neg, F.col("cum_pos") * F.col("_m"))).alias("_sum_tp"),
+        F.sum(F.when(neg, F.col("cum_pos").cast(exact) * F.col("_m").cast(exact))).alias("_sum_tp"),
         F.max(F.when(neg, F.col("cum_pos"))).alias("_last_tp"),
     )
-    pn = F.col("positives") * F.col("negatives")
+    pn = F.col("positives").cast("double") * F.col("negatives").cast("double")
     auc = F.when((F.col("positives") == 0) | (F.col("negatives") == 0), F.lit(0.0)).otherwise(
-        (F.col("_sum_tp") - F.col("_last_tp") / 2.0) / pn.cast("double")
+        (F.col("_sum_tp").cast("double") - F.col("_last_tp") / 2.0) / pn
     )
     return agg.select(group, auc.alias("auc"), F.col("positives").cast("bigint").alias("positives"),
                       F.col("negatives").cast("bigint").alias("negatives"))
@@ -180,8 +182,8 @@ def auc_ties(scored: DataFrame, p: str = "p", label: str = "label", **kw) -> Dat
         F.coalesce(F.sum("neg"), F.lit(0)).alias("negatives"),
         F.sum(F.col("neg") * (F.col("cum_tp") - F.col("pos") / 2.0)).alias("_pairs"),
     )
-    pn = F.col("positives") * F.col("negatives")
-    auc = F.when(pn == 0, F.lit(0.0)).otherwise(F.col("_pairs") / pn.cast("double"))
+    pn = F.col("positives").cast("double") * F.col("negatives").cast("double")  # no BIGINT overflow
+    auc = F.when(pn == 0, F.lit(0.0)).otherwise(F.col("_pairs") / pn)
     return agg.select(auc.alias("auc"), "positives", "negatives")
 
 

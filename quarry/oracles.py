@@ -498,7 +498,7 @@ gd(cfg, it, b0, b1, b2, b3, loss, change) AS (
 def auc_stepwise_sql(scored: str, group: str = "0") -> str:
     """Per ``group``: the reference's AUC over ``scored(p, label, key)``."""
     return f"""
-SELECT grp, CASE WHEN P = 0 OR N = 0 THEN 0.0 ELSE (sum_tp - last_tp / 2.0) / (P * N)::DOUBLE END AS auc,
+SELECT grp, CASE WHEN P = 0 OR N = 0 THEN 0.0 ELSE (sum_tp - last_tp / 2.0) / (P::DOUBLE * N::DOUBLE) END AS auc,
        P::BIGINT AS positives, N::BIGINT AS negatives
 FROM (
   SELECT grp, sum(pos * m) AS P, sum(CASE WHEN pos = 0 THEN m ELSE 0 END) AS N,
@@ -552,7 +552,7 @@ SELECT p AS threshold, pos, neg,
        sum(pos) OVER () AS P, sum(neg) OVER () AS N
 FROM (SELECT p, count_if(label = 1.0) AS pos, count_if(label <> 1.0) AS neg FROM ({SCORED_FRAUD}) s GROUP BY p) g"""
 ORACLES["auc_ties"] = f"""
-SELECT round(CASE WHEN P * N = 0 THEN 0.0 ELSE sum(neg * (tp - pos / 2.0)) / (P * N)::DOUBLE END, 6) AS auc,
+SELECT round(CASE WHEN P * N = 0 THEN 0.0 ELSE sum(neg * (tp - pos / 2.0)) / (P::DOUBLE * N::DOUBLE) END, 6) AS auc,
        P::BIGINT AS positives, N::BIGINT AS negatives
 FROM ({_ROC}) r GROUP BY P, N"""
 _PREC = "(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp::DOUBLE / (tp + fp) END)"
