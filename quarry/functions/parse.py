@@ -23,8 +23,9 @@ NAN_SPELLINGS = ("nan", "+nan", "-nan")
 
 
 def strip(c: Column) -> Column:
-    """Python ``str.strip()``: drop leading and trailing whitespace."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Python ``str.strip()``: drop leading and trailing whitespace (Unicode
+    white space too, e.g. NBSP, as Python does)."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def clean_field(c: Column) -> Column:
@@ -38,7 +39,7 @@ def py_float(c: Column) -> Column:
     The grammar check is anchored and allows surrounding whitespace, so the
     text is stripped only once, inside the cast branch.
     """
-    ok = c.rlike(r"^\s*" + PY_FLOAT_PATTERN[1:-1] + r"\s*$")
+    ok = c.rlike(r"(?U)^\s*" + PY_FLOAT_PATTERN[1:-1] + r"\s*$")
     s = strip(c)
     return (
         F.when(~ok | c.isNull(), F.lit(None).cast("double"))

@@ -17,7 +17,8 @@ def python_float(s):
 
 
 EDGE = ["1", "1.5", " 2 ", "1_000", "1__0", "_1", "1e3", "1E-2", ".5", "5.", "inf", "-Infinity", "nan",
-        "+nan", "NaN", "abc", "1d", "1f", "", " ", "0x10", "+1", "-0.0", "1e", "--1", "1,2"]
+        "+nan", "NaN", "abc", "1d", "1f", "", " ", "0x10", "+1", "-0.0", "1e", "--1", "1,2",
+        "\xa02\xa0", "\t3\n", "\u20034"]
 
 
 def _same(a, b):
