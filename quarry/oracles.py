@@ -464,33 +464,36 @@ SELECT 0 AS config_index, 0.5::DOUBLE AS learning_rate, 0.01::DOUBLE AS reg_para
 FROM gd WHERE it >= 1"""
 
 
-def gd_cte_multi(configs: list[tuple[float, float]], max_iter: int, tol: float, train: str = "strain") -> str:
+def gd_cte_multi(configs: list[tuple[float, float]], max_iter: int, tol: float, train: str = "strain", k: int = 3) -> str:
     """``gd_cte`` for several (lr, reg) configurations at once (column ``cfg``)."""
     values = ", ".join(f"({i}, {lr!r}::DOUBLE, {reg!r}::DOUBLE)" for i, (lr, reg) in enumerate(configs))
-    z = "g.b0 + g.b1 * s.x1 + g.b2 * s.x2 + g.b3 * s.x3"
-    loss = "sl / n + (0.5 * reg * b1 * b1 + 0.5 * reg * b2 * b2 + 0.5 * reg * b3 * b3)"
+    idx = range(1, k + 1)
+    bs = ", ".join(f"b{i}" for i in idx)
+    z = "g.b0 + " + " + ".join(f"g.b{i} * s.x{i}" for i in idx)
+    loss = "sl / n + (" + " + ".join(f"0.5 * reg * b{i} * b{i}" for i in idx) + ")"
     return f"""
 cfgs(cfg, lr, reg) AS (VALUES {values}),
-gd(cfg, it, b0, b1, b2, b3, loss, change) AS (
-  SELECT cfg, 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE, 'inf'::DOUBLE FROM cfgs
+gd(cfg, it, b0, {bs}, loss, change) AS (
+  SELECT cfg, 0, 0.0::DOUBLE, {", ".join("0.0::DOUBLE" for _ in idx)}, NULL::DOUBLE, 'inf'::DOUBLE FROM cfgs
   UNION ALL
   SELECT c.cfg, it + 1,
-         b0 - lr * (se / n), b1 - lr * (se1 / n + reg * b1), b2 - lr * (se2 / n + reg * b2), b3 - lr * (se3 / n + reg * b3),
+         b0 - lr * (se / n), {", ".join(f"b{i} - lr * (se{i} / n + reg * b{i})" for i in idx)},
          {loss},
          CASE WHEN loss IS NULL THEN 'inf'::DOUBLE ELSE abs({loss} - loss) END
   FROM (
-    SELECT cfg, it, b0, b1, b2, b3, loss, count(*) AS n,
-           sum(e) AS se, sum(e * x1) AS se1, sum(e * x2) AS se2, sum(e * x3) AS se3, sum(l) AS sl
+    SELECT cfg, it, b0, {bs}, loss, count(*) AS n,
+           sum(e) AS se, {", ".join(f"sum(e * x{i}) AS se{i}" for i in idx)}, sum(l) AS sl
     FROM (
-      SELECT cfg, it, b0, b1, b2, b3, loss, x1, x2, x3, cw * (p - y) AS e,
+      SELECT cfg, it, b0, {bs}, loss, {", ".join(f"x{i}" for i in idx)}, cw * (p - y) AS e,
              CASE WHEN y = 1.0 THEN -cw * ln(p + 1e-9) ELSE -cw * ln(1.0 - p + 1e-9) END AS l
       FROM (
-        SELECT g.cfg, g.it, g.b0, g.b1, g.b2, g.b3, g.loss, s.x1, s.x2, s.x3, s.y, s.cw, {sigmoid(z)} AS p
+        SELECT g.cfg, g.it, g.b0, {", ".join(f"g.b{i}" for i in idx)}, g.loss, {", ".join(f"s.x{i}" for i in idx)},
+               s.y, s.cw, {sigmoid(z)} AS p
         FROM gd g, {train} s
         WHERE g.it < {max_iter} AND g.change >= {tol}
       ) a
     ) b
-    GROUP BY cfg, it, b0, b1, b2, b3, loss
+    GROUP BY cfg, it, b0, {bs}, loss
   ) c JOIN cfgs USING (cfg)
 )"""
 
@@ -838,8 +841,7 @@ _W_KEY = "concat_ws('|', " + ", ".join(f"CAST({c} AS DECIMAL(20,6))::VARCHAR" fo
 _W_SPLIT = f"SELECT f1, f2, f3, f4, label, {hash_bucket(_W_KEY)} AS bucket FROM ({_W_CLEAN}) c"
 _W_MM = ", ".join(f"min(f{i}) AS lo{i}, greatest(max(f{i}) - min(f{i}), 1e-8) AS r{i}" for i in range(1, 5))
 _W_X = ", ".join(f"(f{i} - lo{i}) / r{i} AS x{i}" for i in range(1, 5))
-ORACLES["fraud_report_wide"] = f"""
-WITH RECURSIVE split AS ({_W_SPLIT}),
+_W_PREP = f"""
 train AS (SELECT * FROM split WHERE bucket < 80),
 test AS (SELECT * FROM split WHERE bucket >= 80),
 mm AS (SELECT {_W_MM} FROM train),
@@ -849,7 +851,10 @@ cwt AS (SELECT n0, n1,
         FROM (SELECT count_if(label = 0.0) AS n0, count_if(label = 1.0) AS n1 FROM train) c),
 strain AS (SELECT {_W_X}, label AS y, CASE WHEN label = 1.0 THEN w1 WHEN label = 0.0 THEN w0 ELSE 1.0 END AS cw
            FROM train, mm, cwt),
-stest AS (SELECT {_W_X}, label AS y FROM test, mm),
+stest AS (SELECT {_W_X}, label AS y FROM test, mm)"""
+ORACLES["fraud_report_wide"] = f"""
+WITH RECURSIVE split AS ({_W_SPLIT}),
+{_W_PREP},
 {gd_cte(0.5, 0.01, 10, 1e-4, k=4)},
 fin AS (SELECT * FROM gd WHERE it = (SELECT max(it) FROM gd)),
 scored AS (SELECT y, {sigmoid("fin.b0 + fin.b1 * x1 + fin.b2 * x2 + fin.b3 * x3 + fin.b4 * x4")} AS p FROM stest, fin),
@@ -866,3 +871,16 @@ ORACLES["quantile_exact"] = unpivot_rows(
         f"quantile_disc({c}, 0.75)::DOUBLE AS q75, max({c})::DOUBLE AS max" for c in _TRIP_NUMERIC},
     TRIPS,
 )
+
+_W_GRID_SCORED = f"""
+SELECT fin.cfg, {sigmoid("fin.b0 + fin.b1 * t.x1 + fin.b2 * t.x2 + fin.b3 * t.x3 + fin.b4 * t.x4")} AS p,
+       t.y AS label, t.key
+FROM (SELECT {_W_X}, label AS y, {_W_KEY} AS key FROM test, mm) t,
+     (SELECT * FROM gd WHERE it = 5) fin"""
+ORACLES["gd_grid_best_wide"] = f"""
+WITH RECURSIVE split AS ({_W_SPLIT}),
+{_W_PREP},
+{gd_cte_multi(_GRID, 5, 0.0, k=4)},
+aucs AS ({auc_stepwise_sql(_W_GRID_SCORED, "cfg")})
+SELECT grp::BIGINT AS config_index, lr AS learning_rate, reg AS reg_param, round(auc, 6) AS auc
+FROM aucs JOIN cfgs ON grp = cfgs.cfg ORDER BY auc DESC, grp ASC LIMIT 1"""
