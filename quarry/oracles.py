@@ -3,6 +3,21 @@
 The views ``lineitem``, ``events`` … are registered by the checker.  Each
 string recomputes the query from the raw tables with the same rules, so the
 pair is an end-to-end check.  Decimal constants are written as DOUBLE.
+
+Sections, in order:
+
+* fixtures — the fraud rows, their clean/split forms, SQL helpers (sigmoid,
+  rounding, report columns, md5 bucket);
+* ``gd_cte`` / ``gd_cte_multi`` — gradient descent as a recursive CTE (one
+  recursion step = one iteration, stopping rule in the WHERE clause);
+* more fixtures — trips, the damaged text lines, the Python-float grammar
+  and the two parsers as SQL;
+* row filtering, profiling, features;
+* the gradient-descent grid and the evaluation metrics (window sums);
+* ``tree_sql`` / ``route_sql`` — the level-wise tree unrolled into one CTE
+  block per level, and routing rows through the node table;
+* round trips and schema; the SGD-rule grid (``sgd_cte``); the four-feature
+  variants.
 """
 
 from __future__ import annotations
