@@ -79,3 +79,20 @@ def test_wall_clock_parse_is_zone_free_and_null_safe(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [2, None, None, 23]
+
+
+def test_results_independent_of_shuffle_partitions(spark):
+    import __spark_entry__ as entry
+    from conftest import SF001
+
+    names = ["fraud_report", "auc_stepwise", "tree_nodes", "quantile_exact", "flag_index", "hash_split_counts"]
+    got = {}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("3", "37"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got[parts] = {n: sorted(tuple(r) for r in entry.queries()[n](spark, SF001).collect()) for n in names}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for n in names:
+        assert got["3"][n] == got["37"][n], n
