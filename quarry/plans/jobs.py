@@ -168,6 +168,8 @@ def classification_job(
     clean_rows = clean.dedup(text.accepted(parsed))
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in feats + [label]])
     (train, test), stored = materialized_split(clean_rows, key, (0.8, 0.2), with_stored=True)
+    # the reports read the stored rows, not the text again
+    cleaned = stored.drop("_part")
     from quarry.functions.scale import minmax_aggs
 
     row = train.agg(
@@ -199,9 +201,9 @@ def classification_job(
     final = logistic.score(stest, weights, feats)
     out = {
         "cleaning": report,
-        "class_distribution": profile.class_distribution(clean_rows, label),
-        "feature_summary": profile.feature_summary(clean_rows, feats),
-        "correlation": profile.label_correlation(clean_rows, feats, label),
+        "class_distribution": profile.class_distribution(cleaned, label),
+        "feature_summary": profile.feature_summary(cleaned, feats),
+        "correlation": profile.label_correlation(cleaned, feats, label),
         "history": logistic.history_frame(spark, runs),
         "coefficients": logistic.coefficient_frame(spark, weights, feats),
         "sweep": evaluate.threshold_sweep(final, thresholds, "p", label),
@@ -209,7 +211,7 @@ def classification_job(
         "rejects": text.rejected(parsed),
     }
     if features_output:
-        qio.write_parquet(mm.transform(clean_rows), features_output)
+        qio.write_parquet(mm.transform(cleaned), features_output)
     release(stored)
     return out
 
