@@ -230,8 +230,12 @@ def structured_regression_job(
     on the validation part, and optional scoring of ``test`` to CSV."""
     from quarry.operators import library
 
+    from quarry.operators.split import materialized_split
+
     prepared, fitted = prepare_trips(df)
-    train, valid = hash_split(prepared, F.col("id"), (0.8, 0.2))
+    # one stored copy of the prepared rows feeds the base fit, every
+    # cross-validation fold and the validation metrics
+    (train, valid), stored = materialized_split(prepared, F.col("id"), (0.8, 0.2), with_stored=True)
     base = library.fit_tree_regressor(train, TRIP_MODEL_FEATURES, "trip_duration")
     cv_model, grid = library.cross_validate_tree(
         train, TRIP_MODEL_FEATURES, "trip_duration", max_depths, min_instances, folds
@@ -253,4 +257,5 @@ def structured_regression_job(
         out["scored"] = scored
         if output:
             qio.write_csv(scored, output)
+    release(stored)
     return out
