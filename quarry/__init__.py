@@ -11,9 +11,11 @@ Sub-packages:
   sigmoid, scaling)
 * ``quarry.operators`` — cleaning, profiling, splitting, logistic regression,
   regression trees, evaluation, tuning, library-model wrappers
-* ``quarry.plans``     — distributed running totals, materialisation, end-to-end
-  jobs (batch scoring)
+* ``quarry.plans``     — distributed running totals, end-to-end jobs
+  (classification, regression, batch scoring)
 * ``quarry.streaming`` — the batch-scoring plan applied to a streaming source
+* ``quarry.catalog``   — one registered query per inventory item (the driver
+  contract's ``queries()``), with DuckDB twins in ``quarry.oracles``
 """
 
 from quarry.session import get_spark, materialize
