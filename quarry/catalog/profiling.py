@@ -108,6 +108,20 @@ def target_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.target_stats(df, "trip_duration"), 4)
 
 
+@query
+def target_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Population variance and count of the target (0.0, 0 when empty)."""
+    df = clean.outlier_filter(fx.trips(spark, sf_dir))
+    return rounded(profile.target_stats(df, "trip_duration").select("variance", "n"), 4)
+
+
+@query
+def target_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of the target — the leaf value of a tree node (0.0 when empty)."""
+    df = clean.outlier_filter(fx.trips(spark, sf_dir))
+    return rounded(profile.target_stats(df, "trip_duration").select("mean"), 4)
+
+
 @query
 def histogram_50(spark: SparkSession, sf_dir: str) -> DataFrame:
     """50 equal-width bins of every fraud column, one grouped pass."""

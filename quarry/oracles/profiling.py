@@ -131,3 +131,9 @@ ORACLES["quantile_exact"] = unpivot_rows(
         f"quantile_disc({c}, 0.75)::DOUBLE AS q75, max({c})::DOUBLE AS max" for c in _TRIP_NUMERIC},
     TRIPS,
 )
+
+ORACLES["target_variance"] = f"""
+SELECT round(coalesce(var_pop(trip_duration), 0.0), 4) AS variance, count(trip_duration)::BIGINT AS n
+FROM ({TRIPS_OUTLIER}) t"""
+ORACLES["target_mean"] = f"""
+SELECT round(coalesce(avg(trip_duration), 0.0), 4) AS mean FROM ({TRIPS_OUTLIER}) t"""
