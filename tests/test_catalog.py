@@ -92,3 +92,23 @@ def test_structured_regression_job(spark, tmp_path):
     assert out["cv_grid"].count() == 2
     assert out["validation"].first()["n"] > 0
     assert spark.read.option("header", True).csv(str(tmp_path / "sub")).count() == out["scored"].count()
+
+
+def test_stream_scoring_logistic(spark, tmp_path):
+    from quarry.catalog import fit_fraud_model
+    from quarry.operators import logistic
+    from quarry.sources import fixtures as fx
+    from quarry.streaming import scoring
+
+    runs, mm, test, _ = fit_fraud_model(spark, SF001)
+    rows = mm.transform(test).withColumn("key", fx.fraud_row_key())
+    src = str(tmp_path / "in")
+    rows.write.parquet(src)
+    stream = scoring.read_stream(spark, src, rows.schema)
+    prob = logistic.probability(runs[0].weights, fx.FRAUD_FEATURES)
+    q = scoring.write_stream(scoring.scored_stream(stream, prob, ["key"], "p"), str(tmp_path / "out"),
+                             checkpoint=str(tmp_path / "ckpt"), trigger_once=True)
+    q.awaitTermination(120)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    batch = logistic.score(rows, runs[0].weights, fx.FRAUD_FEATURES).select("key", "p")
+    assert out.count() == rows.count() and out.exceptAll(batch).count() == 0
