@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import token_pack
+from quarry.llm import secret_scan, token_pack
 from quarry.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base patterns and random runs in every text."""
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 @query
 def op3_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, with end id 1, through packed files and back."""
