@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import secret_scan, token_pack
+from quarry.llm import piece_codec, quality_embed, secret_scan, token_pack, toxicity
 from quarry.llm.common import documents
+from quarry.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +30,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every text, decoded again and verified."""
+    return piece_codec.round_trip(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base patterns and random runs in every text."""
@@ -39,3 +46,15 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, with end id 1, through packed files and back."""
     return token_pack.pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text."""
+    return toxicity.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_quality_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text."""
+    return quality_embed.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
