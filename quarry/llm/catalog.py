@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import piece_codec, quality_embed, secret_scan, token_pack, toxicity
+from quarry.llm import decontaminate, piece_codec, quality_embed, secret_scan, token_pack, toxicity
 from quarry.llm.common import documents
 from quarry.sources.tables import read_table
 
@@ -58,3 +58,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text."""
     return quality_embed.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item found in it."""
+    return decontaminate.find_matches(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
