@@ -131,9 +131,9 @@ def _build(items: list[Item], df: dict[int, int], n_items: int, mean_words: floa
         for word, x in own.items():
             matrices[i // BLOCK].setdefault(number[word], np.zeros(BLOCK))[i % BLOCK] = x
     spread = Counter(t for m in matrices for t in m)
-    aside, rest = set(), np.zeros(n_blocks)
+    aside, rest = set(), np.zeros((n_blocks, BLOCK))
     for t, n in sorted(spread.items(), key=lambda x: (-x[1], x[0])):
-        more = np.array([m[t].max() if t in m else 0.0 for m in matrices]) if n > max(1, n_blocks // ASIDE) else None
+        more = np.array([m.get(t, np.zeros(BLOCK)) for m in matrices]) if n > max(1, n_blocks // ASIDE) else None
         if more is None or (rest + more).max() > MOST_ASIDE:
             break
         aside.add(t)
@@ -148,7 +148,7 @@ def _build(items: list[Item], df: dict[int, int], n_items: int, mean_words: floa
         first,
         np.array([b for _, b, _ in postings], np.int64),
         np.array([x for *_, x in postings]),
-        rest,
+        rest.max(axis=1),
         block_terms,
         [np.array([m[t] for t in own]) for m, own in zip(matrices, block_terms, strict=True)],
     )
@@ -175,15 +175,16 @@ def retrieve(index: Index, term: np.ndarray, starts: np.ndarray, lens: np.ndarra
     slot, word = np.divmod(pairs, n_terms)
     n_post = np.diff(index.first)[word]
     # sums over pieces of whole passages, each of about PIECE postings
-    piece = np.cumsum(n_post) // PIECE
+    piece = np.cumsum(n_post) // PIECE + slot * n_blocks // PIECE
     piece = piece[np.searchsorted(slot, slot)]  # a passage goes where its first word goes
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(slot)]
-    found = []
+    found = [np.zeros(0, np.int64)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         posting = ragged(index.first[word[a:b]], n_post[a:b])
-        key, where = np.unique(np.repeat(slot[a:b], n_post[a:b]) * n_blocks + index.blocks[posting], return_inverse=True)
-        bound = np.bincount(where, index.maxima[posting], minlength=len(key)) + index.rest[key % n_blocks]
-        found.append(key[bound >= threshold - 1e-9])
+        if a < b:
+            cell = (np.repeat(slot[a:b], n_post[a:b]) - slot[a]) * n_blocks + index.blocks[posting]
+            bound = np.bincount(cell, index.maxima[posting], minlength=int(slot[b - 1] - slot[a] + 1) * n_blocks)
+            found.append(np.flatnonzero(bound.reshape(-1, n_blocks) + index.rest >= threshold - 1e-9) + slot[a] * n_blocks)
     keys = np.concatenate(found)  # other blocks have their set-aside words at most, below any threshold
     owner = np.searchsorted(base, keys // n_blocks, "right") - 1
     last, present = -1, None
