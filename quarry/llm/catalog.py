@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, piece_codec, quality_embed, secret_scan, token_pack, toxicity
+from quarry.llm import decontaminate, near_dup, piece_codec, quality_embed, secret_scan, token_pack, toxicity
 from quarry.llm.common import documents
 from quarry.sources.tables import read_table
 
@@ -64,3 +64,9 @@ def op6_quality_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item found in it."""
     return decontaminate.find_matches(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return near_dup.near_duplicates(documents(spark, sf_dir))
