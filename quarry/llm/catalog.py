@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, near_dup, piece_codec, quality_embed, secret_scan, token_pack, toxicity
+from quarry.llm import decontaminate, near_dup, piece_codec, quality_embed, secret_scan, spot_sigs, token_pack, toxicity
 from quarry.llm.common import documents
 from quarry.sources.tables import read_table
 
@@ -70,3 +70,9 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return near_dup.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op8_spot_sigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likeness."""
+    return spot_sigs.fingerprint_table(documents(spark, sf_dir))
