@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, near_dup, piece_codec, quality_embed, secret_scan, spot_sigs, token_pack, toxicity
+from quarry.llm import backoff_lm, decontaminate, near_dup, piece_codec, quality_embed, secret_scan, spot_sigs, token_pack, toxicity
 from quarry.llm.common import documents
 from quarry.sources.tables import read_table
 
@@ -76,3 +76,9 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_spot_sigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness."""
     return spot_sigs.fingerprint_table(documents(spark, sf_dir))
+
+
+@query
+def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log10 probability of every text."""
+    return backoff_lm.score(documents(spark, sf_dir))
