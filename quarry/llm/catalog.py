@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import backoff_lm, decontaminate, near_dup, piece_codec, quality_embed, secret_scan, spot_sigs, token_pack, toxicity
+from quarry.llm import backoff_lm, decontaminate, near_dup, piece_codec, quality_embed, secret_scan, spot_sigs, suffix_dedup, token_pack, toxicity
 from quarry.llm.common import documents
 from quarry.sources.tables import read_table
 
@@ -82,3 +82,9 @@ def op8_spot_sigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model log10 probability of every text."""
     return backoff_lm.score(documents(spark, sf_dir))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat a passage of an earlier one."""
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
