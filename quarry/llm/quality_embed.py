@@ -116,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def train(y: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]]) -> Model:
     """Learn from labels (1: good) and the counted buckets of each text."""
     share = float(np.mean(y)) if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return Model(np.zeros(BUCKETS, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     rng = np.random.default_rng(SEED)
     table = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)

@@ -109,7 +109,7 @@ def train(y: np.ndarray, texts: list[np.ndarray], counterfactual: float = COUNTE
     """Fit the model to labels and the distinct word hashes of each text."""
     n = len(y)
     share = float(y.mean()) if n else 0.5
-    if not 0 < share < 1:
+    if not n or not 0 < share < 1:
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     doc = np.repeat(np.arange(n), [len(t) for t in texts])
     words, col, df = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
