@@ -231,6 +231,7 @@ def redact(docs: DataFrame, mark: str = "[secret]", alpha: float = ALPHA) -> Dat
     rows; null texts stay null.  All other columns pass through."""
     limit = discovery_limit(docs, alpha)
     at = docs.columns.index("text")
+    count_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def clean(text: str, spans: list[tuple[int, int, int]]) -> str:
         parts, done = [], 0
@@ -246,9 +247,9 @@ def redact(docs: DataFrame, mark: str = "[secret]", alpha: float = ALPHA) -> Dat
             new = {i: clean(texts[i].as_py(), base + added) for i, (base, added) in enumerate(spans_of(texts, limit)) if base or added}
             if new:
                 columns[at] = pa.array([new.get(i, t) for i, t in enumerate(texts.to_pylist())], texts.type)
-                if "n_chars" in docs.columns:
-                    k = docs.columns.index("n_chars")
-                    columns[k] = pa.array([len(new[i]) if i in new else n for i, n in enumerate(columns[k].to_pylist())], columns[k].type)
+                if count_at is not None:
+                    counts = columns[count_at]
+                    columns[count_at] = pa.array([len(new[i]) if i in new else n for i, n in enumerate(counts.to_pylist())], counts.type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return docs.mapInArrow(change, docs.schema)
