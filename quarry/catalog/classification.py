@@ -51,9 +51,6 @@ GRID_LR = (0.01, 0.1, 0.5)
 GRID_REG = (0.001, 0.01, 0.1)
 
 
-GRID_ITER = 5
-
-
 @query
 def gd_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I1 + I23: loss and loss change per iteration of the flagship fit."""
@@ -65,7 +62,7 @@ def gd_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gd_grid_best(spark: SparkSession, sf_dir: str, wide: bool) -> DataFrame:
     configs = [(lr, reg) for lr in GRID_LR for reg in GRID_REG]
-    runs, mm, test, _ = fit_fraud_model(spark, sf_dir, configs=configs, max_iter=GRID_ITER, tol=0.0, wide=wide)
+    runs, mm, test, _ = fit_fraud_model(spark, sf_dir, configs=configs, wide=wide, method="arrow")
     feats = fx.FRAUD_FEATURES_WIDE if wide else fx.FRAUD_FEATURES
     stest = mm.transform(test)
     # All nine configurations scored in one frame: (config, p, label, key).
@@ -187,7 +184,7 @@ def lr_sgd_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     scaler = fit_std(train, fx.FRAUD_FEATURES)
     strain = scaler.transform(train).select(*fx.FRAUD_FEATURES, "label")
     configs = [(it, st) for it in SGD_ITERATIONS for st in SGD_STEPS]
-    runs = logistic.sgd_fit(strain, fx.FRAUD_FEATURES, configs)
+    runs = logistic.sgd_fit(strain, fx.FRAUD_FEATURES, configs, method="arrow")
     stest = scaler.transform(test)
     preds = stest.select(
         "label",

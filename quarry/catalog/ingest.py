@@ -145,8 +145,7 @@ def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
     df = _clean_fraud(spark, sf_dir)
-    model, _ = library.fit_lr_lbfgs(df, fx.FRAUD_FEATURES)
-    pre = model.stages[1].transform(model.stages[0].transform(df)).select("features", "label", "scaledFeatures")
+    pre = library.scale_vectors(df, fx.FRAUD_FEATURES).select("features", "label", "scaledFeatures")
     path = scratch_path(spark, "parquet")
     qio.write_parquet(qio.vectors_to_arrays(pre, ["features", "scaledFeatures"]), path)
     back = qio.arrays_to_vectors(qio.read_parquet(spark, path), ["features", "scaledFeatures"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry.catalog.common import TREE, fit_trip_tree, query, rounded, scratch_path
 from quarry.operators import clean, evaluate, library
 from quarry.operators import tree as tree_ops
-from quarry.operators.split import hash_split, materialized_split
+from quarry.operators.split import hash_split
 from quarry.session import release
 from quarry.sources import fixtures as fx
 from quarry.sources import text
@@ -100,21 +100,15 @@ def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scored)
 
 
-def _p2s_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    """The structured regression preparation (I22), fitted on all rows here."""
-    from quarry.plans.jobs import TRIP_MODEL_FEATURES, prepare_trips
-
-    t, _ = prepare_trips(fx.trips(spark, sf_dir))
-    return t, list(TRIP_MODEL_FEATURES)
-
-
 @query
 def dt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I17 + I19: Spark ML tree (depth 5, seed 42) importances by feature."""
-    t, feats = _p2s_features(spark, sf_dir)
-    train, _ = hash_split(t, F.col("id"), (0.8, 0.2), seed=42)
-    model = library.fit_tree_regressor(train, feats, "trip_duration")
-    return rounded(library.importances_table(spark, model, feats))
+    from quarry.plans.jobs import TRIP_MODEL_FEATURES, split_and_prepare
+
+    (train, _), _, stored = split_and_prepare(fx.trips(spark, sf_dir))
+    model = library.fit_tree_regressor(train, TRIP_MODEL_FEATURES, "trip_duration")
+    release(stored)
+    return rounded(library.importances_table(spark, model, TRIP_MODEL_FEATURES))
 
 
 @query
@@ -126,6 +120,8 @@ def dt_deep_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     lines = text.drop_header(fx.trip_lines(spark, sf_dir), fx.TRIP_HEADER)
     parsed = text.accepted(text.parse_trip_train(lines, filters=False))
+    # the unfiltered parse lets the text ``nan`` through as a number
+    parsed = library.complete_rows(parsed, [*fx.TRIP_FEATURES, "trip_duration"])
     train, valid = hash_split(parsed, F.col("id"), (0.7, 0.3), seed=42)
     dt = DecisionTreeRegressor(featuresCol="features", labelCol="trip_duration", maxDepth=20, maxBins=32,
                                impurity="variance", seed=42)
@@ -140,10 +136,11 @@ def dt_deep_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dt_cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """maxDepth {5,7,10} × minInstancesPerNode {1,10,50}, 3 folds, RMSE."""
-    t, feats = _p2s_features(spark, sf_dir)
+    from quarry.plans.jobs import TRIP_MODEL_FEATURES, split_and_prepare
+
     # 27 fits + a refit read one stored copy of the prepared training rows
-    (train, _), stored = materialized_split(t, F.col("id"), (0.8, 0.2), seed=42, with_stored=True)
-    _, table = library.cross_validate_tree(train, feats, "trip_duration")
+    (train, _), _, stored = split_and_prepare(fx.trips(spark, sf_dir))
+    _, table = library.cross_validate_tree(train, TRIP_MODEL_FEATURES, "trip_duration")
     release(stored)
     return rounded(table, 4)
 
@@ -156,3 +153,37 @@ def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree.save(spark, path)
     loaded = tree_ops.Tree.from_table(spark.read.parquet(path), fx.TRIP_FEATURES)
     return rounded(loaded.predict(valid).select("id", "prediction"))
+
+
+@query
+def structured_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I21 + I22: the structured regression job as a whole: preparation with
+    the flag index of the training rows, the cross-validated tree, and
+    ``(id, trip_duration)`` of every trip scored by the best model, written
+    as CSV and read back."""
+    from quarry.plans.jobs import structured_regression_job
+    from quarry.sources import io as qio
+
+    trips = fx.trips(spark, sf_dir)
+    path = scratch_path(spark, "scored")
+    structured_regression_job(trips, trips.drop("trip_duration"), output=path)
+    return rounded(qio.read_csv(spark, path, schema="id string, trip_duration double"))
+
+
+@query
+def cv_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I18 + I19: the best model of the cross-validation: its parameters,
+    validation RMSE and R², and its importances, one row a feature."""
+    from quarry.plans.jobs import structured_regression_job
+
+    out = structured_regression_job(fx.trips(spark, sf_dir))
+    best = out["cv_grid"].filter("is_best").select("max_depth", "min_instances_per_node")
+    return rounded(out["best_importances"].crossJoin(F.broadcast(best)).crossJoin(F.broadcast(out["validation"])), 4)
+
+
+@query
+def tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted tree as text, one line a row."""
+    tree, _, _ = fit_trip_tree(spark, sf_dir)
+    lines = tree.debug_string().split("\n")
+    return spark.createDataFrame(list(enumerate(lines)), "line_no long, line string")

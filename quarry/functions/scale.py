@@ -73,62 +73,32 @@ def fit_std(df: DataFrame, columns: Sequence[str]) -> StdScale:
 
 @dataclass(frozen=True)
 class StringIndex:
-    """Label → index by descending frequency, ties alphabetical (StringIndexer)."""
+    """Label → index by descending frequency, ties alphabetical (StringIndexer).
 
-    column: tuple[str, ...]
-    labels: tuple[str, ...]
+    The index stays a table (value, count, index) of any number of labels; it
+    is joined, and the planner broadcasts it where its size allows."""
 
-    # Up to this many labels the index is a literal CASE; beyond it, a
-    # broadcast join with the (value, index) table, whose size is bounded by
-    # ``fit_string_index``'s ``max_labels`` check.
-    CASE_LIMIT = 64
+    column: str
+    table: DataFrame
+    n_labels: int
 
     def transform(self, df: DataFrame, output: str, handle_invalid: str = "keep") -> DataFrame:
-        if len(self.labels) > self.CASE_LIMIT:
-            return self._transform_join(df, output, handle_invalid)
-        col = F.col(self.column[0])
-        expr = None
-        for i, lab in enumerate(self.labels):
-            cond = col == F.lit(lab)
-            expr = F.when(cond, F.lit(float(i))) if expr is None else expr.when(cond, F.lit(float(i)))
-        unseen = F.lit(float(len(self.labels))) if handle_invalid == "keep" else F.lit(None).cast("double")
-        expr = unseen if expr is None else expr.otherwise(unseen)
-        out = df.withColumn(output, expr)
-        if handle_invalid == "skip":
-            out = out.filter(F.col(output).isNotNull())
-        return out
-
-    def _transform_join(self, df: DataFrame, output: str, handle_invalid: str) -> DataFrame:
-        spark = df.sparkSession
-        table = spark.createDataFrame(
-            [(lab, float(i)) for i, lab in enumerate(self.labels)], f"_label string, {output} double"
-        )
-        col = F.col(self.column[0]).cast("string")
-        out = df.join(F.broadcast(table), col == F.col("_label"), "left").drop("_label")
-        if handle_invalid == "keep":
-            out = out.fillna(float(len(self.labels)), [output])
-        elif handle_invalid == "skip":
-            out = out.filter(F.col(output).isNotNull())
-        return out
-
-
-def fit_string_index(df: DataFrame, column: str, max_labels: int = 10_000) -> StringIndex:
-    """Fit on the distinct values; refuses more than ``max_labels`` categories.
-
-    The label list is a driver-side literal table, so its size is checked
-    rather than assumed; high-cardinality columns should be hashed instead.
-    """
-    counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .count()
-        .orderBy(F.desc("count"), F.asc(column))
-        .limit(max_labels + 1)
-        .collect()
-    )
-    if len(counts) > max_labels:
-        raise ValueError(f"{column} has more than {max_labels} distinct values")
-    return StringIndex((column,), tuple(str(r[column]) for r in counts))
+        """Add ``output``: unseen and NULL values get the number of labels
+        (``keep``), NULL (``null``) or lose their row (``skip``)."""
+        index = self.table.select(F.col(self.column).cast("string").alias("_label"), F.col("index").alias("_index"))
+        out = df.join(index, F.col(self.column).cast("string") == F.col("_label"), "left")
+        value = F.coalesce("_index", F.lit(float(self.n_labels))) if handle_invalid == "keep" else F.col("_index")
+        out = out.withColumn(output, value).drop("_label", "_index")
+        return out.filter(F.col(output).isNotNull()) if handle_invalid == "skip" else out
+
+
+def fit_string_index(df: DataFrame, column: str) -> StringIndex:
+    """Fit on the distinct values, however many; the ranked table is stored
+    once (a reliable checkpoint) and read by every transform."""
+    from quarry.session import materialize
+
+    table = materialize(string_index_table(df, column), balance=False, cache=False)
+    return StringIndex(column, table, table.count())
 
 
 def string_index_table(df: DataFrame, column: str) -> DataFrame:

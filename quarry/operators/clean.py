@@ -63,10 +63,6 @@ def range_filter(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> Da
     return df.filter(bounds_predicate(bounds))
 
 
-def member_filter(df: DataFrame, members: Mapping[str, Iterable]) -> DataFrame:
-    return df.filter(members_predicate(members))
-
-
 def structured_filter(df: DataFrame, with_duration: bool = True) -> DataFrame:
     """Duration 60..14400 s (train only) and NYC box −74..−73 / 40..41."""
     bounds = dict(STRUCTURED_COORD_BOUNDS)

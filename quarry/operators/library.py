@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +26,23 @@ CV_FOLDS = 3
 
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="skip").transform(df)
+    """Feature vectors; a NULL or NaN feature raises (see ``complete_rows``)."""
+    return VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="error").transform(df)
+
+
+def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows without NULL or NaN in ``columns`` (an explicit cleaning step)."""
+    bad = F.lit(False)
+    for c in columns:
+        bad = bad | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    return df.filter(~bad)
+
+
+def scale_vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``features`` and ``scaledFeatures`` vectors (unit deviation, not centred)."""
+    scaler = StandardScaler(inputCol="features", outputCol="scaledFeatures", withStd=True, withMean=False)
+    assembled = assemble(df, features)
+    return scaler.fit(assembled).transform(assembled)
 
 
 def fit_lr_lbfgs(df: DataFrame, features: Sequence[str], label: str = "label"):
@@ -113,17 +129,9 @@ def cross_validate_tree(
     return model, table
 
 
-def string_indexer(column: str, output: str, handle_invalid: str = "keep") -> StringIndexer:
-    return StringIndexer(inputCol=column, outputCol=output, handleInvalid=handle_invalid)
-
-
 def save_tree_model(model: DecisionTreeRegressionModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
 def load_tree_model(path: str) -> DecisionTreeRegressionModel:
     return DecisionTreeRegressionModel.load(path)
-
-
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)

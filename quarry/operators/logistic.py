@@ -99,32 +99,15 @@ def _loss_term(p: Column, y: Column, cw: Column) -> Column:
     )
 
 
-# Above this many (features + 1) × configurations, the literal-expression
-# aggregate outgrows generated-code limits; switch to Arrow batches + numpy.
-ARROW_THRESHOLD = 96
-# Each column-path iteration compiles new code for its literal weights (a
-# fixed cost of a few hundred ms with many configurations).  When the first
-# iteration shows a training set below this many rows, that fixed cost
-# dominates and later iterations of multi-configuration fits use the Arrow
-# path; large sets stay on the JVM path.
-SMALL_ROWS = 1_000_000
-MULTI_CONFIG = 4
-
-
-def _next_method(method: str, n: int, configs: int) -> str:
-    if method != "auto":
-        return method
-    return "arrow" if (n <= SMALL_ROWS and configs >= MULTI_CONFIG) else "auto"
-
-
 def batch_sums(
-    base: DataFrame, features: Sequence[str], weight_vectors: Sequence[Sequence[float]], method: str = "auto"
+    base: DataFrame, features: Sequence[str], weight_vectors: Sequence[Sequence[float]], method: str = "columns"
 ) -> tuple[int, list[list[float]], list[float]]:
-    """Dispatch to the Column-expression or the Arrow/numpy pass."""
-    wide = (len(features) + 1) * len(weight_vectors) > ARROW_THRESHOLD
-    if method == "arrow" or (method == "auto" and wide):
-        return batch_sums_arrow(base, features, weight_vectors)
-    return batch_sums_columns(base, features, weight_vectors)
+    """The pass the caller names, at every size: ``columns`` (generated code,
+    for a few vectors of a few features) or ``arrow`` (matrix products over
+    Arrow batches, for grids and wide rows)."""
+    if method not in ("columns", "arrow"):
+        raise ValueError(f"unknown method {method!r}")
+    return (batch_sums_arrow if method == "arrow" else batch_sums_columns)(base, features, weight_vectors)
 
 
 def batch_sums_arrow(
@@ -234,14 +217,13 @@ def gradient_descent(
     label: str = "label",
     weight_col: str | Column | None = None,
     initial: Sequence[float] | None = None,
-    method: str = "auto",
+    method: str = "columns",
 ) -> list[GDRun]:
     """Fit one weight vector per ``(learning_rate, reg_param)`` in one loop.
 
     ``train`` should already be materialised (``quarry.materialize``).
     ``weight_col`` is the per-row class weight (default 1.0).  ``method``
-    picks the per-iteration pass: ``columns``, ``arrow`` or ``auto`` (by
-    width, see ``ARROW_THRESHOLD``).
+    picks the per-iteration pass, ``columns`` or ``arrow`` (see ``batch_sums``).
     """
     d = len(features)
     init = list(initial) if initial is not None else [0.0] * (d + 1)
@@ -253,7 +235,6 @@ def gradient_descent(
             break
         start = time.time()
         n, grads, losses = batch_sums(base, features, [r.weights for r in active], method)
-        method = _next_method(method, n, len(runs))
         elapsed = time.time() - start
         if n == 0:
             for r in active:
@@ -281,7 +262,7 @@ def sgd_fit(
     reg_param: float = 0.01,
     tol: float = 1e-3,
     label: str = "label",
-    method: str = "auto",
+    method: str = "columns",
     mini_batch_fraction: float = 1.0,
     seed: int = 42,
 ) -> list[GDRun]:
@@ -308,7 +289,6 @@ def sgd_fit(
         start = time.time()
         batch = base if mini_batch_fraction >= 1.0 else base.sample(False, mini_batch_fraction, seed + t)
         n, grads, losses = batch_sums(batch, features, [r.weights for _, r in active], method)
-        method = _next_method(method, n, len(runs))
         elapsed = time.time() - start
         if n == 0:
             if mini_batch_fraction < 1.0:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import DoubleType, FloatType
 
 from quarry.functions.columns import safe_div
 
@@ -107,8 +107,8 @@ def quantile_summary(
 ) -> DataFrame:
     """``min, q25, q50, q75, max`` per column via ``percentile_approx``.
 
-    The sketch's rank error is ``n / accuracy``; with ``accuracy`` above the
-    row count it returns the exact lower quantile (an actual data value).
+    A sketch: each quantile's rank is off by up to ``n / accuracy``, so its
+    error grows with the rows.  ``exact_quantiles`` has none.
     """
     aggs = []
     for c in columns:
@@ -281,7 +281,3 @@ def cleaning_report(parsed: DataFrame, valid: Column, value_cols: Sequence[str],
         F.lit(n_features).cast("bigint").alias("features"),
         safe_div(F.col("valid") - F.col("distinct_valid"), F.col("valid")).alias("duplicate_share"),
     )
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]

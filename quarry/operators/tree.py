@@ -347,7 +347,7 @@ def split_candidates(
 
 
 def _var(s: Column, ss: Column, n: Column) -> Column:
-    return F.when(n > 0, ss / n - F.pow(s / n, 2)).otherwise(F.lit(0.0))
+    return F.when(n > 0, F.greatest(ss / n - F.pow(s / n, 2), F.lit(0.0))).otherwise(F.lit(0.0))
 
 
 def score_candidates(cands: DataFrame, min_side: int = MIN_SIDE) -> DataFrame:
@@ -464,8 +464,11 @@ def root_split_table(
     thresholds: Mapping[str, Sequence[float]],
     min_side: int = MIN_SIDE,
 ) -> DataFrame:
-    """All candidate splits of the root with their scores (for inspection)."""
-    cands = split_candidates(df, F.lit(1), features, thresholds, F.col(label).cast("double"))
+    """All candidate splits of the root with their scores (for inspection).
+    The target is centred on its mean, like in ``fit_tree``."""
+    y = F.col(label).cast("double")
+    mean = float(df.agg(F.avg(y)).first()[0] or 0.0)
+    cands = split_candidates(df, F.lit(1), features, thresholds, y - F.lit(mean))
     return score_candidates(cands, min_side)
 
 

@@ -111,7 +111,7 @@ stest AS (SELECT (f1 - lo1) / r1 AS x1, (f2 - lo2) / r2 AS x2, (f3 - lo3) / r3 A
 ORACLES["fraud_report"] = f"""
 WITH RECURSIVE split AS ({FRAUD_SPLIT}),
 {FRAUD_PREP},
-{gd_cte(0.5, 0.01, 10, 1e-4)},
+{gd_cte(0.5, 0.01, 30, 1e-4)},
 fin AS (SELECT * FROM gd WHERE it = (SELECT max(it) FROM gd)),
 scored AS (SELECT y, {sigmoid("fin.b0 + fin.b1 * x1 + fin.b2 * x2 + fin.b3 * x3")} AS p FROM stest, fin),
 conf AS (SELECT count_if(p >= 0.5 AND y = 1.0)::BIGINT AS tp, count_if(p >= 0.5 AND y = 0.0)::BIGINT AS fp,

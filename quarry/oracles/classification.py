@@ -12,7 +12,7 @@ from quarry.oracles.profiling import _FRAUD_NN
 ORACLES["gd_history"] = f"""
 WITH RECURSIVE split AS ({FRAUD_SPLIT}),
 {FRAUD_PREP},
-{gd_cte(0.5, 0.01, 10, 1e-4)}
+{gd_cte(0.5, 0.01, 30, 1e-4)}
 SELECT 0 AS config_index, 0.5::DOUBLE AS learning_rate, 0.01::DOUBLE AS reg_param, it::BIGINT AS iteration,
        round(loss, 6) AS loss, round(change, 6) AS loss_change
 FROM gd WHERE it >= 1"""
@@ -77,13 +77,13 @@ _GRID_SCORED = f"""
 SELECT fin.cfg, {sigmoid("fin.b0 + fin.b1 * t.x1 + fin.b2 * t.x2 + fin.b3 * t.x3")} AS p, t.y AS label, t.key
 FROM (SELECT (f1 - lo1) / r1 AS x1, (f2 - lo2) / r2 AS x2, (f3 - lo3) / r3 AS x3, label AS y, {FRAUD_KEY} AS key
       FROM test, mm) t,
-     (SELECT * FROM gd WHERE it = 5) fin"""
+     (SELECT * FROM gd WHERE (cfg, it) IN (SELECT cfg, max(it) FROM gd GROUP BY cfg)) fin"""
 
 
 ORACLES["gd_grid_best"] = f"""
 WITH RECURSIVE split AS ({FRAUD_SPLIT}),
 {FRAUD_PREP},
-{gd_cte_multi(_GRID, 5, 0.0)},
+{gd_cte_multi(_GRID, 30, 1e-4)},
 aucs AS ({auc_stepwise_sql(_GRID_SCORED, "cfg")})
 SELECT grp::BIGINT AS config_index, lr AS learning_rate, reg AS reg_param, round(auc, 6) AS auc
 FROM aucs JOIN cfgs ON grp = cfgs.cfg ORDER BY auc DESC, grp ASC LIMIT 1"""
@@ -266,7 +266,7 @@ stest AS (SELECT {_W_X}, label AS y FROM test, mm)"""
 ORACLES["fraud_report_wide"] = f"""
 WITH RECURSIVE split AS ({_W_SPLIT}),
 {_W_PREP},
-{gd_cte(0.5, 0.01, 10, 1e-4, k=4)},
+{gd_cte(0.5, 0.01, 30, 1e-4, k=4)},
 fin AS (SELECT * FROM gd WHERE it = (SELECT max(it) FROM gd)),
 scored AS (SELECT y, {sigmoid("fin.b0 + fin.b1 * x1 + fin.b2 * x2 + fin.b3 * x3 + fin.b4 * x4")} AS p FROM stest, fin),
 conf AS (SELECT count_if(p >= 0.5 AND y = 1.0)::BIGINT AS tp, count_if(p >= 0.5 AND y = 0.0)::BIGINT AS fp,
@@ -283,13 +283,13 @@ _W_GRID_SCORED = f"""
 SELECT fin.cfg, {sigmoid("fin.b0 + fin.b1 * t.x1 + fin.b2 * t.x2 + fin.b3 * t.x3 + fin.b4 * t.x4")} AS p,
        t.y AS label, t.key
 FROM (SELECT {_W_X}, label AS y, {_W_KEY} AS key FROM test, mm) t,
-     (SELECT * FROM gd WHERE it = 5) fin"""
+     (SELECT * FROM gd WHERE (cfg, it) IN (SELECT cfg, max(it) FROM gd GROUP BY cfg)) fin"""
 
 
 ORACLES["gd_grid_best_wide"] = f"""
 WITH RECURSIVE split AS ({_W_SPLIT}),
 {_W_PREP},
-{gd_cte_multi(_GRID, 5, 0.0, k=4)},
+{gd_cte_multi(_GRID, 30, 1e-4, k=4)},
 aucs AS ({auc_stepwise_sql(_W_GRID_SCORED, "cfg")})
 SELECT grp::BIGINT AS config_index, lr AS learning_rate, reg AS reg_param, round(auc, 6) AS auc
 FROM aucs JOIN cfgs ON grp = cfgs.cfg ORDER BY auc DESC, grp ASC LIMIT 1"""

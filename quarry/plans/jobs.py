@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import haversine_km, time_parts, wall_clock
-from quarry.functions.scale import MinMax, StringIndex, fit_minmax, fit_string_index
+from quarry.functions.scale import StringIndex, fit_minmax, fit_string_index
 from quarry.operators import clean, evaluate, logistic
 from quarry.operators import tree as tree_ops
 from quarry.operators.split import hash_split
@@ -22,6 +22,7 @@ from quarry.session import release
 from quarry.sources import io as qio
 from quarry.sources import text
 
+# The columns of the structured regression model.
 TRIP_MODEL_FEATURES = [
     "vendor_id", "passenger_count", "pickup_longitude", "pickup_latitude", "dropoff_longitude",
     "dropoff_latitude", "pickup_hour", "pickup_dayofweek", "distance_km", "store_and_fwd_flag_indexed",
@@ -57,45 +58,6 @@ def prepare_trips(df: DataFrame, fitted: TripPrep | None = None, with_label: boo
     return out, fitted
 
 
-def fit_classifier(
-    df: DataFrame,
-    features: Sequence[str],
-    key,
-    label: str = "label",
-    configs: Sequence[tuple[float, float]] = ((0.5, 0.01),),
-    max_iter: int = 30,
-    tol: float = 1e-4,
-    dedup: bool = True,
-) -> tuple[list[logistic.GDRun], MinMax, DataFrame]:
-    """Clean → de-duplicate → 80/20 key split → min-max (train) → class
-    weights (train) → batched gradient descent.  Returns runs, scaler, test."""
-    from quarry.functions.scale import minmax_aggs
-    from quarry.operators.split import materialized_split
-
-    df = clean.drop_nulls(df.select(*features, label))
-    if dedup:
-        df = clean.dedup(df)
-    train, test = materialized_split(df, key, (0.8, 0.2))
-    row = train.agg(
-        *minmax_aggs(features),
-        F.count_if(F.col(label) == 0.0).alias("n0"),
-        F.count_if(F.col(label) == 1.0).alias("n1"),
-    ).first()
-    mm = fit_minmax(train, features, row=row)
-    cw = logistic.inverse_frequency(int(row["n0"]), int(row["n1"]))
-    prepared = mm.transform(train).select(*features, label, logistic.class_weight_col(cw, label).alias("_w"))
-    runs = logistic.gradient_descent(prepared, features, configs, max_iter, tol, label, weight_col="_w")
-    return runs, mm, test
-
-
-def classification_report(
-    test: DataFrame, mm: MinMax, weights: Sequence[float], features: Sequence[str], label: str = "label",
-    thresholds: Sequence[float] = evaluate.SWEEP_THRESHOLDS,
-) -> DataFrame:
-    scored = logistic.score(mm.transform(test), weights, features)
-    return evaluate.threshold_sweep(scored, thresholds, "p", label)
-
-
 def regression_job(
     spark: SparkSession,
     train_lines: DataFrame,
@@ -181,7 +143,7 @@ def classification_job(
     cw = logistic.inverse_frequency(int(row["n0"]), int(row["n1"]))
     prepared = mm.transform(train).select(*feats, label, logistic.class_weight_col(cw, label).alias("_w"))
     configs = [(lr, reg) for lr in learning_rates for reg in reg_params]
-    runs = logistic.gradient_descent(prepared, feats, configs, max_iter, tol, label, weight_col="_w")
+    runs = logistic.gradient_descent(prepared, feats, configs, max_iter, tol, label, weight_col="_w", method="arrow")
     stest = mm.transform(test)
     scored = stest.select(
         F.inline(F.array(*[
@@ -216,6 +178,21 @@ def classification_job(
     return out
 
 
+def split_and_prepare(df: DataFrame) -> tuple[list[DataFrame], TripPrep, DataFrame]:
+    """80/20 key split, then the preparation with the flag index fitted on the
+    training rows alone.  One stored copy of the prepared complete rows feeds
+    all later fits and metrics: ``([train, valid], fitted, stored)``."""
+    from quarry.operators import library
+    from quarry.operators.split import materialized_split
+
+    raw_train, _ = hash_split(df, F.col("id"), (0.8, 0.2))
+    fitted = TripPrep(fit_string_index(raw_train, "store_and_fwd_flag"))
+    prepared, _ = prepare_trips(df, fitted)
+    prepared = library.complete_rows(prepared, TRIP_MODEL_FEATURES)
+    parts, stored = materialized_split(prepared, F.col("id"), (0.8, 0.2), with_stored=True)
+    return parts, fitted, stored
+
+
 def structured_regression_job(
     df: DataFrame,
     test: DataFrame | None = None,
@@ -230,12 +207,7 @@ def structured_regression_job(
     on the validation part, and optional scoring of ``test`` to CSV."""
     from quarry.operators import library
 
-    from quarry.operators.split import materialized_split
-
-    prepared, fitted = prepare_trips(df)
-    # one stored copy of the prepared rows feeds the base fit, every
-    # cross-validation fold and the validation metrics
-    (train, valid), stored = materialized_split(prepared, F.col("id"), (0.8, 0.2), with_stored=True)
+    (train, valid), fitted, stored = split_and_prepare(df)
     base = library.fit_tree_regressor(train, TRIP_MODEL_FEATURES, "trip_duration")
     cv_model, grid = library.cross_validate_tree(
         train, TRIP_MODEL_FEATURES, "trip_duration", max_depths, min_instances, folds
@@ -251,6 +223,7 @@ def structured_regression_job(
     }
     if test is not None:
         prepared_test, _ = prepare_trips(test, fitted, with_label=False)
+        prepared_test = library.complete_rows(prepared_test, TRIP_MODEL_FEATURES)
         scored = best.transform(library.assemble(prepared_test, TRIP_MODEL_FEATURES)).select(
             "id", F.col("prediction").alias("trip_duration")
         )

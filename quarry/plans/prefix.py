@@ -83,7 +83,12 @@ def running_totals(
         summed = ranged.withColumns({f"_loc_{v}": F.sum(v).over(upto) for v in names})
     else:
         summed = _local_cumsum(ranged.sortWithinPartitions(*[F.col(g) for g in group], *order), group, names)
-    out = summed.join(offsets, [PID, *group], "inner")
+    # null-safe, so rows of a NULL group keep their offset
+    offsets = offsets.withColumnsRenamed({c: f"_at_{c}" for c in (PID, *group)})
+    same = F.lit(True)
+    for c in (PID, *group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    out = summed.join(offsets, same, "inner").drop(*[f"_at_{c}" for c in (PID, *group)])
     out = out.withColumns({f"cum_{v}": F.col(f"_loc_{v}") + F.col(f"_off_{v}") for v in names})
     return out.drop(PID, *[f"_loc_{v}" for v in names], *[f"_off_{v}" for v in names])
 
@@ -98,7 +103,10 @@ def _local_cumsum(sorted_df: DataFrame, group: Sequence[str], names: Sequence[st
     schema = StructType(
         list(sorted_df.schema.fields) + [StructField(f"_loc_{v}", fields[v].dataType) for v in names]
     )
-    keys = [PID, *group]
+    # NULL and NaN look the same in pandas: a flag tells them apart
+    flags = [f"_null_{g}" for g in group]
+    sorted_df = sorted_df.withColumns({f: F.col(g).isNull() for f, g in zip(flags, group)})
+    keys = [PID, *group, *flags]
 
     def run(batches):
         import numpy as np
@@ -107,11 +115,14 @@ def _local_cumsum(sorted_df: DataFrame, group: Sequence[str], names: Sequence[st
         carry: dict = {}
         for pdf in batches:
             if pdf.empty:
-                yield pdf.assign(**{f"_loc_{v}": pdf[v] for v in names})
+                yield pdf.drop(columns=flags).assign(**{f"_loc_{v}": pdf[v] for v in names})
                 continue
             # group ids in order of first appearance; keys of those groups
             gid = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
-            ukeys = list(pdf[keys].drop_duplicates().itertuples(index=False, name=None))
+            ukeys = [
+                tuple("missing" if pd.isna(x) else ("", x) for x in key)
+                for key in pdf[keys].drop_duplicates().itertuples(index=False, name=None)
+            ]
             last_row = pd.Series(np.arange(len(gid))).groupby(gid).max().to_numpy()
             out = {}
             for v in names:
@@ -121,6 +132,6 @@ def _local_cumsum(sorted_df: DataFrame, group: Sequence[str], names: Sequence[st
                 for j, k in enumerate(ukeys):
                     carry[(k, v)] = loc[last_row[j]]
                 out[f"_loc_{v}"] = loc.astype(pdf[v].dtype, copy=False)
-            yield pdf.assign(**out)
+            yield pdf.drop(columns=flags).assign(**out)
 
     return sorted_df.mapInPandas(run, schema)

@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -71,20 +73,41 @@ def test_quantiles_exact_at_high_accuracy(spark):
     assert math.isclose(profile.feature_summary(df, ["x"]).first()["mean"], 50.5)
 
 
-def test_string_index_case_and_join_paths_agree(spark):
-    from quarry.functions.scale import StringIndex, fit_string_index, string_index_table
+def test_string_index_of_many_labels(spark):
+    from quarry.functions.scale import fit_string_index, string_index_table
 
-    rows = [(f"v{i % 90}",) for i in range(900)] + [("v1",)] * 5 + [(None,)]
+    rows = [(f"v{i % 10_001}",) for i in range(20_002)] + [("v1",)] * 5 + [(None,)]
     df = spark.createDataFrame(rows, "s string")
     idx = fit_string_index(df, "s")
-    assert idx.labels[0] == "v1"
+    assert idx.n_labels == 10_001
     table = {r["s"]: r["index"] for r in string_index_table(df, "s").collect()}
     joined = {r["s"]: r["ix"] for r in idx.transform(df, "ix").collect()}
-    assert joined[None] == 90.0
+    assert table["v1"] == 0.0 and joined[None] == 10_001.0
     assert all(joined[k] == v for k, v in table.items())
-    small = StringIndex(("s",), ("v1", "v2"))
-    got = {r["s"]: r["ix"] for r in small.transform(df, "ix").collect()}
-    assert got["v1"] == 0.0 and got["v2"] == 1.0 and got["v3"] == 2.0
+    unseen = spark.createDataFrame([("new",), ("v1",)], "s string")
+    assert sorted(r["ix"] for r in idx.transform(unseen, "ix").collect()) == [0.0, 10_001.0]
+    assert [r["s"] for r in idx.transform(unseen, "ix", "skip").collect()] == ["v1"]
+
+
+def test_running_totals_of_null_and_nan_groups(spark):
+    from quarry.plans.prefix import running_totals
+
+    nan = float("nan")
+    rows = [(g, i) for g in (None, nan, 1.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "g double, i int").repartition(5)
+    for local in ("arrow", "window"):
+        out = running_totals(df, [F.col("i")], {"n": F.lit(1)}, group=["g"], num_partitions=7, local=local).collect()
+        assert len(out) == 900
+        assert all(r["cum_n"] == r["i"] + 1 for r in out)
+
+
+def test_assembly_raises_on_missing_features(spark):
+    from quarry.operators import library
+
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    with pytest.raises(Exception, match="(?i)null|NaN"):
+        library.assemble(df, ["x"]).collect()
+    assert library.assemble(library.complete_rows(df, ["x"]), ["x"]).count() == 1
 
 
 def test_correlation_stable_for_large_means(spark):

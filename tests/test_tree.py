@@ -1,53 +1,41 @@
-"""Level-wise tree (I8–I10, A13) against a recursive brute force of the rules."""
+"""Level-wise tree (I8–I10, A13) against an enumeration of all candidate splits."""
 
 import math
 import random
+import statistics
 
 from pyspark.sql import functions as F
 
 from quarry.operators import tree as T
 
 
-def brute_tree(rows, feats, thresholds, depth, max_depth, min_node, min_side, gain):
-    """Recursive transcription of the reference's rules (sorted thresholds)."""
-    ys = [r[-1] for r in rows]
-    n = len(ys)
-    mean = sum(ys) / n if n else 0.0
-    if n < min_node or depth >= max_depth:
-        return {"leaf": True, "prediction": mean, "n": n}
-    var = sum(y * y for y in ys) / n - mean ** 2
-    best = (math.inf, None, None)
-    for fi, f in enumerate(feats):
-        for t in sorted(thresholds[f]):
-            left = [r for r in rows if r[fi] <= t]
-            right = [r for r in rows if r[fi] > t]
-            if len(left) < min_side or len(right) < min_side:
-                continue
-
-            def v(part):
-                m = sum(r[-1] for r in part) / len(part)
-                return sum(r[-1] ** 2 for r in part) / len(part) - m * m
-
-            mse = (v(left) * len(left) + v(right) * len(right)) / n
-            if mse < best[0] - 1e-9:
-                best = (mse, fi, t)
-    if best[1] is None or best[0] >= var * gain:
-        return {"leaf": True, "prediction": mean, "n": n}
-    _, fi, t = best
-    return {
-        "leaf": False, "f": fi, "t": t, "n": n,
-        "left": brute_tree([r for r in rows if r[fi] <= t], feats, thresholds, depth + 1, max_depth, min_node, min_side, gain),
-        "right": brute_tree([r for r in rows if r[fi] > t], feats, thresholds, depth + 1, max_depth, min_node, min_side, gain),
-    }
-
-
-def flatten(node, nid=1, out=None):
-    out = {} if out is None else out
-    out[nid] = node
-    if not node["leaf"]:
-        flatten(node["left"], 2 * nid, out)
-        flatten(node["right"], 2 * nid + 1, out)
-    return out
+def expected_nodes(rows, thresholds, max_depth, min_node, min_side, gain):
+    """Node id -> (count, mean, split or None), by listing all candidate
+    splits of each node and taking the least pooled variance."""
+    todo, nodes = [(1, rows)], {}
+    while todo:
+        nid, own = todo.pop()
+        target = [r[-1] for r in own]
+        depth = nid.bit_length() - 1
+        sides = [
+            (fi, t, [r for r in own if r[fi] <= t], [r for r in own if r[fi] > t])
+            for fi, name in enumerate(thresholds)
+            for t in sorted(thresholds[name])
+        ]
+        scored = [
+            (sum(len(side) * statistics.pvariance([r[-1] for r in side]) for side in (low, high)) / len(own), i)
+            for i, (_, _, low, high) in enumerate(sides)
+            if min(len(low), len(high)) >= min_side
+        ]
+        split = None
+        if scored and len(own) >= min_node and depth < max_depth:
+            least = min(s for s, _ in scored)
+            i = next(i for s, i in scored if s <= least + 1e-9)
+            if least < gain * statistics.pvariance(target):
+                split = sides[i][:2]
+                todo += [(2 * nid, sides[i][2]), (2 * nid + 1, sides[i][3])]
+        nodes[nid] = (len(own), statistics.fmean(target), split)
+    return nodes
 
 
 def _data(spark, n=600, seed=4):
@@ -65,16 +53,16 @@ def test_tree_matches_brute_force(spark):
     th = T.feature_thresholds(df, ["a", "b"], 10)
     params = dict(max_depth=3, min_node=40, min_side=20, gain_factor=0.95)
     tree = T.fit_tree(df, ["a", "b"], "y", thresholds=th, **params)
-    brute = flatten(brute_tree(rows, ["a", "b"], th, 0, 3, 40, 20, 0.95))
-    assert set(tree.nodes) == set(brute)
-    for nid, b in brute.items():
+    expected = expected_nodes(rows, {"a": th["a"], "b": th["b"]}, 3, 40, 20, 0.95)
+    assert set(tree.nodes) == set(expected)
+    for nid, (count, mean, split) in expected.items():
         n = tree.nodes[nid]
-        assert n.count == b["n"]
-        assert n.is_leaf == b["leaf"]
-        if not b["leaf"]:
-            assert n.feature == b["f"] and math.isclose(n.threshold, b["t"])
+        assert n.count == count
+        assert n.is_leaf == (split is None)
+        if split:
+            assert n.feature == split[0] and math.isclose(n.threshold, split[1])
         else:
-            assert math.isclose(n.prediction, b["prediction"], rel_tol=1e-9)
+            assert math.isclose(n.prediction, mean, rel_tol=1e-9)
     # compiled CASE equals walking the tree; leaf counts add up
     pred = {r["a"]: r["prediction"] for r in tree.predict(df).collect()}
     leaves = [n for n in tree.nodes.values() if n.is_leaf]
@@ -118,3 +106,10 @@ def test_arrow_traversal_equals_case_expression(spark):
     a = {r["a"]: r["prediction"] for r in tree.predict(df, method="case").collect()}
     b = {r["a"]: r["prediction"] for r in tree.predict(df, method="arrow").collect()}
     assert len(tree.nodes) > 3 and a == b
+
+
+def test_root_split_table_centres_the_target(spark):
+    rows = [(float(i % 10), 1e9 + float(i % 2)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a double, y double")
+    table = T.root_split_table(df, ["a"], "y", {"a": [2.0, 5.0]}, 10).collect()
+    assert all(math.isclose(r["node_variance"], 0.25, rel_tol=1e-6) for r in table)
