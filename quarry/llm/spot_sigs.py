@@ -45,6 +45,8 @@ from quarry.llm.common import hash_words, lexical_words_of, mix, record_batch, s
 CHAIN = 2
 #: A word with no anchor among so many words before it is one itself if its hash falls right.
 STRETCH, EVERY = 8, 6
+#: Text compared at once in a task: it is cut into words twice, with a dozen numbers a word.
+COMPARED_BYTES = 3 << 20
 # Common words of English, German, French and Spanish.
 ANCHORS = (
     "a an and are as at be but by for from had has have he her his i in is it its not of on or she that the their they this to was were which with you "
@@ -172,7 +174,7 @@ def fingerprint_table(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # doc_id, text and fingerprint of the row that waits for its next
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=COMPARED_BYTES):
             ranges, guests = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             # a range's rows, then its guests, of which the first counts
             use = np.ones(len(ranges), bool)
