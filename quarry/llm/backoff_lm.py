@@ -51,6 +51,8 @@ COUNT_SHARE, WORD_SHARE, NGRAM_SHARE = 1e-6, 1e-5, 1e-6
 #: Numbers of automaton words fit in so many bits; 0 is any other word, 1 the end.
 BITS = 20
 END = 1
+#: Text scored at once in a task.
+SCORED_BYTES = 6 << 20
 
 
 @dataclass
@@ -242,7 +244,7 @@ def in_task_scores(docs: DataFrame, counts, automaton) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, known, machine = TaskContext.get().partitionId() << 33, counts.value, automaton.value
         end = float(known.log_p(np.array([known.ends]))[0])
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=SCORED_BYTES):
             w = words_of(batch.column(2), lower_ascii=True)
             n, size = batch.num_rows, np.int64(max(1, len(w.vocab)))
             place = known.place(w.vocab)
