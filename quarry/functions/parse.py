@@ -9,6 +9,9 @@ spellings itself.  Everything stays a JVM-side expression.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,29 +25,44 @@ PY_FLOAT_PATTERN = (
 NAN_SPELLINGS = ("nan", "+nan", "-nan")
 
 
+def _space() -> str:
+    """Every character that Python's ``str.strip`` removes."""
+    return "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
+def _decimals() -> tuple[str, str]:
+    """Every decimal digit beyond ASCII, and the ASCII digits they stand for."""
+    found = [ch for ch in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.decimal(ch, None) is not None]
+    return "".join(found), "".join(str(unicodedata.decimal(ch)) for ch in found)
+
+
+SPACE = _space()
+DECIMALS, DECIMAL_VALUES = _decimals()
+
+
 def strip(c: Column) -> Column:
-    """Python ``str.strip()``: drop leading and trailing whitespace (Unicode
-    white space too, e.g. NBSP, as Python does)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: a trim by its fixed list of blanks."""
+    return F.btrim(c, F.lit(SPACE))
 
 
 def clean_field(c: Column) -> Column:
     """``x.strip().replace('"', '')`` — strip first, then drop every quote."""
-    return F.regexp_replace(strip(c), '"', "")
+    return F.replace(strip(c), F.lit('"'), F.lit(""))
 
 
 def py_float(c: Column) -> Column:
     """Python ``float(c)`` as a Column; NULL where Python would raise.
 
-    The grammar check is anchored and allows surrounding whitespace, so the
-    text is stripped only once, inside the cast branch.
+    Blanks are trimmed and digits beyond ASCII become ASCII ones; one anchored
+    grammar check then guards the cast.  Of a text of ASCII characters alone,
+    ``float`` trims only the blanks of C, not U+001C to U+001F.
     """
-    ok = c.rlike(r"(?U)^\s*" + PY_FLOAT_PATTERN[1:-1] + r"\s*$")
-    s = strip(c)
+    ascii_only = F.octet_length(c) == F.char_length(c)
+    s = F.when(ascii_only, F.btrim(c, F.lit(" \t\n\r\x0b\x0c"))).otherwise(F.translate(strip(c), DECIMALS, DECIMAL_VALUES))
     return (
-        F.when(~ok | c.isNull(), F.lit(None).cast("double"))
+        F.when(s.isNull() | ~s.rlike(PY_FLOAT_PATTERN), F.lit(None).cast("double"))
         .when(F.lower(s).isin(*NAN_SPELLINGS), F.lit(float("nan")))
-        .otherwise(F.regexp_replace(s, "_", "").try_cast("double"))
+        .otherwise(F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
     )
 
 

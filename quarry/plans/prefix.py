@@ -111,27 +111,34 @@ def _local_cumsum(sorted_df: DataFrame, group: Sequence[str], names: Sequence[st
     def run(batches):
         import numpy as np
         import pandas as pd
+        import pyarrow as pa
 
         carry: dict = {}
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.drop(columns=flags).assign(**{f"_loc_{v}": pdf[v] for v in names})
-                continue
-            # group ids in order of first appearance; keys of those groups
-            gid = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
-            ukeys = [
-                tuple("missing" if pd.isna(x) else ("", x) for x in key)
-                for key in pdf[keys].drop_duplicates().itertuples(index=False, name=None)
-            ]
-            last_row = pd.Series(np.arange(len(gid))).groupby(gid).max().to_numpy()
-            out = {}
+        for batch in batches:
+            kept = batch.drop_columns(flags) if flags else batch
+            pdf = batch.select([*keys, *names]).to_pandas()
+            sums = []
+            if not pdf.empty:
+                # group ids in order of first appearance; keys of those groups
+                gid = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+                ukeys = [
+                    tuple("missing" if pd.isna(x) else ("", x) for x in key)
+                    for key in pdf[keys].drop_duplicates().itertuples(index=False, name=None)
+                ]
+                last_row = pd.Series(np.arange(len(gid))).groupby(gid).max().to_numpy()
             for v in names:
+                kind = batch.schema.field(v).type
+                if pdf.empty:
+                    sums.append(pa.array([], kind))
+                    continue
                 cs = pdf[v].groupby(gid, sort=False).cumsum().to_numpy()
                 start = np.array([carry.get((k, v), 0) for k in ukeys])
                 loc = cs + start[gid]
                 for j, k in enumerate(ukeys):
                     carry[(k, v)] = loc[last_row[j]]
-                out[f"_loc_{v}"] = loc.astype(pdf[v].dtype, copy=False)
-            yield pdf.drop(columns=flags).assign(**out)
+                sums.append(pa.array(loc.astype(pdf[v].dtype, copy=False)).cast(kind))
+            fields = [*kept.schema, *(pa.field(f"_loc_{v}", x.type) for v, x in zip(names, sums))]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *sums], schema=pa.schema(fields))
 
-    return sorted_df.mapInPandas(run, schema)
+    # Arrow batches as they are: through pandas a NaN would come back as NULL
+    return sorted_df.mapInArrow(run, schema)

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quarry.functions.parse import py_float
+from quarry.functions.parse import py_float, strip
 from quarry.sources import text
 
 
@@ -18,7 +18,8 @@ def python_float(s):
 
 EDGE = ["1", "1.5", " 2 ", "1_000", "1__0", "_1", "1e3", "1E-2", ".5", "5.", "inf", "-Infinity", "nan",
         "+nan", "NaN", "abc", "1d", "1f", "", " ", "0x10", "+1", "-0.0", "1e", "--1", "1,2",
-        "\xa02\xa0", "\t3\n", "\u20034"]
+        "\xa02\xa0", "\t3\n", "\u20034", "\x1c1", "\x1d2\x1f", "\x855", "\uff11\uff12", "\u0663.\u0665", "\u00b2", "\u2460",
+        "1e\uff13", "\u200b1", "\U0001d7cf"]
 
 
 def _same(a, b):
@@ -36,6 +37,13 @@ def test_py_float_edge_cases(spark):
         assert _same(got[s], python_float(s)), s
 
 
+def test_strip_drops_what_python_drops(spark):
+    texts = ["\x1c1\x1f", "\x85 a\u3000", "\u200bx", "\u00a0", " a b "]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = {r[0]: r[1] for r in df.select("s", strip(F.col("s"))).collect()}
+    assert got == {t: t.strip() for t in texts}
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.text(alphabet="0123456789.eE+-_ infa", max_size=8), min_size=1, max_size=20))
 def test_py_float_property(spark, values):
