@@ -48,7 +48,7 @@ from quarry.llm.common import Scratch, hash_words, mix, ragged, record_batch, sl
 WINDOW, PREFIX = 50, 16
 GROUP = 2048
 #: Word hashes of subtrees built at once.
-TREE_WORDS = 1_500_000
+TREE_WORDS = 1_000_000
 #: Documents that lose words are told to all tasks up to so many ranges, and joined by a shuffle beyond.
 BROADCAST_RANGES = 500_000
 LARGEST = (1 << 63) - 1
@@ -130,12 +130,12 @@ def deep_nodes(word: np.ndarray, chunk: np.ndarray, group: np.ndarray, n_windows
 def covered_windows(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]]:
     """For rows (group, document id, word hashes), the ranges (row, first, end)
     of windows that also start in a document with a smaller id."""
-    parts = [np.frombuffer(b, "<u4") for *_, b in rows]
+    parts = [np.frombuffer(b, "<u8") for *_, b in rows]
     lens = np.array([len(p) for p in parts], np.int64)
     starts = np.cumsum(lens) - lens
     chunk = np.repeat(np.arange(len(rows)), lens)
     group, ids = np.array([g for g, *_ in rows], np.int64), np.array([d for _, d, _ in rows], np.int64)
-    at, node = deep_nodes(np.concatenate(parts).astype(np.int64), chunk, np.unique(group, return_inverse=True)[1], lens - WINDOW + 1, starts)
+    at, node = deep_nodes(np.concatenate(parts), chunk, np.unique(group, return_inverse=True)[1], lens - WINDOW + 1, starts)
     if not len(at):
         return []
     least = np.full(int(node.max()) + 1, LARGEST)
@@ -194,7 +194,7 @@ def suffixes(wanted: DataFrame) -> DataFrame:
             word = hash_words(w.vocab)[w.idx] if len(w.vocab) else np.zeros(0, np.uint64)
             key = window_keys(word).view(np.int64)
             a128, b128 = window_hashes(word)
-            short = (word & np.uint64(0xFFFFFFFF)).astype("<u4")
+            plain = word.astype("<u8")
             digests = content_digests(word, w.starts, w.lens)
             ids, contents = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for i, (start, n) in enumerate(zip(w.starts.tolist(), w.lens.tolist(), strict=True)):
@@ -206,7 +206,7 @@ def suffixes(wanted: DataFrame) -> DataFrame:
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(own)]])
                 head = own[cut[:-1]]
                 light = np.flatnonzero(np.isin(head, shared))
-                rows = [(int(head[k]), 0, False, ids[i], contents[i], int(cut[k]), short[start + cut[k] : start + cut[k + 1] + WINDOW - 1].tobytes()) for k in light]
+                rows = [(int(head[k]), 0, False, ids[i], contents[i], int(cut[k]), plain[start + cut[k] : start + cut[k + 1] + WINDOW - 1].tobytes()) for k in light]
                 heavy = np.flatnonzero(np.isin(own, common)).tolist()
                 rows += [(int(a128[start + k]), int(b128[start + k]), True, ids[i], contents[i], k, None) for k in heavy]
                 if rows:
@@ -230,7 +230,7 @@ def subtree_ranges(rows: DataFrame) -> DataFrame:
         held, size = [], 0  # rows of whole groups, and of one that may go on
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size >= TREE_WORDS * 4 and row[0] != held[-1][0]:
+                if size >= TREE_WORDS * 8 and row[0] != held[-1][0]:
                     yield ranges(held)
                     held, size = [], 0
                 held.append(row)
