@@ -19,7 +19,6 @@ from quarry.catalog.common import (  # noqa: F401
     TREE,
     TRIP_NUMERIC,
     _clean_fraud,
-    _trip_train_valid,
     fit_fraud_model,
     fit_trip_tree,
     fraud_clean_split,

@@ -13,6 +13,7 @@ from quarry.functions.columns import threshold as hard_threshold
 from quarry.functions.scale import fit_std
 from quarry.operators import clean, evaluate, library, logistic
 from quarry.operators.split import materialized_split
+from quarry.session import release
 from quarry.sources import fixtures as fx
 
 
@@ -180,11 +181,12 @@ def lr_sgd_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
     df = clean.dedup(clean.drop_nulls(fx.fraud(spark, sf_dir)))
-    train, test = materialized_split(df, fx.fraud_row_key(), (0.8, 0.2), seed=42)
+    (train, test), stored = materialized_split(df, fx.fraud_row_key(), (0.8, 0.2), seed=42, with_stored=True)
     scaler = fit_std(train, fx.FRAUD_FEATURES)
     strain = scaler.transform(train).select(*fx.FRAUD_FEATURES, "label")
     configs = [(it, st) for it in SGD_ITERATIONS for st in SGD_STEPS]
     runs = logistic.sgd_fit(strain, fx.FRAUD_FEATURES, configs, method="arrow")
+    release(stored)  # the test part is read from the checkpoint
     stest = scaler.transform(test)
     preds = stest.select(
         "label",

@@ -103,16 +103,14 @@ def _clean_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
 TREE = {"max_depth": 4, "min_node": 100, "min_side": 50, "gain_factor": 0.95, "n_thresholds": 10}
 
 
-def _trip_train_valid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def fit_trip_tree(spark: SparkSession, sf_dir: str):
+    """The fitted tree and its training and validation parts: the source is
+    read and split once, and every pass reads the stored rows."""
     t = clean.outlier_filter(fx.trips(spark, sf_dir))
     t = t.select("id", *[F.col(c).cast("double").alias(c) for c in fx.TRIP_FEATURES], "trip_duration")
-    train, valid = hash_split(t, F.col("id"), (0.8, 0.2), seed=42)
-    return train, valid
-
-
-def fit_trip_tree(spark: SparkSession, sf_dir: str):
-    train, valid = _trip_train_valid(spark, sf_dir)
-    tree = tree_ops.fit_tree(train, fx.TRIP_FEATURES, "trip_duration", **TREE)
+    (train, valid), stored = materialized_split(t, F.col("id"), (0.8, 0.2), seed=42, with_stored=True)
+    tree = tree_ops.fit_tree(train, fx.TRIP_FEATURES, "trip_duration", prepared=True, **TREE)
+    release(stored)  # the parts stay readable from the checkpoint
     return tree, train, valid
 
 

@@ -152,8 +152,8 @@ def roc_table(scored: DataFrame, p: str = "p", label: str = "label", **kw) -> Da
     ranked = running_totals(
         groups, order=[F.desc("score")], values={"tp": F.col("pos"), "fp": F.col("neg")}, **kw
     )
-    # Class totals: one small aggregate whose two numbers enter as literals.
-    tot = groups.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    # Class totals, from the stored groups, enter as literals.
+    tot = ranked.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     n_pos, n_neg = F.lit(int(tot["P"] or 0)), F.lit(int(tot["N"] or 0))
     tp, fp = F.col("cum_tp"), F.col("cum_fp")
     precision = safe_div(tp, tp + fp)

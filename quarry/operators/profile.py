@@ -145,8 +145,9 @@ def exact_quantiles(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]))
     ).filter(F.col("value").isNotNull())
     counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
-    n_by_col = {r["column"]: int(r["n"]) for r in counts.groupBy("column").agg(F.sum("c").alias("n")).collect()}
     ranked = running_totals(counts, [F.asc("value")], {"c": F.col("c")}, group=["column"], max_groups=len(cols))
+    # row counts a column, from the stored value counts
+    n_by_col = {r["column"]: int(r["n"]) for r in ranked.groupBy("column").agg(F.sum("c").alias("n")).collect()}
     aggs = [F.min("value").alias("min")]
     for q in quantiles:
         target = F.lit(None).cast("bigint")

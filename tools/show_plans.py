@@ -59,7 +59,7 @@ def main() -> None:
     sums = logistic.sums_frame(base, fx.FRAUD_FEATURES, [[0.0, 0.1 * k, 0.2, -0.1] for k in range(9)])
     sections.append(("One gradient-descent iteration, nine configurations", final_plan(sums)))
 
-    trips = catalog._trip_train_valid(spark, sf)[0]
+    trips = catalog.fit_trip_tree(spark, sf)[1]
     data = materialize(trips.select(*fx.TRIP_FEATURES, F.col("trip_duration").alias("y")))
     th = T.feature_thresholds(data, fx.TRIP_FEATURES)
     g = T.grouped_bins(data, F.lit(1), fx.TRIP_FEATURES, th, F.col("y"))
