@@ -52,7 +52,7 @@ COUNT_SHARE, WORD_SHARE, NGRAM_SHARE = 1e-6, 1e-5, 1e-6
 BITS = 20
 END = 1
 #: Text scored at once in a task.
-SCORED_BYTES = 6 << 20
+SCORED_BYTES = 4 << 20
 
 
 @dataclass

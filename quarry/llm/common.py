@@ -17,7 +17,7 @@ from quarry.session import checkpoint_dir
 from quarry.sources.tables import read_table
 
 #: Bytes of text handled at once inside a task; longer single texts form a batch of their own.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +77,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: i
         cuts = np.flatnonzero(np.diff(group)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(a, b - a)
+            pa.default_memory_pool().release_unused()  # a worker outlives many tasks
 
 
 @dataclass

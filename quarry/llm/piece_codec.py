@@ -46,7 +46,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
 #: Units kept with their ids in a worker; beyond that the cache starts anew from the batch at hand.
-CACHE_UNITS = 250_000
+CACHE_UNITS = 120_000
 
 
 # -- the model file --------------------------------------------------------

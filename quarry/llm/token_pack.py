@@ -48,6 +48,8 @@ MAGIC = b"QPACKED1"
 BLOCK = 4096
 #: Words kept with their ids in a worker; beyond that the cache starts anew.
 CACHE_WORDS = 400_000
+#: Text encoded at once in a task: more of it has fewer new words a word.
+ENCODED_BYTES = 12 << 20
 #: The shape of a tokenizer whose words can be encoded one by one
 #: (white space separates words and leaves no trace, letters are lower-cased).
 WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -269,7 +271,7 @@ def write_packed(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
         shard, writer, enc = TaskContext.get().partitionId(), None, encoder(tokenizer)
         width = width_of(max(enc.tokenizer.get_vocab_size(), end_id + 1))
         fs, root = pafs.FileSystem.from_uri(folder)
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=ENCODED_BYTES):
             if writer is None:
                 fs.create_dir(root, recursive=True)
                 draft = f"{root}/.{shard:08d}-{uuid.uuid4().hex}"
