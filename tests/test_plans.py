@@ -41,7 +41,7 @@ def test_running_totals_have_no_single_partition_window(spark):
     # hash shuffle by partition id); the only window is over the per-partition
     # offsets table (≤ n rows), which is broadcast
     assert windows and all(inside for _, inside in windows)
-    assert any("MapInPandas" in ln for ln in lines)
+    assert any("MapInArrow" in ln for ln in lines)
     # a shuffle keyed by partition id appears only inside the broadcast
     # subtree (the tiny totals aggregate), never on the row path
     b = next(i for i, ln in enumerate(lines) if "BroadcastExchange" in ln)
