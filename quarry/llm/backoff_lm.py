@@ -1,10 +1,10 @@
 """Operator 10: language-model scores from a weighted backoff automaton.
 
 Tokens are the words of a text (ASCII letters lower-cased) and one end.  From
-the texts that may be learned from come exact counts of all words, and of the
-bigrams and trigrams with a share of at least ``NGRAM_SHARE`` of all tokens
-over words with at least ``WORD_SHARE``; so the automaton has at most
-1 / NGRAM_SHARE arcs an order however large the corpus.  The model backs off:
+the texts that may be learned from come exact counts of all words, and of all
+bigrams and trigrams that occur at least ``LEAST`` times; that cutoff is the
+same for a corpus of any size, so the model grows with the corpus.  It backs
+off:
 
     P(w | h) = (c(h w) - D) / c(h)          for a kept n-gram h w
              = alpha(h) P(w | h without its first word)   otherwise
@@ -15,14 +15,20 @@ n-grams arcs, and a failure arc with weight alpha(h) leads from each state to
 that of its shorter history.  A text starts in the state after an end; one
 traversal from left to right carries the state and adds log10 probabilities.
 
+States and arcs are tables, never held whole in one place.  Each *chunk* (the
+texts of one slice) sends its distinct n-grams to ``buckets`` by hash, as one
+row of packed arrays a bucket; there they are summed, joins give arcs and
+failure weights, and each chunk gets back those of its own n-grams, which is
+the part of the automaton that its texts can reach.
+
 The counts of words with a share of at least ``COUNT_SHARE`` are broadcast (at
 most 1 / COUNT_SHARE of them).  The other words of a text get their exact
-count by a shuffle: such a word occurs too rarely for a hot key.  Their part
-is the same in the base score and the model's score, since a rare word is
-always reached at the automaton's root.
+count by a shuffle: such a word occurs too rarely for a hot key.
 
-Scale: four map passes (word counts, bigrams, trigrams, scores), counts
-combined before their shuffles, one shuffle of rare words out and back.
+Scale: two map passes over the texts (word counts, tokens) and two over the
+stored tokens; n-grams are distinct in a chunk before they are shuffled, so a
+hot one has a row's entry a chunk; the number of buckets grows with that of
+the chunks.  N-grams are told apart by 64-bit hashes.
 
 Defined results: a null or empty text has its end alone; rows of equal id are
 scored apart and all learned from; a null id is never learned from nor held
@@ -42,22 +48,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Scratch, Words, per_text, record_batch, slices, text_of, training_row, words_of
+from quarry.llm.common import Scratch, Words, hash_words, mix, per_text, record_batch, slices, text_of, training_row, words_of
 from quarry.llm.toxicity import held_out
 
 MODULUS, LEFT_OUT = 10, 0
 SMOOTH, DISCOUNT = 0.1, 0.5
-COUNT_SHARE, WORD_SHARE, NGRAM_SHARE = 1e-6, 1e-5, 1e-6
-#: Numbers of automaton words fit in so many bits; 0 is any other word, 1 the end.
+#: Least count of a kept n-gram, whatever the size of the corpus.
+LEAST = 2
+#: Words above COUNT_SHARE are broadcast; WORD_SHARE cuts nothing any more (a test sets it).
+COUNT_SHARE, WORD_SHARE = 1e-6, 0.0
+#: Bits of a word's number in the keys of ``build``; 0 is any other word, 1 the end.
 BITS = 20
 END = 1
-#: Text scored at once in a task.
+#: Text of a chunk, which is scored at once in a task.
 SCORED_BYTES = 4 << 20
+LEAST_BUCKETS = 256
 
 
 @dataclass
 class Counts:
-    """Exact counts of frequent words; those of the automaton come first."""
+    """Exact counts of frequent words; the first ``n_automaton`` are those of ``build``."""
 
     words: pa.Array
     counts: np.ndarray
@@ -74,16 +84,12 @@ class Counts:
         found = pc.index_in(vocab, self.words) if len(self.words) else pa.nulls(len(vocab), pa.int32())
         return pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def tokens(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(automaton numbers of all tokens, each text's after one end before
-        it, and the first position of each text's tokens in them)."""
-        place = self.place(w.vocab)
-        number = np.where((place >= 0) & (place < self.n_automaton), place + 2, 0)
-        starts = w.starts + 2 * np.arange(len(w.starts))
-        out = np.full(len(w.idx) + 2 * len(w.lens), END, np.int64)
-        inner = np.arange(len(w.idx)) + 2 * w.doc + 1
-        out[inner] = number[w.idx]
-        return out, starts
+    def tokens(self, vocab: pa.Array) -> np.ndarray:
+        """A number for each word: place + 2 for frequent ones, a negative hash for others."""
+        out = self.place(vocab) + 2
+        rare = out < 2
+        out[rare] = (hash_words(vocab.filter(pa.array(rare))) | np.uint64(1 << 63)).view(np.int64)
+        return out
 
 
 # -- counting --------------------------------------------------------------
@@ -106,41 +112,191 @@ def frequent(counts: DataFrame, ends: int) -> Counts:
     total = (size.n or 0) + ends
     table = counts.filter(F.col("c") >= max(1.0, COUNT_SHARE * total)).orderBy(F.desc("c"), "word").toArrow()  # at most 1 / COUNT_SHARE rows
     c = table["c"].to_numpy().astype(np.int64)
-    automaton = int(np.searchsorted(-c, -max(2.0, WORD_SHARE * total), "right"))
     words = table["word"].combine_chunks()
     words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
-    return Counts(words, c, min(automaton, (1 << BITS) - 2), total, size.v + (ends > 0), ends)
+    return Counts(words, c, len(words), total, size.v + (ends > 0), ends)
 
 
-def ngram_counts(train: DataFrame, counts, least: float, kept=None) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the bigrams (or, given the ``kept`` bigrams, the
-    trigrams made of two of them) that occur at least ``least`` times."""
-    schema = pa.schema([("key", pa.int64()), ("c", pa.int64())])
+@dataclass
+class Grams:
+    """The n-grams of a run of texts.  ``tokens`` holds an end before and after
+    each text; ``two`` and ``three`` are the keys that begin at each position,
+    right where ``is_two`` and ``is_three`` say that they lie in one text."""
+
+    tokens: np.ndarray
+    text: np.ndarray  # the text of each token
+    one: np.ndarray
+    two: np.ndarray
+    three: np.ndarray
+    is_two: np.ndarray
+    is_three: np.ndarray
+
+
+def join_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(mix(a.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) + b.view(np.uint64))
+
+
+def grams(numbers: np.ndarray, lens: np.ndarray) -> Grams:
+    text = np.repeat(np.arange(len(lens)), lens + 2)
+    tokens = np.full(len(numbers) + 2 * len(lens), END, np.int64)
+    tokens[np.arange(len(numbers)) + 2 * np.repeat(np.arange(len(lens)), lens) + 1] = numbers
+    two = join_keys(tokens[:-1], tokens[1:])
+    three = join_keys(two[:-1], two[1:])
+    return Grams(tokens, text, mix(tokens.view(np.uint64)), two, three, text[:-1] == text[1:], text[:-2] == text[2:])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = kept.value if kept is not None else None
-        for batch in slices(batches):
-            token, starts = counts.value.tokens(words_of(batch.column(0), lower_ascii=True))
-            good = token > 0
-            pair = np.where(good[:-1] & good[1:], token[:-1] << BITS | token[1:], 0)
-            pair[starts[1:] - 1] = 0  # from one text to the next
-            if known is None:
-                keys = pair[pair > 0]
-            else:
-                at = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
-                ok = (known[at] == pair) if len(known) else np.zeros(len(pair), bool)
-                keys = (pair[:-1] << BITS | token[2:])[ok[:-1] & ok[1:]]
-            distinct, c = np.unique(keys, return_counts=True)
-            yield record_batch(schema, [distinct, c])
 
-    summed = train.select("text").mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-    table = summed.filter(F.col("c") >= least).toArrow()  # at most N / least rows
-    keys, c = table["key"].to_numpy(), table["c"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order], c[order]
+def packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Binary values of the parts of an array between ``cuts``."""
+    offsets = (cuts * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-# -- the automaton ---------------------------------------------------------
+def unpacked(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
+
+
+SENT_DDL = "bucket long, n int, chunk long, key binary, left binary, right binary, c binary"
+SENT = pa.schema([("bucket", pa.int64()), ("n", pa.int32()), ("chunk", pa.int64())] + [(k, pa.binary()) for k in ("key", "left", "right", "c")])
+
+
+def sent(tokens: DataFrame, bits: int, counted: bool) -> DataFrame:
+    """The distinct n-grams of every chunk of ``tokens`` (chunk, tokens), packed
+    a bucket (the first ``bits`` of a key): with their parts and counts, or the keys alone."""
+
+    def rows(n: int, chunk: int, key: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+        distinct, at, c = np.unique(key, return_index=True, return_counts=True)
+        bucket = distinct >> np.uint64(64 - bits)
+        cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=np.uint64(1 << bits))), len(bucket))
+        m = len(cuts) - 1
+        empty = pa.array([b""] * m, pa.binary())
+        what = [empty, packed(left[at], cuts), packed(right[at], cuts), packed(c.astype(np.int32), cuts)] if counted else [packed(distinct, cuts), empty, empty, empty]
+        return record_batch(SENT, [bucket[cuts[:-1]].astype(np.int64), np.full(m, n, np.int32), np.full(m, chunk), *what])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunks = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(np.diff(chunks, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(chunks)], strict=True):
+                lists = batch.column(1).slice(a, b - a)
+                g = grams(lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()))
+                first = np.append(True, g.text[1:] != g.text[:-1])  # the end before a text is not counted
+                numbers, chunk = g.tokens[~first], int(chunks[a])
+                yield rows(1, chunk, g.one[~first], numbers, numbers)
+                yield rows(2, chunk, g.two[g.is_two], g.tokens[:-1][g.is_two], g.tokens[1:][g.is_two])
+                if g.is_three.any():
+                    yield rows(3, chunk, g.three[g.is_three], g.two[:-1][g.is_three], g.two[1:][g.is_three])
+
+    return tokens.mapInArrow(run, SENT_DDL)
+
+
+def kept_grams(learned: DataFrame, bits: int) -> DataFrame:
+    """n, key, left, right, c of all n-grams that occur at least ``LEAST`` times."""
+    schema = pa.schema([("n", pa.int32()), ("key", pa.int64()), ("left", pa.int64()), ("right", pa.int64()), ("c", pa.int64())])
+
+    def total(table: pa.Table) -> pa.Table:
+        out = []
+        for n in (1, 2, 3):
+            part = table.filter(pc.equal(table["n"], n))
+            left, right, c = unpacked(part["left"], np.int64), unpacked(part["right"], np.int64), unpacked(part["c"], np.int32)
+            key = mix(left.view(np.uint64)) if n == 1 else join_keys(left, right)
+            order = np.argsort(key)
+            key = key[order]
+            at = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+            sums = np.add.reduceat(c[order].astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+            at, sums = at[sums >= LEAST], sums[sums >= LEAST]
+            out.append(record_batch(schema, [np.full(len(at), n, np.int32), key[at].view(np.int64), left[order[at]], right[order[at]], sums]))
+        return pa.Table.from_batches(out)
+
+    return sent(learned, bits, True).drop("key").groupBy("bucket").applyInArrow(total, "n int, key long, left long, right long, c long")
+
+
+def arcs_and_failures(kept: DataFrame, known: Counts, scratch: Scratch) -> DataFrame:
+    """n, key, value, alpha: log10 of a kept n-gram's probability over that of
+    its last word, and of its failure weight as a history."""
+    p1 = (F.col("c") + SMOOTH) / (known.total + SMOOTH * (known.distinct + 1))
+    ones = kept.filter("n = 1").select(F.col("left").alias("word"), "c", p1.alias("p1"), "key")
+    twos = kept.filter("n = 2").select("key", "left", "right", "c")
+    twos = twos.join(ones.select(F.col("word").alias("left"), F.col("c").alias("c_left")), "left").join(ones.select(F.col("word").alias("right"), "p1"), "right")
+    twos = scratch.store(twos.select("key", "left", "c", "p1", ((F.col("c") - DISCOUNT) / F.col("c_left")).alias("p")), "bigrams")
+    threes = kept.filter("n = 3").select("key", "left", "right", "c")
+    threes = threes.join(twos.select(F.col("key").alias("left"), F.col("c").alias("c_left")), "left").join(twos.select(F.col("key").alias("right"), "p1", F.col("p").alias("lower")), "right")
+    threes = scratch.store(threes.select("key", "left", "p1", "lower", ((F.col("c") - DISCOUNT) / F.col("c_left")).alias("p")), "trigrams")
+
+    def failures(arcs: DataFrame, lower: str) -> DataFrame:
+        left = [F.greatest(1 - F.sum(c), F.lit(1e-12)) for c in ("p", lower)]
+        return arcs.groupBy("left").agg(F.log10(left[0] / left[1]).alias("alpha"))
+
+    value, none = F.log10(F.col("p") / F.col("p1")).alias("value"), F.lit(0.0)
+    one = failures(twos, "p1").join(ones, F.col("left") == F.col("word")).select(F.lit(1).alias("n"), "key", none.alias("value"), "alpha")
+    two = twos.select("key", value).join(failures(threes, "lower").withColumnRenamed("left", "key"), "key", "left").select(F.lit(2).alias("n"), "key", "value", F.coalesce("alpha", none).alias("alpha"))
+    three = threes.select(F.lit(3).alias("n"), "key", value, none.alias("alpha"))
+    return one.unionByName(two).unionByName(three)
+
+
+BACK_DDL = "chunk long, n int, key binary, value binary, alpha binary"
+BACK = pa.schema([("chunk", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("value", pa.binary()), ("alpha", pa.binary())])
+
+
+def answers(tokens: DataFrame, model: DataFrame, bits: int) -> DataFrame:
+    """For every chunk the rows of ``model`` for its n-grams, packed a bucket."""
+
+    def meet(asked: pa.Table, known: pa.Table) -> pa.Table:
+        out = []
+        for n in (1, 2, 3):
+            part, table = asked.filter(pc.equal(asked["n"], n)), known.filter(pc.equal(known["n"], n))
+            if not part.num_rows or not table.num_rows:
+                continue
+            keys = table["key"].to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            keys, value, alpha = keys[order], table["value"].to_numpy()[order], table["alpha"].to_numpy()[order]
+            want = unpacked(part["key"], np.uint64)
+            lens = pc.binary_length(part["key"]).to_numpy() // 8
+            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+            hit = keys[at] == want
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(np.repeat(np.arange(len(lens)), lens)[hit], minlength=len(lens)))])
+            at = at[hit]
+            out.append(record_batch(BACK, [part["chunk"].combine_chunks(), np.full(len(lens), n, np.int32), packed(keys[at], cuts), packed(value[at], cuts), packed(alpha[at], cuts)]))
+        return pa.Table.from_batches(out, BACK)
+
+    asked = sent(tokens, bits, False).select("bucket", "n", "chunk", "key")
+    known = model.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits))
+    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(meet, BACK_DDL)
+
+
+SUMS_DDL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, more double"
+SUMS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("more", pa.float64())])
+
+
+def traversed(scored: DataFrame, back: DataFrame) -> DataFrame:
+    """The rows of ``scored`` with ``more``: what the automaton adds to the words' own log10 probabilities."""
+
+    def run(texts: pa.Table, arcs: pa.Table) -> pa.Table:
+        lists = texts["tokens"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        g = grams(lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()))
+
+        def look_up(n: int, want: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            part = arcs.filter(pc.equal(arcs["n"], n))
+            keys, value, alpha = (unpacked(part[k], t) for k, t in (("key", np.uint64), ("value", np.float64), ("alpha", np.float64)))
+            if not len(keys):
+                return np.zeros(len(want), bool), np.zeros(len(want)), np.zeros(len(want))
+            order = np.argsort(keys)
+            at = order[np.minimum(np.searchsorted(keys, want, sorter=order), len(keys) - 1)]
+            hit = keys[at] == want
+            return hit, np.where(hit, value[at], 0.0), np.where(hit, alpha[at], 0.0)
+
+        _, _, fail_one = look_up(1, g.one)
+        is_arc, value, fail_two = look_up(2, g.two)
+        more = np.where(is_arc, value, fail_one[:-1])  # of the token after each position
+        is_arc, value, _ = look_up(3, g.three)
+        more[1:] = np.where(g.is_three, np.where(is_arc, value, fail_two[:-1] + more[1:]), more[1:])
+        sums = np.bincount(g.text[:-1][g.is_two], more[g.is_two], minlength=len(lists))
+        return texts.select(SUMS.names[:-1]).append_column("more", pa.array(sums)).cast(SUMS)
+
+    return scored.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, SUMS_DDL)
+
+
+# -- the automaton in memory (held against the tables by the tests) ---------------------------------------------------------
 
 
 @dataclass
@@ -230,75 +386,67 @@ def build(counts: Counts, bigrams: tuple[np.ndarray, np.ndarray], trigrams: tupl
 
 # -- scoring ---------------------------------------------------------------
 
-SCORED_DDL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<string>, times array<long>"
+SCORED_DDL = "chunk long, row long, doc_id long, held_out boolean, learn boolean, n_tokens long, n_known long, base double, tokens array<long>, rare array<string>, times array<long>"
 SCORED = pa.schema(
-    [("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64())]
-    + [("rare", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))]
+    [("chunk", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("learn", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64())]
+    + [("tokens", pa.list_(pa.int64())), ("rare", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))]
 )
 
 
-def in_task_scores(docs: DataFrame, counts, automaton) -> DataFrame:
-    """What a task knows of each text: the sums over its end and its frequent
-    words, and its rare words with their numbers of times."""
+def in_task_scores(docs: DataFrame, counts) -> DataFrame:
+    """What a task knows of each text: its tokens' numbers, the sum over its end
+    and its frequent words, and its rare words with their numbers of times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, known, machine = TaskContext.get().partitionId() << 33, counts.value, automaton.value
+        row, known = TaskContext.get().partitionId() << 33, counts.value
         end = float(known.log_p(np.array([known.ends]))[0])
         for batch in slices(batches, max_bytes=SCORED_BYTES):
-            w = words_of(batch.column(2), lower_ascii=True)
+            w = words_of(batch.column(3), lower_ascii=True)
             n, size = batch.num_rows, np.int64(max(1, len(w.vocab)))
             place = known.place(w.vocab)
             c = np.where(place >= 0, known.counts[place] if len(known.counts) else 0, 0)
             log_p = np.where(place >= 0, known.log_p(c), 0.0)
             base = per_text(log_p[w.idx], w.starts, w.lens) + end
-            # words outside the automaton are reached at its root
-            outside = np.where(place < known.n_automaton, 0.0, log_p)
-            model = per_text(outside[w.idx], w.starts, w.lens)
-            token, starts = known.tokens(w)
-            numbers, begins = token.tolist(), (starts + 1).tolist()
-            model += np.array([machine.traverse(numbers[a : a + m + 1]) for a, m in zip(begins, w.lens.tolist(), strict=True)])
             frequent_words = per_text((place >= 0).astype(np.int64)[w.idx], w.starts, w.lens)
             rare = (place < 0)[w.idx]
             pairs, times = np.unique(w.doc[rare] * size + w.idx[rare], return_counts=True)
             offsets = np.searchsorted(pairs // size, np.arange(n + 1)).astype(np.int32)
             words = pa.ListArray.from_arrays(offsets, w.vocab.take(pa.array(pairs % size)))
+            tokens = pa.ListArray.from_arrays(np.append(w.starts, len(w.idx)).astype(np.int32), known.tokens(w.vocab)[w.idx])
             yield record_batch(
                 SCORED,
-                [row + np.arange(n), batch.column(0), batch.column(1), w.lens + 1, frequent_words + (known.ends > 0), base, model, words, pa.ListArray.from_arrays(offsets, times.astype(np.int64))],
+                [np.full(n, row), row + np.arange(n), *batch.columns[:3], w.lens + 1, frequent_words + (known.ends > 0), base, tokens, words]
+                + [pa.ListArray.from_arrays(offsets, times.astype(np.int64))],
             )
             row += n
 
     doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(doc_id.alias("doc_id"), held_out(doc_id, MODULUS, LEFT_OUT).alias("held_out"), "text")
+    rows = docs.select(doc_id.alias("doc_id"), held_out(doc_id, MODULUS, LEFT_OUT).alias("held_out"), training_row(doc_id, MODULUS, LEFT_OUT).alias("learn"), "text")
     return rows.mapInArrow(run, SCORED_DDL)
 
 
-def train(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Counts, Automaton]:
-    """All word counts (word, c), the frequent ones and the automaton."""
-    spark = docs.sparkSession
-    learn = docs.filter(training_row(F.col("doc_id").cast("long"), MODULUS, LEFT_OUT)).select(text_of())
-    counts = scratch.store(word_counts(learn), "counts")
-    known = frequent(counts, learn.count())
-    shared = spark.sparkContext.broadcast(known)
-    least = max(2.0, NGRAM_SHARE * known.total)
-    bigrams = ngram_counts(learn, shared, least)
-    trigrams = ngram_counts(learn, shared, least, spark.sparkContext.broadcast(bigrams[0]))
-    return counts, known, build(known, bigrams, trigrams)
-
-
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    counts, known, automaton = train(docs, scratch)
-    scored = scratch.store(in_task_scores(docs, spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(automaton)), "scored")
+    learn = docs.filter(training_row(F.col("doc_id").cast("long"), MODULUS, LEFT_OUT)).select(text_of())
+    counts = scratch.store(word_counts(learn), "counts")
+    known = frequent(counts, learn.count())
+    scored = scratch.store(in_task_scores(docs, spark.sparkContext.broadcast(known)), "scored")
+    # the model, and the part of it that each chunk needs
+    chunks = scored.select("chunk").distinct().count()
+    bits = (max(LEAST_BUCKETS, chunks) - 1).bit_length()
+    kept = scratch.store(kept_grams(scored.filter("learn").select("chunk", "tokens"), bits), "kept")
+    model = arcs_and_failures(kept, known, scratch)
+    back = scratch.store(answers(scored.select("chunk", "tokens"), model, bits), "answers")
+    sums = scratch.store(traversed(scored.select("chunk", *SUMS.names[:-1], "tokens"), back), "sums")
     # rare words meet their exact counts; words that were never learned have none
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
     rest = counts.filter(F.col("c") < max(1.0, COUNT_SHARE * known.total))
     c = F.coalesce("c", F.lit(0))
     log_p = F.log10((c + SMOOTH) / (known.total + SMOOTH * (known.distinct + 1)))
-    sums = rare.join(rest, "word", "left").groupBy("row").agg(F.sum(F.col("times") * log_p).alias("rare_log_p"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    rows = scored.drop("rare", "times").join(sums, "row", "left")
-    more = F.coalesce("rare_log_p", F.lit(0.0))
+    extra = rare.join(rest, "word", "left").groupBy("row").agg(F.sum(F.col("times") * log_p).alias("rare_log_p"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"))
+    rows = sums.join(extra, "row", "left")
+    base = F.col("base") + F.coalesce("rare_log_p", F.lit(0.0))
     return scratch.finish(
         rows.select(
             "doc_id",
@@ -306,7 +454,7 @@ def score(docs: DataFrame) -> DataFrame:
             "n_tokens",
             (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
             F.lit(known.total).cast("long").alias("train_tokens"),
-            (F.col("base") + more).alias("base_score"),
-            (F.col("model") + more).alias("score"),
+            base.alias("base_score"),
+            (base + F.col("more")).alias("score"),
         )
     )
