@@ -15,13 +15,18 @@ characters is a candidate, and
    reject as random is ordinary text;
 3. false discoveries are controlled over all candidates of the table: the
    hypothesis is that a run is ordinary text of its alphabet, whose equal
-   pairs have a known mean and variance at each length, so short runs have
-   little evidence; p-values are weighted by length and pass a weighted
+   pairs have a known mean and variance at each length, and whose letters
+   follow each other as in the whole table: pairs of neighbours (case and digit
+   changes are among them) are counted over all texts, and the likelihood of a
+   run among ordinary text against that of random symbols bounds its p-value;
+   the smaller of both p-values counts, twice; they are weighted by length and
+   pass a weighted
    Benjamini-Hochberg rule at level ``alpha``, taken at the edges of a fixed
    logarithmic grid so that one small histogram of the whole table decides.
 
-Scale: two map-only passes.  The first gives at most one row a grid cell and
-task, summed by Spark; the second applies the limit.  Vectorised searches pick
+Scale: three map-only passes.  The first gives at most one row a pair of
+symbols and task, the second one a grid cell and task, both summed by Spark;
+the third applies the limit.  Vectorised searches pick
 the texts that may hold a match, so the others never reach Python's regular
 expressions.  Nothing of a document leaves its task.
 
@@ -39,6 +44,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -75,6 +81,12 @@ ALPHABETS = [
 ]
 CODES = [({c: i for i, c in enumerate(a)}, pair, triple) for a, pair, triple in ALPHABETS]
 
+#: Symbols of runs; everything else is one more symbol, OTHER.
+SYMBOLS = {c: i for i, c in enumerate(UPPER + LOWER + DIGITS + "+/-_")}
+OTHER = len(SYMBOLS)
+SYMBOL_OF = np.full(256, OTHER, np.int64)
+SYMBOL_OF[[ord(c) for c in SYMBOLS]] = list(SYMBOLS.values())
+
 ALPHA = 0.01
 #: A run that the battery rejects as random at this level is ordinary text.
 BATTERY_LEVEL = 0.001
@@ -123,12 +135,42 @@ def ordinary_p(codes: list[int], pair: float, triple: float) -> float:
     return upper_tail((all_pairs * pair - pairs - 0.5) / math.sqrt(var))
 
 
+def likelihood_p(run: str, size: int, costs: list[list[float]]) -> float:
+    """Bound of how likely ordinary text has a run that speaks so much for
+    random symbols: by Markov's inequality the inverse of the likelihood ratio."""
+    last, ordinary = OTHER, 0.0
+    for c in run:
+        now = SYMBOLS[c]
+        ordinary += costs[last][now]
+        last = now
+    return math.exp(min(0.0, len(run) * math.log(size) - ordinary))
+
+
+def neighbour_costs(docs: DataFrame) -> list[list[float]]:
+    """-log of the share of each symbol after each symbol, over all texts (with one more of each)."""
+    schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+    size = OTHER + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for batch in slices(batches, max_bytes=1 << 20):
+            symbols = SYMBOL_OF[np.frombuffer("\n".join(["", *batch.column(0).drop_null().to_pylist(), ""]).encode(), np.uint8)]
+            total += np.bincount(symbols[:-1] * size + symbols[1:], minlength=size * size)
+        yield record_batch(schema, [np.flatnonzero(total), total[total > 0]])
+
+    table = docs.select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()  # a row a pair of symbols
+    counts = np.ones((size, size))
+    for r in table:
+        counts[divmod(r.pair, size)] += r.n
+    return (-np.log(counts / counts.sum(axis=1, keepdims=True))).tolist()
+
+
 def weight_of(n: int) -> float:
     """Longer runs can carry more evidence, so they get more of the error budget."""
     return min(n, 64) / 32
 
 
-def candidates(text: str) -> Iterator[tuple[int, int, int, float]]:
+def candidates(text: str, costs: list[list[float]]) -> Iterator[tuple[int, int, int, float]]:
     """(start, end, grid cell, weight) of every candidate run; one that the
     battery rejects has p-value 1 and stays in the family."""
     for m in RUN.finditer(text):
@@ -138,7 +180,9 @@ def candidates(text: str) -> Iterator[tuple[int, int, int, float]]:
         for code, pair, triple in CODES:
             if all(c in code for c in run):
                 codes = [code[c] for c in run]
-                p = ordinary_p(codes, pair, triple) if battery(codes, len(code)) >= BATTERY_LEVEL else 1.0
+                p = 1.0
+                if battery(codes, len(code)) >= BATTERY_LEVEL:
+                    p = min(1.0, 2 * min(ordinary_p(codes, pair, triple), likelihood_p(run, len(code), costs)))
                 weight = weight_of(len(run))
                 yield m.start(), m.end(), math.floor(CELLS * math.log10(max(p / weight, LEAST_P))), weight
                 break
@@ -160,7 +204,7 @@ def _may(texts: pa.Array, pattern: str) -> list[bool]:
     return pc.match_substring_regex(texts, pattern).to_pylist()
 
 
-def spans_of(texts: pa.Array, limit: int | None) -> Iterator[tuple[list, list]]:
+def spans_of(texts: pa.Array, limit: int | None, costs: list[list[float]]) -> Iterator[tuple[list, list]]:
     """For each text its base spans and its added random spans."""
     texts = pc.fill_null(texts, "")
     may = [_may(texts, p) for p in (MAY_ASSIGN, MAY_ACCESS, MAY_HEX, MAY_RUN)]
@@ -172,7 +216,7 @@ def spans_of(texts: pa.Array, limit: int | None) -> Iterator[tuple[list, list]]:
         base = base_spans(text, assign, access, hexes)
         added = []
         if run and limit is not None:
-            added = [(a, 3, b) for a, b, cell, _ in candidates(text) if cell <= limit and not any(s <= a and b <= e for s, _, e in base)]
+            added = [(a, 3, b) for a, b, cell, _ in candidates(text, costs) if cell <= limit and not any(s <= a and b <= e for s, _, e in base)]
         yield base, added
 
 
@@ -180,7 +224,7 @@ def join_spans(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
-def discovery_limit(docs: DataFrame, alpha: float = ALPHA) -> int | None:
+def discovery_limit(docs: DataFrame, costs: list[list[float]], alpha: float = ALPHA) -> int | None:
     """The last grid cell whose candidates are discoveries (None: none are)."""
     schema = pa.schema([("cell", pa.int64()), ("n", pa.int64()), ("weight", pa.float64())])
 
@@ -189,7 +233,7 @@ def discovery_limit(docs: DataFrame, alpha: float = ALPHA) -> int | None:
         for batch in slices(batches):
             texts = pc.fill_null(batch.column(0), "")
             for text in texts.filter(pc.match_substring_regex(texts, MAY_RUN)).to_pylist():
-                for _, _, cell, weight in candidates(text):
+                for _, _, cell, weight in candidates(text, costs):
                     n[cell] += 1
                     weights[cell] += weight
         yield record_batch(schema, [list(n), list(n.values()), [weights[c] for c in n]])
@@ -206,7 +250,8 @@ def discovery_limit(docs: DataFrame, alpha: float = ALPHA) -> int | None:
 
 def scan(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random of every row."""
-    limit = discovery_limit(docs, alpha)
+    costs = neighbour_costs(docs)
+    limit = discovery_limit(docs, costs, alpha)
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64())]
         + [("base_sha256", pa.string()), ("spans", pa.string()), ("n_random", pa.int64())]
@@ -215,7 +260,7 @@ def scan(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for base, added in spans_of(batch.column(1), limit):
+            for base, added in spans_of(batch.column(1), limit, costs):
                 kinds = Counter(k for _, k, _ in base)
                 digest = hashlib.sha256(join_spans(base).encode()).hexdigest()
                 rows.append((kinds[0], kinds[1], kinds[2], digest, join_spans(base + added), len(added)))
@@ -229,7 +274,8 @@ def redact(docs: DataFrame, mark: str = "[secret]", alpha: float = ALPHA) -> Dat
     """``docs`` with every span (joined where they overlap) replaced by
     ``mark`` in ``text``, and ``n_chars``, if there, counted anew in changed
     rows; null texts stay null.  All other columns pass through."""
-    limit = discovery_limit(docs, alpha)
+    costs = neighbour_costs(docs)
+    limit = discovery_limit(docs, costs, alpha)
     at = docs.columns.index("text")
     count_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
@@ -244,7 +290,7 @@ def redact(docs: DataFrame, mark: str = "[secret]", alpha: float = ALPHA) -> Dat
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, max_bytes=4 << 20):
             texts, columns = batch.column(at), list(batch.columns)
-            new = {i: clean(texts[i].as_py(), base + added) for i, (base, added) in enumerate(spans_of(texts, limit)) if base or added}
+            new = {i: clean(texts[i].as_py(), base + added) for i, (base, added) in enumerate(spans_of(texts, limit, costs)) if base or added}
             if new:
                 columns[at] = pa.array([new.get(i, t) for i, t in enumerate(texts.to_pylist())], texts.type)
                 if count_at is not None:

@@ -98,6 +98,22 @@ def test_random_runs_are_found_and_words_are_not(spark):
     assert got[200].n_random == got[201].n_random == got[202].n_random == 0
 
 
+def test_short_secrets_are_found_among_many_ordinary_runs(spark):
+    import random
+
+    rnd = random.Random(5)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = ["there", "notion", "error", "Then", "entered", "rest", "index", "page", "2024", "v2", "getValue", "news", "user"]
+    path = lambda: rnd.choice("-_/").join(rnd.choices(words, k=6))
+    rows = [(i, " ".join(f"{rnd.choice(words)} {path()} {rnd.choice(words)}" for _ in range(20))) for i in range(400)]
+    secrets = {1000 + i: "".join(rnd.choices(base62[:26] + "234567" if i % 2 else base62, k=n)) for i, n in enumerate([20, 20, 24, 24, 32, 32, 40, 40] * 10)}
+    rows += [(i, f"see the {s} here") for i, s in secrets.items()]  # 1 % of the runs
+    got = {r.doc_id: r.n_random for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n in (20, 24, 32, 40):
+        assert sum(got[i] for i, s in secrets.items() if len(s) == n) >= 18, n
+    assert sum(got[i] for i in range(400)) <= 2
+
+
 # -- 5, 6: classifiers --------------------------------------------------------
 
 
