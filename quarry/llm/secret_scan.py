@@ -2,7 +2,8 @@
 
 Base spans come from three patterns (assignments, access keys, hex runs).
 The method adds ``random`` spans: every run of at least ``MIN_RUN`` encoding
-characters is a candidate, and
+characters is a candidate, and so is every part of that length between its
+``+`` and ``/``, between its ``-`` and ``_``, and between all four; and
 
 1. its encoding is inferred as the smallest alphabet that holds it (hex,
    base32, base62, base64, base64url; runs of digits alone, and runs no
@@ -32,7 +33,7 @@ expressions.  Nothing of a document leaves its task.
 
 Defined results: null and empty texts have no spans (the digest is that of the
 empty string); positions count code points, ends are exclusive; a ``random``
-span that lies inside a base span is not repeated; one row a row of the input,
+span that lies inside a base span or another ``random`` span is not repeated; one row a row of the input,
 in whatever number an id repeats; an empty table gives no rows.
 """
 
@@ -66,6 +67,8 @@ MAY_HEX = r"[0-9a-f]{24}"
 MIN_RUN = 20
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 MAY_RUN = r"[A-Za-z0-9+/_-]{20}"
+#: A run whole and its parts, as paths and joined names hold a token among other things.
+PARTS = [RUN, re.compile(r"[A-Za-z0-9+/]{20,}"), re.compile(r"[A-Za-z0-9_-]{20,}"), re.compile(r"[A-Za-z0-9]{20,}")]
 
 # Alphabets from small to large; under "ordinary text" two
 # symbols agree with probability ``pair`` and three with ``triple`` (decimal
@@ -171,10 +174,11 @@ def weight_of(n: int) -> float:
 
 
 def candidates(text: str, costs: list[list[float]]) -> Iterator[tuple[int, int, int, float]]:
-    """(start, end, grid cell, weight) of every candidate run; one that the
-    battery rejects has p-value 1 and stays in the family."""
-    for m in RUN.finditer(text):
-        run = m.group()
+    """(start, end, grid cell, weight) of every candidate run or part, long ones
+    first; one that the battery rejects has p-value 1 and stays in the family."""
+    spans = {(m.start() + q.start(), m.start() + q.end()) for m in RUN.finditer(text) for part in PARTS for q in part.finditer(m.group())}
+    for start, end in sorted(spans, key=lambda span: (span[0] - span[1], span)):
+        run = text[start:end]
         if run.isdigit():
             continue
         for code, pair, triple in CODES:
@@ -184,7 +188,7 @@ def candidates(text: str, costs: list[list[float]]) -> Iterator[tuple[int, int,
                 if battery(codes, len(code)) >= BATTERY_LEVEL:
                     p = min(1.0, 2 * min(ordinary_p(codes, pair, triple), likelihood_p(run, len(code), costs)))
                 weight = weight_of(len(run))
-                yield m.start(), m.end(), math.floor(CELLS * math.log10(max(p / weight, LEAST_P))), weight
+                yield start, end, math.floor(CELLS * math.log10(max(p / weight, LEAST_P))), weight
                 break
 
 
@@ -216,7 +220,9 @@ def spans_of(texts: pa.Array, limit: int | None, costs: list[list[float]]) -> It
         base = base_spans(text, assign, access, hexes)
         added = []
         if run and limit is not None:
-            added = [(a, 3, b) for a, b, cell, _ in candidates(text, costs) if cell <= limit and not any(s <= a and b <= e for s, _, e in base)]
+            for a, b, cell, _ in candidates(text, costs):
+                if cell <= limit and not any(s <= a and b <= e for s, _, e in base + added):
+                    added.append((a, 3, b))
         yield base, added
 
 

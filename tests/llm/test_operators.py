@@ -114,6 +114,23 @@ def test_short_secrets_are_found_among_many_ordinary_runs(spark):
     assert sum(got[i] for i in range(400)) <= 2
 
 
+def test_tokens_in_paths_that_fit_no_alphabet_are_found(spark):
+    import random
+
+    rnd = random.Random(7)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(i, " ".join(rnd.choices(["there", "com", "api", "org", "my", "hooks", "v1", "entered", "rest"], k=200))) for i in range(100)]
+    tokens = ["".join(rnd.choices(base62, k=32)) for _ in range(40)] + ["".join(rnd.choices(base62 + "-_", k=40)) for _ in range(20)]
+    rows += [(1000 + i, f"at com/api_v1/{s}/my-org there") for i, s in enumerate(tokens)]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = 0
+    for i, s in enumerate(tokens):
+        spans = [[int(x) for x in span.split(":")[1:]] for span in got[1000 + i].split(",") if span]
+        found += any(a <= 14 and 14 + len(s) <= b for a, b in spans)
+    assert found >= 55
+    assert not any(got[i] for i in range(100))
+
+
 # -- 5, 6: classifiers --------------------------------------------------------
 
 
