@@ -96,6 +96,14 @@ def test_near_duplicate_filter_keeps_one_row_of_each_class(odd, empty):
     assert near_dup.drop_near_duplicates(empty).collect() == []
 
 
+def test_near_duplicate_filter_keeps_unlike_texts_of_one_id(spark):
+    rows = [(None, "one text of a row that has no id"), (None, "quite other words stand in this second row"), (None, "a third row tells of ships at sea")]
+    rows += [(6, "six is the id of this first text"), (6, "under that number comes something else again"), (6, "under that number comes something else again")]
+    rows += [(None, "a third row tells of ships at sea"), (9, "six is the id of this first text")]
+    kept = near_dup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(set(rows) - {(9, "six is the id of this first text")})
+
+
 def test_redaction(odd, empty):
     rows = {r.doc_id: r for r in secret_scan.redact(odd).collect()}
     assert rows[8].text == '[secret]" \U0001f600 é' and rows[8].n_chars == 13
