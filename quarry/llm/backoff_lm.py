@@ -145,32 +145,57 @@ def grams(numbers: np.ndarray, lens: np.ndarray) -> Grams:
     return Grams(tokens, text, mix(tokens.view(np.uint64)), two, three, text[:-1] == text[1:], text[:-2] == text[2:])
 
 
+CODEC = pa.Codec("zstd", 1)
+
+
 def packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """Binary values of the parts of an array between ``cuts``."""
-    offsets = (cuts * values.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+    """Binary values of the parts of an array between ``cuts``: the bytes of
+    equal rank of all numbers lie together, compressed."""
+    return pa.array([CODEC.compress(values[a:b].view(np.uint8).reshape(b - a, -1).T.tobytes(), asbytes=True) if b > a else b"" for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.binary())
+
+
+def unpacked(column: pa.ChunkedArray, lens: np.ndarray, dtype) -> np.ndarray:
+    """The numbers of all rows of a column of ``packed`` parts of ``lens`` numbers."""
+    width, out = np.dtype(dtype).itemsize, [np.zeros(0, dtype)]
+    for part, n in zip(column.to_pylist(), lens.tolist(), strict=True):
+        if n:
+            planes = np.frombuffer(CODEC.decompress(part, n * width, asbytes=True), np.uint8)
+            out.append(np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).ravel())
+    return np.concatenate(out)
+
+
+def keys_of(n: int, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of n-grams and their two parts (words or keys of bigrams)."""
+    if n == 1:
+        return mix(words[0].view(np.uint64)), words[0], words[0]
+    if n == 2:
+        return join_keys(*words), *words
+    left, right = join_keys(words[0], words[1]), join_keys(words[1], words[2])
+    return join_keys(left, right), left.view(np.int64), right.view(np.int64)
 
 
-def unpacked(column: pa.ChunkedArray, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype)
+WORDS = ("first", "second", "third")
+SENT_DDL = "bucket long, n int, chunk long, m long, first binary, second binary, third binary, c binary"
+SENT = pa.schema([("bucket", pa.int64()), ("n", pa.int32()), ("chunk", pa.int64()), ("m", pa.int64())] + [(k, pa.binary()) for k in (*WORDS, "c")])
 
 
-SENT_DDL = "bucket long, n int, chunk long, key binary, left binary, right binary, c binary"
-SENT = pa.schema([("bucket", pa.int64()), ("n", pa.int32()), ("chunk", pa.int64())] + [(k, pa.binary()) for k in ("key", "left", "right", "c")])
+def words_in(part: pa.Table, n: int) -> list[np.ndarray]:
+    lens = part["m"].to_numpy()
+    return [unpacked(part[k], lens, np.int64) for k in WORDS[:n]]
 
 
 def sent(tokens: DataFrame, bits: int, counted: bool) -> DataFrame:
     """The distinct n-grams of every chunk of ``tokens`` (chunk, tokens), packed
-    a bucket (the first ``bits`` of a key): with their parts and counts, or the keys alone."""
+    a bucket (the first ``bits`` of a key), with their counts if ``counted``."""
 
-    def rows(n: int, chunk: int, key: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    def rows(n: int, chunk: int, key: np.ndarray, words: list[np.ndarray]) -> pa.RecordBatch:
         distinct, at, c = np.unique(key, return_index=True, return_counts=True)
         bucket = distinct >> np.uint64(64 - bits)
         cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=np.uint64(1 << bits))), len(bucket))
         m = len(cuts) - 1
         empty = pa.array([b""] * m, pa.binary())
-        what = [empty, packed(left[at], cuts), packed(right[at], cuts), packed(c.astype(np.int32), cuts)] if counted else [packed(distinct, cuts), empty, empty, empty]
-        return record_batch(SENT, [bucket[cuts[:-1]].astype(np.int64), np.full(m, n, np.int32), np.full(m, chunk), *what])
+        what = [packed(w[at], cuts) for w in words] + [empty] * (3 - n) + [packed(c.astype(np.int32), cuts) if counted else empty]
+        return record_batch(SENT, [bucket[cuts[:-1]].astype(np.int64), np.full(m, n, np.int32), np.full(m, chunk), np.diff(cuts), *what])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,12 +204,12 @@ def sent(tokens: DataFrame, bits: int, counted: bool) -> DataFrame:
             for a, b in zip(cuts, [*cuts[1:], len(chunks)], strict=True):
                 lists = batch.column(1).slice(a, b - a)
                 g = grams(lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()))
-                first = np.append(True, g.text[1:] != g.text[:-1])  # the end before a text is not counted
-                numbers, chunk = g.tokens[~first], int(chunks[a])
-                yield rows(1, chunk, g.one[~first], numbers, numbers)
-                yield rows(2, chunk, g.two[g.is_two], g.tokens[:-1][g.is_two], g.tokens[1:][g.is_two])
+                first, t = np.append(True, g.text[1:] != g.text[:-1]), g.tokens  # the end before a text is not counted
+                chunk = int(chunks[a])
+                yield rows(1, chunk, g.one[~first], [t[~first]])
+                yield rows(2, chunk, g.two[g.is_two], [t[:-1][g.is_two], t[1:][g.is_two]])
                 if g.is_three.any():
-                    yield rows(3, chunk, g.three[g.is_three], g.two[:-1][g.is_three], g.two[1:][g.is_three])
+                    yield rows(3, chunk, g.three[g.is_three], [t[:-2][g.is_three], t[1:-1][g.is_three], t[2:][g.is_three]])
 
     return tokens.mapInArrow(run, SENT_DDL)
 
@@ -197,8 +222,8 @@ def kept_grams(learned: DataFrame, bits: int) -> DataFrame:
         out = []
         for n in (1, 2, 3):
             part = table.filter(pc.equal(table["n"], n))
-            left, right, c = unpacked(part["left"], np.int64), unpacked(part["right"], np.int64), unpacked(part["c"], np.int32)
-            key = mix(left.view(np.uint64)) if n == 1 else join_keys(left, right)
+            c = unpacked(part["c"], part["m"].to_numpy(), np.int32)
+            key, left, right = keys_of(n, words_in(part, n))
             order = np.argsort(key)
             key = key[order]
             at = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
@@ -207,7 +232,7 @@ def kept_grams(learned: DataFrame, bits: int) -> DataFrame:
             out.append(record_batch(schema, [np.full(len(at), n, np.int32), key[at].view(np.int64), left[order[at]], right[order[at]], sums]))
         return pa.Table.from_batches(out)
 
-    return sent(learned, bits, True).drop("key").groupBy("bucket").applyInArrow(total, "n int, key long, left long, right long, c long")
+    return sent(learned, bits, True).groupBy("bucket").applyInArrow(total, "n int, key long, left long, right long, c long")
 
 
 def arcs_and_failures(kept: DataFrame, known: Counts, scratch: Scratch) -> DataFrame:
@@ -233,8 +258,8 @@ def arcs_and_failures(kept: DataFrame, known: Counts, scratch: Scratch) -> DataF
     return one.unionByName(two).unionByName(three)
 
 
-BACK_DDL = "chunk long, n int, key binary, value binary, alpha binary"
-BACK = pa.schema([("chunk", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("value", pa.binary()), ("alpha", pa.binary())])
+BACK_DDL = "chunk long, n int, m long, first binary, second binary, third binary, value binary, alpha binary"
+BACK = pa.schema([("chunk", pa.int64()), ("n", pa.int32()), ("m", pa.int64())] + [(k, pa.binary()) for k in (*WORDS, "value", "alpha")])
 
 
 def answers(tokens: DataFrame, model: DataFrame, bits: int) -> DataFrame:
@@ -249,16 +274,19 @@ def answers(tokens: DataFrame, model: DataFrame, bits: int) -> DataFrame:
             keys = table["key"].to_numpy().view(np.uint64)
             order = np.argsort(keys)
             keys, value, alpha = keys[order], table["value"].to_numpy()[order], table["alpha"].to_numpy()[order]
-            want = unpacked(part["key"], np.uint64)
-            lens = pc.binary_length(part["key"]).to_numpy() // 8
+            words, lens = words_in(part, n), part["m"].to_numpy()
+            want = keys_of(n, words)[0]
             at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
             hit = keys[at] == want
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(np.repeat(np.arange(len(lens)), lens)[hit], minlength=len(lens)))])
-            at = at[hit]
-            out.append(record_batch(BACK, [part["chunk"].combine_chunks(), np.full(len(lens), n, np.int32), packed(keys[at], cuts), packed(value[at], cuts), packed(alpha[at], cuts)]))
+            m = np.bincount(np.repeat(np.arange(len(lens)), lens)[hit], minlength=len(lens))
+            cuts, at = np.concatenate([[0], np.cumsum(m)]), at[hit]
+            empty = pa.array([b""] * len(lens), pa.binary())
+            what = [packed(w[hit], cuts) for w in words] + [empty] * (3 - n) + [packed(value[at], cuts), packed(alpha[at], cuts)]
+            chunk = part["chunk"].to_numpy()
+            out.append(record_batch(BACK, [chunk, np.full(len(lens), n, np.int32), m, *what]))
         return pa.Table.from_batches(out, BACK)
 
-    asked = sent(tokens, bits, False).select("bucket", "n", "chunk", "key")
+    asked = sent(tokens, bits, False).drop("c")
     known = model.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits))
     return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(meet, BACK_DDL)
 
@@ -277,7 +305,8 @@ def traversed(scored: DataFrame, back: DataFrame) -> DataFrame:
 
         def look_up(n: int, want: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             part = arcs.filter(pc.equal(arcs["n"], n))
-            keys, value, alpha = (unpacked(part[k], t) for k, t in (("key", np.uint64), ("value", np.float64), ("alpha", np.float64)))
+            keys, lens = keys_of(n, words_in(part, n))[0], part["m"].to_numpy()
+            value, alpha = (unpacked(part[k], lens, np.float64) for k in ("value", "alpha"))
             if not len(keys):
                 return np.zeros(len(want), bool), np.zeros(len(want)), np.zeros(len(want))
             order = np.argsort(keys)
@@ -437,7 +466,7 @@ def score(docs: DataFrame) -> DataFrame:
     bits = (max(LEAST_BUCKETS, chunks) - 1).bit_length()
     kept = scratch.store(kept_grams(scored.filter("learn").select("chunk", "tokens"), bits), "kept")
     model = arcs_and_failures(kept, known, scratch)
-    back = scratch.store(answers(scored.select("chunk", "tokens"), model, bits), "answers")
+    back = answers(scored.select("chunk", "tokens"), model, bits)
     sums = scratch.store(traversed(scored.select("chunk", *SUMS.names[:-1], "tokens"), back), "sums")
     # rare words meet their exact counts; words that were never learned have none
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
