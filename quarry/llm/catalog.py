@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators (and the pipeline's DuckDB twins).
+"""Registered queries of the numbered operators (and the pipeline's DuckDB twins).
 
 Each query applies its operator, with production parameters, to the whole
 tables and returns the full result.
@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import backoff_lm, decontaminate, near_dup, piece_codec, quality_embed, secret_scan, spot_sigs, suffix_dedup, token_pack, toxicity
+from quarry.llm import backoff_lm, decontaminate, near_dup, piece_codec, quality_embed, secret_scan, sim_hash, spot_sigs, suffix_dedup, token_pack, toxicity
 from quarry.llm.common import documents
 from quarry.sources.tables import read_table
 
@@ -88,3 +88,9 @@ def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat a passage of an earlier one."""
     return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
+@query
+def op13_sim_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and class of every document."""
+    return sim_hash.near_classes(documents(spark, sf_dir))
