@@ -1,6 +1,6 @@
 """Operators for preparing language-model training data.
 
-Ten numbered operators, each in a module of its own, and their registered
+Thirteen numbered operators, each in a module of its own, and their registered
 queries in ``catalog``.  Nothing outside this package imports it; the package
 can be removed whole.  Shared conventions:
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import backoff_lm, decontaminate, near_dup, piece_codec, quality_embed, secret_scan, sim_hash, spot_sigs, suffix_dedup, token_pack, toxicity
+from quarry.llm import backoff_lm, conversation_repair, decontaminate, near_dup, piece_codec, quality_embed, secret_scan, sim_hash, spot_sigs, suffix_dedup, token_pack, toxicity, whitening
 from quarry.llm.common import documents
 from quarry.sources.tables import read_table
 
@@ -94,3 +94,15 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_sim_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and class of every document."""
     return sim_hash.near_classes(documents(spark, sf_dir))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation."""
+    return conversation_repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened leading components of every embedding."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
