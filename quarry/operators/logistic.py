@@ -22,13 +22,14 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import linear, sigmoid
+from quarry.operators.split import batch_member
 
 # Fixed value: log-loss epsilon of the reference.
 LOSS_EPSILON = 1e-9
@@ -201,11 +202,12 @@ def sums_frame(base: DataFrame, features: Sequence[str], weight_vectors: Sequenc
     return scored.agg(*aggs)
 
 
-def _training_base(train: DataFrame, features: Sequence[str], label: str, weight_col) -> DataFrame:
+def _training_base(train: DataFrame, features: Sequence[str], label: str, weight_col, key: Column | None = None) -> DataFrame:
     cw = F.lit(1.0) if weight_col is None else (
         F.col(weight_col) if isinstance(weight_col, str) else weight_col
     )
-    return train.select(*[F.col(c) for c in features], F.col(label).alias("_y"), cw.alias("_cw"))
+    keys = [] if key is None else [key.cast("string").alias("_key")]
+    return train.select(*[F.col(c) for c in features], F.col(label).alias("_y"), cw.alias("_cw"), *keys)
 
 
 def gradient_descent(
@@ -218,23 +220,30 @@ def gradient_descent(
     weight_col: str | Column | None = None,
     initial: Sequence[float] | None = None,
     method: str = "columns",
+    sums: Callable[[Sequence[Sequence[float]]], tuple[int, list[list[float]], list[float]]] | None = None,
 ) -> list[GDRun]:
     """Fit one weight vector per ``(learning_rate, reg_param)`` in one loop.
 
     ``train`` should already be materialised (``quarry.materialize``).
     ``weight_col`` is the per-row class weight (default 1.0).  ``method``
-    picks the per-iteration pass, ``columns`` or ``arrow`` (see ``batch_sums``).
+    picks the per-iteration pass, ``columns`` or ``arrow`` (see ``batch_sums``);
+    ``sums`` replaces it by another pass over the same rows (``dense``).
     """
     d = len(features)
     init = list(initial) if initial is not None else [0.0] * (d + 1)
     runs = [GDRun(GDConfig(lr, reg), list(init)) for lr, reg in configs]
-    base = _training_base(train, features, label, weight_col)
+    if sums is None:
+        base = _training_base(train, features, label, weight_col)
+
+        def sums(vectors):
+            return batch_sums(base, features, vectors, method)
+
     for it in range(max_iter):
         active = [r for r in runs if not r.done]
         if not active:
             break
         start = time.time()
-        n, grads, losses = batch_sums(base, features, [r.weights for r in active], method)
+        n, grads, losses = sums([r.weights for r in active])
         elapsed = time.time() - start
         if n == 0:
             for r in active:
@@ -265,15 +274,18 @@ def sgd_fit(
     method: str = "columns",
     mini_batch_fraction: float = 1.0,
     seed: int = 42,
+    key: Column | None = None,
 ) -> list[GDRun]:
     """Logistic regression with the rules of Spark's RDD-based SGD trainer
     (I14), as DataFrame aggregations: no intercept, step ``step/√t`` at
     iteration ``t``, L2 updater ``w ← w·(1 − η·reg) − η·ĝ``, stop after
     ``iterations`` or when ``‖Δw‖ < tol·max(‖w‖, 1)``.
 
-    ``mini_batch_fraction < 1`` averages each step's gradient over a
-    Bernoulli sample (seed ``seed + t``) of the materialised frame; a step
-    whose sample is empty is skipped, as in the RDD trainer.
+    ``mini_batch_fraction < 1`` averages each step's gradient over the rows
+    whose hash of (seed, step, ``key``) falls below it: the same rows whatever
+    the partitions, retries or engine.  Without a ``key`` the row's own values
+    are it, so equal rows go together.  A step without rows is skipped, as in
+    the RDD trainer.
 
     ``configs`` are ``(iterations, step)`` pairs, all fitted in one loop.
     Returned weights carry a leading 0.0 bias so scoring is shared.
@@ -281,13 +293,15 @@ def sgd_fit(
     d = len(features)
     runs = [GDRun(GDConfig(step, reg_param), [0.0] * (d + 1)) for _, step in configs]
     limits = [int(it) for it, _ in configs]
-    base = _training_base(train, features, label, None)
+    if mini_batch_fraction < 1.0 and key is None:
+        key = F.concat_ws("|", *[F.col(c).cast("string") for c in [*features, label]])
+    base = _training_base(train, features, label, None, key if mini_batch_fraction < 1.0 else None)
     for t in range(1, max(limits) + 1):
         active = [(k, r) for k, r in enumerate(runs) if not r.done and t <= limits[k]]
         if not active:
             break
         start = time.time()
-        batch = base if mini_batch_fraction >= 1.0 else base.sample(False, mini_batch_fraction, seed + t)
+        batch = base if mini_batch_fraction >= 1.0 else base.filter(batch_member(F.col("_key"), mini_batch_fraction, seed, t))
         n, grads, losses = batch_sums(batch, features, [r.weights for _, r in active], method)
         elapsed = time.time() - start
         if n == 0:

@@ -28,6 +28,12 @@ def hash_bucket(key: Column, seed: int = 42, buckets: int = 100, method: str = "
     return F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint") % buckets
 
 
+def batch_member(key: Column, fraction: float, seed: int, step: int) -> Column:
+    """Whether a row belongs to the mini-batch of a step: a hash of (seed,
+    step, key) below the fraction, in steps of 1/10000."""
+    return hash_bucket(F.concat_ws("|", F.lit(str(step)), key), seed, 10_000) < round(fraction * 10_000)
+
+
 def _edges(fractions: Sequence[float], buckets: int) -> list[int]:
     total = float(sum(fractions))
     edges, acc = [], 0.0
