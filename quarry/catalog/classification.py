@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry.catalog.common import _clean_fraud, fit_fraud_model, query, rounded
 from quarry.functions.columns import threshold as hard_threshold
 from quarry.functions.scale import fit_std
-from quarry.operators import clean, evaluate, library, logistic
+from quarry.operators import clean, curves, evaluate, library, logistic
 from quarry.operators.split import materialized_split
 from quarry.session import release
 from quarry.sources import fixtures as fx
@@ -66,21 +66,12 @@ def _gd_grid_best(spark: SparkSession, sf_dir: str, wide: bool) -> DataFrame:
     runs, mm, test, _ = fit_fraud_model(spark, sf_dir, configs=configs, wide=wide, method="arrow")
     feats = fx.FRAUD_FEATURES_WIDE if wide else fx.FRAUD_FEATURES
     stest = mm.transform(test)
-    # All nine configurations scored in one frame: (config, p, label, key).
+    # One row a test row with the array of its nine scores.
     scored = stest.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("config_index"), logistic.probability(r.weights, feats).alias("p"))
-                    for i, r in enumerate(runs)
-                ]
-            )
-        ),
-        "label",
-        fx.fraud_row_key(wide).alias("key"),
+        F.array(*[logistic.probability(r.weights, feats) for r in runs]).alias("scores"), "label", fx.fraud_row_key(wide).alias("key")
     )
-    aucs = evaluate.auc_stepwise_grouped(scored, "config_index", F.col("key"), n_groups=len(runs))
-    best = aucs.orderBy(F.desc("auc"), F.asc("config_index")).limit(1)
+    aucs = curves.rank_models(scored, len(runs))
+    best = aucs.orderBy(F.desc_nulls_last("auc"), F.asc("config_index")).limit(1)
     lr_col = F.element_at(F.array(*[F.lit(float(c[0])) for c in configs]), F.col("config_index") + 1)
     reg_col = F.element_at(F.array(*[F.lit(float(c[1])) for c in configs]), F.col("config_index") + 1)
     return rounded(best.select(F.col("config_index").cast("bigint").alias("config_index"),

@@ -24,12 +24,14 @@ CSV_TIME_OPTIONS = {
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = False
 ) -> DataFrame:
-    """CSV with header.  Pass a schema: inference costs an extra full pass."""
-    reader = spark.read.option("header", True).options(**CSV_TIME_OPTIONS)
+    """CSV with header.  Pass a schema: inference costs an extra full pass, and
+    takes times in any of Spark's usual forms."""
+    reader = spark.read.option("header", True)
+    if schema is None and infer:
+        return reader.option("inferSchema", True).csv(path)
+    reader = reader.options(**CSV_TIME_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", True)
     return reader.csv(path)
 
 
