@@ -6,12 +6,12 @@ in published results are rounded to 6 places, because the DuckDB oracle adds
 in a different order; counts are BIGINT on both sides.
 
 Modules: ``common`` (registry and shared fits), ``ingest``, ``profiling``,
-``features``, ``classification``, ``regression``.  Importing the package
+``features``, ``classification``, ``regression``, ``models``.  Importing the package
 registers every query in ``QUERIES``; each is also an attribute of the
 package (``quarry.catalog.fraud_report``).
 """
 
-from quarry.catalog import classification, features, ingest, profiling, regression  # noqa: F401  (registers)
+from quarry.catalog import classification, features, ingest, models, profiling, regression  # noqa: F401  (registers)
 from quarry.catalog.common import (  # noqa: F401
     DIGITS,
     FRAUD_GD,

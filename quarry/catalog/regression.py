@@ -183,7 +183,7 @@ def cv_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fitted tree as text, one line a row."""
+    """The fitted tree as text, one line a row, numbers to 6 places."""
     tree, _, _ = fit_trip_tree(spark, sf_dir)
-    lines = tree.debug_string().split("\n")
+    lines = tree.debug_string(6).split("\n")
     return spark.createDataFrame(list(enumerate(lines)), "line_no long, line string")

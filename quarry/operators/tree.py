@@ -169,20 +169,25 @@ class Tree:
             )
         return t
 
-    def debug_string(self) -> str:
-        """Indented if/else text like Spark's ``toDebugString``."""
+    def debug_string(self, digits: int | None = None) -> str:
+        """Indented if/else text like Spark's ``toDebugString``; ``digits``
+        rounds thresholds and predictions."""
+
+        def shown(v: float) -> float:
+            return v if digits is None else round(v, digits)
+
         lines = [f"Regression tree of depth {self.depth()} with {len(self.nodes)} nodes"]
 
         def walk(nid: int, indent: int) -> None:
             n = self.nodes[nid]
             pad = " " * indent
             if n.is_leaf:
-                lines.append(f"{pad}Predict: {n.prediction}")
+                lines.append(f"{pad}Predict: {shown(n.prediction)}")
                 return
             name = self.features[n.feature]
-            lines.append(f"{pad}If ({name} <= {n.threshold})")
+            lines.append(f"{pad}If ({name} <= {shown(n.threshold)})")
             walk(2 * nid, indent + 1)
-            lines.append(f"{pad}Else ({name} > {n.threshold})")
+            lines.append(f"{pad}Else ({name} > {shown(n.threshold)})")
             walk(2 * nid + 1, indent + 1)
 
         walk(1, 1)

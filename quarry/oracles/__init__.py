@@ -6,9 +6,9 @@ pair is an end-to-end check.  Decimal constants are written as DOUBLE.
 
 Modules mirror ``quarry.catalog``: ``base`` (registry, fraud fixture, SQL
 helpers, gradient descent as a recursive CTE), ``ingest``, ``profiling``,
-``features``, ``classification``, ``tree``, ``io``.  Importing the package
+``features``, ``classification``, ``tree``, ``forest``, ``models``, ``io``.  Importing the package
 fills ``ORACLES``.
 """
 
-from quarry.oracles import base, classification, features, ingest, io, profiling, tree  # noqa: F401  (registers)
+from quarry.oracles import base, classification, features, forest, ingest, io, models, profiling, tree  # noqa: F401  (registers)
 from quarry.oracles.base import ORACLES  # noqa: F401

@@ -85,6 +85,26 @@ def fraud(spark: SparkSession, sf_dir: str, wide: bool = False, cut: float = 4.0
     return li.select(*cols)
 
 
+# The card fixture: 28 components and an amount, as in the classification input.
+CARD_COMPONENTS = 28
+CARD_FEATURES = [*[f"v{i}" for i in range(1, CARD_COMPONENTS + 1)], "amount"]
+
+
+def card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``key, v1..v28, amount, label`` from ``lineitem``: component i is a
+    residue of the row's keys modulo 97 + 4i, centred, shifted for label 1 by
+    one of five amounts; every row is its own."""
+    li = read_table(spark, sf_dir, "lineitem")
+    label = fraud_label(F.col("l_quantity"), F.col("l_discount"))
+    parts = []
+    for i in range(1, CARD_COMPONENTS + 1):
+        m = 97 + 4 * i
+        residue = (F.col("l_orderkey") * (2 * i + 1) + F.col("l_partkey") * (i + 3) + F.col("l_linenumber") * 7) % m
+        parts.append((residue / F.lit(float(m)) - F.lit(0.5) + label * F.lit((i % 5 - 2) / 10.0)).alias(f"v{i}"))
+    key = F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    return li.select(key.alias("key"), *parts, F.col("l_extendedprice").alias("amount"), label.alias("label"))
+
+
 def _trip_columns() -> dict[str, Column]:
     eid, uid = F.col("event_id"), F.col("user_id")
     lon = F.lit(-74.4) + ((eid * 37) % 800) / F.lit(1000.0)
