@@ -301,7 +301,8 @@ def read_packed(manifest: DataFrame, folder: str, batch_ids: int = 1 << 20) -> D
     """One row a document of the files of ``manifest``: doc_id, start (ids of
     all documents before it), n_tokens, ids_crc32 (of its ids as little-endian
     unsigned 32-bit integers) and shard.  The manifest has one row a file, so
-    its running total is small."""
+    its running total is small; each file is a task's, however small the
+    manifest."""
     before = F.coalesce(F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = manifest.withColumn("base", before)
 
@@ -322,7 +323,7 @@ def read_packed(manifest: DataFrame, folder: str, batch_ids: int = 1 << 20) -> D
                         yield record_batch(READ, [doc_ids, f.starts[a:b] + row["base"], np.diff(at), crc, np.full(b - a, row["shard"])])
                         a = b
 
-    return files.repartition("shard").mapInArrow(read, READ_DDL)
+    return files.repartitionByRange(max(1, manifest.count()), "shard").mapInArrow(read, READ_DDL)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import backoff_lm, decontaminate, near_dup, quality_embed, secret_scan, spot_sigs, suffix_dedup, token_pack, toxicity
 from quarry.llm.common import Scratch, hash_words, lexical_words_of, words_of
@@ -415,3 +416,21 @@ def test_words_of_matches_the_contract():
     text = "a\x0bb\x0cc\x1cd\x85e f g \r\n h\tI"
     w = words_of(pa.array([text, None, ""]))
     assert [w.vocab[i].as_py() for i in w.idx] == WORD.findall(text) and w.lens.tolist() == [len(WORD.findall(text)), 0, 0]
+
+
+def test_many_texts_without_an_id_meet_no_other_text(spark):
+    """300 different texts without id share one passage with a text of id 1."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, f"first {passage} last")] + [(None, f"own{i} {passage} tail{i} " + " ".join(f"x{i}y{j}" for j in range(20))) for i in range(300)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed) for r in got) == Counter({(1, 62, 0): 1, (None, 82, 60): 300})
+    assert len({r.kept_sha256 for r in got}) == 301
+
+
+def test_every_packed_file_has_a_task(spark, docs, bpe_path):
+    scratch = Scratch(spark)
+    folder = scratch.path("ids")
+    manifest = scratch.store(token_pack.write_packed(docs, folder, bpe_path, 1, shards=5), "manifest")
+    tasks = token_pack.read_packed(manifest, folder).withColumn("task", F.spark_partition_id()).select("task", "shard").distinct().collect()
+    scratch.delete()
+    assert len({r.shard for r in tasks}) > 1 and len({r.task for r in tasks}) == len({r.shard for r in tasks}) == len(tasks)
