@@ -151,8 +151,9 @@ def covered_windows(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, int,
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, content, n_words, sha256 and the distinct keys of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("content", pa.binary()), ("n_words", pa.int64()), ("sha256", pa.string()), ("keys", pa.list_(pa.int64()))])
+    """doc_id, text_hash, content, n_words, sha256 and the distinct keys of
+    every row of ``docs`` (doc_id, text, text_hash)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("content", pa.binary()), ("n_words", pa.int64()), ("sha256", pa.string()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -172,9 +173,9 @@ def scan(docs: DataFrame) -> DataFrame:
             keys = pa.ListArray.from_arrays(np.searchsorted(doc, np.arange(len(w.lens) + 1)).astype(np.int32), own)
             joined = w.vocab.take(pa.array(w.idx)).to_pylist()
             digests = [hashlib.sha256(" ".join(joined[a : a + n]).encode()).hexdigest() for a, n in zip(w.starts.tolist(), w.lens.tolist(), strict=True)]
-            yield record_batch(schema, [batch.column(0), content_digests(word, w.starts, w.lens), w.lens, digests, keys])
+            yield record_batch(schema, [batch.column(0), batch.column(2), content_digests(word, w.starts, w.lens), w.lens, digests, keys])
 
-    return docs.mapInArrow(run, "doc_id long, content binary, n_words long, sha256 string, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, content binary, n_words long, sha256 string, keys array<long>")
 
 
 SUFFIX_DDL = "key long, more long, whole boolean, id long, content binary, start long, words binary"
@@ -243,7 +244,8 @@ def subtree_ranges(rows: DataFrame) -> DataFrame:
 
 def removed(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     """id, content, n_removed and sha256 of the kept words, of the documents
-    (id, text) with covered windows ``ranges`` (id, content, ranges)."""
+    (id, text_hash, text) with covered windows ``ranges`` (id, text_hash,
+    content, ranges)."""
     schema = pa.schema([("id", pa.int64()), ("content", pa.binary()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +269,7 @@ def removed(docs: DataFrame, ranges: DataFrame) -> DataFrame:
                 yield record_batch(schema, list(map(list, zip(*out, strict=True))))
 
     small = ranges.agg(F.coalesce(F.sum(F.size("ranges")), F.lit(0))).first()[0] <= BROADCAST_RANGES
-    told = docs.join(F.broadcast(ranges) if small else ranges, "id")
+    told = docs.join(F.broadcast(ranges) if small else ranges, ["id", "text_hash"])
     done = told.select("id", "text", "content", "ranges").mapInArrow(run, "id long, content binary, n_removed long, kept_sha256 string")
     return done.dropDuplicates(["id", "content"])
 
@@ -277,29 +279,33 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     doc_id = F.col("doc_id").cast("long")
     texts = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(LARGEST)).alias("id"), text_of())
-    rows = scratch.store(scan(texts.select("doc_id", "text")), "rows").withColumn("id", F.coalesce("doc_id", F.lit(LARGEST)))
-
-    # one content a text; its least id stands for all its copies
-    contents = scratch.store(rows.groupBy("content").agg(F.min("id").alias("id"), F.first("keys").alias("keys")), "contents")
-    each = contents.select("id", "content", F.explode("keys").alias("key"))
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    rows = scratch.store(scan(texts.select("doc_id", "text", "text_hash")), "rows").withColumn("id", F.coalesce("doc_id", F.lit(LARGEST)))
+
+    # one content a text; its least id stands for all its copies.  A text is met
+    # again by id and hash, since an id (or none) can belong to many texts
+    of_content = rows.groupBy("content").agg(F.min(F.struct("id", "text_hash")).alias("row"), F.first("keys").alias("keys"))
+    contents = scratch.store(of_content.select("content", "row.id", "row.text_hash", "keys"), "contents")
+    each = contents.select("id", "text_hash", "content", F.explode("keys").alias("key"))
     groups = each.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
     groups = groups.filter("low < high").select("key", (F.col("n") > GROUP).alias("common"))
-    met = each.join(groups, "key").groupBy("id", "content")
+    met = each.join(groups, "key").groupBy("id", "text_hash", "content")
     pick = lambda flag: F.collect_list(F.when(F.col("common") == flag, F.col("key")))  # noqa: E731  no more than a text's keys
     wanted = met.agg(pick(False).alias("keys"), pick(True).alias("common"))
 
-    leaves = scratch.store(suffixes(texts.select("id", "text").join(wanted, "id")), "suffixes")
+    leaves = scratch.store(suffixes(texts.select("id", "text_hash", "text").join(wanted, ["id", "text_hash"])), "suffixes")
     single = leaves.filter("whole")
     least = single.groupBy("key", "more").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("key", "more", "low")
     heavy = single.join(least, ["key", "more"]).filter("id > low").select("id", "content", "start", (F.col("start") + 1).alias("end"))
     covered = subtree_ranges(leaves.filter("not whole")).unionByName(heavy)
-    ranges = scratch.store(covered.groupBy("id", "content").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
+    of_text = covered.groupBy("id", "content").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    ranges = scratch.store(of_text.join(contents.select("id", "content", "text_hash"), ["id", "content"]), "ranges")
 
-    changed = scratch.store(removed(texts.select("id", "text"), ranges), "changed")
+    changed = scratch.store(removed(texts.select("id", "text_hash", "text"), ranges), "changed")
     of_copy = contents.select("content", F.col("id").alias("first_id"))
     copy = (F.col("id") > F.col("first_id")) & (F.col("n_words") >= WINDOW)
     empty = hashlib.sha256(b"").hexdigest()
-    out = rows.drop("keys").join(of_copy, "content").join(changed, ["id", "content"], "left")
+    out = rows.drop("keys", "text_hash").join(of_copy, "content").join(changed, ["id", "content"], "left")
     return scratch.finish(
         out.select(
             "doc_id",
