@@ -15,20 +15,28 @@ n-grams arcs, and a failure arc with weight alpha(h) leads from each state to
 that of its shorter history.  A text starts in the state after an end; one
 traversal from left to right carries the state and adds log10 probabilities.
 
-States and arcs are tables, never held whole in one place.  Each *chunk* (the
-texts of one slice) sends its distinct n-grams to ``buckets`` by hash, as one
-row of packed arrays a bucket; there they are summed, joins give arcs and
-failure weights, and each chunk gets back those of its own n-grams, which is
-the part of the automaton that its texts can reach.
-
-The counts of words with a share of at least ``COUNT_SHARE`` are broadcast (at
-most 1 / COUNT_SHARE of them).  The other words of a text get their exact
-count by a shuffle: such a word occurs too rarely for a hot key.
-
-Scale: two map passes over the texts (word counts, tokens) and two over the
-stored tokens; n-grams are distinct in a chunk before they are shuffled, so a
-hot one has a row's entry a chunk; the number of buckets grows with that of
-the chunks.  N-grams are told apart by 64-bit hashes.
+The automaton is never whole in one place.  A *chunk* (the texts of one slice)
+gets the states and arcs that its texts can reach, in three rounds of questions.
+In each, a chunk sends its distinct keys to ``buckets`` by hash, one row of
+packed arrays a bucket, and gets one answer a key back:
+
+* words: their counts; bigrams and trigrams: whether a short hash of them can
+  occur ``LEAST`` times (those of which it cannot are not sent again);
+* the other bigrams and trigrams: their counts, and one chunk is told to
+  account for each kept n-gram;
+* words and kept bigrams as histories, with what the accounted n-grams take of
+  their own and of the shorter history's probability: alpha.
+
+Then each chunk builds its part of the automaton and walks its texts, all side
+by side, carrying a state each; a long text is walked in pieces, which start in
+the state that the two tokens before them lead to.
+
+Scale: keys travel sorted, as differences; a round ships a few bytes a distinct
+n-gram of a chunk, so a hot one has one entry a chunk, and nothing is
+broadcast.  A task holds one chunk or one bucket; the number of buckets grows
+with the tokens.  The bits of the short hash grow with the logarithm of the
+tokens.  N-grams are told apart by 64-bit hashes.  Shuffle files of finished
+rounds are given back at once.
 
 Defined results: a null or empty text has its end alone; rows of equal id are
 scored apart and all learned from; a null id is never learned from nor held
@@ -38,452 +46,490 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Scratch, Words, hash_words, mix, per_text, record_batch, slices, text_of, training_row, words_of
+from quarry.llm.common import Scratch, mix, record_batch, slices, training_row, words_of
 from quarry.llm.toxicity import held_out
 
 MODULUS, LEFT_OUT = 10, 0
 SMOOTH, DISCOUNT = 0.1, 0.5
 #: Least count of a kept n-gram, whatever the size of the corpus.
 LEAST = 2
-#: Words above COUNT_SHARE are broadcast; WORD_SHARE cuts nothing any more (a test sets it).
-COUNT_SHARE, WORD_SHARE = 1e-6, 0.0
-#: Bits of a word's number in the keys of ``build``; 0 is any other word, 1 the end.
-BITS = 20
-END = 1
 #: Text of a chunk, which is scored at once in a task.
-SCORED_BYTES = 4 << 20
-LEAST_BUCKETS = 256
+CHUNK_BYTES = 4 << 20
+#: Distinct n-grams that a bucket is meant for.
+BUCKET_KEYS = 1 << 20
+LEAST_BUCKETS = 8
+#: Tokens of a text walked in one go.
+PIECE = 512
+END_NUMBER = 0
 
 
-@dataclass
-class Counts:
-    """Exact counts of frequent words; the first ``n_automaton`` are those of ``build``."""
+# -- packed arrays ---------------------------------------------------------
+
+CODEC = pa.Codec("zstd", 1)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """The bytes of equal rank of all numbers lie together, compressed."""
+    return CODEC.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), asbytes=True) if len(values) else b""
 
-    words: pa.Array
-    counts: np.ndarray
-    n_automaton: int
-    total: int  # N
-    distinct: int  # V
-    ends: int
 
-    def log_p(self, count: np.ndarray) -> np.ndarray:
-        return np.log10((count + SMOOTH) / (self.total + SMOOTH * (self.distinct + 1)))
+def unpacked(data: bytes, n: int, dtype) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    if not n:
+        return np.zeros(0, dtype)
+    planes = np.frombuffer(CODEC.decompress(data, n * width, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).ravel()
 
-    def place(self, vocab: pa.Array) -> np.ndarray:
-        """The place of each word among the frequent ones, or -1."""
-        found = pc.index_in(vocab, self.words) if len(self.words) else pa.nulls(len(vocab), pa.int32())
-        return pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def tokens(self, vocab: pa.Array) -> np.ndarray:
-        """A number for each word: place + 2 for frequent ones, a negative hash for others."""
-        out = self.place(vocab) + 2
-        rare = out < 2
-        out[rare] = (hash_words(vocab.filter(pa.array(rare))) | np.uint64(1 << 63)).view(np.int64)
-        return out
+def steps(values: np.ndarray) -> np.ndarray:
+    return np.diff(values, prepend=np.uint64(0))
 
 
-# -- counting --------------------------------------------------------------
+# -- chunks ----------------------------------------------------------------
 
+CHUNK_DDL = "chunk long, doc_id array<long>, held_out array<boolean>, learn array<boolean>, lens array<int>, vocab binary, vocab_bytes long, n long, idx binary, tokens long"
+CHUNK = pa.schema([
+    ("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("learn", pa.list_(pa.bool_())),
+    ("lens", pa.list_(pa.int32())), ("vocab", pa.binary()), ("vocab_bytes", pa.int64()), ("n", pa.int64()), ("idx", pa.binary()), ("tokens", pa.int64()),
+])
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """word, c over all texts of ``train`` (text); ends are not among them."""
-    schema = pa.schema([("word", pa.string()), ("c", pa.int64())])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            w = words_of(batch.column(0), lower_ascii=True)
-            yield record_batch(schema, [w.vocab, np.bincount(w.idx, minlength=len(w.vocab)).astype(np.int64)])
+def chunk_table(docs: DataFrame) -> DataFrame:
+    """One row a chunk: its texts as places in the chunk's list of words (joined
+    by spaces, most frequent first), and the number of its tokens."""
 
-    return train.select("text").mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 33
+        for batch in slices(batches, max_bytes=CHUNK_BYTES):
+            w = words_of(batch.column(3), lower_ascii=True)
+            order = np.argsort(-np.bincount(w.idx, minlength=len(w.vocab)), kind="stable")
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order), dtype=np.uint32)
+            words = np.frombuffer(" ".join(w.vocab.take(pa.array(order)).to_pylist()).encode(), np.uint8)
+            lists = [*(batch.column(i).to_pylist() for i in range(3)), w.lens.tolist()]
+            yield record_batch(CHUNK, [[chunk], *[[v] for v in lists], [packed(words)], [len(words)], [len(w.idx)], [packed(place[w.idx])], [len(w.idx) + batch.num_rows]])
+            chunk += 1
 
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.alias("doc_id"), held_out(doc_id, MODULUS, LEFT_OUT).alias("held_out"), training_row(doc_id, MODULUS, LEFT_OUT).alias("learn"), "text")
+    return rows.mapInArrow(run, CHUNK_DDL)
 
-def frequent(counts: DataFrame, ends: int) -> Counts:
-    size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    total = (size.n or 0) + ends
-    table = counts.filter(F.col("c") >= max(1.0, COUNT_SHARE * total)).orderBy(F.desc("c"), "word").toArrow()  # at most 1 / COUNT_SHARE rows
-    c = table["c"].to_numpy().astype(np.int64)
-    words = table["word"].combine_chunks()
-    words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
-    return Counts(words, c, len(words), total, size.v + (ends > 0), ends)
+
+def join_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(mix(a + np.uint64(0x9E3779B97F4A7C15)) + b)
 
 
 @dataclass
-class Grams:
-    """The n-grams of a run of texts.  ``tokens`` holds an end before and after
-    each text; ``two`` and ``three`` are the keys that begin at each position,
-    right where ``is_two`` and ``is_three`` say that they lie in one text."""
+class Distinct:
+    """The distinct n-grams of a chunk, by key: where each first begins, and
+    how often it occurs in texts learned from."""
+
+    key: np.ndarray
+    at: np.ndarray
+    c: np.ndarray
+
+    @classmethod
+    def of(cls, key: np.ndarray, position: np.ndarray, learned: np.ndarray) -> Distinct:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        return cls(key[cut], position[order[cut]], np.add.reduceat(learned[order], cut) if len(cut) else np.zeros(0, np.int64))
+
+    def pick(self, which: np.ndarray) -> Distinct:
+        return Distinct(self.key[which], self.at[which], self.c[which])
+
+
+class Chunk:
+    """The tokens of a chunk (an end before and after each text) and its n-grams."""
+
+    def __init__(self, row: dict):
+        self.row, self.id = row, row["chunk"]
+        vocab = unpacked(row["vocab"], row["vocab_bytes"], np.uint8).tobytes().split()
+        self.end = len(vocab)
+        digest = xxhash.xxh64_intdigest
+        self.number = np.fromiter((*(digest(w) for w in vocab), END_NUMBER), np.uint64, len(vocab) + 1)
+        lens = np.array(row["lens"], np.int64)
+        self.text = np.repeat(np.arange(len(lens)), lens + 2)
+        self.tokens = np.full(int(lens.sum()) + 2 * len(lens), self.end, np.int64)
+        self.tokens[np.arange(int(lens.sum())) + 2 * np.repeat(np.arange(len(lens)), lens) + 1] = unpacked(row["idx"], row["n"], np.uint32)
+        self.starts = np.cumsum(lens + 2) - lens - 2  # of the end before each text
+        self.lens = lens
+        learned = np.array(row["learn"], np.int64)[self.text] if len(lens) else np.zeros(0, np.int64)
+        counted = learned.copy()
+        counted[self.starts] = 0  # the end before a text is not counted
+        c = np.bincount(self.tokens, counted, minlength=self.end + 1).astype(np.int64)
+        key = mix(self.number)
+        order = np.argsort(key, kind="stable")
+        self.words = Distinct(key[order], order, c[order])  # ``at`` is the word's place
+        self._learned = learned
+
+    def grams(self) -> tuple[Distinct, Distinct]:
+        n = self.number[self.tokens]
+        two = join_keys(n[:-1], n[1:])
+        three = join_keys(two[:-1], two[1:])
+        at2, at3 = np.flatnonzero(self.text[:-1] == self.text[1:]), np.flatnonzero(self.text[:-2] == self.text[2:])
+        self.two_at = two
+        return Distinct.of(two[at2], at2, self._learned[at2]), Distinct.of(three[at3], at3, self._learned[at3])
+
+
+# -- questions and answers ---------------------------------------------------
+
+ASK_DDL = "bucket long, n int, chunk long, m long, keys binary, first binary, second binary"
+ASK = pa.schema([("bucket", pa.int64()), ("n", pa.int32()), ("chunk", pa.int64()), ("m", pa.int64()), ("keys", pa.binary()), ("first", pa.binary()), ("second", pa.binary())])
+ANSWER_DDL = "step int, n int, chunk long, bucket long, m long, data binary"
+ANSWER = pa.schema([("step", pa.int32()), ("n", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int64()), ("m", pa.int64()), ("data", pa.binary())])
+
+
+def ask(chunk: int, n: int, key: np.ndarray, shift: int, first: np.ndarray, second: np.ndarray | None = None) -> pa.RecordBatch:
+    """Sorted ``key`` (its bucket lies above ``shift``) with its numbers, a row a bucket."""
+    bucket = key >> np.uint64(shift)
+    cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+    ends = np.append(cut[1:], len(key)).astype(np.int64)[: len(cut)]
+    base = bucket[cut] << np.uint64(shift)
+    parts = list(zip(cut.tolist(), ends.tolist(), strict=True))
+    return record_batch(ASK, [
+        bucket[cut].astype(np.int64), np.full(len(cut), n, np.int32), np.full(len(cut), chunk), ends - cut,
+        [packed(steps(key[a:b] - base[i])) for i, (a, b) in enumerate(parts)], [packed(first[a:b]) for a, b in parts],
+        [b"" if second is None else packed(second[a:b]) for a, b in parts],
+    ])
+
+
+def answered(asks: DataFrame, step: int, buckets: int, shift: Callable[[int], int], answer: Callable) -> DataFrame:
+    """Answer rows: ``answer(n, keys, rows, first, second)`` gets all keys of a
+    bucket's questions of one kind, by chunk, and the dtypes of their numbers
+    are those that ``answer`` names; it returns an array of bytes a chunk."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = []
+        bucket = table["bucket"][0].as_py()
+        rows = table.to_pylist()
+        for n in sorted({r["n"] for r in rows}):
+            own = sorted((r for r in rows if r["n"] == n), key=lambda r: r["chunk"])
+            keys = np.concatenate([np.cumsum(unpacked(r["keys"], r["m"], np.uint64)) for r in own]) + (np.uint64(bucket) << np.uint64(shift(n)))
+            lens = np.array([r["m"] for r in own])
+            numbers = [np.concatenate([unpacked(r[c], r["m"], t) for r in own]) if t is not None else None for c, t in zip(("first", "second"), answer.dtypes, strict=True)]
+            order = np.argsort(keys, kind="stable")
+            cut = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
+            group = np.empty(len(keys), np.int64)
+            group[order] = np.repeat(np.arange(len(cut)), np.diff(np.append(cut, len(keys))))
+            sums = [None if v is None else np.add.reduceat(v[order].astype(np.float64 if v.dtype == np.float64 else np.int64), cut) for v in numbers]
+            values, extra = answer(n, sums)
+            reply = values[group]
+            if answer.marks_first:  # the first chunk that asks accounts for it
+                first = np.zeros(len(keys), np.int64)
+                first[order[cut]] = 1
+                reply = np.where(reply > 0, reply * 2 + first, 0)
+            at = np.concatenate([[0], np.cumsum(lens)]).tolist()
+            data = [np.packbits(reply[a:b]).tobytes() if reply.dtype == bool else packed(reply[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+            m = len(own)
+            out.append(record_batch(ANSWER, [np.full(m, step, np.int32), np.full(m, n, np.int32), [r["chunk"] for r in own], np.full(m, bucket), lens, data]))
+            if extra is not None:
+                out.append(record_batch(ANSWER, [[step], [0], [-1], [bucket], [extra], [b""]]))
+        return pa.Table.from_batches(out, ANSWER)
 
-    tokens: np.ndarray
-    text: np.ndarray  # the text of each token
-    one: np.ndarray
-    two: np.ndarray
-    three: np.ndarray
-    is_two: np.ndarray
-    is_three: np.ndarray
+    return asks.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, ANSWER_DDL)
 
 
-def join_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix(mix(a.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) + b.view(np.uint64))
+class Count:
+    """Counts of words; whether the short hash of an n-gram can occur ``LEAST`` times."""
 
+    dtypes, marks_first = (np.int32, None), False
 
-def grams(numbers: np.ndarray, lens: np.ndarray) -> Grams:
-    text = np.repeat(np.arange(len(lens)), lens + 2)
-    tokens = np.full(len(numbers) + 2 * len(lens), END, np.int64)
-    tokens[np.arange(len(numbers)) + 2 * np.repeat(np.arange(len(lens)), lens) + 1] = numbers
-    two = join_keys(tokens[:-1], tokens[1:])
-    three = join_keys(two[:-1], two[1:])
-    return Grams(tokens, text, mix(tokens.view(np.uint64)), two, three, text[:-1] == text[1:], text[:-2] == text[2:])
+    def __call__(self, n: int, sums: list) -> tuple[np.ndarray, int | None]:
+        return (sums[0], int((sums[0] > 0).sum())) if n == 1 else (sums[0] >= LEAST, None)
 
 
-CODEC = pa.Codec("zstd", 1)
+class Keep:
+    """Counts of n-grams that occur ``LEAST`` times, 0 for others."""
+
+    dtypes, marks_first = (np.int32, None), True
+
+    def __call__(self, n: int, sums: list) -> tuple[np.ndarray, None]:
+        return np.where(sums[0] >= LEAST, sums[0], 0), None
+
+
+class Alpha:
+    """log10 of the failure weights of histories."""
+
+    dtypes, marks_first = (np.float64, np.float64), False
 
+    def __call__(self, n: int, sums: list) -> tuple[np.ndarray, None]:
+        own, lower = (np.maximum(1 - s, 1e-12) for s in sums)
+        return np.where(sums[0] > 0, np.log10(own / lower), 0.0), None
 
-def packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """Binary values of the parts of an array between ``cuts``: the bytes of
-    equal rank of all numbers lie together, compressed."""
-    return pa.array([CODEC.compress(values[a:b].view(np.uint8).reshape(b - a, -1).T.tobytes(), asbytes=True) if b > a else b"" for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.binary())
 
+@dataclass
+class Answers:
+    """A chunk's answers of all steps so far."""
+
+    rows: list[dict]
+
+    def get(self, step: int, n: int, dtype) -> np.ndarray:
+        rows = [r for r in self.rows if r["step"] == step and r["n"] == n]
+        rows.sort(key=lambda r: r["bucket"])
+        if dtype is bool:
+            return np.concatenate([np.zeros(0, bool), *[np.unpackbits(np.frombuffer(r["data"], np.uint8))[: r["m"]].astype(bool) for r in rows]])
+        return np.concatenate([np.zeros(0, dtype), *[unpacked(r["data"], r["m"], dtype) for r in rows]])
+
+
+@dataclass
+class Plan:
+    """What all tasks know: sizes of the corpus and the buckets."""
+
+    buckets_bits: int
+    short_bits: int
+    total: int = 0  # N
+    distinct: int = 0  # V
 
-def unpacked(column: pa.ChunkedArray, lens: np.ndarray, dtype) -> np.ndarray:
-    """The numbers of all rows of a column of ``packed`` parts of ``lens`` numbers."""
-    width, out = np.dtype(dtype).itemsize, [np.zeros(0, dtype)]
-    for part, n in zip(column.to_pylist(), lens.tolist(), strict=True):
-        if n:
-            planes = np.frombuffer(CODEC.decompress(part, n * width, asbytes=True), np.uint8)
-            out.append(np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).ravel())
-    return np.concatenate(out)
+    def shift(self, n: int) -> int:
+        return 64 - self.buckets_bits
 
+    def short_shift(self, n: int) -> int:
+        return 64 - self.buckets_bits if n == 1 else self.short_bits - self.buckets_bits
 
-def keys_of(n: int, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The keys of n-grams and their two parts (words or keys of bigrams)."""
-    if n == 1:
-        return mix(words[0].view(np.uint64)), words[0], words[0]
-    if n == 2:
-        return join_keys(*words), *words
-    left, right = join_keys(words[0], words[1]), join_keys(words[1], words[2])
-    return join_keys(left, right), left.view(np.int64), right.view(np.int64)
+    def log_p(self, c: np.ndarray) -> np.ndarray:
+        return np.log10((c + SMOOTH) / (self.total + SMOOTH * (self.distinct + 1)))
 
 
-WORDS = ("first", "second", "third")
-SENT_DDL = "bucket long, n int, chunk long, m long, first binary, second binary, third binary, c binary"
-SENT = pa.schema([("bucket", pa.int64()), ("n", pa.int32()), ("chunk", pa.int64()), ("m", pa.int64())] + [(k, pa.binary()) for k in (*WORDS, "c")])
+def per_chunk(chunks: DataFrame, answers: DataFrame, tasks: int, run: Callable[[Chunk, Answers], Iterator[pa.RecordBatch]], ddl: str, schema: pa.Schema) -> DataFrame:
+    def both(left: pa.Table, right: pa.Table) -> pa.Table:
+        batches = [b for row in left.to_pylist() for b in run(Chunk(row), Answers(right.to_pylist()))]
+        pa.default_memory_pool().release_unused()
+        return pa.Table.from_batches(batches, schema)
 
+    sides = [t.repartition(tasks, "chunk").groupBy("chunk") for t in (chunks, answers)]
+    return sides[0].cogroup(sides[1]).applyInArrow(both, ddl)
 
-def words_in(part: pa.Table, n: int) -> list[np.ndarray]:
-    lens = part["m"].to_numpy()
-    return [unpacked(part[k], lens, np.int64) for k in WORDS[:n]]
 
+# -- the rounds ----------------------------------------------------------------
 
-def sent(tokens: DataFrame, bits: int, counted: bool) -> DataFrame:
-    """The distinct n-grams of every chunk of ``tokens`` (chunk, tokens), packed
-    a bucket (the first ``bits`` of a key), with their counts if ``counted``."""
 
-    def rows(n: int, chunk: int, key: np.ndarray, words: list[np.ndarray]) -> pa.RecordBatch:
-        distinct, at, c = np.unique(key, return_index=True, return_counts=True)
-        bucket = distinct >> np.uint64(64 - bits)
-        cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=np.uint64(1 << bits))), len(bucket))
-        m = len(cuts) - 1
-        empty = pa.array([b""] * m, pa.binary())
-        what = [packed(w[at], cuts) for w in words] + [empty] * (3 - n) + [packed(c.astype(np.int32), cuts) if counted else empty]
-        return record_batch(SENT, [bucket[cuts[:-1]].astype(np.int64), np.full(m, n, np.int32), np.full(m, chunk), np.diff(cuts), *what])
+def first_questions(chunks: DataFrame, plan: Plan) -> DataFrame:
+    """All words, and the short hashes of all bigrams and trigrams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chunks = batch.column(0).to_numpy()
-            cuts = np.flatnonzero(np.diff(chunks, prepend=-1)).tolist()
-            for a, b in zip(cuts, [*cuts[1:], len(chunks)], strict=True):
-                lists = batch.column(1).slice(a, b - a)
-                g = grams(lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()))
-                first, t = np.append(True, g.text[1:] != g.text[:-1]), g.tokens  # the end before a text is not counted
-                chunk = int(chunks[a])
-                yield rows(1, chunk, g.one[~first], [t[~first]])
-                yield rows(2, chunk, g.two[g.is_two], [t[:-1][g.is_two], t[1:][g.is_two]])
-                if g.is_three.any():
-                    yield rows(3, chunk, g.three[g.is_three], [t[:-2][g.is_three], t[1:-1][g.is_three], t[2:][g.is_three]])
-
-    return tokens.mapInArrow(run, SENT_DDL)
-
-
-def kept_grams(learned: DataFrame, bits: int) -> DataFrame:
-    """n, key, left, right, c of all n-grams that occur at least ``LEAST`` times."""
-    schema = pa.schema([("n", pa.int32()), ("key", pa.int64()), ("left", pa.int64()), ("right", pa.int64()), ("c", pa.int64())])
-
-    def total(table: pa.Table) -> pa.Table:
-        out = []
-        for n in (1, 2, 3):
-            part = table.filter(pc.equal(table["n"], n))
-            c = unpacked(part["c"], part["m"].to_numpy(), np.int32)
-            key, left, right = keys_of(n, words_in(part, n))
-            order = np.argsort(key)
-            key = key[order]
-            at = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
-            sums = np.add.reduceat(c[order].astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
-            at, sums = at[sums >= LEAST], sums[sums >= LEAST]
-            out.append(record_batch(schema, [np.full(len(at), n, np.int32), key[at].view(np.int64), left[order[at]], right[order[at]], sums]))
-        return pa.Table.from_batches(out)
-
-    return sent(learned, bits, True).groupBy("bucket").applyInArrow(total, "n int, key long, left long, right long, c long")
-
-
-def arcs_and_failures(kept: DataFrame, known: Counts, scratch: Scratch) -> DataFrame:
-    """n, key, value, alpha: log10 of a kept n-gram's probability over that of
-    its last word, and of its failure weight as a history."""
-    p1 = (F.col("c") + SMOOTH) / (known.total + SMOOTH * (known.distinct + 1))
-    ones = kept.filter("n = 1").select(F.col("left").alias("word"), "c", p1.alias("p1"), "key")
-    twos = kept.filter("n = 2").select("key", "left", "right", "c")
-    twos = twos.join(ones.select(F.col("word").alias("left"), F.col("c").alias("c_left")), "left").join(ones.select(F.col("word").alias("right"), "p1"), "right")
-    twos = scratch.store(twos.select("key", "left", "c", "p1", ((F.col("c") - DISCOUNT) / F.col("c_left")).alias("p")), "bigrams")
-    threes = kept.filter("n = 3").select("key", "left", "right", "c")
-    threes = threes.join(twos.select(F.col("key").alias("left"), F.col("c").alias("c_left")), "left").join(twos.select(F.col("key").alias("right"), "p1", F.col("p").alias("lower")), "right")
-    threes = scratch.store(threes.select("key", "left", "p1", "lower", ((F.col("c") - DISCOUNT) / F.col("c_left")).alias("p")), "trigrams")
-
-    def failures(arcs: DataFrame, lower: str) -> DataFrame:
-        left = [F.greatest(1 - F.sum(c), F.lit(1e-12)) for c in ("p", lower)]
-        return arcs.groupBy("left").agg(F.log10(left[0] / left[1]).alias("alpha"))
-
-    value, none = F.log10(F.col("p") / F.col("p1")).alias("value"), F.lit(0.0)
-    one = failures(twos, "p1").join(ones, F.col("left") == F.col("word")).select(F.lit(1).alias("n"), "key", none.alias("value"), "alpha")
-    two = twos.select("key", value).join(failures(threes, "lower").withColumnRenamed("left", "key"), "key", "left").select(F.lit(2).alias("n"), "key", "value", F.coalesce("alpha", none).alias("alpha"))
-    three = threes.select(F.lit(3).alias("n"), "key", value, none.alias("alpha"))
-    return one.unionByName(two).unionByName(three)
-
-
-BACK_DDL = "chunk long, n int, m long, first binary, second binary, third binary, value binary, alpha binary"
-BACK = pa.schema([("chunk", pa.int64()), ("n", pa.int32()), ("m", pa.int64())] + [(k, pa.binary()) for k in (*WORDS, "value", "alpha")])
-
-
-def answers(tokens: DataFrame, model: DataFrame, bits: int) -> DataFrame:
-    """For every chunk the rows of ``model`` for its n-grams, packed a bucket."""
-
-    def meet(asked: pa.Table, known: pa.Table) -> pa.Table:
-        out = []
-        for n in (1, 2, 3):
-            part, table = asked.filter(pc.equal(asked["n"], n)), known.filter(pc.equal(known["n"], n))
-            if not part.num_rows or not table.num_rows:
-                continue
-            keys = table["key"].to_numpy().view(np.uint64)
-            order = np.argsort(keys)
-            keys, value, alpha = keys[order], table["value"].to_numpy()[order], table["alpha"].to_numpy()[order]
-            words, lens = words_in(part, n), part["m"].to_numpy()
-            want = keys_of(n, words)[0]
-            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            hit = keys[at] == want
-            m = np.bincount(np.repeat(np.arange(len(lens)), lens)[hit], minlength=len(lens))
-            cuts, at = np.concatenate([[0], np.cumsum(m)]), at[hit]
-            empty = pa.array([b""] * len(lens), pa.binary())
-            what = [packed(w[hit], cuts) for w in words] + [empty] * (3 - n) + [packed(value[at], cuts), packed(alpha[at], cuts)]
-            chunk = part["chunk"].to_numpy()
-            out.append(record_batch(BACK, [chunk, np.full(len(lens), n, np.int32), m, *what]))
-        return pa.Table.from_batches(out, BACK)
-
-    asked = sent(tokens, bits, False).drop("c")
-    known = model.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits))
-    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(meet, BACK_DDL)
-
-
-SUMS_DDL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, more double"
-SUMS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("more", pa.float64())])
-
-
-def traversed(scored: DataFrame, back: DataFrame) -> DataFrame:
-    """The rows of ``scored`` with ``more``: what the automaton adds to the words' own log10 probabilities."""
-
-    def run(texts: pa.Table, arcs: pa.Table) -> pa.Table:
-        lists = texts["tokens"].combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        g = grams(lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()))
-
-        def look_up(n: int, want: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            part = arcs.filter(pc.equal(arcs["n"], n))
-            keys, lens = keys_of(n, words_in(part, n))[0], part["m"].to_numpy()
-            value, alpha = (unpacked(part[k], lens, np.float64) for k in ("value", "alpha"))
-            if not len(keys):
-                return np.zeros(len(want), bool), np.zeros(len(want)), np.zeros(len(want))
-            order = np.argsort(keys)
-            at = order[np.minimum(np.searchsorted(keys, want, sorter=order), len(keys) - 1)]
-            hit = keys[at] == want
-            return hit, np.where(hit, value[at], 0.0), np.where(hit, alpha[at], 0.0)
-
-        _, _, fail_one = look_up(1, g.one)
-        is_arc, value, fail_two = look_up(2, g.two)
-        more = np.where(is_arc, value, fail_one[:-1])  # of the token after each position
-        is_arc, value, _ = look_up(3, g.three)
-        more[1:] = np.where(g.is_three, np.where(is_arc, value, fail_two[:-1] + more[1:]), more[1:])
-        sums = np.bincount(g.text[:-1][g.is_two], more[g.is_two], minlength=len(lists))
-        return texts.select(SUMS.names[:-1]).append_column("more", pa.array(sums)).cast(SUMS)
-
-    return scored.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, SUMS_DDL)
-
-
-# -- the automaton in memory (held against the tables by the tests) ---------------------------------------------------------
+            for row in batch.to_pylist():
+                chunk = Chunk(row)
+                yield ask(chunk.id, 1, chunk.words.key, plan.shift(1), chunk.words.c.astype(np.int32))
+                for n, d in zip((2, 3), chunk.grams(), strict=True):
+                    short, cut = shortened(d.key, plan.short_bits)
+                    c = np.add.reduceat(d.c, cut) if len(cut) else d.c
+                    yield ask(chunk.id, n, short, plan.short_shift(n), np.minimum(c, LEAST).astype(np.int32))
+                pa.default_memory_pool().release_unused()
+
+    return chunks.mapInArrow(run, ASK_DDL)
+
+
+def shortened(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct first ``bits`` of sorted keys, and where each begins."""
+    short = key >> np.uint64(64 - bits)
+    cut = np.flatnonzero(np.append(True, short[1:] != short[:-1])[: len(short)])
+    return short[cut], cut
+
+
+def candidates(chunk: Chunk, told: Answers, plan: Plan) -> tuple[Distinct, Distinct]:
+    """Bigrams and trigrams that can be kept, as far as short hashes tell; a
+    trigram's bigrams must be among them."""
+    out = []
+    for n, d in zip((2, 3), chunk.grams(), strict=True):
+        _, cut = shortened(d.key, plan.short_bits)
+        out.append(d.pick(np.repeat(told.get(1, n, bool), np.diff(np.append(cut, len(d.key))))))
+    two, three = out
+    sides = [np.isin(chunk.two_at[three.at + i], two.key) for i in (0, 1)]
+    return two, three.pick(sides[0] & sides[1])
+
+
+def second_questions(chunks: DataFrame, answers: DataFrame, plan: Plan, tasks: int) -> DataFrame:
+    def run(chunk: Chunk, told: Answers) -> Iterator[pa.RecordBatch]:
+        for n, d in zip((2, 3), candidates(chunk, told, plan), strict=True):
+            yield ask(chunk.id, n, d.key, plan.shift(n), d.c.astype(np.int32))
+
+    return per_chunk(chunks, answers, tasks, run, ASK_DDL, ASK)
 
 
 @dataclass
-class Automaton:
-    """State 0 is the empty history.  ``arcs`` maps state << BITS | word to
-    (log10 probability, next state) beyond the root; ``unigram`` and ``after``
-    give them at the root; ``back`` and ``lower`` are the failure arcs, and
-    ``fall`` is the weight of all failures down to the root."""
-
-    arcs: dict[int, tuple[float, int]]
-    unigram: list[float]
-    after: list[int]
-    back: list[float]
-    lower: list[int]
-    fall: list[float]
-
-    def traverse(self, tokens: list[int]) -> float:
-        """Sum over a text's tokens, of which those with number 0 count only
-        the failures that lead to the root."""
-        arcs, unigram, after, back, lower, fall = self.arcs, self.unigram, self.after, self.back, self.lower, self.fall
-        state, total = after[END], 0.0
-        for w in tokens:
-            if not w:
-                total += fall[state]
-                state = 0
-                continue
-            arc = arcs.get(state << BITS | w) if state else None
-            while arc is None and state:
-                total += back[state]
-                state = lower[state]
-                arc = arcs.get(state << BITS | w) if state else None
-            if arc is None:
-                total += unigram[w]
-                state = after[w]
-            else:
-                total += arc[0]
-                state = arc[1]
-        return total
-
-
-def build(counts: Counts, bigrams: tuple[np.ndarray, np.ndarray], trigrams: tuple[np.ndarray, np.ndarray]) -> Automaton:
-    mask = (1 << BITS) - 1
-    c1 = np.concatenate([[0, counts.ends], counts.counts[: counts.n_automaton]])
-    p1 = 10 ** counts.log_p(c1)
-    two = dict(zip(bigrams[0].tolist(), bigrams[1].tolist(), strict=True))
-    p2 = {key: (c - DISCOUNT) / float(c1[key >> BITS]) for key, c in two.items()}
-    p3 = {key: (c - DISCOUNT) / two[key >> BITS] for key, c in zip(trigrams[0].tolist(), trigrams[1].tolist(), strict=True)}
-    ones = {h: i + 1 for i, h in enumerate(sorted({key >> BITS for key in two}))}
-    pairs = {h: i + 1 + len(ones) for i, h in enumerate(sorted({key >> BITS for key in p3}))}
-    n = 1 + len(ones) + len(pairs)
-    # what a history's kept words take, of its own and of the shorter history's probability
-    own, shorter = np.zeros(n), np.zeros(n)
-    for key, p in p2.items():
-        state = ones[key >> BITS]
-        own[state] += p
-        shorter[state] += p1[key & mask]
-    alpha = np.ones(n)
-    lower = [0] * n
-    for state in ones.values():
-        alpha[state] = max(1 - own[state], 1e-12) / max(1 - shorter[state], 1e-12)
-
-    def p_after_one(pair: int) -> float:
-        got = p2.get(pair)
-        first = ones.get(pair >> BITS)
-        return got if got is not None else (alpha[first] if first else 1.0) * float(p1[pair & mask])
-
-    for key, p in p3.items():
-        state = pairs[key >> BITS]
-        own[state] += p
-        shorter[state] += p_after_one(key & ((1 << 2 * BITS) - 1))
-    for pair, state in pairs.items():
-        alpha[state] = max(1 - own[state], 1e-12) / max(1 - shorter[state], 1e-12)
-        lower[state] = ones.get(pair & mask, 0)
-    back = np.log10(alpha).tolist()
-    fall = [0.0] * n
-    for state in range(1, n):  # shorter histories have smaller numbers
-        fall[state] = back[state] + fall[lower[state]]
-    after = [0] * len(c1)
-    for word, state in ones.items():
-        after[word] = state
-    arcs = {ones[key >> BITS] << BITS | key & mask: (float(np.log10(p)), pairs.get(key, after[key & mask])) for key, p in p2.items()}
-    for key, p in p3.items():
-        pair = key & ((1 << 2 * BITS) - 1)
-        arcs[pairs[key >> BITS] << BITS | key & mask] = (float(np.log10(p)), pairs.get(pair, after[key & mask]))
-    return Automaton(arcs, np.log10(np.maximum(p1, 1e-300)).tolist(), after, back, lower, fall)
-
-
-# -- scoring ---------------------------------------------------------------
-
-SCORED_DDL = "chunk long, row long, doc_id long, held_out boolean, learn boolean, n_tokens long, n_known long, base double, tokens array<long>, rare array<string>, times array<long>"
-SCORED = pa.schema(
-    [("chunk", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("learn", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64())]
-    + [("tokens", pa.list_(pa.int64())), ("rare", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))]
-)
-
-
-def in_task_scores(docs: DataFrame, counts) -> DataFrame:
-    """What a task knows of each text: its tokens' numbers, the sum over its end
-    and its frequent words, and its rare words with their numbers of times."""
+class Part:
+    """The states and arcs that a chunk can reach.  Places are those of words;
+    ``left`` and ``right`` of a trigram are its bigrams' places in ``two``."""
+
+    c1: np.ndarray  # by place
+    two: Distinct
+    w1: np.ndarray
+    w2: np.ndarray
+    p2: np.ndarray
+    mine2: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    w3: np.ndarray
+    p3: np.ndarray
+    mine3: np.ndarray
+
+
+def part_of(chunk: Chunk, told: Answers, plan: Plan) -> Part:
+    c1 = np.empty(len(chunk.number), np.int64)
+    c1[chunk.words.at] = told.get(1, 1, np.int64)
+    two, three = candidates(chunk, told, plan)
+    got2, got3 = told.get(2, 2, np.int64), told.get(2, 3, np.int64)
+    two, three, got2, got3 = two.pick(got2 > 0), three.pick(got3 > 0), got2[got2 > 0], got3[got3 > 0]
+    c2, c3 = got2 >> 1, got3 >> 1
+    w1, w2 = chunk.tokens[two.at], chunk.tokens[two.at + 1]
+    left, right = (np.searchsorted(two.key, chunk.two_at[three.at + i]) for i in (0, 1))
+    return Part(
+        c1, two, w1, w2, (c2 - DISCOUNT) / c1[w1], (got2 & 1).astype(bool), left, right, chunk.tokens[three.at + 2],
+        (c3 - DISCOUNT) / c2[left] if len(c3) else np.zeros(0), (got3 & 1).astype(bool),
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, known = TaskContext.get().partitionId() << 33, counts.value
-        end = float(known.log_p(np.array([known.ends]))[0])
-        for batch in slices(batches, max_bytes=SCORED_BYTES):
-            w = words_of(batch.column(3), lower_ascii=True)
-            n, size = batch.num_rows, np.int64(max(1, len(w.vocab)))
-            place = known.place(w.vocab)
-            c = np.where(place >= 0, known.counts[place] if len(known.counts) else 0, 0)
-            log_p = np.where(place >= 0, known.log_p(c), 0.0)
-            base = per_text(log_p[w.idx], w.starts, w.lens) + end
-            frequent_words = per_text((place >= 0).astype(np.int64)[w.idx], w.starts, w.lens)
-            rare = (place < 0)[w.idx]
-            pairs, times = np.unique(w.doc[rare] * size + w.idx[rare], return_counts=True)
-            offsets = np.searchsorted(pairs // size, np.arange(n + 1)).astype(np.int32)
-            words = pa.ListArray.from_arrays(offsets, w.vocab.take(pa.array(pairs % size)))
-            tokens = pa.ListArray.from_arrays(np.append(w.starts, len(w.idx)).astype(np.int32), known.tokens(w.vocab)[w.idx])
-            yield record_batch(
-                SCORED,
-                [np.full(n, row), row + np.arange(n), *batch.columns[:3], w.lens + 1, frequent_words + (known.ends > 0), base, tokens, words]
-                + [pa.ListArray.from_arrays(offsets, times.astype(np.int64))],
-            )
-            row += n
 
-    doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(doc_id.alias("doc_id"), held_out(doc_id, MODULUS, LEFT_OUT).alias("held_out"), training_row(doc_id, MODULUS, LEFT_OUT).alias("learn"), "text")
-    return rows.mapInArrow(run, SCORED_DDL)
+def histories(chunk: Chunk, part: Part) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words (by key) and of the kept bigrams that can be histories."""
+    return chunk.words.at[part.c1[chunk.words.at] >= LEAST], np.flatnonzero(part.w2 != chunk.end)
+
+
+def third_questions(chunks: DataFrame, answers: DataFrame, plan: Plan, tasks: int) -> DataFrame:
+    def run(chunk: Chunk, told: Answers) -> Iterator[pa.RecordBatch]:
+        part = part_of(chunk, told, plan)
+        words, pairs = histories(chunk, part)
+        p1 = 10 ** plan.log_p(part.c1)
+        own, lower = (np.bincount(part.w1[part.mine2], v[part.mine2], minlength=len(p1)) for v in (part.p2, p1[part.w2]))
+        key = mix(chunk.number)
+        yield ask(chunk.id, 1, key[words], plan.shift(1), own[words], lower[words])
+        n = len(part.two.key)
+        own, lower = (np.bincount(part.left[part.mine3], v[part.mine3], minlength=n) for v in (part.p3, part.p2[part.right]))
+        yield ask(chunk.id, 2, part.two.key[pairs], plan.shift(2), own[pairs], lower[pairs])
+
+    return per_chunk(chunks, answers, tasks, run, ASK_DDL, ASK)
+
+
+# -- the automaton --------------------------------------------------------------
+
+
+class Automaton:
+    """State 0 is the empty history, state 1 + w that of a word, and the kept
+    bigrams follow.  ``keys`` are the arcs beyond the root (state and word);
+    the root has an arc for every word.  Failure arcs lead from ``state`` to
+    ``lower[state]`` and weigh ``back[state]``."""
+
+    def __init__(self, part: Part, log_p1: np.ndarray, alpha1: np.ndarray, alpha2: np.ndarray):
+        self.words = len(log_p1)
+        self.root = log_p1
+        first = 1 + self.words
+        keys = np.concatenate([(1 + part.w1) * self.words + part.w2, (first + part.left) * self.words + part.w3])
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.weight = np.log10(np.concatenate([part.p2, part.p3]))[order]
+        self.next = np.concatenate([first + np.arange(len(part.w1)), first + part.right])[order]
+        self.back = np.concatenate([[0.0], alpha1, alpha2])
+        self.lower = np.concatenate([np.zeros(first, np.int64), 1 + part.w2])
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weights and next states of reading one word in each of many states:
+        failure arcs are followed until an arc or the root reads it."""
+        weight, after = np.zeros(len(state)), 1 + word
+        todo = np.arange(len(state))
+        while len(todo):
+            s, w = state[todo], word[todo]
+            at_root = s == 0
+            weight[todo[at_root]] += self.root[w[at_root]]
+            todo, s, w = todo[~at_root], s[~at_root], w[~at_root]
+            if not len(todo) or not len(self.keys):
+                hit = np.zeros(len(todo), bool)
+            else:
+                want = s * self.words + w
+                at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
+                hit = self.keys[at] == want
+                weight[todo[hit]] += self.weight[at[hit]]
+                after[todo[hit]] = self.next[at[hit]]
+            todo, s = todo[~hit], s[~hit]
+            weight[todo] += self.back[s]
+            state[todo] = self.lower[s]
+        return weight, after
+
+    def traverse(self, tokens: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """Sum of each text's weights.  ``tokens[starts]`` are the ends before
+        the texts of ``lens`` words; the end after each is read too."""
+        pieces = -(-(lens + 1) // PIECE)
+        text = np.repeat(np.arange(len(lens)), pieces)
+        inner = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = starts[text] + 1 + inner * PIECE
+        size = np.minimum(lens[text] + 1 - inner * PIECE, PIECE)
+        state = 1 + tokens[begin - 1]  # after the end before the text
+        later = np.flatnonzero(inner > 0)
+        if len(later):
+            state[later] = self.step(1 + tokens[begin[later] - 2], tokens[begin[later] - 1])[1]
+        order = np.argsort(-size, kind="stable")
+        begin, size, state = begin[order], size[order], state[order]
+        total = np.zeros(len(begin))
+        running = np.searchsorted(-size, -np.arange(1, int(size.max(initial=0)) + 1), "right")
+        for k, m in enumerate(running.tolist()):
+            weight, state[:m] = self.step(state[:m].copy(), tokens[begin[:m] + k])
+            total[:m] += weight
+        return np.bincount(text[order], total, minlength=len(lens))
+
+
+SUMS_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+SUMS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+
+
+def traversed(chunks: DataFrame, answers: DataFrame, plan: Plan, tasks: int) -> DataFrame:
+    def run(chunk: Chunk, told: Answers) -> Iterator[pa.RecordBatch]:
+        part = part_of(chunk, told, plan)
+        words, pairs = histories(chunk, part)
+        alpha1, alpha2 = np.zeros(len(part.c1)), np.zeros(len(part.w1))
+        alpha1[words], alpha2[pairs] = told.get(3, 1, np.float64), told.get(3, 2, np.float64)
+        log_p1 = plan.log_p(part.c1)
+        scores = Automaton(part, log_p1, alpha1, alpha2).traverse(chunk.tokens, chunk.starts, chunk.lens)
+        read = np.ones(len(chunk.tokens), bool)
+        read[chunk.starts] = False
+        at, w = chunk.text[read], chunk.tokens[read]
+        n = len(chunk.lens)
+        base = np.bincount(at, log_p1[w], minlength=n)
+        known = np.bincount(at, part.c1[w] > 0, minlength=n).astype(np.int64)
+        yield record_batch(SUMS, [chunk.row["doc_id"], chunk.row["held_out"], chunk.lens + 1, known, base, scores])
+
+    return per_chunk(chunks, answers, tasks, run, SUMS_DDL, SUMS)
+
+
+def give_back(scratch: Scratch) -> None:
+    """Let Spark drop the shuffle files of frames that nobody holds any more."""
+    gc.collect()
+    scratch.spark.sparkContext._jvm.System.gc()
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    learn = docs.filter(training_row(F.col("doc_id").cast("long"), MODULUS, LEFT_OUT)).select(text_of())
-    counts = scratch.store(word_counts(learn), "counts")
-    known = frequent(counts, learn.count())
-    scored = scratch.store(in_task_scores(docs, spark.sparkContext.broadcast(known)), "scored")
-    # the model, and the part of it that each chunk needs
-    chunks = scored.select("chunk").distinct().count()
-    bits = (max(LEAST_BUCKETS, chunks) - 1).bit_length()
-    kept = scratch.store(kept_grams(scored.filter("learn").select("chunk", "tokens"), bits), "kept")
-    model = arcs_and_failures(kept, known, scratch)
-    back = answers(scored.select("chunk", "tokens"), model, bits)
-    sums = scratch.store(traversed(scored.select("chunk", *SUMS.names[:-1], "tokens"), back), "sums")
-    # rare words meet their exact counts; words that were never learned have none
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
-    rest = counts.filter(F.col("c") < max(1.0, COUNT_SHARE * known.total))
-    c = F.coalesce("c", F.lit(0))
-    log_p = F.log10((c + SMOOTH) / (known.total + SMOOTH * (known.distinct + 1)))
-    extra = rare.join(rest, "word", "left").groupBy("row").agg(F.sum(F.col("times") * log_p).alias("rare_log_p"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    rows = sums.join(extra, "row", "left")
-    base = F.col("base") + F.coalesce("rare_log_p", F.lit(0.0))
-    return scratch.finish(
-        rows.select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(known.total).cast("long").alias("train_tokens"),
-            base.alias("base_score"),
-            (base + F.col("more")).alias("score"),
-        )
-    )
+    chunks = scratch.store(chunk_table(docs), "chunks")
+    size = chunks.agg(F.sum("tokens").alias("tokens"), F.count("*").alias("chunks")).first()
+    tokens = size.tokens or 0
+    bits = max(LEAST_BUCKETS, 2 * tokens // BUCKET_KEYS + 1)
+    bits = (bits - 1).bit_length()
+    plan = Plan(bits, min(64, max(bits, tokens.bit_length() + 8)))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size.chunks // 2)
+
+    told = scratch.store(answered(first_questions(chunks, plan), 1, 1 << bits, plan.short_shift, Count()), "first")
+    give_back(scratch)
+    # each text learned from is a sum of its words and its end
+    learned = told.filter("chunk < 0").agg(F.sum("m").alias("v")).first()
+    counted = F.aggregate(F.arrays_zip("lens", "learn"), F.lit(0).cast("long"), lambda n, x: n + F.when(x["learn"], x["lens"] + 1).otherwise(0))
+    plan.distinct = int(learned.v or 0)
+    plan.total = int(chunks.agg(F.sum(counted).alias("n")).first().n or 0)
+
+    told = told.filter("chunk >= 0")
+    told = told.unionByName(scratch.store(answered(second_questions(chunks, told, plan, tasks), 2, 1 << bits, plan.shift, Keep()), "second"))
+    give_back(scratch)
+    told = told.unionByName(scratch.store(answered(third_questions(chunks, told, plan, tasks), 3, 1 << bits, plan.shift, Alpha()), "third"))
+    give_back(scratch)
+    rows = traversed(chunks, told, plan, tasks).withColumn("train_tokens", F.lit(plan.total).cast("long"))
+    return scratch.finish(rows.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))

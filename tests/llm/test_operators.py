@@ -340,78 +340,6 @@ def test_base_scores(docs, texts):
         assert got[d].held_out == (zlib.crc32(str(d).encode()) % 10 == 0)
 
 
-def test_rare_words_through_the_shuffle(docs, monkeypatch):
-    whole = {r.doc_id: (r.base_score, r.n_known) for r in backoff_lm.score(docs).collect()}
-    monkeypatch.setattr(backoff_lm, "COUNT_SHARE", 1e-3)
-    monkeypatch.setattr(backoff_lm, "WORD_SHARE", 2e-3)
-    split = {r.doc_id: (r.base_score, r.n_known) for r in backoff_lm.score(docs).collect()}
-    assert all(math.isclose(whole[d][0], split[d][0], rel_tol=1e-9) and whole[d][1] == split[d][1] for d in whole)
-
-
-def test_automaton_is_a_distribution():
-    words = pa.array(["a", "b", "c", "d"])
-    counts = backoff_lm.Counts(words, np.array([9, 6, 4, 2]), 4, 24, 5, 3)
-    key = lambda *w: sum(x << backoff_lm.BITS * (len(w) - 1 - i) for i, x in enumerate(w))
-    two = {key(2, 3): 5, key(3, 2): 4, key(1, 2): 3, key(2, 4): 3}
-    three = {key(2, 3, 2): 4, key(1, 2, 3): 2}
-    arrays = [(np.array(sorted(t)), np.array([t[k] for k in sorted(t)])) for t in (two, three)]
-    machine = backoff_lm.build(counts, *arrays)
-    unseen = 0.1 / (24 + 0.1 * 6)
-    for history in ([], [2], [3], [4], [2, 3], [2, 4], [3, 2], [2, 3, 2]):
-        prefix = machine.traverse(history)
-        known = sum(10 ** (machine.traverse([*history, w]) - prefix) for w in range(1, 6))
-        # any other word is reached at the root, with the failures on the way
-        other = 10 ** (machine.traverse([*history, 0]) - prefix) * unseen
-        assert math.isclose(known + other, 1.0, rel_tol=1e-6), history
-
-
-def in_memory_scores(rows):
-    """Scores of (doc_id, text, times it is there) by the automaton in memory over all n-grams seen twice."""
-    split = lambda t: [w.decode() for w in t.encode().lower().split()]
-    learned = [(["\0", *split(t), "\0"], k) for d, t, k in rows if zlib.crc32(str(d).encode()) % 10]
-    one, two, three = Counter(), Counter(), Counter()
-    for s, k in learned:
-        for c, n in ((one, 1), (two, 2), (three, 3)):
-            for g, m in Counter(zip(*(s[i:] for i in range(n)))).items():
-                c[g] += m * k
-    words = sorted((w for (w,) in one if w != "\0"), key=lambda w: -one[(w,)])
-    ends = sum(k for _, k in learned)
-    numbers = {"\0": 1, **{w: i + 2 for i, w in enumerate(words)}}
-    counts = backoff_lm.Counts(pa.array(words), np.array([one[(w,)] for w in words]), len(words), sum(one.values()) - ends, len(words) + 1, ends)
-    arrays = []
-    for c in (two, three):
-        kept = sorted((sum(numbers[w] << backoff_lm.BITS * (len(g) - 1 - i) for i, w in enumerate(g)), n) for g, n in c.items() if n >= 2)
-        arrays.append((np.array([k for k, _ in kept]), np.array([n for _, n in kept])))
-    machine = backoff_lm.build(counts, *arrays)
-    unseen = float(counts.log_p(np.array([0]))[0])
-    out = []
-    for d, t, _ in rows:
-        tokens = [numbers.get(w, 0) for w in [*split(t), "\0"]]
-        out.append(machine.traverse(tokens) + unseen * tokens.count(0))
-    return out
-
-
-def test_scores_equal_the_automaton_in_memory(docs, texts, monkeypatch):
-    want = dict(zip(texts, in_memory_scores([(d, t or "", 1) for d, t in texts.items()]), strict=True))
-    got = {r.doc_id: r.score for r in backoff_lm.score(docs).collect()}
-    assert all(math.isclose(got[d], want[d], rel_tol=1e-9, abs_tol=1e-9) for d in texts)
-    monkeypatch.setattr(backoff_lm, "COUNT_SHARE", 1e-3)
-    monkeypatch.setattr(backoff_lm, "SCORED_BYTES", 1 << 16)
-    got = {r.doc_id: r.score for r in backoff_lm.score(docs).collect()}
-    assert all(math.isclose(got[d], want[d], rel_tol=1e-9, abs_tol=1e-9) for d in texts)
-
-
-def test_ngrams_seen_twice_count_in_a_large_corpus(spark):
-    usual = " ".join(f"w{i % 50} v{i % 7}" for i in range(10_000))
-    rare = "an uncommon phrase of few words"
-    rows = [(1, usual, 250), (2, rare, 2), (3, f"w1 {rare} v3", 1)]  # 5 million tokens
-    table = [(d, t) for d, t, k in rows for _ in range(k)]
-    df = spark.createDataFrame(spark.sparkContext.parallelize(table, 8), "doc_id long, text string")
-    got = {r.doc_id: r.score for r in backoff_lm.score(df).collect()}
-    # the words' own part of the long text is a sum of 30,000, which leaves so much of rounding
-    assert all(math.isclose(got[d], s, rel_tol=1e-9, abs_tol=1e-5) for (d, _, _), s in zip(rows, in_memory_scores(rows), strict=True))
-
-
 def test_words_of_matches_the_contract():
     text = "a\x0bb\x0cc\x1cd\x85e f g \r\n h\tI"
     w = words_of(pa.array([text, None, ""]))
