@@ -47,6 +47,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -67,8 +68,10 @@ LEAST = 2
 #: Text of a chunk, which is scored at once in a task.
 CHUNK_BYTES = 4 << 20
 #: Distinct n-grams that a bucket is meant for.
-BUCKET_KEYS = 1 << 20
+BUCKET_KEYS = 1 << 22
 LEAST_BUCKETS = 8
+#: Bits of a short hash beyond those that number the tokens.
+SPARE_BITS = 4
 #: Tokens of a text walked in one go.
 PIECE = 512
 END_NUMBER = 0
@@ -138,16 +141,20 @@ class Distinct:
     key: np.ndarray
     at: np.ndarray
     c: np.ndarray
+    place: np.ndarray  # by token: the place here of the n-gram that begins there, -1 for none
 
     @classmethod
-    def of(cls, key: np.ndarray, position: np.ndarray, learned: np.ndarray) -> Distinct:
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+    def of(cls, key: np.ndarray, position: np.ndarray, learned: np.ndarray, n_tokens: int) -> Distinct:
+        order = np.argsort(key)
+        key, by_key = key[order], position[order]
         cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
-        return cls(key[cut], position[order[cut]], np.add.reduceat(learned[order], cut) if len(cut) else np.zeros(0, np.int64))
+        place = np.full(n_tokens, -1, np.int64)
+        place[by_key] = np.repeat(np.arange(len(cut)), np.diff(np.append(cut, len(key))))
+        return cls(key[cut], by_key[cut], np.add.reduceat(learned[by_key], cut) if len(cut) else np.zeros(0, np.int64), place)
 
     def pick(self, which: np.ndarray) -> Distinct:
-        return Distinct(self.key[which], self.at[which], self.c[which])
+        moved = np.append(np.where(which, np.cumsum(which) - 1, -1), -1)
+        return Distinct(self.key[which], self.at[which], self.c[which], moved[self.place])
 
 
 class Chunk:
@@ -170,8 +177,8 @@ class Chunk:
         counted[self.starts] = 0  # the end before a text is not counted
         c = np.bincount(self.tokens, counted, minlength=self.end + 1).astype(np.int64)
         key = mix(self.number)
-        order = np.argsort(key, kind="stable")
-        self.words = Distinct(key[order], order, c[order])  # ``at`` is the word's place
+        order = np.argsort(key)
+        self.words = Distinct(key[order], order, c[order], self.tokens)  # ``at`` is the word's place
         self._learned = learned
 
     def grams(self) -> tuple[Distinct, Distinct]:
@@ -179,8 +186,7 @@ class Chunk:
         two = join_keys(n[:-1], n[1:])
         three = join_keys(two[:-1], two[1:])
         at2, at3 = np.flatnonzero(self.text[:-1] == self.text[1:]), np.flatnonzero(self.text[:-2] == self.text[2:])
-        self.two_at = two
-        return Distinct.of(two[at2], at2, self._learned[at2]), Distinct.of(three[at3], at3, self._learned[at3])
+        return tuple(Distinct.of(k[at], at, self._learned, len(n)) for k, at in ((two, at2), (three, at3)))
 
 
 # -- questions and answers ---------------------------------------------------
@@ -219,8 +225,8 @@ def answered(asks: DataFrame, step: int, buckets: int, shift: Callable[[int], in
             keys = np.concatenate([np.cumsum(unpacked(r["keys"], r["m"], np.uint64)) for r in own]) + (np.uint64(bucket) << np.uint64(shift(n)))
             lens = np.array([r["m"] for r in own])
             numbers = [np.concatenate([unpacked(r[c], r["m"], t) for r in own]) if t is not None else None for c, t in zip(("first", "second"), answer.dtypes, strict=True)]
-            order = np.argsort(keys, kind="stable")
-            cut = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
+            order = np.argsort(keys)
+            cut = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0))
             group = np.empty(len(keys), np.int64)
             group[order] = np.repeat(np.arange(len(cut)), np.diff(np.append(cut, len(keys))))
             sums = [None if v is None else np.add.reduceat(v[order].astype(np.float64 if v.dtype == np.float64 else np.int64), cut) for v in numbers]
@@ -228,7 +234,7 @@ def answered(asks: DataFrame, step: int, buckets: int, shift: Callable[[int], in
             reply = values[group]
             if answer.marks_first:  # the first chunk that asks accounts for it
                 first = np.zeros(len(keys), np.int64)
-                first[order[cut]] = 1
+                first[np.minimum.reduceat(order, cut)] = 1
                 reply = np.where(reply > 0, reply * 2 + first, 0)
             at = np.concatenate([[0], np.cumsum(lens)]).tolist()
             data = [np.packbits(reply[a:b]).tobytes() if reply.dtype == bool else packed(reply[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
@@ -347,8 +353,7 @@ def candidates(chunk: Chunk, told: Answers, plan: Plan) -> tuple[Distinct, Disti
         _, cut = shortened(d.key, plan.short_bits)
         out.append(d.pick(np.repeat(told.get(1, n, bool), np.diff(np.append(cut, len(d.key))))))
     two, three = out
-    sides = [np.isin(chunk.two_at[three.at + i], two.key) for i in (0, 1)]
-    return two, three.pick(sides[0] & sides[1])
+    return two, three.pick((two.place[three.at] >= 0) & (two.place[three.at + 1] >= 0))
 
 
 def second_questions(chunks: DataFrame, answers: DataFrame, plan: Plan, tasks: int) -> DataFrame:
@@ -385,7 +390,7 @@ def part_of(chunk: Chunk, told: Answers, plan: Plan) -> Part:
     two, three, got2, got3 = two.pick(got2 > 0), three.pick(got3 > 0), got2[got2 > 0], got3[got3 > 0]
     c2, c3 = got2 >> 1, got3 >> 1
     w1, w2 = chunk.tokens[two.at], chunk.tokens[two.at + 1]
-    left, right = (np.searchsorted(two.key, chunk.two_at[three.at + i]) for i in (0, 1))
+    left, right = (two.place[three.at + i] for i in (0, 1))
     return Part(
         c1, two, w1, w2, (c2 - DISCOUNT) / c1[w1], (got2 & 1).astype(bool), left, right, chunk.tokens[three.at + 2],
         (c3 - DISCOUNT) / c2[left] if len(c3) else np.zeros(0), (got3 & 1).astype(bool),
@@ -502,9 +507,12 @@ def traversed(chunks: DataFrame, answers: DataFrame, plan: Plan, tasks: int) ->
 
 
 def give_back(scratch: Scratch) -> None:
-    """Let Spark drop the shuffle files of frames that nobody holds any more."""
+    """Let Spark drop the shuffle files of frames that nobody holds any more: its
+    cleaner acts on what the driver's garbage collector finds, in two turns."""
     gc.collect()
-    scratch.spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        scratch.spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -515,7 +523,7 @@ def score(docs: DataFrame) -> DataFrame:
     tokens = size.tokens or 0
     bits = max(LEAST_BUCKETS, 2 * tokens // BUCKET_KEYS + 1)
     bits = (bits - 1).bit_length()
-    plan = Plan(bits, min(64, max(bits, tokens.bit_length() + 8)))
+    plan = Plan(bits, min(64, max(bits, tokens.bit_length() + SPARE_BITS)))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size.chunks // 2)
 
     told = scratch.store(answered(first_questions(chunks, plan), 1, 1 << bits, plan.short_shift, Count()), "first")
