@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.catalog.common import TREE, fit_trip_tree, query, rounded, scratch_path
+from quarry.catalog.common import TREE, fit_trip_tree, query, rounded
 from quarry.operators import clean, evaluate, library
 from quarry.operators import tree as tree_ops
 from quarry.operators.split import hash_split
+from quarry.plans.store import Workspace
 from quarry.session import release
 from quarry.sources import fixtures as fx
 from quarry.sources import text
@@ -126,9 +127,9 @@ def dt_deep_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     dt = DecisionTreeRegressor(featuresCol="features", labelCol="trip_duration", maxDepth=20, maxBins=32,
                                impurity="variance", seed=42)
     model = dt.fit(library.assemble(train, fx.TRIP_FEATURES))
-    path = scratch_path(spark, "dt-deep")
-    library.save_tree_model(model, path)
-    loaded = library.load_tree_model(path)
+    with Workspace(spark, "dt-deep") as work:
+        library.save_tree_model(model, work.path("model"))
+        loaded = library.load_tree_model(work.path("model"))
     pred = loaded.transform(library.assemble(valid, fx.TRIP_FEATURES))
     return rounded(evaluate.regression_metrics(pred, "prediction", "trip_duration"), 4)
 
@@ -149,9 +150,9 @@ def dt_cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Our tree saved as a node table, loaded back, scoring validation."""
     tree, _, valid = fit_trip_tree(spark, sf_dir)
-    path = scratch_path(spark, "tree")
-    tree.save(spark, path)
-    loaded = tree_ops.Tree.from_table(spark.read.parquet(path), fx.TRIP_FEATURES)
+    with Workspace(spark, "tree") as work:
+        tree.save(spark, work.path("tree"))
+        loaded = tree_ops.Tree.from_table(spark.read.parquet(work.path("tree")), fx.TRIP_FEATURES)
     return rounded(loaded.predict(valid).select("id", "prediction"))
 
 
@@ -165,9 +166,9 @@ def structured_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.sources import io as qio
 
     trips = fx.trips(spark, sf_dir)
-    path = scratch_path(spark, "scored")
-    structured_regression_job(trips, trips.drop("trip_duration"), output=path)
-    return rounded(qio.read_csv(spark, path, schema="id string, trip_duration double"))
+    with Workspace(spark, "scored") as work:
+        structured_regression_job(trips, trips.drop("trip_duration"), output=work.path("csv"))
+        return rounded(qio.read_csv(spark, work.path("csv"), schema="id string, trip_duration double")).checkpoint(eager=True)
 
 
 @query

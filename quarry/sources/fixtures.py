@@ -24,13 +24,15 @@ _TEXT_FILES: dict[tuple, str] = {}
 
 
 def as_text_file(spark: SparkSession, lines: DataFrame, key: tuple) -> DataFrame:
-    """Write generated lines once per session under the shared checkpoint
-    folder and scan them back with ``spark.read.text`` (the A1 source)."""
+    """Write generated lines once per session and version of the tables they
+    come from under the shared checkpoint folder, and scan them back with
+    ``spark.read.text`` (the A1 source)."""
     import os
     import uuid
 
     from quarry.session import checkpoint_dir
 
+    key = (*key, spark.sparkContext.applicationId, *[(f, file_version(spark, f)) for f in sorted(lines.inputFiles())])
     path = _TEXT_FILES.get(key)
     if path is None:
         path = os.path.join(checkpoint_dir(spark), "fixtures", f"{key[0]}-{uuid.uuid4().hex}")
@@ -40,6 +42,14 @@ def as_text_file(spark: SparkSession, lines: DataFrame, key: tuple) -> DataFrame
         _TEXT_FILES[key] = path
     return spark.read.text(path)
 
+
+def file_version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Time of change and length of a file in any of Spark's file systems."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    status = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at)
+    return status.getModificationTime(), status.getLen()
+
+
 FRAUD_FEATURES = ["f1", "f2", "f3"]
 FRAUD_FEATURES_WIDE = ["f1", "f2", "f3", "f4"]
 FRAUD_HEADER = "time,f1,f2,f3,label"
