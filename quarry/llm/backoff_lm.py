@@ -24,8 +24,9 @@ packed arrays a bucket, and gets one answer a key back:
   occur ``LEAST`` times (those of which it cannot are not sent again);
 * the other bigrams and trigrams: their counts, and one chunk is told to
   account for each kept n-gram;
-* words and kept bigrams as histories, with what the accounted n-grams take of
-  their own and of the shorter history's probability: alpha.
+* words and kept bigrams as histories that a text fails from, with the sums of
+  counts over the accounted n-grams: the sums over all, which give alpha.  All
+  terms of a history have one denominator, so these sums are integers.
 
 Then each chunk builds its part of the automaton and walks its texts, all side
 by side, carrying a state each; a long text is walked in pieces, which start in
@@ -87,12 +88,14 @@ def packed(values: np.ndarray) -> bytes:
     return CODEC.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), asbytes=True) if len(values) else b""
 
 
-def unpacked(data: bytes, n: int, dtype) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
+def unpacked(data: bytes, n: int, dtype, numbers: int = 1) -> np.ndarray:
+    """``n`` numbers, or rows of so many numbers."""
+    width = np.dtype(dtype).itemsize * numbers
+    shape = n if numbers == 1 else (n, numbers)
     if not n:
-        return np.zeros(0, dtype)
+        return np.zeros(shape, dtype)
     planes = np.frombuffer(CODEC.decompress(data, n * width, asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).ravel()
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).reshape(shape)
 
 
 def steps(values: np.ndarray) -> np.ndarray:
@@ -191,14 +194,15 @@ class Chunk:
 
 # -- questions and answers ---------------------------------------------------
 
-ASK_DDL = "bucket long, n int, chunk long, m long, keys binary, first binary, second binary"
-ASK = pa.schema([("bucket", pa.int64()), ("n", pa.int32()), ("chunk", pa.int64()), ("m", pa.int64()), ("keys", pa.binary()), ("first", pa.binary()), ("second", pa.binary())])
+ASK_DDL = "bucket long, n int, chunk long, m long, keys binary, numbers binary"
+ASK = pa.schema([("bucket", pa.int64()), ("n", pa.int32()), ("chunk", pa.int64()), ("m", pa.int64()), ("keys", pa.binary()), ("numbers", pa.binary())])
 ANSWER_DDL = "step int, n int, chunk long, bucket long, m long, data binary"
 ANSWER = pa.schema([("step", pa.int32()), ("n", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int64()), ("m", pa.int64()), ("data", pa.binary())])
 
 
-def ask(chunk: int, n: int, key: np.ndarray, shift: int, first: np.ndarray, second: np.ndarray | None = None) -> pa.RecordBatch:
-    """Sorted ``key`` (its bucket lies above ``shift``) with its numbers, a row a bucket."""
+def ask(chunk: int, n: int, key: np.ndarray, shift: int, numbers: np.ndarray) -> pa.RecordBatch:
+    """Sorted ``key`` (its bucket lies above ``shift``) with its numbers (one
+    or a row of them a key), a row a bucket."""
     bucket = key >> np.uint64(shift)
     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
     ends = np.append(cut[1:], len(key)).astype(np.int64)[: len(cut)]
@@ -206,15 +210,14 @@ def ask(chunk: int, n: int, key: np.ndarray, shift: int, first: np.ndarray, seco
     parts = list(zip(cut.tolist(), ends.tolist(), strict=True))
     return record_batch(ASK, [
         bucket[cut].astype(np.int64), np.full(len(cut), n, np.int32), np.full(len(cut), chunk), ends - cut,
-        [packed(steps(key[a:b] - base[i])) for i, (a, b) in enumerate(parts)], [packed(first[a:b]) for a, b in parts],
-        [b"" if second is None else packed(second[a:b]) for a, b in parts],
+        [packed(steps(key[a:b] - base[i])) for i, (a, b) in enumerate(parts)], [packed(numbers[a:b]) for a, b in parts],
     ])
 
 
 def answered(asks: DataFrame, step: int, buckets: int, shift: Callable[[int], int], answer: Callable) -> DataFrame:
-    """Answer rows: ``answer(n, keys, rows, first, second)`` gets all keys of a
-    bucket's questions of one kind, by chunk, and the dtypes of their numbers
-    are those that ``answer`` names; it returns an array of bytes a chunk."""
+    """Answer rows: the numbers of each key are summed over a bucket's
+    questions; ``answer(n, sums)`` gives the value of every key, and each chunk
+    gets those of its keys in the order of its question."""
 
     def run(table: pa.Table) -> pa.Table:
         out = []
@@ -224,13 +227,12 @@ def answered(asks: DataFrame, step: int, buckets: int, shift: Callable[[int], in
             own = sorted((r for r in rows if r["n"] == n), key=lambda r: r["chunk"])
             keys = np.concatenate([np.cumsum(unpacked(r["keys"], r["m"], np.uint64)) for r in own]) + (np.uint64(bucket) << np.uint64(shift(n)))
             lens = np.array([r["m"] for r in own])
-            numbers = [np.concatenate([unpacked(r[c], r["m"], t) for r in own]) if t is not None else None for c, t in zip(("first", "second"), answer.dtypes, strict=True)]
+            numbers = np.concatenate([unpacked(r["numbers"], r["m"], answer.dtype, answer.width) for r in own]).astype(np.int64)
             order = np.argsort(keys)
             cut = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0))
             group = np.empty(len(keys), np.int64)
             group[order] = np.repeat(np.arange(len(cut)), np.diff(np.append(cut, len(keys))))
-            sums = [None if v is None else np.add.reduceat(v[order].astype(np.float64 if v.dtype == np.float64 else np.int64), cut) for v in numbers]
-            values, extra = answer(n, sums)
+            values, extra = answer(n, np.add.reduceat(numbers[order], cut))
             reply = values[group]
             if answer.marks_first:  # the first chunk that asks accounts for it
                 first = np.zeros(len(keys), np.int64)
@@ -250,29 +252,29 @@ def answered(asks: DataFrame, step: int, buckets: int, shift: Callable[[int], in
 class Count:
     """Counts of words; whether the short hash of an n-gram can occur ``LEAST`` times."""
 
-    dtypes, marks_first = (np.int32, None), False
+    dtype, width, marks_first = np.int32, 1, False
 
-    def __call__(self, n: int, sums: list) -> tuple[np.ndarray, int | None]:
-        return (sums[0], int((sums[0] > 0).sum())) if n == 1 else (sums[0] >= LEAST, None)
+    def __call__(self, n: int, sums: np.ndarray) -> tuple[np.ndarray, int | None]:
+        return (sums, int((sums > 0).sum())) if n == 1 else (sums >= LEAST, None)
 
 
 class Keep:
     """Counts of n-grams that occur ``LEAST`` times, 0 for others."""
 
-    dtypes, marks_first = (np.int32, None), True
+    dtype, width, marks_first = np.int32, 1, True
 
-    def __call__(self, n: int, sums: list) -> tuple[np.ndarray, None]:
-        return np.where(sums[0] >= LEAST, sums[0], 0), None
+    def __call__(self, n: int, sums: np.ndarray) -> tuple[np.ndarray, None]:
+        return np.where(sums >= LEAST, sums, 0), None
 
 
-class Alpha:
-    """log10 of the failure weights of histories."""
+class Totals:
+    """Of each history the kept n-grams, their counts, and those of what they
+    are without their first word."""
 
-    dtypes, marks_first = (np.float64, np.float64), False
+    dtype, width, marks_first = np.int64, 3, False
 
-    def __call__(self, n: int, sums: list) -> tuple[np.ndarray, None]:
-        own, lower = (np.maximum(1 - s, 1e-12) for s in sums)
-        return np.where(sums[0] > 0, np.log10(own / lower), 0.0), None
+    def __call__(self, n: int, sums: np.ndarray) -> tuple[np.ndarray, None]:
+        return sums, None
 
 
 @dataclass
@@ -281,12 +283,12 @@ class Answers:
 
     rows: list[dict]
 
-    def get(self, step: int, n: int, dtype) -> np.ndarray:
+    def get(self, step: int, n: int, dtype, numbers: int = 1) -> np.ndarray:
         rows = [r for r in self.rows if r["step"] == step and r["n"] == n]
         rows.sort(key=lambda r: r["bucket"])
         if dtype is bool:
             return np.concatenate([np.zeros(0, bool), *[np.unpackbits(np.frombuffer(r["data"], np.uint8))[: r["m"]].astype(bool) for r in rows]])
-        return np.concatenate([np.zeros(0, dtype), *[unpacked(r["data"], r["m"], dtype) for r in rows]])
+        return np.concatenate([unpacked(b"", 0, dtype, numbers), *[unpacked(r["data"], r["m"], dtype, numbers) for r in rows]])
 
 
 @dataclass
@@ -373,13 +375,15 @@ class Part:
     two: Distinct
     w1: np.ndarray
     w2: np.ndarray
-    p2: np.ndarray
+    c2: np.ndarray
     mine2: np.ndarray
     left: np.ndarray
     right: np.ndarray
     w3: np.ndarray
-    p3: np.ndarray
+    c3: np.ndarray
     mine3: np.ndarray
+    words: np.ndarray  # histories to ask for, in order of their keys: words
+    pairs: np.ndarray  # and bigrams
 
 
 def part_of(chunk: Chunk, told: Answers, plan: Plan) -> Part:
@@ -388,35 +392,58 @@ def part_of(chunk: Chunk, told: Answers, plan: Plan) -> Part:
     two, three = candidates(chunk, told, plan)
     got2, got3 = told.get(2, 2, np.int64), told.get(2, 3, np.int64)
     two, three, got2, got3 = two.pick(got2 > 0), three.pick(got3 > 0), got2[got2 > 0], got3[got3 > 0]
-    c2, c3 = got2 >> 1, got3 >> 1
+    mine2, mine3 = (got2 & 1).astype(bool), (got3 & 1).astype(bool)
     w1, w2 = chunk.tokens[two.at], chunk.tokens[two.at + 1]
     left, right = (two.place[three.at + i] for i in (0, 1))
+    # a history is asked for where a text fails from it, or to account for its n-grams
+    asked1, asked2 = np.zeros(len(c1), bool), np.zeros(len(w1), bool)
+    asked1[w1[mine2]] = True
+    asked2[left[mine3]] = True
+    same = np.append(chunk.text[:-1] == chunk.text[1:], False)
+    asked1[chunk.tokens[same & (two.place < 0)]] = True
+    further = np.append(same[1:], False) & same & (two.place >= 0) & (three.place < 0)
+    asked2[two.place[further]] = True
+    order = chunk.words.at
     return Part(
-        c1, two, w1, w2, (c2 - DISCOUNT) / c1[w1], (got2 & 1).astype(bool), left, right, chunk.tokens[three.at + 2],
-        (c3 - DISCOUNT) / c2[left] if len(c3) else np.zeros(0), (got3 & 1).astype(bool),
+        c1, two, w1, w2, got2 >> 1, mine2, left, right, chunk.tokens[three.at + 2], got3 >> 1, mine3,
+        order[asked1[order] & (c1[order] >= LEAST)], np.flatnonzero(asked2),
     )
 
 
-def histories(chunk: Chunk, part: Part) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the words (by key) and of the kept bigrams that can be histories."""
-    return chunk.words.at[part.c1[chunk.words.at] >= LEAST], np.flatnonzero(part.w2 != chunk.end)
-
-
 def third_questions(chunks: DataFrame, answers: DataFrame, plan: Plan, tasks: int) -> DataFrame:
+    def sums(history: np.ndarray, size: int, *numbers: np.ndarray) -> np.ndarray:
+        out = np.zeros((size, 1 + len(numbers)), np.int64)
+        for i, v in enumerate((np.ones(len(history), np.int64), *numbers)):
+            np.add.at(out[:, i], history, v)
+        return out
+
     def run(chunk: Chunk, told: Answers) -> Iterator[pa.RecordBatch]:
         part = part_of(chunk, told, plan)
-        words, pairs = histories(chunk, part)
-        p1 = 10 ** plan.log_p(part.c1)
-        own, lower = (np.bincount(part.w1[part.mine2], v[part.mine2], minlength=len(p1)) for v in (part.p2, p1[part.w2]))
-        key = mix(chunk.number)
-        yield ask(chunk.id, 1, key[words], plan.shift(1), own[words], lower[words])
-        n = len(part.two.key)
-        own, lower = (np.bincount(part.left[part.mine3], v[part.mine3], minlength=n) for v in (part.p3, part.p2[part.right]))
-        yield ask(chunk.id, 2, part.two.key[pairs], plan.shift(2), own[pairs], lower[pairs])
+        mine = part.mine2
+        one = sums(part.w1[mine], len(part.c1), part.c2[mine], part.c1[part.w2[mine]])
+        yield ask(chunk.id, 1, mix(chunk.number)[part.words], plan.shift(1), one[part.words])
+        mine = part.mine3
+        two = sums(part.left[mine], len(part.w1), part.c3[mine], part.c2[part.right[mine]])
+        yield ask(chunk.id, 2, part.two.key[part.pairs], plan.shift(2), two[part.pairs])
 
     return per_chunk(chunks, answers, tasks, run, ASK_DDL, ASK)
 
 
+def failures(part: Part, told: Answers, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """log10 alpha of words (by place) and of kept bigrams; 0 where not asked for."""
+
+    def alpha(own: np.ndarray, lower: np.ndarray, n: np.ndarray) -> np.ndarray:
+        left = [np.maximum(1 - v, 1e-12) for v in (own, lower)]
+        return np.where(n > 0, np.log10(left[0] / left[1]), 0.0)
+
+    one, two = np.zeros(len(part.c1)), np.zeros(len(part.w1))
+    n, c, lower = told.get(3, 1, np.int64, 3).T
+    one[part.words] = alpha((c - DISCOUNT * n) / part.c1[part.words], (lower + SMOOTH * n) / (plan.total + SMOOTH * (plan.distinct + 1)), n)
+    n, c, lower = told.get(3, 2, np.int64, 3).T
+    two[part.pairs] = alpha((c - DISCOUNT * n) / part.c2[part.pairs], (lower - DISCOUNT * n) / part.c1[part.w2[part.pairs]], n)
+    return one, two
+
+
 # -- the automaton --------------------------------------------------------------
 
 
@@ -433,7 +460,9 @@ class Automaton:
         keys = np.concatenate([(1 + part.w1) * self.words + part.w2, (first + part.left) * self.words + part.w3])
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.weight = np.log10(np.concatenate([part.p2, part.p3]))[order]
+        p2 = (part.c2 - DISCOUNT) / part.c1[part.w1]
+        p3 = (part.c3 - DISCOUNT) / part.c2[part.left]
+        self.weight = np.log10(np.concatenate([p2, p3]))[order]
         self.next = np.concatenate([first + np.arange(len(part.w1)), first + part.right])[order]
         self.back = np.concatenate([[0.0], alpha1, alpha2])
         self.lower = np.concatenate([np.zeros(first, np.int64), 1 + part.w2])
@@ -490,11 +519,8 @@ SUMS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens",
 def traversed(chunks: DataFrame, answers: DataFrame, plan: Plan, tasks: int) -> DataFrame:
     def run(chunk: Chunk, told: Answers) -> Iterator[pa.RecordBatch]:
         part = part_of(chunk, told, plan)
-        words, pairs = histories(chunk, part)
-        alpha1, alpha2 = np.zeros(len(part.c1)), np.zeros(len(part.w1))
-        alpha1[words], alpha2[pairs] = told.get(3, 1, np.float64), told.get(3, 2, np.float64)
         log_p1 = plan.log_p(part.c1)
-        scores = Automaton(part, log_p1, alpha1, alpha2).traverse(chunk.tokens, chunk.starts, chunk.lens)
+        scores = Automaton(part, log_p1, *failures(part, told, plan)).traverse(chunk.tokens, chunk.starts, chunk.lens)
         read = np.ones(len(chunk.tokens), bool)
         read[chunk.starts] = False
         at, w = chunk.text[read], chunk.tokens[read]
@@ -537,7 +563,7 @@ def score(docs: DataFrame) -> DataFrame:
     told = told.filter("chunk >= 0")
     told = told.unionByName(scratch.store(answered(second_questions(chunks, told, plan, tasks), 2, 1 << bits, plan.shift, Keep()), "second"))
     give_back(scratch)
-    told = told.unionByName(scratch.store(answered(third_questions(chunks, told, plan, tasks), 3, 1 << bits, plan.shift, Alpha()), "third"))
+    told = told.unionByName(scratch.store(answered(third_questions(chunks, told, plan, tasks), 3, 1 << bits, plan.shift, Totals()), "third"))
     give_back(scratch)
     rows = traversed(chunks, told, plan, tasks).withColumn("train_tokens", F.lit(plan.total).cast("long"))
     return scratch.finish(rows.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))

@@ -81,8 +81,8 @@ def test_packed_numbers_come_back(n):
 def test_a_walk_in_pieces_equals_a_walk_at_once(monkeypatch):
     """A small automaton with bigram states, on one long text."""
     part = backoff_lm.Part(
-        c1=np.array([5, 4, 3, 1]), two=None, w1=np.array([0, 1, 2]), w2=np.array([1, 0, 0]), p2=np.array([0.5, 0.4, 0.3]), mine2=None,
-        left=np.array([0, 1]), right=np.array([1, 0]), w3=np.array([0, 1]), p3=np.array([0.7, 0.6]), mine3=None,
+        c1=np.array([9, 8, 7, 1]), two=None, w1=np.array([0, 1, 2]), w2=np.array([1, 0, 0]), c2=np.array([5, 4, 3]), mine2=None,
+        left=np.array([0, 1]), right=np.array([1, 0]), w3=np.array([0, 1]), c3=np.array([3, 2]), mine3=None, words=None, pairs=None,
     )
     machine = backoff_lm.Automaton(part, np.log10([0.4, 0.3, 0.2, 0.1]), np.array([-0.1, -0.2, -0.3, 0.0]), np.array([-0.4, -0.5, 0.0]))
     rng = np.random.default_rng(1)
