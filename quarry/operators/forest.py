@@ -204,7 +204,7 @@ def matrix(batch: pa.RecordBatch, n_features: int) -> np.ndarray:
 def grow(data: Prepared, specs: Sequence[Spec]) -> list[Grown]:
     """Grow one tree a spec, all together; at most ``max_depth + 1`` passes."""
     trees = [Grown(s) for s in specs]
-    open_nodes = [(t, 0) for t in range(len(trees))]
+    open_nodes = [(t, 0) for t in range(len(trees))]  # tree by tree, at every level
     depth = 0
     while open_nodes:
         best = {(r.tree, r.node): r for r in level_splits(data, trees, open_nodes, depth).itertuples(index=False)}
@@ -265,6 +265,11 @@ def partial_sums(n_features: int, bins: int, walkers: Sequence[tuple[int | None,
     node_of = np.array([n for _, n in open_nodes], np.int32)
     width = max(n_features, 1)
     size = len(open_nodes) * width * bins
+    # open nodes come tree by tree, so a tree's cells are one stretch
+    spans = {}
+    for t in busy:
+        own = np.flatnonzero(tree_of == t)
+        spans[t] = (int(own[0]) * width * bins, (int(own[-1]) - int(own[0]) + 1) * width * bins)
 
     def out(keys: np.ndarray, n: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
         slot, rest = np.divmod(keys, width * bins)
@@ -289,19 +294,21 @@ def partial_sums(n_features: int, bins: int, walkers: Sequence[tuple[int | None,
                 key = slot[rows] * (width * bins)
                 keys = np.concatenate([key + f * bins + x[f, rows] for f in range(n_features)]) if n_features else key
                 high, low = y[rows] >> 26, y[rows] & ((1 << 26) - 1)  # exact in doubles
-                if dense:
-                    cells, at = None, keys
-                else:
-                    cells, at = np.unique(keys, return_inverse=True)
-                count = size if dense else len(cells)
+                # the cells of a tree lie together: add up all of them, or those met
+                first, count = spans[t]
+                few = count > 4 * len(keys)
+                cells, at = np.unique(keys, return_inverse=True) if few else (None, keys - first)
+                count = len(cells) if few else count
                 sums = [np.bincount(at, np.tile(v, width), minlength=count).astype(np.int64) for v in (high, low)]
                 numbers = np.bincount(at, minlength=count)
                 total = (sums[0] << 26) + sums[1]
                 if dense:
-                    n += numbers
-                    s += total
+                    where = cells if few else slice(first, first + count)
+                    n[where] += numbers
+                    s[where] += total
                 else:
-                    yield out(cells, numbers, total)
+                    some = np.flatnonzero(numbers)
+                    yield out(cells if few else first + some, numbers[some], total[some])
         if dense:
             keys = np.flatnonzero(n)
             if len(keys):
