@@ -11,8 +11,9 @@ A text is cut before each run of spaces when that is provably exact (no
 normaliser map, no user-defined pieces, and no piece of the vocabulary holds
 the space marker behind another character), so each distinct unit is encoded
 and verified once a worker; other models encode whole texts, each verified.
-Where the two libraries differ (BPE files can give one piece two merge orders)
-the reference library's ids are used and the row's ``parity`` is false.
+The ids returned are the rebuilt tokenizer's.  Only where the two libraries
+differ (BPE files can give one piece two merge orders) are the reference
+library's used, and the row's ``parity`` is false.
 
 Scale: map-only, no shuffle; a task holds one batch cut by bytes and a bounded
 cache of units.
@@ -190,7 +191,6 @@ class Codec:
             and not any(re.search(f"[^{MARK}]{MARK}", p) for p in normal)
             and not any("\n" in p for p in normal)
         )
-        self.line_ids = self._plain("\n")
         self.ends = {c: self._plain(c) for c in ".,"}
         self.joined = {p[i : i + 2] for p in normal for i in range(len(p) - 1) if p[i + 1] in self.ends}
         self.cache_units = cache_units
@@ -209,12 +209,12 @@ class Codec:
         stems = [u for u in stems if u not in self.stems]
         if len(self.stems) + len(stems) > self.cache_units:
             self.stems = {u: self.stems[u] for u in map(self._stem, units) if u in self.stems}
-        for stem, want in zip(stems, self.reference.encode(stems, num_threads=1), strict=True):
-            got = self._plain(MARK) + self.line_ids + self._plain(stem[1:]) if stem[:1] == "\n" else self._plain(MARK + stem)
-            want = array("I", want).tobytes() if stem else got  # the reference drops an empty text
-            if got != want:
+        for stem, own, want in zip(stems, self._batch(stems), self.reference.encode(stems, num_threads=1), strict=True):
+            want = array("I", want).tobytes() if stem else own  # the reference drops an empty text
+            if own != want:
                 self.unequal.add(stem)
-            self.stems[stem] = want[4:] if stem[:1] == "\n" else want
+                own = want
+            self.stems[stem] = own[4:] if stem[:1] == "\n" else own
         for u in units:
             stem = self._stem(u)
             self.units[u] = self.stems[stem] if stem == u else self.stems[stem] + self.ends[u[-1]]
@@ -225,10 +225,15 @@ class Codec:
             return unit[:-1]
         return unit
 
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        """Ids by the rebuilt tokenizer: normalised and encoded as one batch, in threads."""
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _whole(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
-        got = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        got = self._batch(texts)
         want = [array("I", ids).tobytes() for ids in self.reference.encode(texts, num_threads=1)] if texts else []
-        return want, [g == w for g, w in zip(got, want, strict=True)]
+        equal = [g == w for g, w in zip(got, want, strict=True)]
+        return [g if same else w for g, w, same in zip(got, want, equal, strict=True)], equal
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids joined, the number of ids of each text, and whether both libraries agree on it."""
