@@ -9,6 +9,14 @@ near_dedup      one row of each class of near duplicates stays
 decontaminate   texts in which a benchmark item stands go
 secrets         secrets in the texts are replaced by a mark
 encode          texts become SentencePiece ids, verified against the reference
+
+Defined results: a null or empty text is scored like any other, is nobody's
+copy, holds no item and no secret, and encodes to no ids.  Rows of equal id are judged apart; of rows that share id and words one
+stays, and unlike texts under one id, or without id, all stay.  Of equal or
+near texts the row of the least id stays, a null id counting as the greatest.
+Very long texts are worked on whole.  Columns other than ``doc_id``, ``text``
+and ``n_chars`` pass through unread, whatever their names; an empty table
+passes as an empty table.
 """
 
 from __future__ import annotations
