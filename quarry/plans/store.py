@@ -2,9 +2,9 @@
 
 ``Workspace.store`` cuts lineage by writing a Parquet table and reading it
 back; unlike a checkpoint's files these are known by name and go when the run
-ends, also in a session that never cleans checkpoints.  ``finish`` keeps the
-result alone: a small one as rows of the driver, any other as a table whose
-files go when the session's reader is done with it (``keep``).
+ends, also in a session that never cleans checkpoints.  ``small`` keeps a
+result of bounded size as rows of the driver; a caller checkpoints any other
+before the workspace goes.
 """
 
 from __future__ import annotations
