@@ -14,21 +14,26 @@ form a class.
   one document in ``RARE`` are broadcast (at most ``RARE`` times the mean
   number of distinct words a document), all others have the largest weight.
 * Buckets of up to ``SMALL`` contents give all their pairs.  In larger buckets
-  every content meets the bucket's head and its neighbours in groups of
-  ``GROUP`` contents drawn by hash; contents unlike the head meet again in
-  buckets of two bands.  A content thus has a bounded number of candidates in
-  any bucket, and a class of many near copies is joined through many random
-  pairs instead of all pairs.
+  every content first meets the bucket's head and its neighbours in groups of
+  ``GROUP`` contents drawn by hash, which joins most of a class of near copies
+  by few pairs.
 * Candidates whose samples agree too rarely for a similarity of 0.8 (more than
   four standard errors below) are left out.  Of the rest, first the best pair
   of each content is verified; then all pairs that still join two classes are,
   so pairs inside one class need no verification.
+* The rest of the larger buckets: all pairs of contents of one bucket that are
+  not in one class by then are compared, in tiles of about ``TILE`` contents;
+  large classes have tiles of their own, whose inner pairs are left out.  Pairs
+  whose samples agree often enough are verified, a pair of tiles at a time.  So
+  every two contents that share a bucket are compared or are of one class.
 * Only the texts of contents with candidates are read again for that.
 
 Scale: two map passes over the documents, shuffles of fixed-size rows a
 content, and of the texts of candidate pairs.  Bucket statistics are combined
 before their shuffles; joins on hot buckets or contents can be split at run
-time.  Nothing but row counts reaches the driver.
+time.  A task of the rest holds a pair of tiles; their number grows with the
+square of a bucket's contents outside its largest class.  Nothing but row
+counts reaches the driver.
 
 Defined results: texts of fewer than five words have one shingle of all their
 words; texts without words (also null ones) are each a class of their own;
@@ -43,6 +48,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -57,9 +63,9 @@ SAMPLES, BANDS = 64, 16
 ROWS = SAMPLES // BANDS
 #: Agreement of samples below which a pair is not verified: 0.8 less 4.4 standard errors.
 LEAST_AGREEMENT = 37
-#: Agreement with a large bucket's head below which a content meets others again.
-FAR = 32
 SMALL, GROUP = 16, 8
+#: Contents, and bytes of their texts, of a tile of a larger bucket.
+TILE, TILE_BYTES = 512, 2 << 20
 RARE = 1000
 #: Ids up to this number (8 bytes and a digest each) are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -211,36 +217,36 @@ def _added_up(schema: pa.Schema, words: list[np.ndarray], dfs: list[np.ndarray])
 
 
 def signatures(docs: DataFrame, idf: Broadcast) -> DataFrame:
-    """doc_id, node (digest of the words; null without words) and sig of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("sig", pa.list_(pa.int32()))])
+    """doc_id, node (digest of the words; null without words), sig and size (bytes of text) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("sig", pa.list_(pa.int32())), ("size", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, max_bytes=SIGNED_BYTES):
             sets = weighted_sets(batch.column(1), idf.value)
             sig = samples(sets).view(np.int32).ravel()
-            yield record_batch(schema, [batch.column(0), sets.content, pa.ListArray.from_arrays(np.arange(0, len(sig) + 1, SAMPLES, dtype=np.int32), sig)])
+            sigs = pa.ListArray.from_arrays(np.arange(0, len(sig) + 1, SAMPLES, dtype=np.int32), sig)
+            yield record_batch(schema, [batch.column(0), sets.content, sigs, pc.binary_length(batch.column(1))])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, node binary, sig array<int>")
+    return rows.mapInArrow(run, "doc_id long, node binary, sig array<int>, size int")
 
 
-def band_key(sig: Column, *bands: int) -> Column:
-    parts = [F.slice(sig, b * ROWS + 1, ROWS) for b in bands]
-    return F.xxhash64(F.lit(bands[0] * BANDS + bands[-1]), *parts)
+def buckets(sigs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(band, key, node, n, head) of the contents that share a bucket with others."""
+    keys = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", b * ROWS + 1, ROWS)) for b in range(BANDS)])
+    members = sigs.select(F.posexplode(keys).alias("band", "key"), "node")
+    stats = members.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("head")).filter("n > 1")
+    return scratch.store(members.join(stats, "key"), "buckets")
 
 
-def bucket_pairs(members: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b) of members (key, node) of a bucket as the module text
-    says, and (key, node, head) of the members of large buckets."""
-    stats = members.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("head")).filter("n > 1")
-    met = scratch.store(members.join(stats, "key"), name)
-    large = met.filter(F.col("n") > SMALL)
-    star = large.select(F.col("head").alias("a"), F.col("node").alias("b"))
+def bucket_pairs(met: DataFrame) -> DataFrame:
+    """Pairs (a < b) met first: all of small buckets, and of larger ones those
+    with the head and inside groups drawn by hash (the rest: ``cells``)."""
+    star = met.filter(F.col("n") > SMALL).select(F.col("head").alias("a"), F.col("node").alias("b"))
     part = F.when(F.col("n") > SMALL, F.pmod(F.xxhash64("key", "node"), F.ceil(F.col("n") / GROUP))).otherwise(F.lit(0))
     groups = met.select("key", part.alias("part"), "node")
     within = groups.withColumnRenamed("node", "a").join(groups.withColumnRenamed("node", "b"), ["key", "part"])
-    pairs = star.unionByName(within.select("a", "b")).filter("a < b").distinct()
-    return pairs, large.select("key", "node", "head")
+    return star.unionByName(within.select("a", "b")).filter("a < b").distinct()
 
 
 def agreement(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -251,20 +257,114 @@ def agreement(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").withColumn("same", same).drop("sig_a", "sig_b")
 
 
-def candidate_pairs(sigs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b, same) of all pairs of contents worth verifying."""
-    keys = F.array(*[band_key(F.col("sig"), b) for b in range(BANDS)])
-    members = sigs.select(F.explode(keys).alias("key"), "node")
-    pairs, large = bucket_pairs(members, scratch, "buckets")
-    first = scratch.store(agreement(pairs, sigs), "scored")
-    # contents unlike the head of a large bucket meet again; each pair is compared once
-    heads = large.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    far = first.join(heads, ["a", "b"], "left_semi").filter(F.col("same") < FAR).select(F.col("b").alias("node")).distinct()
-    twice = F.array(*[band_key(F.col("sig"), b, (b + d) % BANDS) for d in (1, 2, 5) for b in range(BANDS)])
-    again = sigs.join(far, "node").select(F.explode(twice).alias("key"), "node")
-    more, _ = bucket_pairs(again, scratch, "buckets-2")
-    second = agreement(more.join(first.select("a", "b"), ["a", "b"], "left_anti"), sigs)
-    return scratch.store(first.unionByName(second).filter(F.col("same") >= LEAST_AGREEMENT), "candidates")
+def candidate_pairs(met: DataFrame, sigs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b, same) of the pairs met first that are worth verifying."""
+    return scratch.store(agreement(bucket_pairs(met), sigs).filter(F.col("same") >= LEAST_AGREEMENT), "candidates")
+
+
+# -- the rest of the larger buckets ------------------------------------------
+
+CELL = ["key", "t1", "t2"]
+
+
+def cells(met: DataFrame, sigs: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """(key, t1, t2, nodes, roots, pairs): every pair of contents of a larger
+    bucket that is worth verifying and not in one class by ``roots``, once, as
+    packed positions in the nodes of a pair of tiles; None where all larger
+    buckets are of one class."""
+    large = met.filter(F.col("n") > SMALL).select("band", "key", "node").join(roots, "node", "left")
+    large = large.withColumn("root", F.coalesce("root", "node"))
+    mixed = large.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+    members = scratch.store(large.join(mixed, "key").join(sigs, "node").select("band", "key", "node", "root", "size", "sig"), "mixed")
+    if members.isEmpty():
+        return None
+
+    def tiles(count: Column, size: Column) -> Column:
+        return F.ceil(F.greatest(count / TILE, size / TILE_BYTES))
+
+    # a class that fills half a tile has tiles of its own, the others share some
+    of_root = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    of_root = of_root.withColumn("own", (F.col("n") * 2 >= TILE) | (F.col("bytes") * 2 >= TILE_BYTES))
+    shared = of_root.filter("not own").groupBy("key").agg(tiles(F.sum("n"), F.sum("bytes")).alias("shared"))
+    own_tile = F.xxhash64("root", F.pmod(F.xxhash64("node"), tiles(F.col("n"), F.col("bytes"))))
+    tile = F.when(F.col("own"), own_tile).otherwise(F.pmod(F.xxhash64("root"), F.col("shared")))
+    placed = members.join(of_root, ["key", "root"]).join(shared, "key", "left")
+    placed = scratch.store(placed.select("key", tile.alias("tile"), "band", "node", "root", "own", "sig"), "placed")
+
+    known = placed.groupBy("key", "tile").agg(F.min(F.when(F.col("own"), F.col("root"))).alias("whole"))
+    one, two = (known.select("key", F.col("tile").alias(f"t{i}"), F.col("whole").alias(f"whole{i}")) for i in (1, 2))
+    pairs = one.join(two, "key").filter("t1 <= t2 and coalesce(whole1 <> whole2, true)").select(*CELL)
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("t1").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("t2").alias("tile")))
+    met_in = pairs.select(*CELL, F.inline(sides)).filter("side = 0 or t1 <> t2").join(placed, ["key", "tile"])
+    schema = pa.schema([*[(c, pa.int64()) for c in CELL], ("nodes", pa.list_(pa.binary())), ("roots", pa.list_(pa.binary())), ("pairs", pa.binary())])
+
+    def compare(cell: pa.Table) -> pa.Table:
+        sides = [cell.filter(pc.equal(cell["side"], i)) for i in (0, 1)]
+        left, right = sides[0], sides[1] if sides[1].num_rows else sides[0]
+        same_tile, band = left is right, cell["band"][0].as_py()
+        left, right = left.combine_chunks(), right.combine_chunks()
+        x, y = (pc.list_flatten(t["sig"]).to_numpy().reshape(-1, SAMPLES) for t in (left, right))
+        out = []
+        for start in range(0, len(x), 64):
+            agree = np.zeros((min(64, len(x) - start), len(y)), np.uint8)
+            for k in range(SAMPLES):
+                agree += x[start : start + 64, k, None] == y[None, :, k]
+            i, j = np.nonzero(agree >= LEAST_AGREEMENT)
+            i += start
+            if same_tile:
+                i, j = i[i < j], j[i < j]
+            # a pair of several common buckets is taken in the first of them
+            bands = (x[i] == y[j]).reshape(-1, BANDS, ROWS).all(2)
+            first = bands.argmax(1) == band
+            out.append((i[first], j[first]))
+        i, j = (np.concatenate([p[k] for p in out]) for k in (0, 1))
+        nodes, roots = ([v for t in (left, right) for v in t[c].to_pylist()] for c in ("node", "root"))
+        number = {r: n for n, r in enumerate(set(roots))}
+        group = np.array([number[r] for r in roots])
+        pairs = np.column_stack([i, j + len(x)])
+        pairs = pairs[group[pairs[:, 0]] != group[pairs[:, 1]]]
+        if not len(pairs):
+            return schema.empty_table()
+        used, at = np.unique(pairs, return_inverse=True)
+        row = [*[cell[c][0].as_py() for c in CELL], [nodes[n] for n in used], [roots[n] for n in used], at.astype(np.int32).tobytes()]
+        return pa.Table.from_batches([record_batch(schema, [[v] for v in row])])
+
+    found = met_in.groupBy(*CELL).applyInArrow(compare, "key long, t1 long, t2 long, nodes array<binary>, roots array<binary>, pairs binary")
+    return scratch.store(found, "rest")
+
+
+def cell_links(rest: DataFrame, texts: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
+    """(a, b): of the pairs of ``cells`` verified ones that connect all contents
+    that the verified ones connect."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(cell: pa.Table, body: pa.Table) -> pa.Table:
+        sets, top = {}, {}
+        for whole in body.select(["node", "text"]).to_batches():
+            for batch in slices(iter([whole]), max_bytes=SIGNED_BYTES):
+                s = weighted_sets(batch.column(1), idf.value)
+                for node, at, n in zip(batch.column(0).to_pylist(), s.starts.tolist(), s.lens.tolist(), strict=True):
+                    sets[node] = s.shingles[at : at + n], s.weights[at : at + n]
+
+        def root(x: bytes) -> bytes:
+            while x in top:
+                x = top[x]
+            return x
+
+        found = []
+        for r in cell.to_pylist():
+            nodes, roots = r["nodes"], r["roots"]
+            for i, j in np.frombuffer(r["pairs"], np.int32).reshape(-1, 2).tolist():
+                x, y = root(roots[i]), root(roots[j])
+                if x != y and weighted_jaccard(sets[nodes[i]], sets[nodes[j]]) >= similarity:
+                    top[max(x, y)] = min(x, y)
+                    found.append((nodes[i], nodes[j]))
+        return pa.Table.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], schema=schema)
+
+    of = [f"of_{c}" for c in CELL]
+    nodes = rest.select(*[F.col(c).alias(o) for c, o in zip(CELL, of, strict=True)], F.explode("nodes").alias("node")).distinct()
+    bodies = nodes.join(texts, "node").select(*of, "node", "text")
+    return rest.groupBy(*CELL).cogroup(bodies.groupBy(*of)).applyInArrow(run, "a binary, b binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
@@ -301,15 +401,12 @@ def classes(docs: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -
     rows = scratch.store(signatures(docs, idf), "signatures")
     full = rows.filter("node is not null")
     # one signature a content: those of its rows are all the same
-    sigs = scratch.store(full.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("sig").alias("sig")), "contents")
-    pairs = candidate_pairs(sigs.select("node", "sig"), scratch)
-
-    # texts of the contents with candidates, read again by the id of one of their rows
-    involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = scratch.store(sigs.join(involved, "node").select("node", F.col("least_id").alias("doc_id")), "involved")
-    wanted = small_enough(ids.select(F.col("doc_id").alias("wanted")).distinct())
-    picked = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    texts = scratch.store(with_node(picked, "node").join(involved, "node", "left_semi").dropDuplicates(["node"]).select("node", "text"), "texts")
+    contents = full.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("sig").alias("sig"), F.max("size").alias("size"))
+    sigs = scratch.store(contents, "contents")
+    met = buckets(sigs.select("node", "sig"), scratch)
+    pairs = candidate_pairs(met, sigs.select("node", "sig"), scratch)
+    involved = F.explode(F.array("a", "b")).alias("node")
+    texts = texts_of(docs, sigs, pairs.select(involved), scratch, "texts")
 
     best = pairs.groupBy("b").agg(F.max(F.struct("same", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
     first = scratch.store(verified(best, texts, idf, similarity), "links-1")
@@ -319,7 +416,12 @@ def classes(docs: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -
     rest = rest.join(root_a, "a", "left").join(root_b, "b", "left")
     rest = rest.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
     second = scratch.store(verified(rest, texts, idf, similarity), "links-2")
-    roots = scratch.store(components(first.unionByName(second), scratch, "components-2"), "classes-2")
+    links = first.unionByName(second)
+    roots = scratch.store(components(links, scratch, "components-2"), "classes-2")
+    left = cells(met, sigs.select("node", "sig", "size"), roots, scratch)
+    if left is not None and not left.isEmpty():
+        third = scratch.store(cell_links(left, texts_of(docs, sigs, left.select(F.explode("nodes").alias("node")), scratch, "texts-2"), idf, similarity), "links-3")
+        roots = scratch.store(components(links.unionByName(third), scratch, "components-3"), "classes-3")
 
     of_root = sigs.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # the least id of each class, and of the contents with it the one that heads the class
@@ -329,6 +431,15 @@ def classes(docs: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -
     return rows.select("doc_id", "node").join(class_of, "node", "left").select("doc_id", "node", class_id, "head")
 
 
+def texts_of(docs: DataFrame, sigs: DataFrame, nodes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(node, text) of the named contents, read again by the id of one of their rows."""
+    ids = scratch.store(sigs.join(nodes.distinct(), "node").select("node", F.col("least_id").alias("doc_id")), f"{name}-ids")
+    wanted = small_enough(ids.select(F.col("doc_id").alias("wanted")).distinct())
+    picked = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    body = with_node(picked, "node").join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return scratch.store(body.select("node", "text"), name)
+
+
 def with_node(docs: DataFrame, column: str) -> DataFrame:
     """``docs`` with the digest of each text's words in a new column."""
     at = docs.columns.index("text")

@@ -317,6 +317,42 @@ def test_near_duplicate_classes(spark):
     assert all(got[d] == d for d in alone)
 
 
+def test_every_pair_of_a_large_bucket_meets(spark, monkeypatch):
+    """400 texts filled from one template, about 0.7 alike, but in pairs just
+    over 0.8: hashed groups of their large buckets miss some of the pairs."""
+    rng = np.random.default_rng(9)
+    word = lambda: f"w{rng.integers(0, 100_000)}"
+    template = [word() for _ in range(330)]
+    texts = []
+    for _ in range(200):
+        both = template + [word() for _ in range(12)]
+        texts += [both + [word() for _ in range(11)] for _ in range(2)]
+    texts += [[word() for _ in range(5)] for _ in range(3000)]
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(near_dup, "TILE", 64)
+    monkeypatch.setattr(near_dup, "SMALL", 4)
+    monkeypatch.setattr(near_dup, "GROUP", 2)
+    docs = df.select("doc_id", "text")
+    sets = near_dup.weighted_sets(pa.array([" ".join(t) for t in texts]), near_dup.document_frequencies(docs).value)
+    sig, all_sets = near_dup.samples(sets), [(sets.shingles[a : a + n], sets.weights[a : a + n]) for a, n in zip(sets.starts, sets.lens)]
+    bands = sig.reshape(len(texts), near_dup.BANDS, near_dup.ROWS)
+    root = list(range(len(texts)))
+    n_linked = n_met = 0
+    for i in range(400):  # the others have no word in common
+        for j in range(i):
+            if not (bands[i] == bands[j]).all(1).any() or (sig[i] == sig[j]).sum() < near_dup.LEAST_AGREEMENT:
+                continue
+            n_met += 1
+            if near_dup.weighted_jaccard(all_sets[i], all_sets[j]) >= near_dup.SIMILARITY:
+                n_linked += 1
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    assert 100 <= n_linked < n_met / 10
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()}
+    assert got == dict(enumerate(root))
+
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 201), (201, 200), (7, 7)]
     scratch = Scratch(spark)
