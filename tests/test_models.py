@@ -307,3 +307,14 @@ def test_a_workspace_leaves_nothing_behind(spark):
         with pytest.raises(ValueError):
             w.small(spark.range(3), bound=2)
     assert not os.path.exists(root)
+
+
+def test_full_steps_of_sgd_default_stay_in_generated_code(spark, monkeypatch):
+    from quarry.catalog import models
+
+    def no_arrow(*_):
+        raise AssertionError("a step over all rows went through Python")
+
+    monkeypatch.setattr(logistic, "batch_sums_arrow", no_arrow)
+    monkeypatch.setattr(models, "SGD_DEFAULT", (2, 1.0))
+    assert models.sgd_default(spark, "/root/testdata/sf0.001").first()["iterations_run"] == 2
