@@ -12,10 +12,10 @@ from quarry.llm.common import hash_words, lexical_words_of
 SF001 = "/root/testdata/sf0.001"
 
 
-def test_eleven_queries_are_registered():
+def test_thirteen_operators_and_pipeline_are_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 def kept_of_each_class(texts):
