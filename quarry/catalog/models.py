@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarry.catalog.classification import GRID_LR, GRID_REG
 from quarry.catalog.common import FRAUD_GD, TREE, query, rounded
-from quarry.functions.columns import haversine_km, threshold, time_parts
+from quarry.functions.columns import add_apart, haversine_km, threshold, time_parts
 from quarry.functions.scale import fit_minmax, fit_std, fit_string_index, minmax_aggs
 from quarry.operators import clean, curves, dense, evaluate, forest, lbfgs, library, logistic, preparation, seeded_tree
 from quarry.operators import tree as tree_ops
@@ -242,9 +242,8 @@ def card_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Workspace(spark, "card") as work:
         blocks, test = _card_blocks(spark, sf_dir, work)
         runs = logistic.gradient_descent(blocks.frame, fx.CARD_FEATURES, configs, FRAUD_GD["max_iter"], FRAUD_GD["tol"], sums=dense.loss_sums(blocks))
-        scored = test.select(
-            F.array(*[logistic.probability(r.weights, fx.CARD_FEATURES) for r in runs]).alias("scores"), "label", "key"
-        )
+        scores = {f"_p{k}": logistic.probability(r.weights, fx.CARD_FEATURES) for k, r in enumerate(runs)}
+        scored = add_apart(test, scores, 2).select(F.array(*scores).alias("scores"), "label", "key")
         best = curves.rank_models(work.store(scored, "scored"), len(runs)).orderBy(F.desc_nulls_last("auc"), "config_index").limit(1)
         names = [F.element_at(F.array(*[F.lit(float(c[i])) for c in configs]), F.col("config_index") + 1) for i in (0, 1)]
         return work.small(rounded(best.select(

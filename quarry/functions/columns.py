@@ -7,9 +7,9 @@ codegen.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Earth radius in km and the sigmoid overflow guard.
@@ -76,3 +76,15 @@ def threshold(p: Column, t: float | Column) -> Column:
 def safe_div(num: Column, den: Column) -> Column:
     """``num/den`` or 0.0 when the denominator is 0 (the reference's rule)."""
     return F.when(den == 0, F.lit(0.0)).otherwise(num.cast("double") / den)
+
+
+def add_apart(df: DataFrame, columns: Mapping[str, Column], at_once: int) -> DataFrame:
+    """``withColumns``, but ``at_once`` columns at a time with a ``coalesce`` to
+    the same partitions between.  Long projections in one piece of generated
+    code make a method above the 8,000 bytes that the JVM compiles, which then
+    runs interpreted, some ten times slower."""
+    partitions = df.rdd.getNumPartitions()
+    names = list(columns)
+    for first in range(0, len(names), at_once):
+        df = df.coalesce(partitions).withColumns({c: columns[c] for c in names[first : first + at_once]})
+    return df.coalesce(partitions)

@@ -1,11 +1,16 @@
-"""Blocks of a dense matrix: wide numeric rows stored once.
+"""Blocks of a dense matrix: wide numeric rows stored once.
 
-A row of the table is a block of up to ``BLOCK`` rows: the features row by row,
-targets and weights as packed doubles.  A pass reads whole matrices, so
+A row of the table is a block of up to ``BLOCK`` rows: features, target and
+weight row by row as packed doubles, and for mini-batches a bit a row and step.
+A pass reads whole matrices, so
 
 * gradients of many weight vectors are two matrix products a block, and
 * means and co-moments are one product of the centred block.
 
+Passes that repeat read the blocks as an RDD of matrices that the executors
+keep: its bytes go to Python as they are, a tenth of what reading, decoding and
+converting the table costs every time.
+
 Centred moments of blocks merge pairwise (count, mean, co-moments and their
 correction for the two means), never as raw squares, so they do not cancel over
 billions of rows.  A task merges its blocks; the tasks' rows merge in rounds of
@@ -23,90 +28,140 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.digest import Md5Messages
 from quarry.operators.logistic import LOSS_EPSILON
 from quarry.plans.store import Workspace
+from quarry.sources.tables import spread
 
 BLOCK = 4096
 FAN_IN = 32
 
 
+@dataclass
+class Batches:
+    """Mini-batches of ``steps`` steps by a hash of (seed, step, key), the rows
+    of ``split.batch_member``."""
+
+    key: Column
+    fraction: float
+    seed: int
+    steps: int
+
+
 @dataclass
 class Blocks:
-    """Stored blocks ``(n, x, y, w)`` of the named features."""
+    """Stored blocks ``(n, m, members)`` of the named features in ``work``."""
 
     frame: DataFrame
     features: list[str]
     rows: int
     skipped: int
+    work: Workspace
+    batches: Batches | None
 
 
 def pack(
-    df: DataFrame, features: Sequence[str], work: Workspace, label: str = "label", weight: Column | None = None, name: str = "blocks"
+    df: DataFrame, features: Sequence[str], work: Workspace, label: str = "label", weight: Column | None = None, name: str = "blocks",
+    batches: Batches | None = None,
 ) -> Blocks:
-    """Store ``df`` as blocks in ``work``."""
+    """Store ``df`` as blocks in ``work``, with ``batches`` also each row's
+    membership in every step's batch."""
     feats = list(features)
     columns = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(feats)]
     weight = F.lit(1.0) if weight is None else weight.cast("double")
-    rows = df.select(*columns, F.col(label).cast("double").alias("y"), weight.alias("w"))
-    names = rows.columns
+    names = [*[f"x{i}" for i in range(len(feats))], "y", "w"]
+    key = [] if batches is None else [batches.key.cast("string").alias("key")]
+    rows = spread(df.select(*columns, F.col(label).cast("double").alias("y"), weight.alias("w"), *key))
+    hashed = None if batches is None else (batches.seed, range(1, batches.steps + 1), round(batches.fraction * 10_000))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
             m = np.column_stack([batch.column(c).fill_null(np.nan).to_numpy(zero_copy_only=False) for c in names])
             whole = ~np.isnan(m).any(1)
             m, bad = m[whole], int((~whole).sum())
+            members = _members(batch.column("key").filter(pa.array(whole)), *hashed) if hashed else None
             for a in range(0, max(len(m), 1), BLOCK):
-                part = m[a : a + BLOCK]
-                yield pa.RecordBatch.from_pydict({
-                    "n": [len(part)], "skipped": [bad if a == 0 else 0], "x": [np.ascontiguousarray(part[:, :-2]).tobytes()],
-                    "y": [part[:, -2].tobytes()], "w": [part[:, -1].tobytes()],
-                })
+                part = np.ascontiguousarray(m[a : a + BLOCK])
+                bits = np.packbits(members[:, a : a + BLOCK], axis=1).tobytes() if hashed else b""
+                yield pa.RecordBatch.from_pydict({"n": [len(part)], "skipped": [bad if a == 0 else 0], "m": [part.tobytes()], "members": [bits]})
 
-    stored = work.store(rows.mapInArrow(run, "n long, skipped long, x binary, y binary, w binary"), name)
+    stored = work.store(rows.mapInArrow(run, "n long, skipped long, m binary, members binary"), name)
     total = stored.agg(F.sum("n"), F.sum("skipped")).first()
-    return Blocks(stored.filter("n > 0"), feats, int(total[0] or 0), int(total[1] or 0))
+    return Blocks(stored.filter("n > 0"), feats, int(total[0] or 0), int(total[1] or 0), work, batches)
 
 
-def _matrices(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    for batch in batches:
-        for x, y, w in zip(batch.column("x"), batch.column("y"), batch.column("w"), strict=True):
-            yield tuple(np.frombuffer(v.as_buffer(), np.float64).reshape(shape) for v, shape in ((x, (-1, d)), (y, -1), (w, -1)))
+def _members(keys: pa.Array, seed: int, steps: Sequence[int], below: int) -> np.ndarray:
+    """A row a step: whether each key is in its batch."""
+    messages = Md5Messages(keys, "|")
+    return np.stack([messages.leading(f"{seed}|{t}") % 10_000 < below for t in steps])
 
 
 # ------------------------------------------------------------- gradients
+def kept_matrices(blocks: Blocks) -> RDD:
+    """``(matrix, bits)`` of every block, kept until the workspace goes: a row
+    of features, target and weight; a row of bits a step, or None."""
+    width, steps = len(blocks.features) + 2, blocks.batches.steps if blocks.batches else 0
+
+    def read(rows: Iterator) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        for r in rows:
+            yield np.frombuffer(r[0]).reshape(-1, width), np.frombuffer(r[1], np.uint8).reshape(steps, -1) if steps else None
+
+    return blocks.work.keep(blocks.frame.select("m", "members").rdd.mapPartitions(read))
+
+
+def _sums(m: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """A row a weight vector: errors, errors times features, and losses."""
+    x, y, w = m[:, :-2], m[:, -2:-1], m[:, -1:]
+    z = x @ weights[:, 1:].T
+    z += weights[:, 0]
+    p = np.exp(np.clip(-z, -500.0, 500.0))  # in place from here: wide grids wait for memory
+    p += 1.0
+    np.reciprocal(p, out=p)
+    p[z < -500.0] = 0.0
+    e = p - y
+    e *= w
+    likely = np.subtract(y != 1.0, p, out=z)  # p for 1, 1 - p for others, but for the sign
+    np.abs(likely, out=likely)
+    likely += LOSS_EPSILON
+    loss = -(w.T @ np.log(likely, out=likely))
+    return np.column_stack([e.sum(0), e.T @ x, loss[0]])
+
+
 def loss_sums(blocks: Blocks) -> Callable[[Sequence[Sequence[float]]], tuple[int, list[list[float]], list[float]]]:
     """A function of weight vectors (intercept first): the rows, and for each
     vector the sums of errors, of errors times features, and of losses."""
-    d = len(blocks.features)
+    kept, d = kept_matrices(blocks), len(blocks.features)
 
     def sums(vectors: Sequence[Sequence[float]]) -> tuple[int, list[list[float]], list[float]]:
         weights = np.asarray(vectors, float)
-        k = len(weights)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((k, d + 2))
-            for x, y, w in _matrices(batches, d):
-                z = x @ weights[:, 1:].T + weights[:, 0]
-                p = np.where(z < -500.0, 0.0, np.where(z > 500.0, 1.0, 1.0 / (1.0 + np.exp(-np.clip(z, -500.0, 500.0)))))
-                e = w[:, None] * (p - y[:, None])
-                total[:, 0] += e.sum(0)
-                total[:, 1:-1] += e.T @ x
-                total[:, -1] += np.where(y[:, None] == 1.0, -w[:, None] * np.log(p + LOSS_EPSILON), -w[:, None] * np.log(1.0 - p + LOSS_EPSILON)).sum(0)
-            yield pa.RecordBatch.from_pydict({"i": np.arange(total.size, dtype=np.int32), "v": total.ravel()})
-
-        parts = blocks.frame.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
-        total = np.zeros(k * (d + 2))
-        for r in parts.collect():  # vectors x (features + 2)
-            total[r["i"]] = r["v"]
-        total = total.reshape(k, d + 2)
+        total = kept.map(lambda block: _sums(block[0], weights)).fold(np.zeros((len(weights), d + 2)), np.add)
         return blocks.rows, total[:, :-1].tolist(), total[:, -1].tolist()
 
     return sums
 
 
+def batch_loss_sums(blocks: Blocks) -> Callable[[int, Sequence[Sequence[float]]], tuple[int, list[list[float]], list[float]]]:
+    """``loss_sums`` over a step's batch, as a function of the step (from 1)
+    and weight vectors; the rows are the batch's."""
+    kept, d = kept_matrices(blocks), len(blocks.features)
+
+    def sums(step: int, vectors: Sequence[Sequence[float]]) -> tuple[int, list[list[float]], list[float]]:
+        weights = np.asarray(vectors, float)
+
+        def run(block: tuple[np.ndarray, np.ndarray]) -> tuple[int, np.ndarray]:
+            m = block[0][np.unpackbits(block[1][step - 1], count=len(block[0])).view(bool)]
+            return len(m), _sums(m, weights)
+
+        n, total = kept.map(run).fold((0, np.zeros((len(weights), d + 2))), lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        return n, total[:, :-1].tolist(), total[:, -1].tolist()
+
+    return sums
+
+
 # --------------------------------------------------------------- moments
 @dataclass
 class Moments:
@@ -152,9 +207,10 @@ def moments(blocks: Blocks) -> Moments | None:
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
-        for x, y, _ in _matrices(batches, d):
-            part = Moments.of(np.column_stack([x, y]))
-            total = part if total is None else total.merge(part)
+        for batch in batches:
+            for m in batch.column("m"):
+                part = Moments.of(np.frombuffer(m.as_buffer(), np.float64).reshape(-1, d + 2)[:, :-1])
+                total = part if total is None else total.merge(part)
         if total is not None:
             yield out(total)
 
@@ -165,7 +221,7 @@ def moments(blocks: Blocks) -> Moments | None:
         if total is not None:
             yield out(total)
 
-    parts = blocks.frame.mapInArrow(first, _PARTS)
+    parts = blocks.frame.select("m").mapInArrow(first, _PARTS)
     left = blocks.frame.rdd.getNumPartitions()
     while left > 1:
         left = -(-left // FAN_IN)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import checkpoint_dir
@@ -20,6 +21,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str = "work"):
         self.spark = spark
         self.root = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.kept: list[RDD] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -28,6 +30,12 @@ class Workspace:
         df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keep(self, rdd: RDD) -> RDD:
+        """``rdd``, made from stored tables, in the executors' memory (what does
+        not fit, on their disks) until the workspace goes; the first pass fills it."""
+        self.kept.append(rdd.persist(StorageLevel.MEMORY_AND_DISK_DESER))
+        return rdd
+
     def delete(self, name: str | None = None) -> None:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.root)
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
@@ -37,6 +45,8 @@ class Workspace:
         return self
 
     def __exit__(self, *_) -> None:
+        for rdd in self.kept:
+            rdd.unpersist()
         self.delete()
 
     def small(self, df: DataFrame, bound: int = 100_000) -> DataFrame:

@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import linear, sigmoid
-from quarry.sources.tables import read_table
+from quarry.functions.columns import add_apart, linear, sigmoid
+from quarry.sources.tables import read_table, spread
 
 _TEXT_FILES: dict[tuple, str] = {}
 
@@ -104,15 +104,18 @@ def card(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``key, v1..v28, amount, label`` from ``lineitem``: component i is a
     residue of the row's keys modulo 97 + 4i, centred, shifted for label 1 by
     one of five amounts; every row is its own."""
-    li = read_table(spark, sf_dir, "lineitem")
-    label = fraud_label(F.col("l_quantity"), F.col("l_discount"))
-    parts = []
+    li = spread(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice"))
+    parts = {}
     for i in range(1, CARD_COMPONENTS + 1):
         m = 97 + 4 * i
         residue = (F.col("l_orderkey") * (2 * i + 1) + F.col("l_partkey") * (i + 3) + F.col("l_linenumber") * 7) % m
-        parts.append((residue / F.lit(float(m)) - F.lit(0.5) + label * F.lit((i % 5 - 2) / 10.0)).alias(f"v{i}"))
+        parts[f"v{i}"] = residue / F.lit(float(m)) - F.lit(0.5) + F.col("label") * F.lit((i % 5 - 2) / 10.0)
     key = F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    return li.select(key.alias("key"), *parts, F.col("l_extendedprice").alias("amount"), label.alias("label"))
+    keyed = li.select(
+        "l_orderkey", "l_partkey", "l_linenumber", key.alias("key"), F.col("l_extendedprice").alias("amount"),
+        fraud_label(F.col("l_quantity"), F.col("l_discount")).alias("label"),
+    )
+    return add_apart(keyed, parts, 4).select("key", *CARD_FEATURES, "label")
 
 
 def _trip_columns() -> dict[str, Column]:

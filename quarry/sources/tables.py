@@ -23,3 +23,10 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as the cluster runs tasks: a
+    small file is one task's work, and so is all that is derived from it."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
