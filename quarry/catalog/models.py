@@ -151,7 +151,8 @@ def lbfgs_test_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sgd(spark: SparkSession, sf_dir: str, fraction: float) -> DataFrame:
     """SGD at the trainer's defaults (100 iterations, step 1.0) on the scaled
     training part of the four-feature rows; weights and test metrics.  Steps
-    over all rows are aggregates in generated code, over the stored columns alone."""
+    over all rows are aggregates in generated code, over the stored columns alone;
+    mini-batches are blocks whose rows are hashed for all steps at once."""
     with Workspace(spark, "sgd") as work:
         key = fx.fraud_row_key(True)
         rows = work.store(
@@ -160,8 +161,12 @@ def _sgd(spark: SparkSession, sf_dir: str, fraction: float) -> DataFrame:
         )
         feats = fx.FRAUD_FEATURES_WIDE
         scaler = fit_std(rows.filter("_part = 0"), feats)
-        train = work.store(scaler.transform(rows.filter("_part = 0")).select(*feats, "label", "key"), "train")
-        run = logistic.sgd_fit(train, feats, [SGD_DEFAULT], method="columns" if fraction >= 1.0 else "arrow", mini_batch_fraction=fraction, key=F.col("key"), tol=1e-3 if fraction >= 1.0 else 0.0)[0]
+        train = scaler.transform(rows.filter("_part = 0")).select(*feats, "label", "key")
+        if fraction >= 1.0:
+            run = logistic.sgd_fit(work.store(train, "train"), feats, [SGD_DEFAULT], tol=1e-3)[0]
+        else:
+            blocks = dense.pack(train, feats, work, batches=dense.Batches(F.col("key"), fraction, 42, SGD_DEFAULT[0]))
+            run = logistic.sgd_fit(train, feats, [SGD_DEFAULT], mini_batch_fraction=fraction, tol=0.0, sums=dense.batch_loss_sums(blocks))[0]
         p = logistic.probability(run.weights, feats)
         pred = scaler.transform(rows.filter("_part = 1")).select("label", threshold(p, 0.5).alias("prediction"))
         extra = [F.lit(len(run.history)).cast("bigint").alias("iterations_run"), *[F.lit(float(w)).alias(f"w{i}") for i, w in enumerate(run.weights[1:], 1)]]

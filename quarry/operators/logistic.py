@@ -275,6 +275,7 @@ def sgd_fit(
     mini_batch_fraction: float = 1.0,
     seed: int = 42,
     key: Column | None = None,
+    sums: Callable[[int, Sequence[Sequence[float]]], tuple[int, list[list[float]], list[float]]] | None = None,
 ) -> list[GDRun]:
     """Logistic regression with the rules of Spark's RDD-based SGD trainer
     (I14), as DataFrame aggregations: no intercept, step ``step/√t`` at
@@ -285,7 +286,8 @@ def sgd_fit(
     whose hash of (seed, step, ``key``) falls below it: the same rows whatever
     the partitions, retries or engine.  Without a ``key`` the row's own values
     are it, so equal rows go together.  A step without rows is skipped, as in
-    the RDD trainer.
+    the RDD trainer.  ``sums`` replaces the pass of a step, from 1, by another
+    over the same batch (``dense.batch_loss_sums``).
 
     ``configs`` are ``(iterations, step)`` pairs, all fitted in one loop.
     Returned weights carry a leading 0.0 bias so scoring is shared.
@@ -293,16 +295,21 @@ def sgd_fit(
     d = len(features)
     runs = [GDRun(GDConfig(step, reg_param), [0.0] * (d + 1)) for _, step in configs]
     limits = [int(it) for it, _ in configs]
-    if mini_batch_fraction < 1.0 and key is None:
-        key = F.concat_ws("|", *[F.col(c).cast("string") for c in [*features, label]])
-    base = _training_base(train, features, label, None, key if mini_batch_fraction < 1.0 else None)
+    if sums is None:
+        if mini_batch_fraction < 1.0 and key is None:
+            key = F.concat_ws("|", *[F.col(c).cast("string") for c in [*features, label]])
+        base = _training_base(train, features, label, None, key if mini_batch_fraction < 1.0 else None)
+
+        def sums(t, vectors):
+            batch = base if mini_batch_fraction >= 1.0 else base.filter(batch_member(F.col("_key"), mini_batch_fraction, seed, t))
+            return batch_sums(batch, features, vectors, method)
+
     for t in range(1, max(limits) + 1):
         active = [(k, r) for k, r in enumerate(runs) if not r.done and t <= limits[k]]
         if not active:
             break
         start = time.time()
-        batch = base if mini_batch_fraction >= 1.0 else base.filter(batch_member(F.col("_key"), mini_batch_fraction, seed, t))
-        n, grads, losses = batch_sums(batch, features, [r.weights for _, r in active], method)
+        n, grads, losses = sums(t, [r.weights for _, r in active])
         elapsed = time.time() - start
         if n == 0:
             if mini_batch_fraction < 1.0:

@@ -1,15 +1,18 @@
 """The fits without a library behind them, against plain versions of their rules."""
 
+import hashlib
 import os
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import add_apart
+from quarry.functions.digest import Md5Messages
 from quarry.operators import curves, dense, evaluate, forest, lbfgs, logistic, preparation, seeded_tree
 from quarry.operators.split import batch_member
 from quarry.plans.store import Workspace
@@ -333,6 +336,39 @@ def lineitem(spark, path, rows=300):
     return str(path)
 
 
+def test_messages_hash_as_md5_does():
+    texts = [None, "", "\u00e9", *["x" * (i * 7 % 190) + str(i) for i in range(400)]]
+    messages = Md5Messages(pa.array(texts, pa.string()), "|")
+    for prefix in ("", "42|7", "42|17", "42|100"):
+        want = [hashlib.md5((prefix + ("" if t is None else "|" + t)).encode()).hexdigest()[:7] for t in texts]
+        assert [f"{v:07x}" for v in messages.leading(prefix)] == want
+    assert len(Md5Messages(pa.array([], pa.string())).leading("42|1")) == 0
+
+
+def test_batches_of_blocks_are_the_rows_of_batch_member(spark, work, binary):
+    """Also with keys that repeat or are null."""
+    feats = ["a", "b", "c"]
+    keyed = binary.withColumn("key", F.when(F.col("id") % 50 != 0, (F.col("id") / 2).cast("long").cast("string")))
+    blocks = dense.pack(keyed, feats, work, batches=dense.Batches(F.col("key"), 0.3, 42, 12))
+    sums, vectors = dense.batch_loss_sums(blocks), [[0.0] * 4, [0.1, -0.2, 0.3, 2.0]]
+    for t in (1, 9, 12):
+        batch = keyed.filter(batch_member(F.col("key"), 0.3, 42, t)).select(*feats, F.col("label").alias("_y"), F.lit(1.0).alias("_cw"))
+        n, grads, losses = logistic.batch_sums_columns(batch, feats, vectors)
+        got = sums(t, vectors)
+        assert got[0] == n and np.allclose(got[1], grads, rtol=1e-10, atol=1e-10) and np.allclose(got[2], losses, rtol=1e-10)
+
+
+def test_minibatches_hash_their_rows_once(spark, tmp_path, monkeypatch):
+    from quarry.catalog import models
+
+    def again(*_):
+        raise AssertionError("a step read and hashed all rows")
+
+    monkeypatch.setattr(logistic, "batch_sums", again)
+    monkeypatch.setattr(models, "SGD_DEFAULT", (3, 1.0))
+    assert models.sgd_minibatch(spark, lineitem(spark, tmp_path)).first()["iterations_run"] == 3
+
+
 def test_later_passes_read_what_the_executors_keep(spark, binary):
     held = spark.sparkContext._jsc.getPersistentRDDs().size()
     with Workspace(spark, "test") as w:
