@@ -7,7 +7,8 @@ change of the score (its logit) between the two is added to the loss, so that
 a neutral mention of a group cannot carry weight of its own.
 
 Fit: at most ``sample`` labelled rows (the lowest hashes of their ids, of the
-rows that may be learned from) reach the driver as hashed features.  A
+rows that may be learned from) reach the driver as hashed features, 8 bytes a
+text and distinct word, held as two 32-bit numbers while they are fitted.  A
 proximal gradient fit with a penalty in proportion to each word's sampling
 noise picks the words, a second fit on those alone sets their weights.
 
@@ -26,9 +27,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +46,8 @@ COUNTERFACTUAL = 10.0
 #: Words in fewer sampled texts are not learned.
 LEAST_TEXTS = 3
 NOISE_SHARE = 3.5
+#: Pairs of text and word that the fit takes at once.
+BLOCK = 1 << 17
 
 # Identity terms; each is swapped for the next of its list.
 IDENTITY = [
@@ -102,49 +107,152 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("words", pa.binary())])
     rows = labelled_sample(docs, labels, "toxic", MODULUS, LEFT_OUT, sample).mapInArrow(features, "doc_id long, y int, words binary")
     table = rows.groupBy("doc_id").agg(F.min(F.struct("y", "words")).alias("r")).select("doc_id", "r.*").toArrow().sort_by("doc_id")
-    return train(table["y"].to_numpy(), [np.frombuffer(b, "<u8") for b in table["words"].to_pylist()])
+    y, words = table["y"].to_numpy(), table["words"]
+    lens = pc.binary_length(words).to_numpy() // 8
+    parts = [_hashes(chunk) for chunk in words.chunks]
+    hashes = parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, "<u8"), *parts])
+    y = y.copy()
+    del table, words, parts
+    learned, pairs = _learned(hashes, lens)
+    del hashes
+    pa.default_memory_pool().release_unused()
+    return _train(y, learned, pairs, COUNTERFACTUAL)
+
+
+def _hashes(chunk: pa.BinaryArray) -> np.ndarray:
+    """The word hashes of the texts of a chunk, joined, in the chunk's own memory."""
+    offsets = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+    if not len(chunk) or offsets[0] == offsets[-1]:
+        return np.zeros(0, "<u8")
+    return np.frombuffer(chunk.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])), "<u8")
+
+
+@dataclass
+class Pairs:
+    """Which texts hold which words, as 32-bit numbers in order of both, so that
+    sums over the words of a text and over the texts of a word take them a
+    block at a time: two numbers a pair are all that is held.  The order of a sum is
+    that of one pass over all pairs."""
+
+    word: np.ndarray  # of each pair, in order of texts
+    text_at: np.ndarray  # where each text's pairs begin, and the end of the last
+    text: np.ndarray  # of each pair, in order of words
+    word_at: np.ndarray
+
+    @classmethod
+    def of(cls, word: np.ndarray, lens: np.ndarray, size: int) -> Pairs:
+        text_at = _bounds(lens)
+        word_at = _bounds(_counts(word, size))
+        text, begin = np.empty(len(word), np.int32), word_at[:-1].copy()
+        for a, b in _blocks(text_at):
+            at = slice(text_at[a], text_at[b])
+            order = np.argsort(word[at], kind="stable")
+            sorted_words = word[at][order]
+            place = begin[sorted_words] + np.arange(len(order)) - np.searchsorted(sorted_words, sorted_words)
+            text[place] = np.repeat(np.arange(a, b, dtype=np.int32), lens[a:b])[order]
+            begin += np.bincount(sorted_words, minlength=size)
+        return cls(word, text_at, text, word_at)
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        """Sum of the words' ``values`` over each text."""
+        return _sums(self.text_at, self.word, values)
+
+    def by_word(self, values: np.ndarray) -> np.ndarray:
+        """Sum of the texts' ``values`` over each word."""
+        return _sums(self.word_at, self.text, values)
+
+    def text_of(self, pairs: np.ndarray) -> np.ndarray:
+        """The texts of ``pairs`` (positions in order of texts)."""
+        return np.searchsorted(self.text_at, pairs, side="right") - 1
+
+    def only(self, words: np.ndarray, size: int) -> Pairs:
+        """The pairs of the words that have a number (0 to ``size`` - 1; others: -1) in ``words``."""
+        keep = np.empty(len(self.word), bool)
+        for a in range(0, len(keep), BLOCK):
+            keep[a : a + BLOCK] = words[self.word[a : a + BLOCK]] >= 0
+        lens = np.array([np.count_nonzero(keep[a:b]) for a, b in pairwise(self.text_at)], np.int64)
+        return Pairs.of(words.astype(np.int32)[self.word[keep]], lens, size)
+
+
+def _bounds(lens: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
+
+
+def _counts(word: np.ndarray, size: int) -> np.ndarray:
+    return sum((np.bincount(word[a : a + BLOCK], minlength=size) for a in range(0, len(word), BLOCK)), np.zeros(size, np.int64))
+
+
+def _blocks(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts or words of about ``BLOCK`` pairs (one text or word at least)."""
+    a = 0
+    while a < len(bounds) - 1:
+        b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + BLOCK, side="right")) - 1)
+        yield a, b
+        a = b
+
+
+def _sums(bounds: np.ndarray, items: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(bounds) - 1)
+    for a, b in _blocks(bounds):
+        where = np.repeat(np.arange(b - a), np.diff(bounds[a : b + 1]))
+        out[a:b] = np.bincount(where, values[items[bounds[a] : bounds[b]]], minlength=b - a)
+    return out
+
+
+def _learned(hashes: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, Pairs]:
+    """The words of ``LEAST_TEXTS`` or more texts (sorted hashes), and who holds them."""
+    ordered = np.sort(hashes)
+    first = np.flatnonzero(np.concatenate([[True] * (len(ordered) > 0), ordered[1:] != ordered[:-1]]))
+    words = ordered[first][np.diff(np.append(first, len(ordered))) >= LEAST_TEXTS]
+    del ordered, first
+    word, bounds = np.full(len(hashes), -1, np.int32), _bounds(lens)
+    for a in range(0, len(hashes) if len(words) else 0, BLOCK):
+        block = hashes[a : a + BLOCK]
+        at = np.minimum(np.searchsorted(words, block), len(words) - 1)
+        word[a : a + BLOCK] = np.where(words[at] == block, at, -1)
+    lens = np.array([np.count_nonzero(word[a:b] >= 0) for a, b in pairwise(bounds)], np.int64)
+    return words, Pairs.of(word[word >= 0], lens, len(words))
 
 
 def train(y: np.ndarray, texts: list[np.ndarray], counterfactual: float = COUNTERFACTUAL) -> Model:
     """Fit the model to labels and the distinct word hashes of each text."""
+    words, pairs = _learned(np.concatenate([np.zeros(0, np.uint64), *texts]), np.array([len(t) for t in texts], np.int64))
+    return _train(y, words, pairs, counterfactual)
+
+
+def _train(y: np.ndarray, words: np.ndarray, pairs: Pairs, counterfactual: float) -> Model:
     n = len(y)
     share = float(y.mean()) if n else 0.5
     if not n or not 0 < share < 1:
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    doc = np.repeat(np.arange(n), [len(t) for t in texts])
-    words, col, df = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
-    enough = df >= LEAST_TEXTS
-    place = np.cumsum(enough) - 1
-    keep = enough[col]
-    doc, col, words, df = doc[keep], place[col[keep]], words[enough], df[enough]
     # a counterfactual pair's logit changes by the weights it gains minus those it loses
     index = {w: i for i, w in enumerate(words)}
-    lost_doc, lost, gained = [], [], []
-    swappable = {index[a]: index.get(b, -1) for a, b in SWAP_HASH.items() if a in index}
-    for d, c in zip(doc, col, strict=True) if swappable else ():
-        if c in swappable:
-            lost_doc.append(d), lost.append(c), gained.append(swappable[c])
-    swaps = np.array(lost_doc, np.int64), np.array(lost, np.int64), np.array(gained, np.int64)
+    swap = np.full(len(words), -2)  # -1: for a word that is not learned
+    for a, b in SWAP_HASH.items():
+        if a in index:
+            swap[index[a]] = index.get(b, -1)
+    at = np.concatenate([np.zeros(0, np.int64), *(a + np.flatnonzero(swap[pairs.word[a : a + BLOCK]] != -2) for a in range(0, len(pairs.word), BLOCK))])
+    swaps = pairs.text_of(at), pairs.word[at].astype(np.int64), swap[pairs.word[at]]
+    df = np.diff(pairs.word_at)
     noise = NOISE_SHARE * np.sqrt(df * share * (1 - share)) / n
-    w, _ = _descend(y, doc, col, len(words), swaps, counterfactual, noise, 0.0, share)
+    w, _ = _descend(y, pairs, swaps, counterfactual, noise, 0.0, share)
     kept = np.flatnonzero(w)
     if not len(kept):
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
     back = np.full(len(words), -1)
     back[kept] = np.arange(len(kept))
-    at = back[col] >= 0
     has = back[swaps[1]] >= 0 if len(swaps[1]) else np.zeros(0, bool)
     rest = swaps[0][has], back[swaps[1][has]], np.where(swaps[2][has] >= 0, back[swaps[2][has]], -1)
-    w, bias = _descend(y, doc[at], back[col[at]], len(kept), rest, counterfactual, 0.0, 0.1 / n, share)
+    w, bias = _descend(y, pairs.only(back, len(kept)), rest, counterfactual, 0.0, 0.1 / n, share)
     return Model(words[kept], w, bias)
 
 
-def _descend(y, doc, col, size, swaps, strength, l1, l2, share, steps: int = 300) -> tuple[np.ndarray, float]:
+def _descend(y, pairs: Pairs, swaps, strength, l1, l2, share, steps: int = 300) -> tuple[np.ndarray, float]:
     """Accelerated proximal gradient on the mean log-loss, the counterfactual
     penalty and the L1 (a value a word) and L2 penalties; each word's column is
     scaled by the root of its frequency, so one step size suits all."""
-    n = len(y)
-    df = np.bincount(col, minlength=size)
+    n, size = len(y), len(pairs.word_at) - 1
+    df = np.diff(pairs.word_at)
     scale = 1 / np.sqrt(np.maximum(df, 1) / n)
     swap_doc, lost, gained = swaps
     pair, who = np.unique(swap_doc, return_inverse=True) if len(swap_doc) else (swap_doc, swap_doc)
@@ -156,9 +264,9 @@ def _descend(y, doc, col, size, swaps, strength, l1, l2, share, steps: int = 300
 
     def gradient(v, b):
         w = v * scale
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(doc, w[col], minlength=n) + b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(pairs.by_text(w) + b, -30, 30)))
         r = (p - y) / n
-        g = np.bincount(col, r[doc], minlength=size) + l2 * w
+        g = pairs.by_word(r) + l2 * w
         if len(pair):
             d = 2 * strength * change(w)[who] / n
             g += np.bincount(lost, -d, minlength=size) + np.bincount(gained[has], d[has], minlength=size)
@@ -169,7 +277,7 @@ def _descend(y, doc, col, size, swaps, strength, l1, l2, share, steps: int = 300
     top = 1.0
     for _ in range(12):
         w = x * scale
-        g = np.bincount(col, np.bincount(doc, w[col], minlength=n)[doc] / (4 * n), minlength=size) + l2 * w
+        g = pairs.by_word(pairs.by_text(w) / (4 * n)) + l2 * w
         if len(pair):
             d = 2 * strength * change(w)[who] / n
             g += np.bincount(lost, -d, minlength=size) + np.bincount(gained[has], d[has], minlength=size)

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -171,6 +172,46 @@ def test_counterfactual_penalty_clears_identity_terms():
     assert abs(weight(10.0)) < 0.2
 
 
+def sampled_words(n, least, most, vocabulary):
+    """y and the words of ``n`` texts; frequent words are the first ones, and one word tells the label."""
+    rng = np.random.default_rng(5)
+    words = rng.permutation(np.arange(1, vocabulary + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    y = (np.arange(n) % 3 == 0).astype(np.int32)
+    drawn = [np.unique((vocabulary * rng.random(k) ** 3).astype(int)) for k in rng.integers(least, most, n)]
+    return y, [words[np.append(d[d != 7], np.full(t, 7))] for d, t in zip(drawn, y)]
+
+
+def test_toxicity_fit_holds_few_bytes_a_pair():
+    y, texts = sampled_words(1500, 300, 600, 20_000)
+    tracemalloc.start()
+    model = toxicity.train(y, texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.words)
+    # the driver has the rest of the memory: 8 bytes a pair are the input
+    assert most < 40 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("block", [1, 50, 1 << 20])
+def test_toxicity_sums_by_block_are_those_of_one_pass(block, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    _, texts = sampled_words(60, 0, 40, 90)
+    lens = np.array([len(t) for t in texts])
+    words, pairs = toxicity._learned(np.concatenate(texts), lens)
+    every, word, df = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    keep = df[word] >= toxicity.LEAST_TEXTS
+    text, word = np.repeat(np.arange(60), lens)[keep], np.searchsorted(words, every[word[keep]])
+    assert 0 < len(words) < len(every)
+    assert words.tolist() == every[df >= toxicity.LEAST_TEXTS].tolist()
+    of_word, of_text = np.random.default_rng(1).random((2, 100))
+    assert pairs.by_text(of_word).tolist() == np.bincount(text, of_word[word], minlength=60).tolist()
+    assert pairs.by_word(of_text).tolist() == np.bincount(word, of_text[text], minlength=len(words)).tolist()
+    assert pairs.text_of(np.arange(len(text))).tolist() == text.tolist()
+    odd = np.where(np.arange(len(words)) % 2, np.arange(len(words)) // 2, -1)
+    fewer, at = pairs.only(odd, len(words) // 2), odd[word] >= 0
+    assert fewer.by_word(of_text).tolist() == np.bincount(odd[word[at]], of_text[text[at]], minlength=len(words) // 2).tolist()
+
+
 # -- 4: decontamination --------------------------------------------------------
 
 
