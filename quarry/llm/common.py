@@ -105,10 +105,61 @@ def words_of(texts: pa.Array, lower_ascii: bool = False) -> Words:
     return _words(pc.ascii_split_whitespace(texts))
 
 
+#: ASCII letters in lower case, digits and underscores; 0 for other ASCII characters; bytes of all others as they are.
+_LEXICAL = bytes(ord(chr(b).lower()) if chr(b).isalnum() or chr(b) == "_" else 0 for b in range(128)) + bytes(range(128, 256))
+
+
 def lexical_words_of(texts: pa.Array) -> Words:
-    """Lower-case runs of letters, digits and underscores (Unicode ``\\w+``)."""
-    texts = pc.utf8_lower(pc.fill_null(texts, ""))
-    return _words(pc.split_pattern_regex(texts, r"[^\pL\pN\pM_]+"))
+    """Lower-case runs of letters, digits and underscores (Unicode ``\\w+``).
+
+    The texts are cut at ASCII characters by their bytes; of the distinct parts
+    only those with other characters are lowered and cut by the pattern."""
+    parts = _ascii_parts(pc.fill_null(texts.cast(pa.large_string()), ""))
+    wide = pc.invert(pc.string_is_ascii(parts.vocab)).to_numpy(zero_copy_only=False)
+    if not wide.any():
+        return parts
+    words = _words(pc.split_pattern_regex(pc.utf8_lower(parts.vocab.filter(pa.array(wide))), r"[^\pL\pN\pM_]+"))
+    lens = np.ones(len(wide), np.int64)
+    lens[wide] = words.lens
+    starts = np.cumsum(lens) - lens
+    source = np.zeros(lens.sum(), np.int64)
+    source[starts[~wide]] = np.flatnonzero(~wide)
+    source[ragged(starts[wide], words.lens)] = len(wide) + words.idx
+    # the words of all distinct parts in order, so words are numbered as they first occur
+    code = pc.dictionary_encode(pa.concat_arrays([parts.vocab, words.vocab]).take(pa.array(source)))
+    of_part = lens[parts.idx]
+    idx = code.indices.to_numpy()[ragged(starts[parts.idx], of_part)]
+    counts = per_text(of_part, parts.starts, parts.lens)
+    return Words(code.dictionary, idx, counts, np.cumsum(counts) - counts)
+
+
+def _ascii_parts(texts: pa.LargeStringArray) -> Words:
+    """The parts of each text between ASCII characters that are in no word, those in words in lower case."""
+    bounds, data = _bytes_of(texts)
+    data = np.frombuffer(data.translate(_LEXICAL), np.uint8)
+    inside = data != 0
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    cuts = bounds[(bounds > 0) & (bounds < len(data))]
+    first[cuts] = inside[cuts]
+    last[cuts - 1] = inside[cuts - 1]
+    at = np.flatnonzero(first)
+    offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - at)]).astype(np.int32)
+    parts = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data[inside]))
+    code = pc.dictionary_encode(parts)
+    of_text = np.searchsorted(at, bounds)
+    return Words(code.dictionary, code.indices.to_numpy(), np.diff(of_text), of_text[:-1])
+
+
+def _bytes_of(strings: pa.LargeStringArray) -> tuple[np.ndarray, bytes]:
+    """The bytes of strings without nulls, joined, and where each begins and the last ends."""
+    if not len(strings):
+        return np.zeros(1, np.int64), b""
+    _, offsets, data = strings.buffers()
+    bounds = np.frombuffer(offsets, np.int64, len(strings) + 1, strings.offset * 8)
+    size = int(bounds[-1] - bounds[0])
+    return bounds - bounds[0], data.slice(int(bounds[0]), size).to_pybytes() if size else b""
 
 
 def _words(split: pa.ListArray) -> Words:
@@ -139,7 +190,9 @@ def per_text(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.nda
 def hash_words(vocab: pa.Array, seed: int = 0) -> np.ndarray:
     """Stable 64-bit hash of every word of a vocabulary."""
     digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(w, seed) for w in vocab.to_pylist()), np.uint64, len(vocab))
+    bounds, data = _bytes_of(vocab.cast(pa.large_string()))
+    at = bounds.tolist()
+    return np.fromiter((digest(data[a:b], seed) for a, b in zip(at, at[1:], strict=False)), np.uint64, len(vocab))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

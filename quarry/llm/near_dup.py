@@ -69,7 +69,8 @@ TILE, TILE_BYTES = 512, 2 << 20
 RARE = 1000
 #: Ids up to this number (8 bytes and a digest each) are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-CHUNK = 1 << 16
+#: Shingles whose random numbers are drawn at once: their arrays stay in a core's cache.
+CHUNK = 1 << 14
 #: Text whose shingles are held at once in a task.
 SIGNED_BYTES = 3 << 20
 
@@ -107,17 +108,16 @@ def weighted_sets(texts: pa.Array, idf: Idf) -> WeightedSets:
     word, idfs = hashes[w.idx], idf.of(hashes)[w.idx]
     content = [xxhash.xxh3_128_digest(word[a : a + n].tobytes()) if n else None for a, n in zip(w.starts.tolist(), w.lens.tolist(), strict=True)]
     n_shingles = np.where(w.lens >= SHINGLE, w.lens - SHINGLE + 1, np.minimum(w.lens, 1))
+    code, weight = shingles_at(word, idfs, w.starts, w.lens)
     first = ragged(w.starts, n_shingles)
-    size = np.repeat(np.minimum(w.lens, SHINGLE), n_shingles)
-    code, weight = np.zeros(len(first), np.uint64), np.zeros(len(first))
-    for k in range(SHINGLE):
-        use = size > k
-        at = first[use] + k
-        code[use] = mix(code[use] + word[at])
-        weight[use] += idfs[at]
+    code, weight = code[first], weight[first]
     doc = np.repeat(np.arange(len(w.lens)), n_shingles)
-    order = np.lexsort((code, doc))
-    code, doc, weight = code[order], doc[order], (weight / np.maximum(size, 1))[order]
+    ends = np.cumsum(n_shingles)
+    order = np.empty(len(code), np.int64)
+    for a, b in zip((ends - n_shingles).tolist(), ends.tolist(), strict=True):
+        order[a:b] = code[a:b].argsort()
+        order[a:b] += a
+    code, weight = code[order], weight[order]
     new = np.ones(len(code), bool)
     new[1:] = (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])
     at = np.flatnonzero(new)
@@ -127,6 +127,26 @@ def weighted_sets(texts: pa.Array, idf: Idf) -> WeightedSets:
     return WeightedSets(code[at], np.maximum(total, 1e-6), np.cumsum(lens) - lens, lens, content)
 
 
+def shingles_at(word: np.ndarray, idfs: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and mean weight of the shingle that begins at each word: of
+    SHINGLE words, in a shorter text of all its words."""
+    n = len(word)
+    word, idfs = (np.concatenate([x, np.zeros(SHINGLE - 1, x.dtype)]) for x in (word, idfs))
+    code, weight = np.zeros(n, np.uint64), np.zeros(n)
+    ended = []
+    for k in range(SHINGLE):
+        for a in range(0, n, CHUNK):
+            b = min(a + CHUNK, n)
+            code[a:b] = mix(code[a:b] + word[a + k : b + k])
+            weight[a:b] += idfs[a + k : b + k]
+        at = starts[lens == k + 1]
+        ended.append((at, code[at], weight[at] / (k + 1)))
+    weight /= SHINGLE
+    for at, codes, weights in ended:
+        code[at], weight[at] = codes, weights
+    return code, weight
+
+
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Exact similarity of two weighted sets (sorted shingles, weights)."""
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -157,30 +177,53 @@ SEEDS = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B
 def samples(sets: WeightedSets) -> np.ndarray:
     """A row of SAMPLES 32-bit samples for each text (0 for one without shingles)."""
     out = np.zeros((len(sets.lens), SAMPLES), np.uint32)
-    full = np.flatnonzero(sets.lens)
-    piece = np.cumsum(sets.lens[full]) // CHUNK
-    for part in np.split(full, np.flatnonzero(np.diff(piece)) + 1):
-        if not len(part):
-            continue
-        lens = sets.lens[part]
-        begin, end = sets.starts[part[0]], sets.starts[part[-1]] + lens[-1]
-        code, log_s = sets.shingles[begin:end], np.log(sets.weights[begin:end]).astype(np.float32)
-        starts = sets.starts[part] - begin
-        for k in range(SAMPLES):
-            h = code * SEEDS[2 * k]
-            h ^= h >> np.uint64(29)
-            h *= SEEDS[2 * k + 1]
-            r = GAMMA_R[h >> np.uint64(48)]
-            log_c = LOG_C[(h >> np.uint64(32)) & np.uint64(0xFFFF)]
-            beta = ((h >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.float32) * np.float32(1 / 65536)
-            t = np.floor(log_s / r + beta)
-            log_a = log_c - r * (t - beta + 1)
-            least = np.flatnonzero(log_a == np.repeat(np.minimum.reduceat(log_a, starts), lens))
-            at = least[np.searchsorted(least, starts)]
-            out[part, k] = mix(code[at] + t[at].astype(np.int64).astype(np.uint64) * SEEDS[0]).astype(np.uint32)
+    log_weights = np.log(sets.weights).astype(np.float32)
+    order = np.argsort(-sets.lens, kind="stable")
+    order = order[: np.count_nonzero(sets.lens)]
+    begin = 0
+    while begin < len(order):
+        # texts of like length are the rows of a matrix, filled up with shingles of no weight
+        width = int(sets.lens[order[begin]])
+        part = order[begin : begin + max(1, CHUNK // width)]
+        begin += len(part)
+        column = np.arange(width)
+        at = np.minimum(sets.starts[part, None] + column, len(sets.shingles) - 1)
+        log_s = np.where(column < sets.lens[part, None], log_weights[at], np.float32(-np.inf))
+        out[part] = _sampled(sets.shingles[at], log_s)
     return out
 
 
+def _sampled(code: np.ndarray, log_s: np.ndarray) -> np.ndarray:
+    """The samples of the texts whose shingles and logarithms of weights are the rows."""
+    h, index = np.empty_like(code), np.empty(code.shape, np.intp)
+    r, log_c, beta, t, log_a = (np.empty(code.shape, np.float32) for _ in range(5))
+    row = np.arange(len(code))
+    chosen, level = np.empty((len(code), SAMPLES), np.uint64), np.empty((len(code), SAMPLES), np.float32)
+    for k in range(SAMPLES):
+        np.multiply(code, SEEDS[2 * k], out=h)
+        np.right_shift(h, np.uint64(29), out=index.view(np.uint64))
+        h ^= index.view(np.uint64)
+        h *= SEEDS[2 * k + 1]
+        np.right_shift(h, np.uint64(48), out=index.view(np.uint64))
+        GAMMA_R.take(index, out=r, mode="clip")
+        h >>= np.uint64(16)
+        np.bitwise_and(h, np.uint64(0xFFFF), out=index.view(np.uint64))
+        np.multiply(index, np.float32(1 / 65536), out=beta, casting="same_kind", dtype=np.float32)
+        h >>= np.uint64(16)
+        np.bitwise_and(h, np.uint64(0xFFFF), out=index.view(np.uint64))
+        LOG_C.take(index, out=log_c, mode="clip")
+        np.divide(log_s, r, out=t)
+        t += beta
+        np.floor(t, out=t)
+        np.subtract(t, beta, out=log_a)
+        log_a += np.float32(1)
+        log_a *= r
+        np.subtract(log_c, log_a, out=log_a)
+        least = log_a.argmin(1)
+        chosen[:, k], level[:, k] = code[row, least], t[row, least]
+    return mix(chosen + level.astype(np.int64).astype(np.uint64) * SEEDS[0]).astype(np.uint32)
+
+
 # -- Spark side ------------------------------------------------------------
 
 
@@ -192,7 +235,8 @@ def document_frequencies(docs: DataFrame) -> Broadcast:
         words, dfs = [], []
         for batch in slices(batches):
             w = lexical_words_of(batch.column(0))
-            pairs = np.unique(w.doc * np.int64(max(1, len(w.vocab))) + w.idx)
+            pairs = np.sort(w.doc * np.int64(max(1, len(w.vocab))) + w.idx)
+            pairs = pairs[np.diff(pairs, prepend=-1) > 0]
             words.append(hash_words(w.vocab))
             dfs.append(np.bincount(pairs % max(1, len(w.vocab)), minlength=len(w.vocab)))
             if sum(map(len, words)) > 1_000_000:

@@ -9,11 +9,12 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import backoff_lm, decontaminate, near_dup, quality_embed, secret_scan, spot_sigs, suffix_dedup, token_pack, toxicity
+from quarry.llm import backoff_lm, common, decontaminate, near_dup, quality_embed, secret_scan, spot_sigs, suffix_dedup, token_pack, toxicity
 from quarry.llm.common import Scratch, hash_words, lexical_words_of, words_of
 from quarry.llm.components import components
 
@@ -335,6 +336,45 @@ def test_samples_agree_as_often_as_sets_are_alike():
     assert abs((sig[0] == sig[1]).mean() - near_dup.weighted_jaccard(*one)) < 0.16
 
 
+def test_samples_are_those_of_each_shingle_drawn_alone():
+    """Texts of unlike lengths share a matrix; the samples are those of a plain loop over the shingles."""
+    rng = np.random.default_rng(11)
+    lens = [0, 3, 700, 1, 5, 40, 6, 0, 4, 90, 2, 260]
+    texts = pa.array([" ".join(f"w{i}" for i in rng.integers(0, 300, n)) for n in lens])
+    s = near_dup.weighted_sets(texts, near_dup.Idf(np.zeros(0, np.uint64), np.zeros(0), 3.0))
+    got = near_dup.samples(s)
+    u = np.uint64
+    for row, (a, n) in enumerate(zip(s.starts, s.lens, strict=True)):
+        code, log_s = s.shingles[a : a + n], np.log(s.weights[a : a + n]).astype(np.float32)
+        for k in range(near_dup.SAMPLES if n else 0):
+            h = code * near_dup.SEEDS[2 * k]
+            h = (h ^ (h >> u(29))) * near_dup.SEEDS[2 * k + 1]
+            r, log_c = near_dup.GAMMA_R[h >> u(48)], near_dup.LOG_C[(h >> u(32)) & u(0xFFFF)]
+            beta = ((h >> u(16)) & u(0xFFFF)).astype(np.float32) / np.float32(65536)
+            t = np.floor(log_s / r + beta)
+            least = np.argmin(log_c - r * (t - beta + 1))
+            assert got[row, k] == near_dup.mix(code[least : least + 1] + t[least : least + 1].astype(np.int64).astype(u) * near_dup.SEEDS[0]).astype(np.uint32)[0]
+        assert n or not got[row].any()
+
+
+def test_the_word_pattern_reads_distinct_parts_only(monkeypatch):
+    """Cutting by the pattern is the dear part of a word; texts of the same words need it once."""
+    seen, cut = [], pc.split_pattern_regex
+    monkeypatch.setattr(common.pc, "split_pattern_regex", lambda a, p: seen.extend(a.to_pylist()) or cut(a, p))
+    texts = ["The  café, plain\x00WORDS_1 — Ünder\u200bscore", "plain words_1 a—b 日本語、です", "", None, "——", "\u212a K k İx ΣΑΣ e\u0301"] * 50
+    w = lexical_words_of(pa.array(["left out", *texts]).slice(1))
+    words = [w.vocab[i].as_py() for i in w.idx]
+    lower = [pc.utf8_lower(pa.array([t or ""]))[0].as_py() for t in texts]
+    each = [[x for x in cut(pa.array([t]), r"[^\pL\pN\pM_]+")[0].as_py() if x] for t in lower]
+    assert words == [x for t in each for x in t]
+    assert w.lens.tolist() == [len(t) for t in each] and w.starts.tolist() == np.cumsum([0, *w.lens])[:-1].tolist()
+    assert w.vocab.to_pylist() == list(dict.fromkeys(words))  # numbered as they first occur
+    assert len(seen) == len(set(seen)) <= 10
+    for none in (pa.array([], pa.string()), pa.array(["", None, " \t"])):
+        w = lexical_words_of(none)
+        assert len(w.vocab) == len(w.idx) == w.lens.sum() == 0 and len(w.lens) == len(none)
+
+
 def test_near_duplicate_classes(spark):
     rng = np.random.default_rng(2)
     word = lambda: f"w{rng.integers(0, 5000)}"
