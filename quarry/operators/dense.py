@@ -1,15 +1,18 @@
 """Blocks of a dense matrix: wide numeric rows stored once.
 
-A row of the table is a block of up to ``BLOCK`` rows: features, target and
-weight row by row as packed doubles, and for mini-batches a bit a row and step.
-A pass reads whole matrices, so
+A block is a matrix of up to ``BLOCK`` rows and ``BLOCK_BYTES``: features, target
+and weight as packed doubles, and for mini-batches a bit a row and step.  A pass
+reads whole matrices, so
 
 * gradients of many weight vectors are two matrix products a block, and
 * means and co-moments are one product of the centred block.
 
-Passes that repeat read the blocks as an RDD of matrices that the executors
-keep: its bytes go to Python as they are, a tenth of what reading, decoding and
-converting the table costs every time.
+The blocks are an RDD that the executors keep, in memory and then on their
+disks, and nowhere else; its bytes go to Python as they are, a tenth of what
+reading, decoding and converting a table costs every time.  They are compressed,
+column by column, since the values of a column are more alike than those of a
+row.  Blocks are small: the heap gives whole regions of 1 MB to an array of half
+a region, and Parquet reads and writes binary values of 1 MB by the hundred.
 
 Centred moments of blocks merge pairwise (count, mean, co-moments and their
 correction for the two means), never as raw squares, so they do not cancel over
@@ -38,6 +41,8 @@ from quarry.plans.store import Workspace
 from quarry.sources.tables import spread
 
 BLOCK = 4096
+BLOCK_BYTES = 256 << 10
+CODEC = pa.Codec("lz4")
 FAN_IN = 32
 
 
@@ -54,22 +59,26 @@ class Batches:
 
 @dataclass
 class Blocks:
-    """Stored blocks ``(n, m, members)`` of the named features in ``work``."""
+    """Kept blocks of the named features: ``(rows, skipped, packed, bits)``, the
+    matrix as ``_matrix`` reads it, and with batches a row of bits a step."""
 
-    frame: DataFrame
+    kept: RDD
     features: list[str]
     rows: int
     skipped: int
-    work: Workspace
-    batches: Batches | None
+
+    def release(self) -> None:
+        """Give memory and disk back before the workspace goes."""
+        self.kept.unpersist(blocking=True)
 
 
 def pack(
-    df: DataFrame, features: Sequence[str], work: Workspace, label: str = "label", weight: Column | None = None, name: str = "blocks",
+    df: DataFrame, features: Sequence[str], work: Workspace, label: str = "label", weight: Column | None = None,
     batches: Batches | None = None,
 ) -> Blocks:
-    """Store ``df`` as blocks in ``work``, with ``batches`` also each row's
-    membership in every step's batch."""
+    """Keep ``df`` as blocks until ``work`` goes, with ``batches`` also each
+    row's membership in every step's batch.  A block that an executor loses is
+    made from ``df`` again."""
     feats = list(features)
     columns = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(feats)]
     weight = F.lit(1.0) if weight is None else weight.cast("double")
@@ -77,21 +86,41 @@ def pack(
     key = [] if batches is None else [batches.key.cast("string").alias("key")]
     rows = spread(df.select(*columns, F.col(label).cast("double").alias("y"), weight.alias("w"), *key))
     hashed = None if batches is None else (batches.seed, range(1, batches.steps + 1), round(batches.fraction * 10_000))
+    most, steps = block_rows(len(names)), batches.steps if batches else 0
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            m = np.column_stack([batch.column(c).fill_null(np.nan).to_numpy(zero_copy_only=False) for c in names])
-            whole = ~np.isnan(m).any(1)
-            m, bad = m[whole], int((~whole).sum())
+            m = np.stack([batch.column(c).fill_null(np.nan).to_numpy(zero_copy_only=False) for c in names])
+            whole = ~np.isnan(m).any(0)
+            m, bad = m[:, whole], int((~whole).sum())
             members = _members(batch.column("key").filter(pa.array(whole)), *hashed) if hashed else None
-            for a in range(0, max(len(m), 1), BLOCK):
-                part = np.ascontiguousarray(m[a : a + BLOCK])
-                bits = np.packbits(members[:, a : a + BLOCK], axis=1).tobytes() if hashed else b""
-                yield pa.RecordBatch.from_pydict({"n": [len(part)], "skipped": [bad if a == 0 else 0], "m": [part.tobytes()], "members": [bits]})
+            for a in range(0, max(m.shape[1], 1), most):
+                part = m[:, a : a + most]
+                bits = np.packbits(members[:, a : a + most], axis=1).tobytes() if hashed else b""
+                yield pa.RecordBatch.from_pydict({"n": [part.shape[1]], "skipped": [bad if a == 0 else 0], "m": [_packed(part)], "members": [bits]})
+
+    def read(rows: Iterator) -> Iterator[tuple[int, int, bytes, np.ndarray | None]]:
+        for n, skipped, m, members in rows:
+            yield n, skipped, bytes(m), np.frombuffer(members, np.uint8).reshape(steps, -1) if steps else None
+
+    kept = work.keep(rows.mapInArrow(run, "n long, skipped long, m binary, members binary").rdd.mapPartitions(read))
+    n, skipped = kept.map(lambda block: block[:2]).fold((0, 0), lambda a, b: (a[0] + b[0], a[1] + b[1]))
+    return Blocks(kept, feats, n, skipped)
+
+
+def _packed(columns: np.ndarray) -> bytes:
+    return CODEC.compress(columns.tobytes(), asbytes=True)
 
-    stored = work.store(rows.mapInArrow(run, "n long, skipped long, m binary, members binary"), name)
-    total = stored.agg(F.sum("n"), F.sum("skipped")).first()
-    return Blocks(stored.filter("n > 0"), feats, int(total[0] or 0), int(total[1] or 0), work, batches)
+
+def _matrix(block: tuple, features: int) -> np.ndarray:
+    """A kept block's rows of features, target and weight."""
+    n, width = block[0], features + 2
+    return np.frombuffer(CODEC.decompress(block[2], n * width * 8) if n else b"").reshape(width, n).T
+
+
+def block_rows(width: int) -> int:
+    """Rows of a block of so many columns."""
+    return max(1, min(BLOCK, BLOCK_BYTES // (8 * width)))
 
 
 def _members(keys: pa.Array, seed: int, steps: Sequence[int], below: int) -> np.ndarray:
@@ -101,18 +130,6 @@ def _members(keys: pa.Array, seed: int, steps: Sequence[int], below: int) -> np.
 
 
 # ------------------------------------------------------------- gradients
-def kept_matrices(blocks: Blocks) -> RDD:
-    """``(matrix, bits)`` of every block, kept until the workspace goes: a row
-    of features, target and weight; a row of bits a step, or None."""
-    width, steps = len(blocks.features) + 2, blocks.batches.steps if blocks.batches else 0
-
-    def read(rows: Iterator) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
-        for r in rows:
-            yield np.frombuffer(r[0]).reshape(-1, width), np.frombuffer(r[1], np.uint8).reshape(steps, -1) if steps else None
-
-    return blocks.work.keep(blocks.frame.select("m", "members").rdd.mapPartitions(read))
-
-
 def _sums(m: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """A row a weight vector: errors, errors times features, and losses."""
     x, y, w = m[:, :-2], m[:, -2:-1], m[:, -1:]
@@ -134,11 +151,11 @@ def _sums(m: np.ndarray, weights: np.ndarray) -> np.ndarray:
 def loss_sums(blocks: Blocks) -> Callable[[Sequence[Sequence[float]]], tuple[int, list[list[float]], list[float]]]:
     """A function of weight vectors (intercept first): the rows, and for each
     vector the sums of errors, of errors times features, and of losses."""
-    kept, d = kept_matrices(blocks), len(blocks.features)
+    kept, d = blocks.kept, len(blocks.features)
 
     def sums(vectors: Sequence[Sequence[float]]) -> tuple[int, list[list[float]], list[float]]:
         weights = np.asarray(vectors, float)
-        total = kept.map(lambda block: _sums(block[0], weights)).fold(np.zeros((len(weights), d + 2)), np.add)
+        total = kept.map(lambda block: _sums(_matrix(block, d), weights)).fold(np.zeros((len(weights), d + 2)), np.add)
         return blocks.rows, total[:, :-1].tolist(), total[:, -1].tolist()
 
     return sums
@@ -147,13 +164,13 @@ def loss_sums(blocks: Blocks) -> Callable[[Sequence[Sequence[float]]], tuple[int
 def batch_loss_sums(blocks: Blocks) -> Callable[[int, Sequence[Sequence[float]]], tuple[int, list[list[float]], list[float]]]:
     """``loss_sums`` over a step's batch, as a function of the step (from 1)
     and weight vectors; the rows are the batch's."""
-    kept, d = kept_matrices(blocks), len(blocks.features)
+    kept, d = blocks.kept, len(blocks.features)
 
     def sums(step: int, vectors: Sequence[Sequence[float]]) -> tuple[int, list[list[float]], list[float]]:
         weights = np.asarray(vectors, float)
 
-        def run(block: tuple[np.ndarray, np.ndarray]) -> tuple[int, np.ndarray]:
-            m = block[0][np.unpackbits(block[1][step - 1], count=len(block[0])).view(bool)]
+        def run(block: tuple) -> tuple[int, np.ndarray]:
+            m = _matrix(block, d)[np.unpackbits(block[3][step - 1], count=block[0]).view(bool)]
             return len(m), _sums(m, weights)
 
         n, total = kept.map(run).fold((0, np.zeros((len(weights), d + 2))), lambda a, b: (a[0] + b[0], a[1] + b[1]))
@@ -190,44 +207,26 @@ class Moments:
         )
 
 
-_PARTS = "n long, mean binary, co binary, low binary, high binary"
-
-
 def moments(blocks: Blocks) -> Moments | None:
     """Moments of the features and, last, the target; None for no rows."""
     d = len(blocks.features)
 
-    def out(m: Moments) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"n": [m.n], **{c: [np.ascontiguousarray(getattr(m, c)).tobytes()] for c in ("mean", "co", "low", "high")}})
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[Moments]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                yield Moments(r["n"], *[np.frombuffer(r[c]).reshape(-1 if c != "co" else (d + 1, d + 1)) for c in ("mean", "co", "low", "high")])
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            for m in batch.column("m"):
-                part = Moments.of(np.frombuffer(m.as_buffer(), np.float64).reshape(-1, d + 2)[:, :-1])
-                total = part if total is None else total.merge(part)
-        if total is not None:
-            yield out(total)
+    def first(parts: Iterator[tuple]) -> Iterator[Moments]:
+        return merged(Moments.of(_matrix(block, d)[:, :-1]) for block in parts if block[0])
 
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merged(parts: Iterator[Moments]) -> Iterator[Moments]:
         total = None
-        for part in read(batches):
+        for part in parts:
             total = part if total is None else total.merge(part)
         if total is not None:
-            yield out(total)
+            yield total
 
-    parts = blocks.frame.select("m").mapInArrow(first, _PARTS)
-    left = blocks.frame.rdd.getNumPartitions()
+    parts = blocks.kept.mapPartitions(first)
+    left = parts.getNumPartitions()
     while left > 1:
         left = -(-left // FAN_IN)
-        parts = parts.repartition(left).mapInArrow(merged, _PARTS)
-    rows = parts.toArrow()
-    return next(read(rows.to_batches()), None) if rows.num_rows else None
+        parts = parts.repartition(left).mapPartitions(merged)
+    return next(iter(parts.collect()), None)
 
 
 def summary_frame(spark: SparkSession, blocks: Blocks, m: Moments | None) -> DataFrame:

@@ -379,6 +379,40 @@ def test_later_passes_read_what_the_executors_keep(spark, binary):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
 
 
+def test_kept_blocks_are_small_whatever_their_width(spark, work):
+    """No array of half a region of the heap (512 KB of 1 MB), and none stored as a table beside."""
+    feats = [f"v{i}" for i in range(60)]
+    x, label = [F.rand(i).alias(c) for i, c in enumerate(feats)], (F.col("id") % 2).cast("double").alias("label")
+    df = spark.range(0, 9000, 1, 1).select(*x, label)
+    n, _, losses = dense.loss_sums(dense.pack(df, feats, work))([[0.0] * 61])
+    sizes = work.kept[0].map(lambda block: max(x.nbytes if hasattr(x, "nbytes") else len(x) if isinstance(x, bytes) else 0 for x in block)).collect()
+    assert max(sizes) < 1 << 19 and n == 9000 and losses[0] == pytest.approx(9000 * np.log(2))
+    assert not os.path.exists(work.path("blocks").removeprefix("file:"))
+
+
+def test_card_grid_stores_no_rows_twice_and_ranks_without_its_blocks(spark, tmp_path, monkeypatch):
+    path = lineitem(spark, tmp_path)
+    spark.read.parquet(path + "/lineitem.parquet").dropna().write.parquet(str(tmp_path / "whole" / "lineitem.parquet"))
+    stored, ranked, keep = [], [], spark.sparkContext._jsc.getPersistentRDDs
+    held, rank, store = keep().size(), curves.rank_models, Workspace.store
+    monkeypatch.setattr(curves, "rank_models", lambda *a: ranked.append(keep().size()) or rank(*a))
+    monkeypatch.setattr(Workspace, "store", lambda self, df, name: stored.append(name) or store(self, df, name))
+    from quarry.catalog import models
+
+    assert models.card_grid(spark, str(tmp_path / "whole")).count() == 1
+    assert (stored, ranked) == (["scored"], [held])
+
+
+def test_blocks_hold_rows_to_the_bit(spark, work):
+    """Also infinities, zeros of both signs, and a partition whose rows are all left out."""
+    rows = [(float(i) / 7, -0.0, float("inf") if i % 5 else 5e-324, float(i % 2)) for i in range(500)] + [(None, 1.0, 1.0, 1.0)] * 9
+    df = spark.createDataFrame(rows, "a double, b double, c double, label double").orderBy("a").coalesce(1)
+    blocks = dense.pack(df.filter("a is not null").unionByName(df.filter("a is null")), ["a", "b", "c"], work)
+    got = np.concatenate(blocks.kept.map(lambda block: dense._matrix(block, 3)).collect())
+    want = sorted((*r, 1.0) for r in rows[:500])
+    assert sorted(map(tuple, got.tolist())) == want and np.signbit(got[:, 1]).all() and (blocks.rows, blocks.skipped) == (500, 9)
+
+
 def longest_method(spark, df, capsys):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
